@@ -27,20 +27,18 @@ ISO_PREFIX = r"^\d{4}-\d{1,2}-\d{1,2}(?:$|[ T])"
 FILE_DATE = r"(20\d{6})"
 
 
-def _grp(text: Column, pattern: str, idx: int) -> Column:
-    return F.nullif(F.regexp_extract(text, pattern, idx), F.lit(""))
+def _part(parts: Column, idx: int) -> Column:
+    return F.nullif(F.try_element_at(parts, F.lit(idx)), F.lit("")).cast("int")
 
 
-def _seconds(text: Column, pattern: str, sec_idx: int) -> Column:
-    whole = F.coalesce(_grp(text, pattern, sec_idx).cast("int"), F.lit(0)).cast("decimal(16,6)")
-    frac = F.coalesce(F.concat(F.lit("0."), _grp(text, pattern, sec_idx + 1)).cast("decimal(16,9)"), F.lit(0))
-    return (whole + frac).cast("decimal(16,6)")
-
-
-def _build(year: Column, month: Column, day: Column, text: Column, pattern: str, hour_idx: int) -> Column:
-    hour = F.coalesce(_grp(text, pattern, hour_idx).cast("int"), F.lit(0))
-    minute = F.coalesce(_grp(text, pattern, hour_idx + 1).cast("int"), F.lit(0))
-    return F.try_make_timestamp_ntz(year, month, day, hour, minute, _seconds(text, pattern, hour_idx + 2))
+def _clock(parts: Column, first: int) -> tuple[Column, Column, Column]:
+    """Hour, minute and seconds (with fraction) from split parts starting at ``first``."""
+    hour = F.coalesce(_part(parts, first), F.lit(0))
+    minute = F.coalesce(_part(parts, first + 1), F.lit(0))
+    whole = F.coalesce(_part(parts, first + 2), F.lit(0)).cast("decimal(16,6)")
+    frac = F.coalesce(F.concat(F.lit("0."), F.try_element_at(parts, F.lit(first + 3))).try_cast("decimal(16,9)"),
+                      F.lit(0))
+    return hour, minute, (whole + frac).cast("decimal(16,6)")
 
 
 def _iso(text: Column) -> Column:
@@ -53,22 +51,24 @@ def parse_timestamp_text(text: Column, day_first: bool = True) -> Column:
     ``day_first``: 02/01/2025 is 2 January, and a value invalid that way is read month
     first (10/22/2025 -> 22 October). Without it the order is reversed. ISO text is
     read as written; a zone offset is converted to UTC.
+
+    Each layout is recognised by one regular expression and split into its numeric
+    fields once; ``try_make_timestamp_ntz`` rejects impossible dates.
     """
     t = strip_text(text)
-    a = _grp(t, NUMERIC_DMY, 1).cast("int")
-    b = _grp(t, NUMERIC_DMY, 2).cast("int")
-    y = _grp(t, NUMERIC_DMY, 3).cast("int")
+    num = F.split(t, r"[/.\- T:]+")
+    a, b, y = _part(num, 1), _part(num, 2), _part(num, 3)
+    h, mi, sec = _clock(num, 4)
     first, second = (a, b) if day_first else (b, a)
-    dmy = F.coalesce(_build(y, second, first, t, NUMERIC_DMY, 4), _build(y, first, second, t, NUMERIC_DMY, 4))
-    month_no = F.try_divide(
-        F.instr(F.lit("".join(MONTH_ABBREVIATIONS)), F.lower(_grp(t, NAMED_MONTH, 2))) + F.lit(2), F.lit(3)
-    ).cast("int")
-    named = F.when(F.instr(F.lit("".join(MONTH_ABBREVIATIONS)), F.lower(_grp(t, NAMED_MONTH, 2))) % 3 == 1,
-                   _build(_grp(t, NAMED_MONTH, 3).cast("int"), month_no, _grp(t, NAMED_MONTH, 1).cast("int"),
-                          t, NAMED_MONTH, 4))
-    ymd = _build(_grp(t, YEAR_FIRST_SLASH, 1).cast("int"), _grp(t, YEAR_FIRST_SLASH, 2).cast("int"),
-                 _grp(t, YEAR_FIRST_SLASH, 3).cast("int"), t, YEAR_FIRST_SLASH, 4)
-    return F.coalesce(_iso(t), dmy, named, ymd)
+    dmy = F.when(t.rlike(NUMERIC_DMY), F.coalesce(F.try_make_timestamp_ntz(y, second, first, h, mi, sec),
+                                                  F.try_make_timestamp_ntz(y, first, second, h, mi, sec)))
+    named = F.split(t, r"[ \-:.]+")
+    pos = F.instr(F.lit("".join(MONTH_ABBREVIATIONS)), F.lower(F.substring(F.element_at(named, 2), 1, 3)))
+    nh, nmi, nsec = _clock(named, 4)
+    by_name = F.when(t.rlike(NAMED_MONTH) & (pos % 3 == 1), F.try_make_timestamp_ntz(
+        _part(named, 3), ((pos + 2) / 3).cast("int"), _part(named, 1), nh, nmi, nsec))
+    ymd = F.when(t.rlike(YEAR_FIRST_SLASH), F.try_make_timestamp_ntz(a, b, y, h, mi, sec))
+    return F.coalesce(_iso(t), dmy, by_name, ymd)
 
 
 def parse_timestamp_variant(v: Column, day_first: bool = True) -> Column:

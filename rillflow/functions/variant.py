@@ -51,6 +51,16 @@ def first_truthy(cells: Column, keys: Sequence[str]) -> Column:
     return F.coalesce(*picks)
 
 
+def truthy_cells(cells: Column) -> Column:
+    """Keep only the truthy cells of a map<string, variant>."""
+    return F.map_filter(cells, lambda _k, v: is_truthy(v))
+
+
+def first_present(truthy: Column, keys: Sequence[str]) -> Column:
+    """First of ``keys`` present in a map already reduced to truthy cells."""
+    return F.coalesce(*[F.try_element_at(truthy, F.lit(k)) for k in keys])
+
+
 def variant_text(v: Column) -> Column:
     """`str(x)` of a JSON scalar: strings as they are, booleans as True/False, numbers as written.
 

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from rillflow.functions.numeric import parse_litres
 from rillflow.functions.temporal import parse_timestamp_variant
-from rillflow.functions.variant import (ALIAS_KEYS, DEVICE_KEYS, TIME_KEYS, VALUE_KEYS, first_truthy, meter_key,
-                                        strip_text, variant_text)
+from rillflow.functions.variant import (ALIAS_KEYS, DEVICE_KEYS, TIME_KEYS, VALUE_KEYS, first_present, meter_key,
+                                        strip_text, truthy_cells, variant_text)
 
 READINGS_SCHEMA = ("contador string, device string, alias string, timestamp timestamp_ntz, value_l double, "
                    "source_file string, _run_id string, _file_ord int, _rec_ord bigint, _body_pos int")
@@ -43,12 +43,17 @@ def flatten_readings(records: DataFrame, source_tag: str = "") -> DataFrame:
     mapped = rows.where(cells.isNotNull()).select(
         "source_file", "_run_id", "_file_ord", "_rec_ord", F.col("_body_pos").cast("int").alias("_body_pos"),
         F.map_from_arrays(names, F.slice(cells, 1, n)).alias("_m"))
-    device = strip_text(F.coalesce(variant_text(first_truthy(F.col("_m"), DEVICE_KEYS)), F.lit("")))
-    alias = strip_text(F.coalesce(variant_text(first_truthy(F.col("_m"), ALIAS_KEYS)), F.lit("")))
-    typed = mapped.select(
-        device.alias("device"), alias.alias("alias"),
-        parse_timestamp_variant(first_truthy(F.col("_m"), TIME_KEYS)).alias("timestamp"),
-        parse_litres(first_truthy(F.col("_m"), VALUE_KEYS)).alias("value_l"),
+    # truthiness is decided once per cell; the alias lists then only look names up
+    truthy = mapped.select("*", truthy_cells(F.col("_m")).alias("_t"))
+    picked = truthy.select(
+        "source_file", "_run_id", "_file_ord", "_rec_ord", "_body_pos",
+        first_present(F.col("_t"), DEVICE_KEYS).alias("_dev"), first_present(F.col("_t"), ALIAS_KEYS).alias("_ali"),
+        first_present(F.col("_t"), TIME_KEYS).alias("_time"), first_present(F.col("_t"), VALUE_KEYS).alias("_val"))
+    typed = picked.select(
+        strip_text(F.coalesce(variant_text(F.col("_dev")), F.lit(""))).alias("device"),
+        strip_text(F.coalesce(variant_text(F.col("_ali")), F.lit(""))).alias("alias"),
+        parse_timestamp_variant(F.col("_time")).alias("timestamp"),
+        parse_litres(F.col("_val")).alias("value_l"),
         "source_file", "_run_id", "_file_ord", "_rec_ord", "_body_pos")
     out = typed.withColumn("contador", meter_key(F.col("device"), F.col("alias"))).where(F.col("contador") != "")
     return out.select(*READING_COLUMNS)

@@ -211,3 +211,205 @@ def q_anomaly_summary(spark, sf_dir):
                     "current_readings", "current_counters", "history_readings", "history_counters",
                     "expected_readings_total", "current_readings_total", "below_threshold_counters",
                     "above_threshold_counters", "anomalous_counters", "counters_without_history")
+
+
+# ------------------------------------------------------------------ documents and records
+from rillflow.operators import clean as C  # noqa: E402
+from rillflow.operators import store as S  # noqa: E402
+from rillflow.operators.flatten import flatten_readings  # noqa: E402
+from rillflow.sources import documents as D  # noqa: E402
+from rillflow.sources import files as FL  # noqa: E402
+from rillflow.sources.history import history_from_file, history_from_store  # noqa: E402
+from rillflow import functions as RF  # noqa: E402
+from rillflow import sinks as K  # noqa: E402
+from rillflow.session import scratch_path  # noqa: E402
+
+import datetime as _dt  # noqa: E402
+
+_DOC_KEY_SQL = "strftime(ts, '%Y%m%d') || '_' || CAST(event_id // 256 AS VARCHAR)"
+
+
+def _scanned(spark, sf_dir):
+    folder = B.write_event_documents(spark, sf_dir)
+    return D.scan_json_documents(spark, B.document_files(spark, folder))
+
+
+@register("scan_json_documents", f"""
+SELECT 'meter_' || {_DOC_KEY_SQL} || '.json' AS name, COUNT(*) AS body_rows FROM events GROUP BY 1
+UNION ALL
+SELECT DISTINCT 'meter_' || strftime(ts, '%Y%m%d') || '_bad.json' AS name, CAST(NULL AS BIGINT) AS body_rows FROM events""")
+def q_scan_json_documents(spark, sf_dir):
+    """Every written file read whole and parsed; broken files give a null document."""
+    docs = _scanned(spark, sf_dir)
+    body = F.try_variant_get(F.col("doc"), "$.body", "array<variant>")
+    return docs.select("name", F.size(body).cast("long").alias("body_rows")).select(
+        "name", F.when(F.col("body_rows") >= 0, F.col("body_rows")).alias("body_rows"))
+
+
+@register("file_parse_status", f"""
+SELECT (SELECT COUNT(DISTINCT {_DOC_KEY_SQL}) FROM events) AS files_ok,
+       (SELECT COUNT(DISTINCT strftime(ts, '%Y%m%d')) FROM events) AS files_error""")
+def q_file_parse_status(spark, sf_dir):
+    """Good / broken file counts of a folder holding one broken export per day."""
+    _good, _bad, counts = D.file_parse_status(_scanned(spark, sf_dir))
+    return counts
+
+
+_FLAT_SQL = f"""
+SELECT CAST(user_id AS VARCHAR) AS contador, CAST(user_id AS VARCHAR) AS device, event_type AS alias,
+       strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, value AS value_l,
+       'meter_' || {_DOC_KEY_SQL} || '.json' AS source_file,
+       CAST(ROW_NUMBER() OVER (PARTITION BY {_DOC_KEY_SQL} ORDER BY event_id) - 1 AS INTEGER) AS _body_pos
+FROM events"""
+
+
+def _flat_docs(spark, sf_dir):
+    good, _bad, _counts = D.file_parse_status(_scanned(spark, sf_dir))
+    records = C.light_clean(D.normalize_records(good, run_id="run-1"))
+    return flatten_readings(records)
+
+
+@register("flatten_readings", _FLAT_SQL)
+def q_flatten_readings(spark, sf_dir):
+    """A1/A2: header x body documents (written from events) -> readings, after dedup."""
+    r = _flat_docs(spark, sf_dir)
+    return r.select("contador", "device", "alias",
+                    F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"), "value_l",
+                    "source_file", "_body_pos")
+
+
+@register("history_from_file", ANOMALY + "SELECT * FROM det")
+def q_history_from_file(spark, sf_dir):
+    """History read from the document folder (broken files skipped) drives the anomaly details."""
+    folder = B.write_event_documents(spark, sf_dir)
+    current = B.events_as_readings(spark, sf_dir)
+    hist = history_from_file(spark, folder)
+    return build_report(current, hist, A.AnomalyParams.of(2)).details
+
+
+_NORM_SQL = """
+SELECT 'e' || CAST(event_id AS VARCHAR) AS _source_file, 0 AS _rec_ord, 'k' AS keys,
+       CAST(json_extract(props, '$.k') AS BIGINT) AS k, CAST(NULL AS DOUBLE) AS value
+FROM events WHERE event_type IN ('view', 'click')
+UNION ALL
+SELECT 'e' || CAST(event_id AS VARCHAR), CASE WHEN event_type = 'click' THEN 1 ELSE 0 END, 'value', NULL,
+       CASE WHEN event_type = 'error' THEN NULL ELSE value END
+FROM events WHERE event_type IN ('click', 'purchase', 'error')"""
+
+
+def _norm_records(spark, sf_dir):
+    return D.normalize_records(B.event_document_texts(spark, sf_dir), run_id="run-1")
+
+
+@register("normalize_records", _NORM_SQL)
+def q_normalize_records(spark, sf_dir):
+    """Object -> 1 record, list -> 1 per element (scalars wrapped), scalar -> {value}, [] -> none."""
+    recs = _norm_records(spark, sf_dir)
+    keys = F.array_join(F.array_sort(F.map_keys(F.col("payload").try_cast("map<string,variant>"))), ",")
+    return recs.select("_source_file", F.col("_rec_ord").cast("int").alias("_rec_ord"), keys.alias("keys"),
+                       F.try_variant_get("payload", "$.k", "bigint").alias("k"),
+                       F.try_variant_get("payload", "$.value", "double").alias("value"))
+
+
+@register("schema_union", _NORM_SQL.replace("'k' AS keys,", "").replace("'value', NULL,", "NULL,"))
+def q_schema_union(spark, sf_dir):
+    """One column per key seen in any record, missing keys null."""
+    wide = D.schema_union(_norm_records(spark, sf_dir))
+    return wide.select("_source_file", F.col("_rec_ord").cast("int").alias("_rec_ord"),
+                       F.col("k").try_cast("bigint").alias("k"), F.col("value").try_cast("double").alias("value"))
+
+
+# ------------------------------------------------------------------ parsing
+@register("parse_litres", f"""
+SELECT event_id, event_type,
+  CASE event_type WHEN 'purchase' THEN {r('value * 1000')} WHEN 'signup' THEN NULL ELSE value END AS litres
+FROM events""")
+def q_parse_litres(spark, sf_dir):
+    """F2 on export-style text: comma decimals, padded, thousands separators, NBSP, unparseable."""
+    ev = B.table(spark, sf_dir, "events")
+    t = F.col("event_type")
+    plain = F.col("value").cast("string")
+    text = (F.when(t == "view", F.translate(plain, ".", ","))
+            .when(t == "click", F.concat(F.lit("  "), plain, F.lit(" ")))
+            .when(t == "purchase", F.format_number(F.col("value") * 1000, 2))
+            .when(t == "signup", F.lit("n/a"))
+            .otherwise(F.concat(F.lit(" "), plain)))
+    return ev.select("event_id", "event_type", RF.parse_litres_text(text).alias("litres"))
+
+
+@register("parse_timestamps", """
+SELECT event_id, strftime(CASE event_type
+    WHEN 'click' THEN date_trunc('minute', ts)
+    WHEN 'signup' THEN CASE WHEN day(ts) <= 12
+        THEN make_timestamp(year(ts), day(ts), month(ts), hour(ts), minute(ts), second(ts))
+        ELSE date_trunc('second', ts) END
+    ELSE date_trunc('second', ts) END, '%Y-%m-%d %H:%M:%S') AS ts
+FROM events""")
+def q_parse_timestamps(spark, sf_dir):
+    """F3 (day first): d/M/y, d/M/y H:mm, ISO, M/d/y (read day first when both fit), d MMM y."""
+    ev = B.table(spark, sf_dir, "events")
+    t = F.col("event_type")
+    text = (F.when(t == "view", F.date_format("ts", "dd/MM/yyyy HH:mm:ss"))
+            .when(t == "click", F.date_format("ts", "d/M/yyyy H:mm"))
+            .when(t == "purchase", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+            .when(t == "signup", F.date_format("ts", "MM/dd/yyyy HH:mm:ss"))
+            .otherwise(F.date_format("ts", "d MMM yyyy HH:mm:ss")))
+    return ev.select("event_id", F.date_format(RF.parse_timestamp_text(text), "yyyy-MM-dd HH:mm:ss").alias("ts"))
+
+
+@register("readings_clean", """
+SELECT CAST(user_id AS VARCHAR) AS contador, event_id, strftime(date_trunc('second', ts), '%Y-%m-%d %H:%M:%S') AS ts
+FROM events WHERE event_type <> 'error'""")
+def q_readings_clean(spark, sf_dir):
+    """P5: readings whose time text does not parse (error events log 'n/a') are dropped."""
+    ev = B.table(spark, sf_dir, "events")
+    text = F.when(F.col("event_type") == "error", F.lit("n/a")).otherwise(F.date_format("ts", "dd/MM/yyyy HH:mm:ss"))
+    readings = ev.select(F.col("user_id").cast("string").alias("contador"), "event_id",
+                         RF.parse_timestamp_text(text).alias("timestamp"))
+    kept = C.readings_clean(readings)
+    return kept.select("contador", "event_id", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss").alias("ts"))
+
+
+@register("normalize_dates", """
+SELECT event_id, CASE event_type
+    WHEN 'view' THEN strftime(date_trunc('second', ts) - INTERVAL 1 HOUR, '%Y-%m-%dT%H:%M:%SZ')
+    WHEN 'purchase' THEN CASE WHEN day(ts) <= 12
+        THEN strftime(make_timestamp(year(ts), day(ts), month(ts), hour(ts), minute(ts), second(ts)), '%Y-%m-%dT%H:%M:%SZ')
+        ELSE strftime(date_trunc('second', ts), '%Y-%m-%dT%H:%M:%SZ') END
+    WHEN 'error' THEN NULL
+    ELSE strftime(date_trunc('second', ts), '%Y-%m-%dT%H:%M:%SZ') END AS timestamp
+FROM events""")
+def q_normalize_dates(spark, sf_dir):
+    """F4 on records: zoned ISO -> UTC, M/d/y, d/M/y (month first when both fit), naive ISO, garbage -> null."""
+    ev = B.table(spark, sf_dir, "events")
+    t = F.col("event_type")
+    text = (F.when(t == "view", F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+01:00")))
+            .when(t == "click", F.date_format("ts", "MM/dd/yyyy HH:mm:ss"))
+            .when(t == "purchase", F.date_format("ts", "dd/MM/yyyy HH:mm:ss"))
+            .when(t == "signup", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+            .otherwise(F.lit("garbage")))
+    recs = ev.withColumn("text", text).withColumn("timestamp", F.col("text"))
+    recs = B.event_records(spark, sf_dir, fields=("event_id", "timestamp"), source=recs)
+    out = C.normalize_dates(recs)
+    return out.select(F.try_variant_get("payload", "$.event_id", "bigint").alias("event_id"),
+                      F.try_variant_get("payload", "$.timestamp", "string").alias("timestamp"))
+
+
+@register("ingested_at_utc", """
+SELECT event_id, strftime(CASE event_type
+    WHEN 'click' THEN date_trunc('second', ts) - INTERVAL 2 HOUR
+    WHEN 'signup' THEN TIMESTAMP '2024-02-01 00:00:00'
+    WHEN 'error' THEN TIMESTAMP '2024-02-01 00:00:00'
+    ELSE date_trunc('second', ts) END, '%Y-%m-%d %H:%M:%S') AS ingested_at
+FROM events""")
+def q_ingested_at_utc(spark, sf_dir):
+    """ISO with Z, with +02:00, naive; empty and invalid fall back to the run's now."""
+    ev = B.table(spark, sf_dir, "events")
+    t = F.col("event_type")
+    text = (F.when(t == "view", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+            .when(t == "click", F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+02:00")))
+            .when(t == "purchase", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+            .when(t == "signup", F.lit(""))
+            .otherwise(F.lit("bad")))
+    now = F.lit("2024-02-01 00:00:00").cast("timestamp_ntz")
+    return ev.select("event_id", F.date_format(RF.utc_datetime(text, now), "yyyy-MM-dd HH:mm:ss").alias("ingested_at"))

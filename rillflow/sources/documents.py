@@ -41,7 +41,7 @@ def scan_json_documents(spark: SparkSession, files: DataFrame) -> DataFrame:
     raw = raw.withColumn("_key", F.regexp_replace(F.col("_path"), r"^(file:)?/+", "/"))
     joined = files.withColumn("_key", norm).join(raw, "_key", "left")
     return joined.select("name", "source", "_file_ord", "text",
-                         F.expr("try_parse_json(text)").alias("doc"))
+                         F.try_parse_json(F.col("text")).alias("doc"))
 
 
 def file_parse_status(documents: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:

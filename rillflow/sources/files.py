@@ -35,27 +35,30 @@ def explicit_sources(spark: SparkSession, sources: str) -> DataFrame:
     items = df.select(F.posexplode(F.split("s", ",")).alias("pos", "raw")).select("pos", F.trim("raw").alias("source"))
     items = items.where(F.col("source") != "")
     return items.select(_basename("source").alias("name"), "source", F.lit(MODE_EXPLICIT).alias("mode"),
-                        F.col("pos").cast("int").alias("_order"))
+                        F.col("pos").cast("long").alias("_order"))
 
 
 def directory_sources(spark: SparkSession, directory: str | None) -> DataFrame:
     """``*.json`` directly in a folder, by path; empty when unset or absent."""
-    empty = spark.createDataFrame([], "name string, source string, mode string, _order int")
+    empty = spark.createDataFrame([], "name string, source string, mode string, _order bigint")
     if not directory or not directory.strip() or not path_exists(spark, directory.strip()):
         return empty
     listing = (spark.read.format("binaryFile").option("pathGlobFilter", "*.json")
                .option("recursiveFileLookup", "false").load(directory.strip()).select("path"))
     return listing.select(_basename("path").alias("name"), F.col("path").alias("source"),
-                          F.lit(MODE_LOCAL_DIR).alias("mode"), F.lit(0).alias("_order"))
+                          F.lit(MODE_LOCAL_DIR).alias("mode"), F.lit(0).cast("long").alias("_order"))
 
 
-def named_sources(spark: SparkSession, base: str, names: str) -> DataFrame:
-    """Comma-separated names under a base folder."""
-    df = spark.createDataFrame([(names or "",)], "s string")
-    items = df.select(F.posexplode(F.split("s", ",")).alias("pos", "raw")).select("pos", F.trim("raw").alias("n"))
+def named_sources(spark: SparkSession, base: str, names: "str | DataFrame") -> DataFrame:
+    """Names under a base folder, given as comma-separated text or a frame ``n, pos``."""
+    if isinstance(names, DataFrame):
+        items = names.select("pos", F.trim("n").alias("n"))
+    else:
+        df = spark.createDataFrame([(names or "",)], "s string")
+        items = df.select(F.posexplode(F.split("s", ",")).alias("pos", "raw")).select("pos", F.trim("raw").alias("n"))
     items = items.where(F.col("n") != "")
     return items.select(_basename("n").alias("name"), F.concat_ws("/", F.lit(base.rstrip("/")), "n").alias("source"),
-                        F.lit(MODE_KNOWN_NAMES).alias("mode"), F.col("pos").cast("int").alias("_order"))
+                        F.lit(MODE_KNOWN_NAMES).alias("mode"), F.col("pos").cast("long").alias("_order"))
 
 
 def first_nonempty(*candidates: DataFrame) -> DataFrame:
@@ -70,12 +73,13 @@ def first_nonempty(*candidates: DataFrame) -> DataFrame:
         tagged = part if tagged is None else tagged.unionByName(part)
     best = tagged.agg(F.min("_prio").alias("_best"))
     chosen = tagged.join(F.broadcast(best), F.col("_prio") == F.col("_best"))  # `best` is one row
+    # the chosen list is one window partition: a file list is driver-held metadata anyway
     w = Window.partitionBy("_prio").orderBy("_order", "source")
     return chosen.select("name", "source", "mode", (F.row_number().over(w) - 1).cast("int").alias("_file_ord"))
 
 
 def list_candidate_files(spark: SparkSession, sources: str = "", directory: str | None = None,
-                         base: str = "", names: str = "") -> DataFrame:
+                         base: str = "", names: "str | DataFrame" = "") -> DataFrame:
     return first_nonempty(explicit_sources(spark, sources), directory_sources(spark, directory),
                           named_sources(spark, base, names))
 
