@@ -413,3 +413,229 @@ def q_ingested_at_utc(spark, sf_dir):
             .otherwise(F.lit("bad")))
     now = F.lit("2024-02-01 00:00:00").cast("timestamp_ntz")
     return ev.select("event_id", F.date_format(RF.utc_datetime(text, now), "yyyy-MM-dd HH:mm:ss").alias("ingested_at"))
+
+
+# ------------------------------------------------------------------ files
+_NAME_SQL = ("CASE WHEN event_type = 'view' THEN 'src_view_' || CAST(event_id AS VARCHAR) || '.json' "
+             "ELSE 'src_' || strftime(ts, '%Y%m%d') || '_' || CAST(event_id AS VARCHAR) || '.json' END")
+_BASE = "/data/meters"
+
+
+def _file_list(spark, sf_dir):
+    """S5 cascade: no explicit sources and no folder given, so the named list wins."""
+    return FL.list_candidate_files(spark, sources="", directory=None, base=_BASE,
+                                   names=B.derived_file_names(spark, sf_dir))
+
+
+@register("list_candidate_files", f"""
+SELECT {_NAME_SQL} AS name, '{_BASE}/' || {_NAME_SQL} AS source, 'REPO_JSON_FILES' AS mode,
+       CAST(ROW_NUMBER() OVER (ORDER BY event_id) - 1 AS INTEGER) AS _file_ord
+FROM events""")
+def q_list_candidate_files(spark, sf_dir):
+    return _file_list(spark, sf_dir)
+
+
+@register("file_date_window", f"""
+SELECT {_NAME_SQL} AS name FROM events
+WHERE event_type = 'view' OR CAST(ts AS DATE) BETWEEN DATE '2024-01-15' AND DATE '2024-01-20'""")
+def q_file_date_window(spark, sf_dir):
+    """P3 + F1: end date 2024-01-20, 5 days back, names without a date always kept."""
+    return FL.apply_date_window(_file_list(spark, sf_dir), "2024-01-20", 5).select("name")
+
+
+@register("file_limit", f"SELECT {_NAME_SQL} AS name FROM events ORDER BY event_id LIMIT 100")
+def q_file_limit(spark, sf_dir):
+    """O1: the first 100 files in list order."""
+    return FL.limit_files(_file_list(spark, sf_dir), 100).select("name")
+
+
+@register("file_sample", f"SELECT name FROM (SELECT {_NAME_SQL} AS name, event_id FROM events) "
+          "ORDER BY md5(name || '7'), event_id LIMIT 30")
+def q_file_sample(spark, sf_dir):
+    """O2: exact-size sample (default 30) of a named list, reproducible md5 order with seed 7."""
+    return FL.sample_files(_file_list(spark, sf_dir), 0, seed=7, by_hash=True).select("name")
+
+
+@register("batch_sample", "SELECT event_id, event_type, user_id FROM events ORDER BY event_id LIMIT 5")
+def q_batch_sample(spark, sf_dir):
+    """First 5 records of the batch."""
+    s = R.batch_sample(B.event_records(spark, sf_dir))
+    return s.select(F.try_variant_get("payload", "$.event_id", "bigint").alias("event_id"),
+                    F.try_variant_get("payload", "$.event_type", "string").alias("event_type"),
+                    F.try_variant_get("payload", "$.user_id", "bigint").alias("user_id"))
+
+
+# ------------------------------------------------------------------ dedup and identity
+@register("dedup_exact", """
+SELECT event_id, 'events.json' AS _source_file, event_id * 2 AS _rec_ord FROM events
+UNION ALL
+SELECT event_id, 'redelivered.json', event_id FROM events""")
+def q_dedup_exact(spark, sf_dir):
+    """Every event twice in one file plus once in a re-delivered file -> one per file."""
+    ev = B.table(spark, sf_dir, "events")
+    base = B.event_records(spark, sf_dir, fields=("event_id", "event_type", "user_id", "value"), source=ev)
+    a = base.withColumn("_source_file", F.lit("events.json")).withColumn("_rec_ord", F.col("_rec_ord") * 2)
+    b = a.withColumn("_rec_ord", F.col("_rec_ord") + 1)
+    c = base.withColumn("_source_file", F.lit("redelivered.json")).withColumn("_file_ord", F.lit(1))
+    out = C.dedup_exact(a.unionByName(b).unionByName(c))
+    return out.select(F.try_variant_get("payload", "$.event_id", "bigint").alias("event_id"), "_source_file",
+                      "_rec_ord")
+
+
+_ID_JSON = ("'{\"_source_file\":\"events_' || strftime(ts, '%Y%m%d') || '.json\",\"payload\":{\"event_id\":' || "
+            "CAST(event_id AS VARCHAR) || ',\"event_type\":\"' || event_type || '\",\"user_id\":' || "
+            "CAST(user_id AS VARCHAR) || '}}'")
+
+
+@register("record_identity", f"SELECT event_id, sha256({_ID_JSON}) AS id FROM events")
+def q_record_identity(spark, sf_dir):
+    """SHA-256 of the canonical JSON of (payload, source file); stamps excluded."""
+    recs = B.event_records(spark, sf_dir)
+    return recs.select(F.try_variant_get("payload", "$.event_id", "bigint").alias("event_id"),
+                       RF.record_identity(F.col("payload"), F.col("_source_file")).alias("id"))
+
+
+# ------------------------------------------------------------------ stores
+T1 = _dt.datetime(2024, 1, 21)
+T2 = _dt.datetime(2024, 1, 31)
+
+
+def _batches(spark, sf_dir):
+    ev = B.table(spark, sf_dir, "events")
+    b1 = B.event_records(spark, sf_dir, source=ev.where(F.col("ts") < F.lit("2024-01-20").cast("timestamp_ntz")))
+    b2 = B.event_records(spark, sf_dir, source=ev.where(F.col("ts") >= F.lit("2024-01-15").cast("timestamp_ntz")))
+    return b1, b2
+
+
+def _store_view(spark, path):
+    cur = S.current(spark, path)
+    return cur.select("id", "run_id", "source_file", F.date_format("saved_at", "yyyy-MM-dd HH:mm:ss").alias("saved_at"))
+
+
+@register("store_insert_absent", f"""
+SELECT sha256({_ID_JSON}) AS id, CASE WHEN ts < TIMESTAMP '2024-01-20' THEN 'r1' ELSE 'r2' END AS run_id,
+       'events_' || strftime(ts, '%Y%m%d') || '.json' AS source_file,
+       CASE WHEN ts < TIMESTAMP '2024-01-20' THEN '2024-01-21 00:00:00' ELSE '2024-01-31 00:00:00' END AS saved_at
+FROM events""")
+def q_store_insert_absent(spark, sf_dir):
+    """Two overlapping batches into an insert-only store: the first write of an id wins."""
+    path = scratch_path(spark, "store-insert")
+    b1, b2 = _batches(spark, sf_dir)
+    S.insert_absent(spark, path, b1, "r1", T1)
+    S.insert_absent(spark, path, b2, "r2", T2)
+    return _store_view(spark, path)
+
+
+@register("store_upsert", f"""
+SELECT sha256({_ID_JSON}) AS id, CASE WHEN ts < TIMESTAMP '2024-01-15' THEN 'r1' ELSE 'r2' END AS run_id,
+       'events_' || strftime(ts, '%Y%m%d') || '.json' AS source_file,
+       CASE WHEN ts < TIMESTAMP '2024-01-15' THEN '2024-01-21 00:00:00' ELSE '2024-01-31 00:00:00' END AS saved_at
+FROM events""")
+def q_store_upsert(spark, sf_dir):
+    """The same two batches into an upsert store: the last write of an id wins."""
+    path = scratch_path(spark, "store-upsert")
+    b1, b2 = _batches(spark, sf_dir)
+    S.upsert(spark, path, b1, "r1", T1)
+    S.upsert(spark, path, b2, "r2", T2)
+    return _store_view(spark, path)
+
+
+@register("store_write_stats", """
+SELECT COUNT(*) FILTER (WHERE ts >= TIMESTAMP '2024-01-20') AS inserted,
+       COUNT(*) FILTER (WHERE ts >= TIMESTAMP '2024-01-15' AND ts < TIMESTAMP '2024-01-20') AS duplicates,
+       COUNT(*) FILTER (WHERE ts >= TIMESTAMP '2024-01-15') AS total,
+       COUNT(*) FILTER (WHERE ts >= TIMESTAMP '2024-01-15') AS written,
+       COUNT(*) AS table_count
+FROM events""")
+def q_store_write_stats(spark, sf_dir):
+    """Counts reported by the second write into each store."""
+    b1, b2 = _batches(spark, sf_dir)
+    ins, ups = scratch_path(spark, "stats-insert"), scratch_path(spark, "stats-upsert")
+    S.insert_absent(spark, ins, b1, "r1", T1)
+    i2 = S.insert_absent(spark, ins, b2, "r2", T2)
+    S.upsert(spark, ups, b1, "r1", T1)
+    u2 = S.upsert(spark, ups, b2, "r2", T2)
+    stats = S.write_stats(spark, ups, "r2", T2)
+    return stats.select(F.lit(i2["inserted"]).cast("long").alias("inserted"),
+                        F.lit(i2["duplicates"]).cast("long").alias("duplicates"),
+                        F.lit(i2["total"]).cast("long").alias("total"), "written", "table_count")
+
+
+def _doc_records(spark, sf_dir, where):
+    folder = B.write_event_documents(spark, sf_dir)
+    files = B.document_files(spark, folder)
+    good, _bad, _c = D.file_parse_status(D.scan_json_documents(spark, files))
+    return D.normalize_records(good.where(where), run_id=None, ingested_at=F.lit(T1).cast("timestamp"))
+
+
+@register("history_scan", """
+SELECT CAST(user_id AS VARCHAR) AS contador, strftime(ts, '%Y-%m-%d') AS day, COUNT(*) AS readings
+FROM events WHERE ts >= TIMESTAMP '2024-01-15' GROUP BY 1, 2""")
+def q_history_scan(spark, sf_dir):
+    """Meter documents upserted in two runs; the history read keeps ids saved within
+    2 days of 2024-02-01 (only the second run's), decodes and flattens them."""
+    path = scratch_path(spark, "store-history")
+    day = F.regexp_extract("name", r"meter_(\d{8})_", 1)
+    S.upsert(spark, path, _doc_records(spark, sf_dir, day <= "20240120"), "r1", T1)
+    S.upsert(spark, path, _doc_records(spark, sf_dir, day >= "20240115"), "r2", T2)
+    hist = history_from_store(spark, path, as_of=_dt.datetime(2024, 2, 1), lookback_days=2)
+    return hist.groupBy("contador", F.date_format("timestamp", "yyyy-MM-dd").alias("day")).agg(
+        F.count(F.lit(1)).alias("readings"))
+
+
+@register("payload_truncate", """
+SELECT doc_id, least(length(to_json({'doc_id': doc_id, 'text': text})), 30000) AS payload_chars,
+       length(to_json({'doc_id': doc_id, 'text': text})) > 30000 AS truncated
+FROM documents""")
+def q_payload_truncate(spark, sf_dir):
+    """Documents stored with payloads cut at 30,000 characters."""
+    docs = B.table(spark, sf_dir, "documents")
+    recs = docs.select(F.to_variant_object(F.struct("doc_id", "text")).alias("payload"),
+                       F.lit("documents.parquet").alias("_source_file"),
+                       F.lit(T1).cast("timestamp").alias("_ingested_at"), F.lit("r1").alias("_run_id"),
+                       F.lit(0).alias("_file_ord"), F.col("doc_id").cast("long").alias("_rec_ord"))
+    path = scratch_path(spark, "store-truncate")
+    S.upsert_truncated(spark, path, recs, "r1", T1)
+    full = recs.select(RF.record_identity(F.col("payload"), F.col("_source_file")).alias("id"),
+                       F.try_variant_get("payload", "$.doc_id", "bigint").alias("doc_id"),
+                       F.length(F.to_json("payload")).alias("_full"))
+    stored = S.current(spark, path).select("id", F.length("payload_json").alias("payload_chars"))
+    return full.join(stored, "id").select("doc_id", F.col("payload_chars").cast("long").alias("payload_chars"),
+                                          (F.col("_full") > 30000).alias("truncated"))
+
+
+# ------------------------------------------------------------------ sinks
+@register("sink_json_roundtrip", """
+SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, user_id, event_type, value FROM events""")
+def q_sink_json_roundtrip(spark, sf_dir):
+    """K1: events written as JSON Lines and read back with the same schema."""
+    ev = B.table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    path = K.write_json(ev, scratch_path(spark, "sink-json"))
+    back = K.read_json(spark, path, ev.schema)
+    return back.select("event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"), "user_id",
+                       "event_type", "value")
+
+
+@register("sink_csv_roundtrip", """
+SELECT event_id, user_id, value, event_type || ',' || CAST(user_id AS VARCHAR) AS tags FROM events""")
+def q_sink_csv_roundtrip(spark, sf_dir):
+    """K2: CSV with a header; the nested ``tags`` array travels as JSON text and is parsed back."""
+    ev = B.table(spark, sf_dir, "events")
+    df = ev.select("event_id", "user_id", "value", F.array("event_type", F.col("user_id").cast("string")).alias("tags"))
+    path = K.write_csv(df, scratch_path(spark, "sink-csv"))
+    back = spark.read.option("header", True).schema("event_id bigint, user_id bigint, value double, tags string").csv(path)
+    return back.select("event_id", "user_id", "value",
+                       F.array_join(F.from_json("tags", "array<string>"), ",").alias("tags"))
+
+
+@register("phase_profile", f"""
+SELECT strftime(ts, '%Y-%m-%d') AS run_id, event_id AS step_no, event_type AS step,
+       {r("SUM(CAST(value AS DECIMAL(24,6))) OVER (PARTITION BY strftime(ts, '%Y-%m-%d') ORDER BY event_id "
+          "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")} AS cumulative_seconds
+FROM events""")
+def q_phase_profile(spark, sf_dir):
+    """Events as run logs (run = day, step = event, seconds = value): running totals."""
+    ev = B.table(spark, sf_dir, "events")
+    log = ev.select(F.date_format("ts", "yyyy-MM-dd").alias("run_id"), F.col("event_id").alias("step_no"),
+                    F.col("event_type").alias("step"), F.col("value").alias("seconds"))
+    return R.phase_profile(log)

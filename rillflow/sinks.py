@@ -7,12 +7,23 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType, VariantType
 
 
+# Timestamps keep their microseconds (Spark's default text formats stop at milliseconds).
+TIMESTAMP_TEXT = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
+
 def write_json(df: DataFrame, path: str) -> str:
     """K1: records as JSON Lines (one object per line), VARIANT payloads inline."""
-    df.write.mode("overwrite").json(path)
+    df.write.mode("overwrite").options(**TIMESTAMP_TEXT).json(path)
     return path
 
 
+def read_json(spark, path: str, schema) -> DataFrame:
+    return spark.read.schema(schema).options(**TIMESTAMP_TEXT).json(path)
+
+
 def _flat_for_csv(df: DataFrame) -> DataFrame:
     cols = []
     for f in df.schema.fields:
@@ -25,7 +36,7 @@ def _flat_for_csv(df: DataFrame) -> DataFrame:
 
 def write_csv(df: DataFrame, path: str) -> str:
     """K2: records as CSV with a header; nested cells are written as JSON text."""
-    _flat_for_csv(df).write.mode("overwrite").option("header", True).csv(path)
+    _flat_for_csv(df).write.mode("overwrite").option("header", True).options(**TIMESTAMP_TEXT).csv(path)
     return path
 
 
