@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rillflow.functions.variant import variant_type, is_numeric_type
+from rillflow.functions.variant import is_numeric_type, strip_text, variant_type
 
 # Text Python's float() accepts: digits with single underscores between them, optional
 # fraction and exponent, or the words inf / infinity / nan. Spark's own cast is wider
@@ -13,8 +13,6 @@ from rillflow.functions.variant import variant_type, is_numeric_type
 _DIGITS = r"\d(?:_?\d)*"
 FLOAT_TEXT = rf"^[+-]?(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?$"
 FLOAT_WORD = r"(?i)^[+-]?(?:inf|infinity|nan)$"
-# str.strip() removes Unicode white space at both ends
-_EDGE_SPACE = r"(?U)^\s+|\s+$"
 
 
 def _not_nan(c: Column) -> Column:
@@ -28,15 +26,14 @@ def parse_litres_text(text: Column) -> Column:
     Strip, drop non-breaking and plain spaces; a comma without a point is the decimal
     separator; with both present every comma is dropped.
     """
-    t = F.regexp_replace(text, _EDGE_SPACE, "")
-    t = F.regexp_replace(t, "[\u00a0 ]", "")
+    t = F.translate(strip_text(text), "\u00a0 ", "")
     has_comma = F.instr(t, ",") > 0
     has_point = F.instr(t, ".") > 0
     t = (F.when(has_comma & ~has_point, F.translate(t, ",", "."))
-         .when(has_comma & has_point, F.regexp_replace(t, ",", ""))
+         .when(has_comma & has_point, F.translate(t, ",", ""))
          .otherwise(t))
     valid = t.rlike(FLOAT_TEXT) | t.rlike(FLOAT_WORD)
-    return _not_nan(F.when(valid, F.regexp_replace(t, "_", "").try_cast("double")))
+    return _not_nan(F.when(valid, F.translate(t, "_", "").try_cast("double")))
 
 
 def parse_litres(value: Column) -> Column:
@@ -46,6 +43,24 @@ def parse_litres(value: Column) -> Column:
             .when(kind == F.lit("STRING"), parse_litres_text(value.cast("string"))))
 
 
+def with_litres(df: DataFrame, v: Column, out: str) -> DataFrame:
+    """``df`` plus ``out`` = ``parse_litres(v)``, with the cleaned text projected once."""
+    staged = df.withColumn("__lv_k", variant_type(v)).withColumn("__lv_v", v)
+    text = F.when(F.col("__lv_k") == F.lit("STRING"), F.col("__lv_v").cast("string"))
+    staged = staged.withColumn("__lv_t", F.translate(strip_text(text), "\u00a0 ", ""))
+    t = F.col("__lv_t")
+    has_comma = F.instr(t, ",") > 0
+    has_point = F.instr(t, ".") > 0
+    staged = staged.withColumn("__lv_t", F.when(has_comma & ~has_point, F.translate(t, ",", "."))
+                               .when(has_comma & has_point, F.translate(t, ",", "")).otherwise(t))
+    t = F.col("__lv_t")
+    from_text = F.when(t.rlike(FLOAT_TEXT) | t.rlike(FLOAT_WORD), F.translate(t, "_", "").try_cast("double"))
+    kind = F.col("__lv_k")
+    result = F.when(is_numeric_type(kind) | (kind == F.lit("BOOLEAN")), F.col("__lv_v").try_cast("double")) \
+        .otherwise(from_text)
+    return staged.withColumn(out, _not_nan(result)).drop("__lv_k", "__lv_v", "__lv_t")
+
+
 def num_or_zero(c: Column) -> Column:
     """Numeric coercion, null (and NaN) -> 0."""
     return F.coalesce(_not_nan(c.try_cast("double")), F.lit(0.0))

@@ -7,7 +7,7 @@ format-parse attempts.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rillflow.functions.variant import is_numeric_type, strip_text, variant_type
@@ -27,24 +27,43 @@ ISO_PREFIX = r"^\d{4}-\d{1,2}-\d{1,2}(?:$|[ T])"
 FILE_DATE = r"(20\d{6})"
 
 
-def _part(parts: Column, idx: int) -> Column:
-    return F.nullif(F.try_element_at(parts, F.lit(idx)), F.lit("")).cast("int")
+def _field(parts: Column, idx: int, default: str | None = None) -> Column:
+    value = F.nullif(F.try_element_at(parts, F.lit(idx)), F.lit(""))
+    return F.coalesce(value, F.lit(default)) if default is not None else value
 
 
-def _clock(parts: Column, first: int) -> tuple[Column, Column, Column]:
-    """Hour, minute and seconds (with fraction) from split parts starting at ``first``."""
-    hour = F.coalesce(_part(parts, first), F.lit(0))
-    minute = F.coalesce(_part(parts, first + 1), F.lit(0))
-    whole = F.coalesce(_part(parts, first + 2), F.lit(0)).cast("decimal(16,6)")
-    frac = F.coalesce(F.concat(F.lit("0."), F.try_element_at(parts, F.lit(first + 3))).try_cast("decimal(16,9)"),
-                      F.lit(0))
-    return hour, minute, (whole + frac).cast("decimal(16,6)")
+def _clock(parts: Column, first: int) -> Column:
+    """``H:m:s.f`` text from the split fields starting at ``first`` (missing fields are 0)."""
+    return F.concat_ws(":", _field(parts, first, "0"), _field(parts, first + 1, "0"),
+                       F.concat_ws(".", _field(parts, first + 2, "0"), _field(parts, first + 3, "0")))
+
+
+def _at(year: Column, month: Column, day: Column, clock: Column) -> Column:
+    """Spark's own lenient ``yyyy-M-d H:m:s.f`` cast; an impossible date gives null."""
+    return F.concat_ws(" ", F.concat_ws("-", year, month, day), clock).try_cast("timestamp_ntz")
 
 
 def _iso(text: Column) -> Column:
     return F.when(text.rlike(ISO_PREFIX), text.try_cast("timestamp").cast("timestamp_ntz"))
 
 
+_NUM_SPLIT = r"[/.\- T:]+"
+_NAMED_SPLIT = r"[ \-:.]+"
+
+
+def _parse_fields(t: Column, num: Column, named: Column, day_first: bool, clock: Column | None = None) -> Column:
+    a, b, y = _field(num, 1), _field(num, 2), _field(num, 3)
+    clock = _clock(num, 4) if clock is None else clock
+    first, second = (a, b) if day_first else (b, a)
+    dmy = F.when(t.rlike(NUMERIC_DMY), F.coalesce(_at(y, second, first, clock), _at(y, first, second, clock)))
+    pos = F.instr(F.lit("".join(MONTH_ABBREVIATIONS)), F.lower(F.substring(F.element_at(named, 2), 1, 3)))
+    by_name = F.when(t.rlike(NAMED_MONTH) & (pos % 3 == 1),
+                     _at(_field(named, 3), ((pos + 2) / 3).cast("int").cast("string"), _field(named, 1),
+                         _clock(named, 4)))
+    ymd = F.when(t.rlike(YEAR_FIRST_SLASH), _at(a, b, y, clock))
+    return F.coalesce(_iso(t), dmy, by_name, ymd)
+
+
 def parse_timestamp_text(text: Column, day_first: bool = True) -> Column:
     """Naive timestamp from reading text; null when no layout matches or the date is invalid.
 
@@ -52,23 +71,38 @@ def parse_timestamp_text(text: Column, day_first: bool = True) -> Column:
     first (10/22/2025 -> 22 October). Without it the order is reversed. ISO text is
     read as written; a zone offset is converted to UTC.
 
-    Each layout is recognised by one regular expression and split into its numeric
-    fields once; ``try_make_timestamp_ntz`` rejects impossible dates.
+    Each layout is recognised by one regular expression and split into its fields; the
+    fields are reassembled as ISO text for Spark's string-to-timestamp cast. On large
+    frames prefer ``with_timestamp``, which computes the split once per row.
     """
     t = strip_text(text)
-    num = F.split(t, r"[/.\- T:]+")
-    a, b, y = _part(num, 1), _part(num, 2), _part(num, 3)
-    h, mi, sec = _clock(num, 4)
-    first, second = (a, b) if day_first else (b, a)
-    dmy = F.when(t.rlike(NUMERIC_DMY), F.coalesce(F.try_make_timestamp_ntz(y, second, first, h, mi, sec),
-                                                  F.try_make_timestamp_ntz(y, first, second, h, mi, sec)))
-    named = F.split(t, r"[ \-:.]+")
-    pos = F.instr(F.lit("".join(MONTH_ABBREVIATIONS)), F.lower(F.substring(F.element_at(named, 2), 1, 3)))
-    nh, nmi, nsec = _clock(named, 4)
-    by_name = F.when(t.rlike(NAMED_MONTH) & (pos % 3 == 1), F.try_make_timestamp_ntz(
-        _part(named, 3), ((pos + 2) / 3).cast("int"), _part(named, 1), nh, nmi, nsec))
-    ymd = F.when(t.rlike(YEAR_FIRST_SLASH), F.try_make_timestamp_ntz(a, b, y, h, mi, sec))
-    return F.coalesce(_iso(t), dmy, by_name, ymd)
+    return _parse_fields(t, F.split(t, _NUM_SPLIT), F.split(t, _NAMED_SPLIT), day_first)
+
+
+def with_timestamp(df: DataFrame, text: Column, out: str, day_first: bool = True) -> DataFrame:
+    """``df`` plus column ``out`` = ``parse_timestamp_text(text)``.
+
+    Spark does not share a subexpression that only occurs inside conditional branches,
+    so the stripped text and its splits are projected as columns first and referenced.
+    """
+    staged = df.withColumn("__ts_t", strip_text(text))
+    staged = staged.withColumn("__ts_n", F.split("__ts_t", _NUM_SPLIT)).withColumn(
+        "__ts_m", F.split("__ts_t", _NAMED_SPLIT))
+    staged = staged.withColumn("__ts_c", _clock(F.col("__ts_n"), 4))
+    parsed = staged.withColumn(out, _parse_fields(F.col("__ts_t"), F.col("__ts_n"), F.col("__ts_m"), day_first,
+                                                  F.col("__ts_c")))
+    return parsed.drop("__ts_t", "__ts_n", "__ts_m", "__ts_c")
+
+
+def with_timestamp_variant(df: DataFrame, v: Column, out: str, day_first: bool = True) -> DataFrame:
+    """``df`` plus ``out`` = ``parse_timestamp_variant(v)``, computed in stages."""
+    staged = df.withColumn("__tv_k", variant_type(v)).withColumn("__tv_v", v)
+    text = F.when(F.col("__tv_k") == F.lit("STRING"), F.col("__tv_v").cast("string"))
+    staged = with_timestamp(staged, text, "__tv_s", day_first)
+    nanos = F.col("__tv_v").try_cast("decimal(38,0)")
+    from_number = F.timestamp_micros(F.floor(nanos / F.lit(1000)).cast("long")).cast("timestamp_ntz")
+    result = F.coalesce(F.col("__tv_s"), F.when(is_numeric_type(F.col("__tv_k")), from_number))
+    return staged.withColumn(out, result).drop("__tv_k", "__tv_v", "__tv_s")
 
 
 def parse_timestamp_variant(v: Column, day_first: bool = True) -> Column:

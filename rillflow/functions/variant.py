@@ -71,9 +71,14 @@ def variant_text(v: Column) -> Column:
             .otherwise(v.cast("string")))
 
 
+# The characters Python's str.strip() removes (str.isspace() is true).
+PY_WHITESPACE = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+                 "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
+
+
 def strip_text(c: Column) -> Column:
-    """Python str.strip(): Unicode white space off both ends."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    """Python str.strip(): white space off both ends (a plain trim, no regular expression)."""
+    return F.btrim(c, F.lit(PY_WHITESPACE))
 
 
 def meter_key(device: Column, alias: Column) -> Column:

@@ -42,10 +42,12 @@ def normalize_dates(records: DataFrame, keys=DATE_KEYS) -> DataFrame:
 
     Parsed per value (month first, day first when that is invalid).
     """
+    # key lookups decide cheaply; only records holding a date key are rebuilt
+    has_date = F.coalesce(*[F.try_variant_get("payload", f"$.{k}", "variant").isNotNull() for k in keys],
+                          F.lit(False))
     as_map = F.col("payload").try_cast("map<string,variant>")
     rewritten = F.transform_values(as_map, lambda k, v: F.when(k.isin(*keys), _normalized_variant(v)).otherwise(v))
-    has_date = F.exists(F.map_keys(as_map), lambda k: k.isin(*keys))
-    payload = F.when(F.coalesce(has_date, F.lit(False)), F.to_variant_object(rewritten)).otherwise(F.col("payload"))
+    payload = F.when(has_date, F.to_variant_object(rewritten)).otherwise(F.col("payload"))
     return records.withColumn("payload", payload)
 
 

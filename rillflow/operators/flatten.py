@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rillflow.functions.numeric import parse_litres
-from rillflow.functions.temporal import parse_timestamp_variant
+from rillflow.functions.numeric import with_litres
+from rillflow.functions.temporal import with_timestamp_variant
 from rillflow.functions.variant import (ALIAS_KEYS, DEVICE_KEYS, TIME_KEYS, VALUE_KEYS, first_present, meter_key,
                                         strip_text, truthy_cells, variant_text)
 
@@ -16,6 +16,18 @@ READING_COLUMNS = ["contador", "device", "alias", "timestamp", "value_l", "sourc
                    "_file_ord", "_rec_ord", "_body_pos"]
 
 
+def _reading(names: Column, row: Column, pos: Column) -> Column:
+    """One body row -> struct of the typed reading fields (null when the row is not a list)."""
+    cells = row.try_cast("array<variant>")
+    n = F.least(F.size(names), F.size(cells))
+    # truthiness is decided once per cell; the alias lists then only look names up
+    truthy = truthy_cells(F.map_from_arrays(F.slice(names, 1, n), F.slice(cells, 1, n)))
+    return F.when(cells.isNotNull(), F.struct(
+        pos.alias("_body_pos"),
+        first_present(truthy, DEVICE_KEYS).alias("_dev"), first_present(truthy, ALIAS_KEYS).alias("_ali"),
+        first_present(truthy, TIME_KEYS).alias("_time"), first_present(truthy, VALUE_KEYS).alias("_val")))
+
+
 def flatten_readings(records: DataFrame, source_tag: str = "") -> DataFrame:
     """One reading per body row of every record holding a list ``header`` and a list ``body``.
 
@@ -27,33 +39,27 @@ def flatten_readings(records: DataFrame, source_tag: str = "") -> DataFrame:
     * the meter (``contador``) is the device, else the alias; rows with neither are dropped.
 
     Rows are exploded in place (no shuffle); the output schema is fixed, so an empty
-    input gives an empty frame of the same schema.
+    input gives an empty frame of the same schema. The cell picking runs inside the
+    generator's input (``transform`` over the body, then ``inline``): later filters on
+    the picked cells cannot be pushed back into it and multiply the expression tree.
     """
     header = F.try_variant_get(F.col("payload"), "$.header", "array<string>")
     body = F.try_variant_get(F.col("payload"), "$.body", "array<variant>")
     src = F.coalesce(F.col("_source_file"), F.lit(source_tag)) if "_source_file" in records.columns else F.lit(source_tag)
     run = F.col("_run_id") if "_run_id" in records.columns else F.lit(None).cast("string")
-    rows = records.where(header.isNotNull() & body.isNotNull()).select(
-        header.alias("_header"), src.alias("source_file"), run.alias("_run_id"),
-        F.col("_file_ord").cast("int").alias("_file_ord"), F.col("_rec_ord").cast("long").alias("_rec_ord"),
-        F.posexplode(body).alias("_body_pos", "_row"))
-    cells = F.col("_row").try_cast("array<variant>")
-    n = F.least(F.size("_header"), F.size(cells))
-    names = F.transform(F.slice("_header", 1, n), lambda h: F.coalesce(strip_text(h), F.lit("None")))
-    mapped = rows.where(cells.isNotNull()).select(
-        "source_file", "_run_id", "_file_ord", "_rec_ord", F.col("_body_pos").cast("int").alias("_body_pos"),
-        F.map_from_arrays(names, F.slice(cells, 1, n)).alias("_m"))
-    # truthiness is decided once per cell; the alias lists then only look names up
-    truthy = mapped.select("*", truthy_cells(F.col("_m")).alias("_t"))
-    picked = truthy.select(
-        "source_file", "_run_id", "_file_ord", "_rec_ord", "_body_pos",
-        first_present(F.col("_t"), DEVICE_KEYS).alias("_dev"), first_present(F.col("_t"), ALIAS_KEYS).alias("_ali"),
-        first_present(F.col("_t"), TIME_KEYS).alias("_time"), first_present(F.col("_t"), VALUE_KEYS).alias("_val"))
+    docs = records.where(header.isNotNull() & body.isNotNull()).select(
+        F.transform(header, lambda h: F.coalesce(strip_text(h), F.lit("None"))).alias("_names"), body.alias("_body"),
+        src.alias("source_file"), run.alias("_run_id"),
+        F.col("_file_ord").cast("int").alias("_file_ord"), F.col("_rec_ord").cast("long").alias("_rec_ord"))
+    picked_rows = F.filter(F.transform("_body", lambda row, i: _reading(F.col("_names"), row, i)),
+                           lambda x: x.isNotNull())
+    picked = docs.select("source_file", "_run_id", "_file_ord", "_rec_ord", F.inline(picked_rows))
     typed = picked.select(
         strip_text(F.coalesce(variant_text(F.col("_dev")), F.lit(""))).alias("device"),
         strip_text(F.coalesce(variant_text(F.col("_ali")), F.lit(""))).alias("alias"),
-        parse_timestamp_variant(F.col("_time")).alias("timestamp"),
-        parse_litres(F.col("_val")).alias("value_l"),
-        "source_file", "_run_id", "_file_ord", "_rec_ord", "_body_pos")
+        "_time", "_val", "source_file", "_run_id", "_file_ord", "_rec_ord",
+        F.col("_body_pos").cast("int").alias("_body_pos"))
+    typed = with_timestamp_variant(typed, F.col("_time"), "timestamp")
+    typed = with_litres(typed, F.col("_val"), "value_l")
     out = typed.withColumn("contador", meter_key(F.col("device"), F.col("alias"))).where(F.col("contador") != "")
     return out.select(*READING_COLUMNS)

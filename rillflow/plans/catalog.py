@@ -264,8 +264,7 @@ FROM events"""
 
 
 def _flat_docs(spark, sf_dir):
-    good, _bad, _counts = D.file_parse_status(_scanned(spark, sf_dir))
-    records = C.light_clean(D.normalize_records(good, run_id="run-1"))
+    records = C.light_clean(D.normalize_records(_scanned(spark, sf_dir), run_id="run-1"))
     return flatten_readings(records)
 
 
@@ -354,7 +353,8 @@ def q_parse_timestamps(spark, sf_dir):
             .when(t == "purchase", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
             .when(t == "signup", F.date_format("ts", "MM/dd/yyyy HH:mm:ss"))
             .otherwise(F.date_format("ts", "d MMM yyyy HH:mm:ss")))
-    return ev.select("event_id", F.date_format(RF.parse_timestamp_text(text), "yyyy-MM-dd HH:mm:ss").alias("ts"))
+    parsed = RF.with_timestamp(ev.select("event_id", text.alias("text")), F.col("text"), "parsed")
+    return parsed.select("event_id", F.date_format("parsed", "yyyy-MM-dd HH:mm:ss").alias("ts"))
 
 
 @register("readings_clean", """
@@ -364,8 +364,8 @@ def q_readings_clean(spark, sf_dir):
     """P5: readings whose time text does not parse (error events log 'n/a') are dropped."""
     ev = B.table(spark, sf_dir, "events")
     text = F.when(F.col("event_type") == "error", F.lit("n/a")).otherwise(F.date_format("ts", "dd/MM/yyyy HH:mm:ss"))
-    readings = ev.select(F.col("user_id").cast("string").alias("contador"), "event_id",
-                         RF.parse_timestamp_text(text).alias("timestamp"))
+    readings = RF.with_timestamp(ev.select(F.col("user_id").cast("string").alias("contador"), "event_id",
+                                           text.alias("text")), F.col("text"), "timestamp")
     kept = C.readings_clean(readings)
     return kept.select("contador", "event_id", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss").alias("ts"))
 
@@ -564,8 +564,8 @@ def q_store_write_stats(spark, sf_dir):
 def _doc_records(spark, sf_dir, where):
     folder = B.write_event_documents(spark, sf_dir)
     files = B.document_files(spark, folder)
-    good, _bad, _c = D.file_parse_status(D.scan_json_documents(spark, files))
-    return D.normalize_records(good.where(where), run_id=None, ingested_at=F.lit(T1).cast("timestamp"))
+    docs = D.scan_json_documents(spark, files)
+    return D.normalize_records(docs.where(where), run_id=None, ingested_at=F.lit(T1).cast("timestamp"))
 
 
 @register("history_scan", """

@@ -29,6 +29,9 @@ TUNING_CONFS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # many small whole-file JSON documents: pack them into fewer scan tasks
     "spark.sql.files.openCostInBytes": str(1 << 20),
+    # exploding documents multiplies rows after a shuffle of compact records; keep more
+    # post-shuffle partitions than byte size alone would suggest
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(256 << 10),
 }
 
 

@@ -45,7 +45,11 @@ def scan_json_documents(spark: SparkSession, files: DataFrame) -> DataFrame:
 
 
 def file_parse_status(documents: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(good documents, quarantined files, one-row counts ``files_ok, files_error``)."""
+    """(good documents, quarantined files, one-row counts ``files_ok, files_error``).
+
+    ``normalize_records`` already skips unparsed documents, so feeding it ``documents``
+    directly avoids a second parse that a filter on ``doc`` would cause.
+    """
     ok = F.col("doc").isNotNull()
     good = documents.where(ok)
     bad = documents.where(~ok).select("name", "source", "_file_ord",
@@ -63,7 +67,11 @@ def normalize_records(documents: DataFrame, run_id: str | None, ingested_at=None
     Output: ``payload variant, _source_file, _ingested_at, _run_id, _file_ord, _rec_ord``.
     """
     kind = variant_type(F.col("doc"))
-    items = F.when(kind.startswith("ARRAY"), F.col("doc").try_cast("array<variant>")).otherwise(F.array(F.col("doc")))
+    # a document that did not parse yields no records (no filter on ``doc``: a pushed-down
+    # filter would parse every document twice)
+    items = (F.when(F.col("doc").isNull(), F.lit(None).cast("array<variant>"))
+             .when(kind.startswith("ARRAY"), F.col("doc").try_cast("array<variant>"))
+             .otherwise(F.array(F.col("doc"))))
     exploded = documents.select("name", "_file_ord", F.posexplode(items).alias("_rec_ord", "item"))
     wrapped = F.when(variant_type(F.col("item")).startswith("OBJECT"), F.col("item")).otherwise(
         F.to_variant_object(F.struct(F.col("item").alias("value"))))

@@ -46,9 +46,11 @@ def history_from_file(spark: SparkSession, source: str) -> DataFrame:
                .select(F.col("path").alias("source")))
     files = listing.select(F.element_at(F.split("source", "/"), -1).alias("name"), "source",
                            F.lit(MODE_LOCAL_DIR).alias("mode"), F.lit(0).alias("_file_ord"))
-    docs = scan_json_documents(spark, files).where(F.col("doc").isNotNull())
+    docs = scan_json_documents(spark, files)
     kind = variant_type(F.col("doc"))
-    items = F.when(kind.startswith("ARRAY"), F.col("doc").try_cast("array<variant>")).otherwise(F.array(F.col("doc")))
+    items = (F.when(F.col("doc").isNull(), F.lit(None).cast("array<variant>"))
+             .when(kind.startswith("ARRAY"), F.col("doc").try_cast("array<variant>"))
+             .otherwise(F.array(F.col("doc"))))
     recs = docs.select("name", F.posexplode(items).alias("_rec_ord", "payload"))
     recs = recs.where(variant_type(F.col("payload")).startswith("OBJECT")).select(
         "payload", F.col("name").alias("_source_file"), F.lit(None).cast("string").alias("_run_id"),
