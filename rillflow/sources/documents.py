@@ -14,34 +14,52 @@ from rillflow.functions.variant import variant_type
 from rillflow.sources.files import MODE_LOCAL_DIR, path_exists
 
 
-def _existing(spark: SparkSession, files: DataFrame) -> tuple[list[str], DataFrame]:
-    """Readable paths of the file list; a missing file stays listed and counts as failed.
+# A file list up to this many entries is joined to the scanned contents by broadcast
+# (about a hundred bytes per file); a longer list is joined by shuffle instead.
+BROADCAST_FILE_LIST_MAX = 200_000
+
+_KEY = r"^(file:)?/+"
+
+
+def _split_existing(spark: SparkSession, files: DataFrame) -> tuple[list[str], list[str]]:
+    """Readable and missing paths of the file list.
 
     The list is driver-held metadata (``load`` needs the paths). Only explicitly given
     sources are checked for existence: a directory listing returns existing files.
     """
     rows = files.select("source", "mode").distinct().collect()
-    paths = [r.source for r in rows if r.mode == MODE_LOCAL_DIR or path_exists(spark, r.source)]
-    return sorted(set(paths)), files
+    present, missing = [], []
+    for r in rows:
+        (present if r.mode == MODE_LOCAL_DIR or path_exists(spark, r.source) else missing).append(r.source)
+    return sorted(set(present)), sorted(set(missing))
 
 
 def scan_json_documents(spark: SparkSession, files: DataFrame) -> DataFrame:
-    """``name, source, _file_ord, text, doc`` — one row per listed file; missing files give null text.
+    """``name, source, _file_ord, text, doc`` — one row per listed file.
 
-    ``doc`` is the parsed VARIANT, or NULL when the text is not one JSON document.
+    ``doc`` is the parsed VARIANT, or NULL when the text is not one JSON document (or the
+    file is missing, then ``text`` is NULL too). File contents are the streamed side of
+    the join with the file list, so the scan's parallelism carries through; the list is
+    broadcast when it is short enough (checked), else shuffled.
     """
-    paths, files = _existing(spark, files)
-    if paths:
-        raw = (spark.read.format("text").option("wholetext", True).load(paths)
-               .select(F.col("_metadata.file_path").alias("_path"), F.col("value").alias("text")))
-    else:
-        raw = spark.createDataFrame([], "_path string, text string")
-    # file_path is a URI (file:/...); sources may be plain paths: match on the normalised form
-    norm = F.regexp_replace(F.col("source"), r"^(file:)?/+", "/")
-    raw = raw.withColumn("_key", F.regexp_replace(F.col("_path"), r"^(file:)?/+", "/"))
-    joined = files.withColumn("_key", norm).join(raw, "_key", "left")
-    return joined.select("name", "source", "_file_ord", "text",
-                         F.try_parse_json(F.col("text")).alias("doc"))
+    present, missing = _split_existing(spark, files)
+    keyed = files.select("name", "source", "_file_ord", F.regexp_replace("source", _KEY, "/").alias("_key"))
+    parts = []
+    if present:
+        raw = (spark.read.format("text").option("wholetext", True).load(present)
+               .select(F.regexp_replace(F.col("_metadata.file_path"), _KEY, "/").alias("_key"),
+                       F.col("value").alias("text")))
+        listing = keyed.where(~F.col("source").isin(missing)) if missing else keyed
+        small = len(present) <= BROADCAST_FILE_LIST_MAX
+        parts.append(raw.join(F.broadcast(listing) if small else listing, "_key")
+                     .select("name", "source", "_file_ord", "text"))
+    if missing:
+        parts.append(keyed.where(F.col("source").isin(missing))
+                     .select("name", "source", "_file_ord", F.lit(None).cast("string").alias("text")))
+    if not parts:
+        return spark.createDataFrame([], "name string, source string, _file_ord int, text string, doc variant")
+    out = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return out.select("name", "source", "_file_ord", "text", F.try_parse_json(F.col("text")).alias("doc"))
 
 
 def file_parse_status(documents: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
