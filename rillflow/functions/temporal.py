@@ -56,7 +56,7 @@ def _parse_fields(t: Column, num: Column, named: Column, day_first: bool, clock:
     clock = _clock(num, 4) if clock is None else clock
     first, second = (a, b) if day_first else (b, a)
     dmy = F.when(t.rlike(NUMERIC_DMY), F.coalesce(_at(y, second, first, clock), _at(y, first, second, clock)))
-    pos = F.instr(F.lit("".join(MONTH_ABBREVIATIONS)), F.lower(F.substring(F.element_at(named, 2), 1, 3)))
+    pos = F.instr(F.lit("".join(MONTH_ABBREVIATIONS)), F.lower(F.substring(F.try_element_at(named, F.lit(2)), 1, 3)))
     by_name = F.when(t.rlike(NAMED_MONTH) & (pos % 3 == 1),
                      _at(_field(named, 3), ((pos + 2) / 3).cast("int").cast("string"), _field(named, 1),
                          _clock(named, 4)))

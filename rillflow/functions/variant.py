@@ -43,11 +43,13 @@ def is_truthy(v: Column) -> Column:
 
 
 def first_truthy(cells: Column, keys: Sequence[str]) -> Column:
-    """`m.get(k1) or m.get(k2) or ...` over a map<string, variant>; null when all are falsy."""
+    """`m.get(k1) or m.get(k2) or ...` over a map<string, variant>: the first truthy value,
+    else the last key's value (Python's ``or`` returns its last operand)."""
     picks = []
     for key in keys:
         cell = F.try_element_at(cells, F.lit(key))
         picks.append(F.when(is_truthy(cell), cell))
+    picks.append(F.try_element_at(cells, F.lit(keys[-1])))
     return F.coalesce(*picks)
 
 
@@ -56,9 +58,16 @@ def truthy_cells(cells: Column) -> Column:
     return F.map_filter(cells, lambda _k, v: is_truthy(v))
 
 
-def first_present(truthy: Column, keys: Sequence[str]) -> Column:
-    """First of ``keys`` present in a map already reduced to truthy cells."""
-    return F.coalesce(*[F.try_element_at(truthy, F.lit(k)) for k in keys])
+def first_present(truthy: Column, keys: Sequence[str], cells: Column | None = None) -> Column:
+    """First of ``keys`` present in a map already reduced to truthy cells.
+
+    With ``cells`` (the unfiltered map) this is Python's ``a or b or c``: when every
+    value is falsy the result is the *last* key's raw value (e.g. a numeric 0).
+    """
+    picks = [F.try_element_at(truthy, F.lit(k)) for k in keys]
+    if cells is not None:
+        picks.append(F.try_element_at(cells, F.lit(keys[-1])))
+    return F.coalesce(*picks)
 
 
 def variant_text(v: Column) -> Column:

@@ -75,9 +75,9 @@ def _array_median(arr: Column) -> Column:
     s = F.array_sort(arr)
     n = F.size(s)
     mid = F.floor((n + 1) / 2).cast("int")
-    odd = F.element_at(s, mid)
-    even = (F.element_at(s, F.greatest(n / 2, F.lit(1)).cast("int")) +
-            F.element_at(s, (n / 2 + 1).cast("int"))) / 2
+    odd = F.try_element_at(s, mid)
+    even = (F.try_element_at(s, F.greatest(n / 2, F.lit(1)).cast("int")) +
+            F.try_element_at(s, (n / 2 + 1).cast("int"))) / 2
     return F.when(n == 0, F.lit(None).cast("double")).when(n % 2 == 1, odd).otherwise(even)
 
 
@@ -93,7 +93,7 @@ def select_current_day(stats: DataFrame, params: AnomalyParams = AnomalyParams()
     """
     k = params.baseline_days
     by_day = stats.agg(F.sort_array(F.collect_list(F.struct("day", "avg_per_counter")), asc=False).alias("_d"))
-    latest = F.element_at("_d", 1)
+    latest = F.try_element_at(F.col("_d"), F.lit(1))
     prev = F.slice("_d", 2, k)
     baseline = _array_median(F.transform(prev, lambda x: x["avg_per_counter"]))
     one = by_day.select(
@@ -101,7 +101,7 @@ def select_current_day(stats: DataFrame, params: AnomalyParams = AnomalyParams()
         F.size("_d").alias("n_days"), baseline.alias("baseline_avg"), "_d")
     older = F.filter(F.slice("_d", 2, F.greatest(F.size("_d") - 1, F.lit(1))),
                      lambda x: x["avg_per_counter"] >= F.col("baseline_avg") * PARTIAL_DAY_FACTOR)
-    fallback = F.element_at(older, 1)["day"]
+    fallback = F.try_element_at(older, F.lit(1))["day"]
     partial = ((F.col("n_days") >= 2) & (F.coalesce(F.col("baseline_avg"), F.lit(0.0)) > 0)
                & (F.coalesce(F.col("latest_avg"), F.lit(0.0)) < F.col("baseline_avg") * PARTIAL_DAY_FACTOR)
                & fallback.isNotNull())

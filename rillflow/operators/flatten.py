@@ -21,11 +21,15 @@ def _reading(names: Column, row: Column, pos: Column) -> Column:
     cells = row.try_cast("array<variant>")
     n = F.least(F.size(names), F.size(cells))
     # truthiness is decided once per cell; the alias lists then only look names up
-    truthy = truthy_cells(F.map_from_arrays(F.slice(names, 1, n), F.slice(cells, 1, n)))
+    mapped = F.map_from_arrays(F.slice(names, 1, n), F.slice(cells, 1, n))
+    truthy = truthy_cells(mapped)
+    # device and alias chains end in `or ''` (handled by the caller); time and litres
+    # chains end in their last name, whose raw value is taken when nothing is truthy
     return F.when(cells.isNotNull(), F.struct(
         pos.alias("_body_pos"),
         first_present(truthy, DEVICE_KEYS).alias("_dev"), first_present(truthy, ALIAS_KEYS).alias("_ali"),
-        first_present(truthy, TIME_KEYS).alias("_time"), first_present(truthy, VALUE_KEYS).alias("_val")))
+        first_present(truthy, TIME_KEYS, mapped).alias("_time"),
+        first_present(truthy, VALUE_KEYS, mapped).alias("_val")))
 
 
 def flatten_readings(records: DataFrame, source_tag: str = "") -> DataFrame:
