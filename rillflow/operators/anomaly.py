@@ -118,8 +118,14 @@ def current_day_value(selection: DataFrame) -> Column:
 
 
 def on_current_day(dated: DataFrame, selection: DataFrame) -> DataFrame:
-    """P10: readings of the selected day."""
-    return dated.where(F.col("day") == current_day_value(selection))
+    """P10: readings of the selected day.
+
+    Written as a range on the raw timestamp (``day == d`` <=> ``d <= timestamp < d + 1``),
+    a predicate a columnar source can use for min/max pruning.
+    """
+    cd = current_day_value(selection)
+    ts = F.col("timestamp")
+    return dated.where((ts >= cd) & (ts < cd + F.expr("INTERVAL 1 DAYS")))
 
 
 def current_counts(day_readings: DataFrame) -> DataFrame:
@@ -136,7 +142,8 @@ def history_window(history_dated: DataFrame, selection: DataFrame, params: Anoma
     """P9 + J3: history readings with ``current_day - lookback <= day < current_day``."""
     cd = current_day_value(selection)
     start = cd - F.expr(f"INTERVAL {int(params.lookback_days)} DAYS")
-    return history_dated.where((F.col("day") >= start) & (F.col("day") < cd))
+    ts = F.col("timestamp")  # day >= start <=> ts >= start, and day < cd <=> ts < cd (days are midnights)
+    return history_dated.where((ts >= start) & (ts < cd))
 
 
 def history_daily(window: DataFrame) -> DataFrame:
