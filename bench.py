@@ -29,8 +29,12 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
     names = sys.argv[1:] or (os.environ["BENCH_QUERIES"].split(",") if os.environ.get("BENCH_QUERIES") else HEADLINE)
+    extra = {"spark.driver.memory": "16g"}
+    for kv in filter(None, os.environ.get("BENCH_CONF", "").split(",")):
+        k, v = kv.split("=", 1)
+        extra[k] = v
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=int(cpus) * 2, app="rillflow-bench",
-                          extra={"spark.driver.memory": "16g"})
+                          extra=extra)
     t0 = time.perf_counter()
     B.write_event_documents(spark, sf_dir)
     setup = time.perf_counter() - t0

@@ -30,6 +30,18 @@ def record_identity(payload: Column, source_file: Column) -> Column:
     return content_hash(canonical_json(doc))
 
 
+def record_identity_from_json(payload_json: Column, source_file: Column) -> Column:
+    """``record_identity`` when the payload's canonical JSON is already at hand.
+
+    The canonical document ``{"_source_file": s, "payload": p}`` has its keys in sorted
+    order, so its text is assembled around the existing payload JSON instead of
+    serialising the payload a second time.
+    """
+    text = F.concat(F.lit('{"_source_file":'), F.to_json(source_file.cast("variant")), F.lit(',"payload":'),
+                    payload_json, F.lit("}"))
+    return content_hash(text)
+
+
 def truncate_payload(text: Column, limit: int = PAYLOAD_LIMIT) -> Column:
     """keep the first ``limit`` characters."""
     return F.substring(text, 1, limit)

@@ -16,20 +16,36 @@ READING_COLUMNS = ["contador", "device", "alias", "timestamp", "value_l", "sourc
                    "_file_ord", "_rec_ord", "_body_pos"]
 
 
-def _reading(names: Column, row: Column, pos: Column) -> Column:
-    """One body row -> struct of the typed reading fields (null when the row is not a list)."""
-    cells = row.try_cast("array<variant>")
-    n = F.least(F.size(names), F.size(cells))
-    # truthiness is decided once per cell; the alias lists then only look names up
-    mapped = F.map_from_arrays(F.slice(names, 1, n), F.slice(cells, 1, n))
-    truthy = truthy_cells(mapped)
-    # device and alias chains end in `or ''` (handled by the caller); time and litres
-    # chains end in their last name, whose raw value is taken when nothing is truthy
-    return F.when(cells.isNotNull(), F.struct(
-        pos.alias("_body_pos"),
-        first_present(truthy, DEVICE_KEYS).alias("_dev"), first_present(truthy, ALIAS_KEYS).alias("_ali"),
-        first_present(truthy, TIME_KEYS, mapped).alias("_time"),
-        first_present(truthy, VALUE_KEYS, mapped).alias("_val")))
+def _pick(x: Column) -> Column:
+    """Bound row ``x`` (pos, m = all cells, t = truthy cells) -> the picked reading cells.
+
+    Device and alias chains end in ``or ''`` (handled by the caller); the time and
+    litres chains end in their last name, whose raw value is taken when nothing is truthy.
+    """
+    return F.struct(
+        x["pos"].alias("_body_pos"),
+        first_present(x["t"], DEVICE_KEYS).alias("_dev"), first_present(x["t"], ALIAS_KEYS).alias("_ali"),
+        first_present(x["t"], TIME_KEYS, x["m"]).alias("_time"),
+        first_present(x["t"], VALUE_KEYS, x["m"]).alias("_val"))
+
+
+def _picked_rows(names: Column, body: Column) -> Column:
+    """Body rows -> array of picked cells; rows that are not lists are dropped.
+
+    Higher-order functions run interpreted, without common-subexpression elimination,
+    so every intermediate (the cast row, its cell map, the truthy map) is bound once by
+    its own ``transform`` level instead of being repeated inside one lambda.
+    """
+    cells = F.transform(body, lambda row, i: F.struct(i.alias("pos"), row.try_cast("array<variant>").alias("c")))
+    cells = F.filter(cells, lambda x: x["c"].isNotNull())
+
+    def to_map(x):
+        n = F.least(F.size(names), F.size(x["c"]))
+        return F.struct(x["pos"].alias("pos"), F.map_from_arrays(F.slice(names, 1, n), F.slice(x["c"], 1, n)).alias("m"))
+
+    maps = F.transform(cells, to_map)
+    both = F.transform(maps, lambda x: F.struct(x["pos"].alias("pos"), x["m"].alias("m"), truthy_cells(x["m"]).alias("t")))
+    return F.transform(both, _pick)
 
 
 def flatten_readings(records: DataFrame, source_tag: str = "") -> DataFrame:
@@ -55,9 +71,8 @@ def flatten_readings(records: DataFrame, source_tag: str = "") -> DataFrame:
         F.transform(header, lambda h: F.coalesce(strip_text(h), F.lit("None"))).alias("_names"), body.alias("_body"),
         src.alias("source_file"), run.alias("_run_id"),
         F.col("_file_ord").cast("int").alias("_file_ord"), F.col("_rec_ord").cast("long").alias("_rec_ord"))
-    picked_rows = F.filter(F.transform("_body", lambda row, i: _reading(F.col("_names"), row, i)),
-                           lambda x: x.isNotNull())
-    picked = docs.select("source_file", "_run_id", "_file_ord", "_rec_ord", F.inline(picked_rows))
+    picked = docs.select("source_file", "_run_id", "_file_ord", "_rec_ord",
+                         F.inline(_picked_rows(F.col("_names"), F.col("_body"))))
     typed = picked.select(
         strip_text(F.coalesce(variant_text(F.col("_dev")), F.lit(""))).alias("device"),
         strip_text(F.coalesce(variant_text(F.col("_ali")), F.lit(""))).alias("alias"),

@@ -13,6 +13,17 @@ executor retries its task and a failed job leaves no partial version visible thr
 "Latest per id" is a grouped ``max_by``: a partial aggregate, so an id written many
 times is combined before the shuffle. ``compact`` rewrites the current view into a new
 folder (never in place).
+
+Scale notes:
+
+* versions are partitioned by ``saved_day``: a history read with a save-time cutoff
+  prunes whole partitions before the pushed ``saved_at`` filter;
+* which batch ids are already stored is found by scanning only the stored ``id`` column
+  with a left-semi join against the *batch's* ids (broadcast when the batch is below a
+  checked size, shuffled above it), so the store's ids are never shuffled;
+* every write appends one row ``run_id, saved_at, written, new_ids`` to ``<store>/_log``
+  (hidden from the data scan by its ``_`` prefix); the store's id count is the sum of
+  ``new_ids``, not a distinct count over all versions.
 """
 
 from __future__ import annotations
@@ -22,39 +33,76 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillflow.functions.identity import PAYLOAD_LIMIT, record_identity, truncate_payload
+from rillflow.functions.identity import PAYLOAD_LIMIT, record_identity_from_json, truncate_payload
 from rillflow.sources.files import path_exists
+from rillflow.session import empty_frame, literal_rows
 
 STORE_COLUMNS = ["id", "run_id", "source_file", "ingested_at", "saved_at", "payload_json"]
 STORE_SCHEMA = ("id string, run_id string, source_file string, ingested_at timestamp_ntz, "
-                "saved_at timestamp_ntz, payload_json string, _seq bigint")
+                "saved_at timestamp_ntz, payload_json string, _seq bigint, saved_day date")
+LOG_SCHEMA = "run_id string, saved_at timestamp_ntz, written bigint, new_ids bigint"
+# A batch with at most this many rows has its ids broadcast when probing the store.
+BROADCAST_BATCH_IDS_MAX = 2_000_000
 
 
 def to_store_rows(records: DataFrame, run_id: str, saved_at: dt.datetime, truncate: int | None = None) -> DataFrame:
     """Records -> store rows. ``_seq`` orders records inside the batch (file, then record)."""
-    payload = F.to_json("payload")
-    if truncate:
-        payload = truncate_payload(payload, truncate)
+    canon = records.withColumn("_canon", F.to_json("payload"))
+    payload = truncate_payload(F.col("_canon"), truncate) if truncate else F.col("_canon")
     seq = F.col("_file_ord").cast("long") * F.lit(1 << 32) + F.col("_rec_ord").cast("long")
-    return records.select(
-        record_identity(F.col("payload"), F.col("_source_file")).alias("id"),
+    return canon.select(
+        record_identity_from_json(F.col("_canon"), F.col("_source_file")).alias("id"),
         F.lit(run_id).alias("run_id"),
         F.coalesce(F.col("_source_file"), F.lit("")).alias("source_file"),
         F.col("_ingested_at").cast("timestamp_ntz").alias("ingested_at"),
         F.lit(saved_at).cast("timestamp_ntz").alias("saved_at"),
         payload.alias("payload_json"),
-        seq.alias("_seq"))
+        seq.alias("_seq"),
+        F.lit(saved_at).cast("date").alias("saved_day"))
 
 
 def read_versions(spark: SparkSession, path: str) -> DataFrame:
-    if not path_exists(spark, path):
-        return spark.createDataFrame([], STORE_SCHEMA)
+    if not path_exists(spark, path) or not _has_versions(spark, path):
+        return empty_frame(spark, STORE_SCHEMA)
     return spark.read.schema(STORE_SCHEMA).parquet(path)
 
 
+def _has_versions(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return any(not st.getPath().getName().startswith(("_", ".")) for st in fs.listStatus(hpath))
+
+
+def _append(rows: DataFrame, path: str) -> None:
+    rows.write.mode("append").partitionBy("saved_day").parquet(path)
+
+
+def _log(spark: SparkSession, path: str, run_id: str, saved_at: dt.datetime, written: int, new_ids: int) -> None:
+    literal_rows(spark, LOG_SCHEMA, [(run_id, saved_at, written, new_ids)]).coalesce(1) \
+        .write.mode("append").parquet(f"{path}/_log")
+
+
+def read_log(spark: SparkSession, path: str) -> DataFrame:
+    if not path_exists(spark, f"{path}/_log"):
+        return empty_frame(spark, LOG_SCHEMA)
+    return spark.read.schema(LOG_SCHEMA).parquet(f"{path}/_log")
+
+
+def stored_among(spark: SparkSession, path: str, batch_ids: DataFrame, batch_rows: int) -> DataFrame:
+    """Ids of ``batch_ids`` already in the store (distinct).
+
+    Scans the stored ``id`` column once; the batch side is broadcast only when the batch
+    has at most ``BROADCAST_BATCH_IDS_MAX`` rows (a proven bound), else both are shuffled.
+    """
+    stored = read_versions(spark, path).select("id")
+    probe = F.broadcast(batch_ids) if batch_rows <= BROADCAST_BATCH_IDS_MAX else batch_ids
+    return stored.join(probe, "id", "left_semi").distinct()
+
+
 def latest(versions: DataFrame) -> DataFrame:
     """The newest version of every id."""
-    newest = F.max_by(F.struct(*STORE_COLUMNS[1:]), F.struct("saved_at", "_seq"))
+    newest = F.max_by(F.struct(*STORE_COLUMNS[1:], "saved_day"), F.struct("saved_at", "_seq"))
     return (versions.groupBy("id").agg(newest.alias("_v"), F.max("_seq").alias("_seq"))
             .select("id", "_v.*", "_seq"))
 
@@ -68,24 +116,47 @@ def current(spark: SparkSession, path: str, saved_since: dt.datetime | None = No
     """
     versions = read_versions(spark, path)
     if saved_since is not None:
-        versions = versions.where(F.col("saved_at") >= F.lit(saved_since).cast("timestamp_ntz"))
+        since = F.lit(saved_since).cast("timestamp_ntz")
+        versions = versions.where((F.col("saved_day") >= since.cast("date")) & (F.col("saved_at") >= since))
     return latest(versions)
 
 
+def _stage(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    """Write rows once to a fresh table in the shared checkpoint folder and read it back.
+
+    Everything derived from the batch (counts, the id probe, the append) then reads the
+    staged table instead of recomputing ids and payload JSON from the input files.
+    """
+    from rillflow.session import scratch_path
+    where = scratch_path(spark, "store-stage")
+    rows.write.parquet(where)
+    return spark.read.parquet(where)
+
+
+def _this_write(spark: SparkSession, path: str, run_id: str, saved_at: dt.datetime) -> tuple[DataFrame, DataFrame]:
+    """(rows of this write, rows of earlier writes); the save-day partition prunes the first."""
+    at = F.lit(saved_at).cast("timestamp_ntz")
+    versions = read_versions(spark, path)
+    mine = (F.col("saved_day") == at.cast("date")) & (F.col("saved_at") == at) & (F.col("run_id") == run_id)
+    return versions.where(mine), versions.where(~mine)
+
+
 def insert_absent(spark: SparkSession, path: str, records: DataFrame, run_id: str, saved_at: dt.datetime) -> dict:
     """K5 + J4: append records whose id is not stored yet; first record of an id in the batch wins.
 
     Returns ``{status, inserted, duplicates, total}`` (G10).
     """
     rows = to_store_rows(records, run_id, saved_at)
-    first = rows.groupBy("id").agg(F.min_by(F.struct(*STORE_COLUMNS[1:], "_seq"), F.col("_seq")).alias("_v"))
-    first = first.select("id", "_v.*")
-    stored_ids = read_versions(spark, path).select("id")
-    new = first.join(stored_ids, "id", "left_anti")
-    total = rows.count()
-    new.write.mode("append").parquet(path)
-    inserted = spark.read.schema(STORE_SCHEMA).parquet(path).where(
-        (F.col("run_id") == run_id) & (F.col("saved_at") == F.lit(saved_at).cast("timestamp_ntz"))).count()
+    first = rows.groupBy("id").agg(F.min_by(F.struct(*STORE_COLUMNS[1:], "_seq", "saved_day"), F.col("_seq"))
+                                   .alias("_v"), F.count(F.lit(1)).alias("_n"))
+    staged = _stage(spark, first.select("id", "_v.*", "_n"))
+    counts = staged.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("total"), F.count(F.lit(1)).alias("ids")).first()
+    total, n_ids = int(counts["total"]), int(counts["ids"])
+    known = stored_among(spark, path, staged.select("id"), n_ids)
+    new = staged.join(known, "id", "left_anti").drop("_n")
+    _append(new, path)
+    inserted = _this_write(spark, path, run_id, saved_at)[0].count()
+    _log(spark, path, run_id, saved_at, inserted, inserted)
     return {"status": "ok", "inserted": inserted, "duplicates": total - inserted, "total": total}
 
 
@@ -93,14 +164,23 @@ def upsert(spark: SparkSession, path: str, records: DataFrame, run_id: str, save
            truncate: int | None = None) -> dict:
     """K6 (+K7 with ``truncate``): append all records; readers keep the newest per id.
 
-    Returns ``{status, written, table_count}`` (G9, G10).
+    The batch is computed once, by the append; its counts are read back from the
+    partition just written. Returns ``{status, written, table_count}`` (G9, G10).
     """
-    rows = to_store_rows(records, run_id, saved_at, truncate)
-    rows.write.mode("append").parquet(path)
-    written = spark.read.schema(STORE_SCHEMA).parquet(path).where(
-        (F.col("run_id") == run_id) & (F.col("saved_at") == F.lit(saved_at).cast("timestamp_ntz"))).count()
-    table_count = read_versions(spark, path).select("id").distinct().count()
-    return {"status": "ok", "written": written, "table_count": table_count}
+    _append(to_store_rows(records, run_id, saved_at, truncate), path)
+    mine, earlier = _this_write(spark, path, run_id, saved_at)
+    ids = mine.select("id").distinct()
+    written = mine.count()
+    probe = F.broadcast(ids) if written <= BROADCAST_BATCH_IDS_MAX else ids
+    known = earlier.select("id").join(probe, "id", "left_semi").distinct()
+    new_ids = ids.join(known, "id", "left_anti").count()
+    _log(spark, path, run_id, saved_at, written, new_ids)
+    return {"status": "ok", "written": written, "table_count": table_count(spark, path)}
+
+
+def table_count(spark: SparkSession, path: str) -> int:
+    """Ids in the store — the sum of ``new_ids`` over the write log."""
+    return int(read_log(spark, path).agg(F.coalesce(F.sum("new_ids"), F.lit(0))).first()[0])
 
 
 def upsert_truncated(spark: SparkSession, path: str, records: DataFrame, run_id: str, saved_at: dt.datetime) -> dict:
@@ -110,12 +190,16 @@ def upsert_truncated(spark: SparkSession, path: str, records: DataFrame, run_id:
 
 def compact(spark: SparkSession, path: str, new_path: str) -> str:
     """Write the current view to a new folder (one version per id) and return it."""
-    latest(read_versions(spark, path)).write.mode("errorifexists").parquet(new_path)
+    cur = latest(read_versions(spark, path))
+    cur.write.mode("errorifexists").partitionBy("saved_day").parquet(new_path)
+    n = cur.count()
+    _log(spark, new_path, "compact", dt.datetime.now(dt.timezone.utc).replace(tzinfo=None), n, n)
     return new_path
 
 
 def write_stats(spark: SparkSession, path: str, run_id: str, saved_at: dt.datetime) -> DataFrame:
-    """G9 + G10 as a frame: rows written by one run and distinct ids in the store."""
-    versions = read_versions(spark, path)
+    """G9 + G10 as a frame: rows written by one run and the store's id count (from the write log)."""
+    log = read_log(spark, path)
     mine = (F.col("run_id") == run_id) & (F.col("saved_at") == F.lit(saved_at).cast("timestamp_ntz"))
-    return versions.agg(F.count_if(mine).alias("written"), F.count_distinct("id").alias("table_count"))
+    return log.agg(F.coalesce(F.sum(F.when(mine, F.col("written"))), F.lit(0)).cast("long").alias("written"),
+                   F.coalesce(F.sum("new_ids"), F.lit(0)).cast("long").alias("table_count"))

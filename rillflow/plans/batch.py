@@ -23,7 +23,7 @@ from rillflow.operators import store as S
 from rillflow.operators.anomaly_report import AnomalyReport, build_report
 from rillflow.operators.clean import light_clean
 from rillflow.operators.flatten import READINGS_SCHEMA, flatten_readings
-from rillflow.session import apply_confs, checkpoint_root
+from rillflow.session import apply_confs, checkpoint_root, empty_frame, literal_rows
 from rillflow.sources import documents as D
 from rillflow.sources import files as FL
 from rillflow.sources.history import history_from_file, history_from_store
@@ -121,7 +121,7 @@ def run_batch(spark: SparkSession, opts: BatchOptions) -> BatchResult:
     elif opts.store_path:
         history = history_from_store(spark, opts.store_path, now, params.lookback_days)
     else:
-        history = spark.createDataFrame([], READINGS_SCHEMA)
+        history = empty_frame(spark, READINGS_SCHEMA)
     report = build_report(current, history, params, run_id)
     summary = report.summary.first()
     close("anomaly_report")
@@ -145,7 +145,7 @@ def run_batch(spark: SparkSession, opts: BatchOptions) -> BatchResult:
         close(f"save_{label}")
 
     log_rows = [(run_id, i, step, float(sec)) for i, (step, sec) in enumerate(phases.items())]
-    run_log = spark.createDataFrame(log_rows, RUN_LOG_SCHEMA)
+    run_log = literal_rows(spark, RUN_LOG_SCHEMA, log_rows)
     if opts.run_log_path:
         K.append_run_log(run_log, opts.run_log_path)
     status = "ok" if summary is not None else "error"

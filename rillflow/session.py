@@ -31,7 +31,7 @@ TUNING_CONFS = {
     "spark.sql.files.openCostInBytes": str(1 << 20),
     # exploding documents multiplies rows after a shuffle of compact records; keep more
     # post-shuffle partitions than byte size alone would suggest
-    "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(256 << 10),
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(64 << 10),
 }
 
 
@@ -57,6 +57,25 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
     return apply_confs(spark)
 
 
+def empty_frame(spark: SparkSession, ddl: str):
+    """An empty frame of a DDL schema, built on the JVM (no Python worker round trip)."""
+    from pyspark.sql import functions as F
+    from pyspark.sql.types import _parse_datatype_string
+    schema = _parse_datatype_string(ddl)
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
+def literal_rows(spark: SparkSession, ddl: str, rows: list[tuple]):
+    """A small frame of literal rows, built on the JVM (no Python worker round trip)."""
+    from functools import reduce
+    from pyspark.sql import functions as F
+    from pyspark.sql.types import _parse_datatype_string
+    schema = _parse_datatype_string(ddl)
+    frames = [spark.range(1).select(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, schema.fields)])
+              for row in rows]
+    return reduce(lambda a, b: a.unionByName(b), frames) if frames else empty_frame(spark, ddl)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and scratch tables.
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from rillflow.functions.variant import variant_type
 from rillflow.sources.files import MODE_LOCAL_DIR, path_exists
+from rillflow.session import empty_frame
 
 
 # A file list up to this many entries is joined to the scanned contents by broadcast
@@ -57,7 +58,7 @@ def scan_json_documents(spark: SparkSession, files: DataFrame) -> DataFrame:
         parts.append(keyed.where(F.col("source").isin(missing))
                      .select("name", "source", "_file_ord", F.lit(None).cast("string").alias("text")))
     if not parts:
-        return spark.createDataFrame([], "name string, source string, _file_ord int, text string, doc variant")
+        return empty_frame(spark, "name string, source string, _file_ord int, text string, doc variant")
     out = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     return out.select("name", "source", "_file_ord", "text", F.try_parse_json(F.col("text")).alias("doc"))
 

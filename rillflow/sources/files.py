@@ -14,6 +14,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from rillflow.functions.temporal import date_from_name
+from rillflow.session import empty_frame
 
 FILE_SCHEMA = "name string, source string, mode string, _file_ord int"
 
@@ -31,7 +32,7 @@ def _basename(c):
 
 def explicit_sources(spark: SparkSession, sources: str) -> DataFrame:
     """S3: comma-separated sources; trimmed, blanks dropped, name = last path segment."""
-    df = spark.createDataFrame([(sources or "",)], "s string")
+    df = spark.range(1).select(F.lit(sources or "").alias("s"))
     items = df.select(F.posexplode(F.split("s", ",")).alias("pos", "raw")).select("pos", F.trim("raw").alias("source"))
     items = items.where(F.col("source") != "")
     return items.select(_basename("source").alias("name"), "source", F.lit(MODE_EXPLICIT).alias("mode"),
@@ -40,7 +41,7 @@ def explicit_sources(spark: SparkSession, sources: str) -> DataFrame:
 
 def directory_sources(spark: SparkSession, directory: str | None) -> DataFrame:
     """``*.json`` directly in a folder, by path; empty when unset or absent."""
-    empty = spark.createDataFrame([], "name string, source string, mode string, _order bigint")
+    empty = empty_frame(spark, "name string, source string, mode string, _order bigint")
     if not directory or not directory.strip() or not path_exists(spark, directory.strip()):
         return empty
     listing = (spark.read.format("binaryFile").option("pathGlobFilter", "*.json")
@@ -54,7 +55,7 @@ def named_sources(spark: SparkSession, base: str, names: "str | DataFrame") -> D
     if isinstance(names, DataFrame):
         items = names.select("pos", F.trim("n").alias("n"))
     else:
-        df = spark.createDataFrame([(names or "",)], "s string")
+        df = spark.range(1).select(F.lit(names or "").alias("s"))
         items = df.select(F.posexplode(F.split("s", ",")).alias("pos", "raw")).select("pos", F.trim("raw").alias("n"))
     items = items.where(F.col("n") != "")
     return items.select(_basename("n").alias("name"), F.concat_ws("/", F.lit(base.rstrip("/")), "n").alias("source"),

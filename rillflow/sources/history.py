@@ -12,6 +12,7 @@ from rillflow.operators import store as S
 from rillflow.operators.flatten import READINGS_SCHEMA, flatten_readings
 from rillflow.sources.documents import scan_json_documents
 from rillflow.sources.files import MODE_LOCAL_DIR, path_exists
+from rillflow.session import empty_frame
 
 
 def history_records_from_store(spark: SparkSession, path: str, as_of: dt.datetime, lookback_days: int) -> DataFrame:
@@ -41,7 +42,7 @@ def history_from_file(spark: SparkSession, source: str) -> DataFrame:
     ignored. Readings are tagged with the file name.
     """
     if not path_exists(spark, source):
-        return spark.createDataFrame([], READINGS_SCHEMA)
+        return empty_frame(spark, READINGS_SCHEMA)
     listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(source)
                .select(F.col("path").alias("source")))
     files = listing.select(F.element_at(F.split("source", "/"), -1).alias("name"), "source",

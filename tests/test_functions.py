@@ -83,3 +83,11 @@ def test_identity_ignores_key_order_and_stamps(spark):
 def test_sha256_matches_known_digest(spark):
     df = _col(spark, ["a"])
     assert _eval(df, RF.content_hash(F.col("v"))) == ["ca978112ca1bbdcafac231b39a23dc4da786eff8147c4e72b9807785afee48bb"]
+
+
+def test_identity_from_json_matches(spark):
+    df = spark.createDataFrame([(0, '{"b":"x\\"y","a":[1,{"z":null}]}', 'f "1".json'), (1, '{}', "")],
+                               "i int, p string, s string")
+    a = _eval(df, RF.record_identity(F.parse_json("p"), F.col("s")))
+    b = _eval(df, RF.record_identity_from_json(F.to_json(F.parse_json("p")), F.col("s")))
+    assert a == b
