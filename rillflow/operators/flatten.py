@@ -67,12 +67,15 @@ def flatten_readings(records: DataFrame, source_tag: str = "") -> DataFrame:
     body = F.try_variant_get(F.col("payload"), "$.body", "array<variant>")
     src = F.coalesce(F.col("_source_file"), F.lit(source_tag)) if "_source_file" in records.columns else F.lit(source_tag)
     run = F.col("_run_id") if "_run_id" in records.columns else F.lit(None).cast("string")
-    docs = records.where(header.isNotNull() & body.isNotNull()).select(
+    # no filter on the payload here: a filter would be pushed down through every
+    # projection that built the payload, copying those expressions into it; a record
+    # without a list header and body simply explodes into no rows
+    docs = records.select(
         F.transform(header, lambda h: F.coalesce(strip_text(h), F.lit("None"))).alias("_names"), body.alias("_body"),
         src.alias("source_file"), run.alias("_run_id"),
         F.col("_file_ord").cast("int").alias("_file_ord"), F.col("_rec_ord").cast("long").alias("_rec_ord"))
-    picked = docs.select("source_file", "_run_id", "_file_ord", "_rec_ord",
-                         F.inline(_picked_rows(F.col("_names"), F.col("_body"))))
+    rows = F.when(F.col("_names").isNotNull(), _picked_rows(F.col("_names"), F.col("_body")))
+    picked = docs.select("source_file", "_run_id", "_file_ord", "_rec_ord", F.inline(rows))
     typed = picked.select(
         strip_text(F.coalesce(variant_text(F.col("_dev")), F.lit(""))).alias("device"),
         strip_text(F.coalesce(variant_text(F.col("_ali")), F.lit(""))).alias("alias"),
