@@ -32,6 +32,9 @@ TUNING_CONFS = {
     # exploding documents multiplies rows after a shuffle of compact records; keep more
     # post-shuffle partitions than byte size alone would suggest
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(64 << 10),
+    # explicit file lists up to this length are stat-ed by the driver; longer lists still
+    # get a parallel listing job (the default threshold of 32 paths launches one per batch)
+    "spark.sql.sources.parallelPartitionDiscovery.threshold": "1024",
 }
 
 

@@ -100,3 +100,14 @@ def test_dry_run_and_no_files(spark):
     s = res.report.summary.first()
     assert s.status == "skipped" and s.reason.startswith("No history found")
     assert res.profile.count() == len(res.phase_seconds)
+
+
+def test_run_log_appends(spark):
+    folder, log = _tmp(), _tmp() + "/runlog"
+    write_json(folder, "x.json", sample_document())
+    for rid in ("a", "b"):
+        run_batch(spark, BatchOptions(directory=folder, run_id=rid, run_log_path=log))
+    back = spark.read.parquet(log)
+    assert sorted(r.run_id for r in back.select("run_id").distinct().collect()) == ["a", "b"]
+    steps = [r.step for r in back.where("run_id = 'a'").orderBy("step_no").collect()]
+    assert steps[:3] == ["file_discovery", "download_and_normalize", "transform"]
