@@ -7,6 +7,7 @@ oracle SQL uses. Dates are rendered as ``yyyy-MM-dd`` text on both sides.
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +18,15 @@ from rillflow.operators import report as R
 from rillflow.operators.anomaly_report import build_report
 from rillflow.plans import bindings as B
 from rillflow.plans.sql import anomaly_ctes, r
+from rillflow import functions as RF
+from rillflow import sinks as K
+from rillflow.operators import clean as C
+from rillflow.operators import store as S
+from rillflow.operators.flatten import flatten_readings
+from rillflow.session import scratch_path
+from rillflow.sources import documents as D
+from rillflow.sources import files as FL
+from rillflow.sources.history import history_from_file, history_from_store
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -214,17 +224,7 @@ def q_anomaly_summary(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ documents and records
-from rillflow.operators import clean as C  # noqa: E402
-from rillflow.operators import store as S  # noqa: E402
-from rillflow.operators.flatten import flatten_readings  # noqa: E402
-from rillflow.sources import documents as D  # noqa: E402
-from rillflow.sources import files as FL  # noqa: E402
-from rillflow.sources.history import history_from_file, history_from_store  # noqa: E402
-from rillflow import functions as RF  # noqa: E402
-from rillflow import sinks as K  # noqa: E402
-from rillflow.session import scratch_path  # noqa: E402
-
-import datetime as _dt  # noqa: E402
+
 
 _DOC_KEY_SQL = "strftime(ts, '%Y%m%d') || '_' || CAST(event_id // 256 AS VARCHAR)"
 
