@@ -64,19 +64,26 @@ def build_report(current_readings: DataFrame, history_readings: DataFrame,
                          A.anomaly_details(comp), A.no_history(comp), days, summary)
 
 
-def _count(df: DataFrame):
-    return df.agg(F.count(F.lit(1)).alias("n")).scalar()
+def _side_counts(flat: DataFrame, lo, hi) -> DataFrame:
+    """One pass over a side's readings: all, with a timestamp, and inside ``[lo, hi)``."""
+    ts = F.col("timestamp")
+    return flat.agg(F.struct(
+        F.count(F.lit(1)).alias("all"), F.count_if(ts.isNotNull()).alias("dated"),
+        F.count_if((ts >= lo) & (ts < hi)).alias("inside")).alias("c"))
 
 
 def _summary(flat, cur, sel, cur_day, counts, hflat, hist, window, hstats, comp, days, params, run_id) -> DataFrame:
     n = params.lookback_days
     base = comp.transform(A.comparison_totals)
-    day_txt = F.date_format(A.current_day_value(sel), "yyyy-MM-dd")
+    cd = A.current_day_value(sel)
+    cur_c = _side_counts(flat, cd, cd + F.expr("INTERVAL 1 DAYS")).scalar()
+    hist_c = _side_counts(hflat, cd - F.expr(f"INTERVAL {int(n)} DAYS"), cd).scalar()
+    day_txt = F.date_format(cd, "yyyy-MM-dd")
     row = base.select(
         "*",
-        _count(flat).alias("_n_flat"), _count(cur).alias("_n_ts"), _count(cur_day).alias("_n_day"),
-        _count(hflat).alias("_n_hflat"), _count(hist).alias("_n_hts"), _count(window).alias("_n_win"),
-        _count(hstats).alias("history_counters"),
+        cur_c["all"].alias("_n_flat"), cur_c["dated"].alias("_n_ts"), cur_c["inside"].alias("_n_day"),
+        hist_c["all"].alias("_n_hflat"), hist_c["dated"].alias("_n_hts"), hist_c["inside"].alias("_n_win"),
+        hstats.agg(F.count(F.lit(1))).scalar().alias("history_counters"),
         day_txt.alias("_day"),
         sel.select("current_day_selected_from").scalar().alias("_from"),
         sel.select("current_day_partial").scalar().alias("_partial"),
