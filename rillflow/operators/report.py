@@ -69,12 +69,28 @@ def batch_sample(records: DataFrame, n: int = SAMPLE_N) -> DataFrame:
     return records.orderBy("_file_ord", "_rec_ord").limit(n)
 
 
-def phase_profile(run_log: DataFrame) -> DataFrame:
+# Step numbers per range when a run's running total is split (see ``phase_profile``).
+STEP_RANGE = 1 << 16
+
+
+def phase_profile(run_log: DataFrame, step_range: int = STEP_RANGE) -> DataFrame:
     """Cumulative seconds per run in step order.
 
     ``run_log``: ``run_id, step_no, step, seconds``. Seconds are summed as decimals so
     the running total is exact; each row shows it rounded to 2 decimals.
+
+    A run is split into step-number ranges so no window partition holds more than one
+    range: each range's total is aggregated, the totals of earlier ranges of the same run
+    become an offset (a window over one row per range), and the in-range running sum is
+    added to it.
     """
-    w = Window.partitionBy("run_id").orderBy("step_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    running = F.sum(F.col("seconds").cast("decimal(24,6)")).over(w)
-    return run_log.select("run_id", "step_no", "step", F.bround(running, 2).cast("double").alias("cumulative_seconds"))
+    secs = F.col("seconds").cast("decimal(24,6)")
+    ranged = run_log.withColumn("_rng", F.floor(F.col("step_no") / F.lit(step_range)).cast("long"))
+    totals = ranged.groupBy("run_id", "_rng").agg(F.sum(secs).alias("_tot"))
+    before = Window.partitionBy("run_id").orderBy("_rng").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("run_id", "_rng", F.coalesce(F.sum("_tot").over(before), F.lit(0)).alias("_off"))
+    within = Window.partitionBy("run_id", "_rng").orderBy("step_no").rowsBetween(Window.unboundedPreceding,
+                                                                                  Window.currentRow)
+    running = ranged.withColumn("_run", F.sum(secs).over(within)).join(offsets, ["run_id", "_rng"])
+    return running.select("run_id", "step_no", "step",
+                          F.bround(F.col("_off") + F.col("_run"), 2).cast("double").alias("cumulative_seconds"))

@@ -131,3 +131,14 @@ def test_table_count_survives_missing_log_row(spark):
     # a write whose job died after the data commit, before its log row
     S._append(S.to_store_rows(_records(spark, [{"a": 3}]), "r2", dt.datetime(2025, 1, 2)), path)
     assert S.table_count(spark, path) == 3 == S.exact_table_count(spark, path)
+
+
+def test_phase_profile_split_ranges(spark):
+    from rillflow.operators.report import phase_profile
+    rows = [("a", i, f"s{i}", 0.25 * (i % 7)) for i in range(50)] + [("b", 3, "x", 1.5), ("b", 1, "y", 2.0)]
+    log = spark.createDataFrame(rows, "run_id string, step_no int, step string, seconds double")
+    got = {(r.run_id, r.step_no): r.cumulative_seconds for r in phase_profile(log, step_range=8).collect()}
+    acc = {}
+    for run, step, _n, sec in sorted(rows, key=lambda x: (x[0], x[1])):
+        acc[run] = acc.get(run, 0.0) + sec
+        assert abs(got[(run, step)] - round(acc[run], 2)) < 1e-9
