@@ -34,3 +34,34 @@ def test_guard_matches_python_float(spark, texts):
     want = [_python(t) for t in texts]
     mismatches = [(t, g, w) for t, g, w in zip(texts, got, want) if g != w]
     assert not mismatches, mismatches[:10]
+
+
+DATES = st.datetimes(min_value=__import__("datetime").datetime(1990, 1, 1),
+                     max_value=__import__("datetime").datetime(2060, 12, 31)).map(lambda d: d.replace(microsecond=0))
+
+
+def _expected(d, month_first_text):
+    import datetime as dt
+    if not month_first_text:
+        return d
+    try:  # read day first: the day is the written month, the month the written day
+        return dt.datetime(d.year, d.day, d.month, d.hour, d.minute, d.second)
+    except ValueError:
+        return d
+
+
+@settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(DATES, st.booleans(), st.sampled_from(["/", "-", "."]), st.booleans()),
+                min_size=300, max_size=300))
+def test_day_first_matches_brute_force(spark, cases):
+    from rillflow.functions import parse_timestamp_text
+    rows = []
+    for i, (d, month_first, sep, pad) in enumerate(cases):
+        a, b = (d.month, d.day) if month_first else (d.day, d.month)
+        fmt = (lambda x: f"{x:02d}") if pad else str
+        rows.append((i, f"{fmt(a)}{sep}{fmt(b)}{sep}{d.year} {d.hour}:{d.minute:02d}:{d.second:02d}"))
+    df = spark.createDataFrame(rows, "i int, t string")
+    got = [r.v for r in df.select("i", parse_timestamp_text(F.col("t")).alias("v")).orderBy("i").collect()]
+    want = [_expected(d, mf) for d, mf, _s, _p in cases]
+    bad = [(r[1], g, w) for r, g, w in zip(rows, got, want) if g != w]
+    assert not bad, bad[:5]
