@@ -142,3 +142,16 @@ def test_phase_profile_split_ranges(spark):
     for run, step, _n, sec in sorted(rows, key=lambda x: (x[0], x[1])):
         acc[run] = acc.get(run, 0.0) + sec
         assert abs(got[(run, step)] - round(acc[run], 2)) < 1e-9
+
+
+def test_compact_keeps_current_view(spark):
+    base = tempfile.mkdtemp(dir="/tmp")
+    path = base + "/ups"
+    S.upsert(spark, path, _records(spark, [{"a": 1}, {"a": 2}]), "r1", dt.datetime(2025, 1, 1))
+    S.upsert(spark, path, _records(spark, [{"a": 2}, {"a": 3}]), "r2", dt.datetime(2025, 1, 2))
+    new = S.compact(spark, path, base + "/compacted")
+    cols = ["id", "run_id", "payload_json"]
+    before = sorted(tuple(r) for r in S.current(spark, path).select(*cols).collect())
+    after = sorted(tuple(r) for r in S.current(spark, new).select(*cols).collect())
+    assert before == after and len(after) == 3
+    assert S.read_versions(spark, new).count() == 3 and S.table_count(spark, new) == 3
