@@ -29,6 +29,10 @@ from rillflow.sources import files as FL
 from rillflow.sources.history import history_from_file, history_from_store
 
 RUN_LOG_SCHEMA = "run_id string, step_no int, step string, seconds double"
+RESULT_COLUMNS = ["status", "run_id", "mode", "files_selected", "files_ok", "files_error", "records",
+                  "elapsed_seconds"]
+RESULT_SCHEMA = ("status string, run_id string, mode string, files_selected bigint, files_ok bigint, "
+                 "files_error bigint, records bigint, elapsed_seconds double")
 
 
 @dataclass
@@ -71,6 +75,7 @@ class BatchResult:
     profile: DataFrame | None = None
     error: str | None = None
     phase_seconds: dict = field(default_factory=dict)
+    result: dict = field(default_factory=dict)   # K4: run result (mode, file and record counts, timing)
 
 
 def _cut(df: DataFrame) -> DataFrame:
@@ -96,7 +101,8 @@ def run_batch(spark: SparkSession, opts: BatchOptions) -> BatchResult:
         files = FL.apply_date_window(files, opts.start_date, opts.days_back)
     files = FL.sample_files(files, opts.sample_size, seed=opts.sample_seed)
     files = FL.limit_files(files, opts.max_files)
-    n_files = files.count()
+    listed = files.agg(F.count(F.lit(1)).alias("n"), F.min("mode").alias("mode")).first()
+    n_files, mode = int(listed["n"]), listed["mode"]
     close("file_discovery")
     if n_files == 0:
         msg = "No JSON files found to process."
@@ -144,10 +150,15 @@ def run_batch(spark: SparkSession, opts: BatchOptions) -> BatchResult:
             stores[label] = {"enabled": True, **writer(spark, path, clean, run_id, now)}
         close(f"save_{label}")
 
+    result = {"status": "ok", "run_id": run_id, "mode": mode, "files_selected": n_files, **file_counts,
+              "records": clean.count(), "elapsed_seconds": round(sum(phases.values()), 2)}
+    if opts.output_dir:
+        literal_rows(spark, RESULT_SCHEMA, [tuple(result[k] for k in RESULT_COLUMNS)]).coalesce(1) \
+            .write.mode("overwrite").json(f"{opts.output_dir}/result")
     log_rows = [(run_id, i, step, float(sec)) for i, (step, sec) in enumerate(phases.items())]
     run_log = literal_rows(spark, RUN_LOG_SCHEMA, log_rows)
     if opts.run_log_path:
         K.append_run_log(run_log, opts.run_log_path)
     status = "ok" if summary is not None else "error"
     return BatchResult(status, run_id, files, quarantine, file_counts, clean, current, report, stores, run_log,
-                       R.phase_profile(run_log), None, phases)
+                       R.phase_profile(run_log), None, phases, result)

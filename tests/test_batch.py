@@ -53,6 +53,8 @@ def test_worked_anomaly_case(spark):
     nh = res.report.no_history.collect()
     assert [(r.contador, r.current_count, r.flag) for r in nh] == [("NEWMETER01", 5, "no_history_in_store")]
     assert res.file_counts == {"files_ok": 1, "files_error": 0}
+    assert {k: res.result[k] for k in ("status", "mode", "files_selected", "records")} == {
+        "status": "ok", "mode": "LOCAL_JSON_DIR", "files_selected": 1, "records": 1}
     assert all(v["status"] == "disabled" for v in res.stores.values())
 
 
@@ -72,6 +74,7 @@ def test_store_history_across_runs(spark):
     s = res.report.summary.first()
     assert (s.status, s.anomalous_counters, s.counters_without_history) == ("ok", 2, 1)
     assert res.stores["upsert"]["written"] == 1 and res.stores["upsert"]["table_count"] == 3
+    assert spark.read.json(f"{out}/result").first()["run_id"] == "t3"
     back = spark.read.json(f"{out}/anomaly_report/details").orderBy(F.desc("abs_delta_count")).collect()
     assert [r.contador for r in back] == ["C16SE010255", "C16SC003896"]
 
