@@ -5,6 +5,10 @@ A file-source stream (``text`` with ``wholetext``: one row per new file) feeds
 store upsert. Progress (which files were taken) lives in the stream's checkpoint, so a
 restarted query resumes where it stopped; ``trigger(availableNow=True)`` drains what is
 present and stops.
+
+A micro-batch retried after its store append (but before the stream committed it) is
+appended again under the same ``run_id``: the ids are content hashes, so the current view
+per id and the store's id count are unchanged — the write is idempotent in effect.
 """
 
 from __future__ import annotations
