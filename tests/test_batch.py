@@ -114,3 +114,12 @@ def test_run_log_appends(spark):
     assert sorted(r.run_id for r in back.select("run_id").distinct().collect()) == ["a", "b"]
     steps = [r.step for r in back.where("run_id = 'a'").orderBy("step_no").collect()]
     assert steps[:3] == ["file_discovery", "download_and_normalize", "transform"]
+
+
+def test_insert_store_through_batches(spark):
+    folder, store = _tmp(), _tmp() + "/ins"
+    write_json(folder, "x.json", sample_document())
+    first = run_batch(spark, BatchOptions(directory=folder, insert_store_path=store, run_id="a"))
+    again = run_batch(spark, BatchOptions(directory=folder, insert_store_path=store, run_id="b"))
+    assert (first.stores["insert"]["inserted"], first.stores["insert"]["duplicates"]) == (1, 0)
+    assert (again.stores["insert"]["inserted"], again.stores["insert"]["duplicates"]) == (0, 1)
