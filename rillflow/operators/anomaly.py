@@ -131,10 +131,12 @@ def on_current_day(dated: DataFrame, selection: DataFrame) -> DataFrame:
 def current_counts(day_readings: DataFrame) -> DataFrame:
     """Per meter ``device, alias`` of its first reading, ``current_count`` and litres (0 if none)."""
     order = F.struct("_file_ord", "_rec_ord", "_body_pos")
-    return day_readings.groupBy("contador").agg(
-        F.min_by("device", order).alias("device"), F.min_by("alias", order).alias("alias"),
+    agg = day_readings.groupBy("contador").agg(
+        F.min_by(F.struct("device", "alias"), order).alias("_first"),
         F.count(F.lit(1)).alias("current_count"),
         F.coalesce(litre_sum(F.col("value_l")), F.lit(0).cast(LITRES)).cast("double").alias("current_water_sum_l"))
+    return agg.select("contador", F.col("_first.device").alias("device"), F.col("_first.alias").alias("alias"),
+                      "current_count", "current_water_sum_l")
 
 
 # ---------------------------------------------------------------- history side
