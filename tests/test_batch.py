@@ -123,3 +123,11 @@ def test_insert_store_through_batches(spark):
     again = run_batch(spark, BatchOptions(directory=folder, insert_store_path=store, run_id="b"))
     assert (first.stores["insert"]["inserted"], first.stores["insert"]["duplicates"]) == (1, 0)
     assert (again.stores["insert"]["inserted"], again.stores["insert"]["duplicates"]) == (0, 1)
+
+
+def test_command_line_entry(spark):
+    from rillflow.__main__ import main
+    folder = _tmp()
+    write_json(folder, "x.json", sample_document())
+    out = main(["--directory", folder, "--run-id", "cli", "--dry-run", "--as-of", "2025-10-23T00:00:00"])
+    assert out["status"] == "ok" and out["files_selected"] == 1 and out["anomalies"]["status"] == "skipped"
