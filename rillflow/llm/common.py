@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +18,23 @@ BLANKS = r"[\x20\x09-\x0D]+"
 SALTS = 64
 
 
+def ship(spark: SparkSession) -> None:
+    """Sends this package's modules to the executors' Python workers, once per context, as a zip on Spark's file server."""
+    sc = spark.sparkContext
+    if getattr(sc, "_rillflow_shipped", False):
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    target = os.path.join(tempfile.mkdtemp(prefix="rillflow-py-"), "rillflow.zip")
+    with zipfile.ZipFile(target, "w") as z:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(package)))
+    sc.addPyFile(target)
+    sc._rillflow_shipped = True
+
+
 def cut(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back: lineage ends in files all executors see."""
     spark = df.sparkSession

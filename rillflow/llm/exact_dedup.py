@@ -41,9 +41,8 @@ def dedup_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     keyed = base.withColumn("_dig", digest(F.col("_norm")))
     narrow = cut(keyed.select("_id", "_dig", F.sha2("_norm", 256).alias("_sha")), "dedup-digests")
     counts = narrow.groupBy("_dig").count()
-    least = narrow.agg(F.greatest(F.count(F.lit(1)) / F.lit(float(HOT_SHARE)), F.lit(1.0)).alias("_least"))
-    hot = cut(counts.join(F.broadcast(least), F.col("count") > F.col("_least")).select("_dig", F.lit(True).alias("_hot")),
-              "dedup-hot")  # at most HOT_SHARE rows
+    least = max(narrow.count() / HOT_SHARE, 1.0)
+    hot = cut(counts.where(F.col("count") > least).select("_dig", F.lit(True).alias("_hot")), "dedup-hot")  # HOT_SHARE rows at most
 
     def salted(df: DataFrame) -> DataFrame:
         salt = F.when(F.col("_hot"), F.pmod(F.xxhash64("_id"), F.lit(salts))).otherwise(F.lit(0).cast("long"))
