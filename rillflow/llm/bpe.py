@@ -14,9 +14,11 @@ import json
 import unicodedata
 from array import array
 from collections.abc import Iterator
-from itertools import chain, islice
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,9 +28,9 @@ from .common import ship
 #: The splitting pattern of the vocabulary file, as its text states it.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Words a worker keeps encoded; the store starts anew beyond it (a memory bound, not a limit on words).
-KNOWN_WORDS = 200_000
-#: Words of one text that are looked up together; characters of texts whose new words share a trie.
-SLICE, GROUP_CHARS = 200_000, 1_000_000
+KNOWN_WORDS = 600_000
+#: Characters of texts whose new words share a trie; longer texts are encoded in stretches of this length.
+GROUP_CHARS = 1_000_000
 
 
 def byte_symbols() -> list[str]:
@@ -51,10 +53,21 @@ class WordEncoder:
         self.ranks = {pair: i for i, pair in enumerate(merges)}
         self.inner = {t: i for t, i in vocab.items() if not t.endswith(suffix)}
         self.final = {t[:-len(suffix)]: i for t, i in vocab.items() if t.endswith(suffix) and len(t) > len(suffix)}
-        self.longest = max((len(t) for t in vocab), default=1)
+        self.inner_ends, self.final_ends = self._ends(self.inner), self._ends(self.final)
         self.symbols = {i: self._symbols(t) for t, i in vocab.items()}
         self.apart: dict[tuple[int, int], bool] = {}
 
+    @staticmethod
+    def _ends(tokens: dict[str, int]) -> dict:
+        """The tokens' texts as a trie from their last character backwards; '' holds the token that is complete."""
+        root: dict = {}
+        for text, token in tokens.items():
+            node = root
+            for c in reversed(text):
+                node = node.setdefault(c, {})
+            node[""] = token
+        return root
+
     def _symbols(self, token: str) -> list[str]:
         if token.endswith(self.suffix) and len(token) > len(self.suffix):
             body = token[:-len(self.suffix)]
@@ -80,12 +93,17 @@ class WordEncoder:
             self.apart[before, token] = known
         return known
 
-    def _state(self, prefix: str, last: list[tuple[int, int]], tokens: dict[str, int]) -> tuple[int, int]:
+    def _state(self, prefix: str, last: list[tuple[int, int]], ends: dict) -> tuple[int, int]:
         """(last token, its length) of ``prefix``, from the states of its shorter prefixes."""
-        n = len(prefix)
-        for size in range(min(n, self.longest), 0, -1):
-            token = tokens.get(prefix[n - size:])
-            if token is not None and self.fits(last[n - size][0], token):
+        n, node, fitting = len(prefix), ends, []
+        for size in range(1, n + 1):
+            node = node.get(prefix[n - size])
+            if node is None:
+                break
+            if "" in node:
+                fitting.append((node[""], size))
+        for token, size in reversed(fitting):
+            if self.fits(last[n - size][0], token):
                 return token, size
         raise ValueError(f"the vocabulary has no symbol for {prefix[-1]!r}")
 
@@ -109,7 +127,7 @@ class WordEncoder:
                 continue
             c, child = step
             if c == "":
-                token, size = self._state(prefix, last, self.final)
+                token, size = self._state(prefix, last, self.final_ends)
                 ids, at = [token], len(prefix) - size
                 while at:
                     token, size = last[at]
@@ -119,7 +137,7 @@ class WordEncoder:
                 continue
             prefix += c
             # the state is only asked for by longer prefixes; a leaf needs none
-            last.append(self._state(prefix, last, self.inner) if len(child) > ("" in child) else (-1, 0))
+            last.append(self._state(prefix, last, self.inner_ends) if len(child) > ("" in child) else (-1, 0))
             walk.append(iter(child.items()))
         return out
 
@@ -134,11 +152,12 @@ class Codec:
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         self.words = WordEncoder(model["vocab"], merges, model["end_of_word_suffix"])
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.texts = {i: t for t, i in (model["vocab"] | self.special).items()}
+        texts = {i: t for t, i in (model["vocab"] | self.special).items()}
+        self.spelt = pa.array([texts.get(i) for i in range(max(texts) + 1)])
         self.known: dict[str, tuple[int, ...]] = {}
         self.symbol_of = dict(enumerate(byte_symbols()))
         self.cut = regex.compile("|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True)) or r"(?!)")
-        self.split = regex.compile(SPLIT)
+        self.split, self.blank = regex.compile(SPLIT), regex.compile(r"(?<=[a-z0-9 ])[ \n](?=[a-z0-9])")
         # below U+0250 the character tables of the libraries at hand agree; other texts use the vocabulary library's
         self.plain = regex.compile(r"[\x00-ɏ]*")
         from tokenizers import Tokenizer
@@ -146,17 +165,15 @@ class Codec:
         self.normalise, self.pieces_of = own.normalizer.normalize_str, own.pre_tokenizer.pre_tokenize_str
         self.back = {s: b for b, s in self.symbol_of.items()}
 
-    def pieces(self, text: str) -> Iterator[str]:
+    def pieces(self, text: str) -> list[str]:
         """Words of a text without special tokens."""
         if self.plain.fullmatch(text):
-            for m in self.split.finditer(unicodedata.normalize("NFC", text).lower()):
-                yield m.group()
-        else:
-            for symbols, _ in self.pieces_of(self.normalise(text)):
-                yield bytes(self.back[s] for s in symbols).decode("utf-8")
+            return self.split.findall(unicodedata.normalize("NFC", text).lower())
+        back = self.back
+        return [bytes(back[s] for s in symbols).decode("utf-8") for symbols, _ in self.pieces_of(self.normalise(text))]
 
     def _learn(self, words: set[str]) -> None:
-        new = words - self.known.keys()
+        new = words.difference(self.known)
         if new:
             if len(self.known) + len(new) > KNOWN_WORDS:
                 self.known, new = {}, words
@@ -165,16 +182,23 @@ class Codec:
             self.known.update((w, ids[s]) for w, s in spelt.items())
 
     def _runs(self, text: str) -> Iterator[list[str] | int]:
-        """Slices of the text's words, and ids of special tokens, in order."""
+        """Words of the parts between special tokens, and ids of those, in order."""
         at = 0
         for m in chain(self.cut.finditer(text), [None]):
-            words = self.pieces(text[at:m.start() if m else len(text)])
-            while part := list(islice(words, SLICE)):
-                yield part
+            for part in self._parts(text[at:m.start() if m else len(text)]):
+                yield self.pieces(part)
             if m:
                 yield self.special[m.group()]
                 at = m.end()
 
+    def _parts(self, text: str) -> Iterator[str]:
+        """The text in stretches of about ``GROUP_CHARS`` cut before a blank, where words never meet."""
+        at = 0
+        while len(text) - at > GROUP_CHARS and (m := self.blank.search(text, at + GROUP_CHARS)):
+            yield text[at:m.start()]
+            at = m.start()
+        yield text[at:] if at else text
+
     def _ids(self, runs) -> array:
         ids = array("I")
         for run in runs:
@@ -186,12 +210,12 @@ class Codec:
 
     def encode(self, texts: list[str]) -> list[array]:
         """Ids of each text. The unknown words of texts up to ``GROUP_CHARS`` together share one trie; a longer text
-        is encoded slice by slice."""
+        is encoded stretch by stretch."""
         out, group, size = [], [], 0
         for text in chain(texts, [None]):
             if group and (text is None or size + len(text) > GROUP_CHARS):
                 runs = [list(self._runs(t)) for t in group]
-                self._learn({w for r in runs for run in r if not isinstance(run, int) for w in run})
+                self._learn(set().union(*(run for r in runs for run in r if not isinstance(run, int))))
                 out += [self._ids(r) for r in runs]
                 group, size = [], 0
             if text is None:
@@ -208,9 +232,14 @@ class Codec:
             self._learn(set(run))
         return run
 
-    def decode(self, ids) -> str:
-        """Token texts joined by one space, special ones too; unknown ids are left out."""
-        return " ".join(t for t in map(self.texts.get, ids) if t is not None)
+    def decode(self, ids: pa.ListArray) -> pa.StringArray:
+        """Token texts of each list joined by one space, special ones too; unknown ids are left out; null: empty."""
+        values, offsets = ids.flatten(), np.concatenate([[0], np.cumsum(np.nan_to_num(np.asarray(pc.list_value_length(ids)).astype(float)))]).astype(np.int64)
+        known = pc.and_(pc.greater_equal(values, 0), pc.less(values, len(self.spelt)))
+        known = np.asarray(pc.and_(known, pc.is_valid(self.spelt.take(pc.if_else(known, values, 0)))).fill_null(False), dtype=bool) if len(values) else np.zeros(0, bool)
+        kept = np.concatenate([[0], np.cumsum(known)])[offsets]
+        texts = self.spelt.take(values.filter(pa.array(known)))
+        return pc.binary_join(pa.ListArray.from_arrays(pa.array(kept, pa.int32()), texts), " ")
 
 
 _CODECS: dict[str, Codec] = {}
@@ -257,16 +286,16 @@ def encode(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", tex
     return narrow.mapInArrow(run, f"id {kind}, ids array<int>").withColumnRenamed("id", id_col)
 
 
-def decode(encoded: DataFrame, path: str | None = None, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
-    """Adds ``out``, the decoded text of ``ids_col`` (null ids: empty)."""
+def decode(encoded: DataFrame, path: str | None = None, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
+    """One row per input row: id and ``decoded``, the text of its ids (null or no ids: empty). A map without shuffle."""
     path = path or vocabulary_path()
     ship(encoded.sparkSession)
+    kind = encoded.schema[id_col].dataType.simpleString()
 
-    @F.pandas_udf("string")
-    def texts(batches):
-        import pandas as pd
-        c = codec(path)
-        for ids in batches:
-            yield pd.Series([c.decode(() if x is None else x) for x in ids], dtype=object)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                yield pa.RecordBatch.from_arrays([part.column(0), codec(path).decode(part.column(1))], names=["id", "decoded"])
 
-    return encoded.withColumn(out, texts(F.col(ids_col)))
+    return encoded.select(id_col, ids_col).mapInArrow(run, f"id {kind}, decoded string").withColumnRenamed("id", id_col)
