@@ -92,6 +92,7 @@ def components(links: DataFrame, name: str = "components", rounds: int = 60) ->
     every node points at its component's minimum; hubs are combined by partial minima, never collected.
     """
     edges = reliable(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+    seen = None
     for _ in range(rounds):
         both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -101,9 +102,9 @@ def components(links: DataFrame, name: str = "components", rounds: int = 60) ->
         small = large.join(low2, "u").select(F.explode(F.array(
             F.struct(F.col("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
         after = reliable(small.select("e.u", "e.v").where("u <> v").distinct())
-        changed = after.exceptAll(edges).limit(1).count() + edges.exceptAll(after).limit(1).count()
-        edges = after
-        if not changed:
+        edges, was = after, seen
+        seen = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
+        if seen == was:
             break
     else:
         raise RuntimeError("component contraction did not settle")

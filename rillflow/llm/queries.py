@@ -3,15 +3,15 @@
 from __future__ import annotations
 
 import hashlib
-import struct
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillflow.session import scratch_path
 
-from . import bpe, chat, exact_dedup, mixing, quality, url_rules, warc
+from . import bpe, chat, exact_dedup, jaccard, mixing, quality, substring, toxicity, url_rules, warc
 from .common import cut, table
 
 
@@ -35,6 +35,17 @@ def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(table(spark, sf_dir, "pages"))
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's number of distinct 3-word shingles and its component of links at a similarity of 0.9."""
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"), k=3, num=9, den=10)
+
+
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's words, words removed as repeats of 13-word windows of earlier documents, and digest of the rest."""
+    kept = substring.remove_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's number of tokens, the digest of its ids, and the digest of what the ids decode to."""
     encoded = bpe.encode(table(spark, sf_dir, "documents"))
@@ -42,16 +53,16 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def digests(batches):
         codec = bpe.codec(path)
+        sha = lambda data: hashlib.sha256(data).hexdigest()
         for batch in batches:
-            n, ids_sha, text_sha = [], [], []
-            for ids in batch.column(1):
-                values = ids.values
-                n.append(len(values))
-                ids_sha.append(hashlib.sha256(struct.pack(f"<{len(values)}I", *values.to_pylist())).hexdigest())
-                text_sha.append(hashlib.sha256(codec.decode(values.to_pylist()).encode()).hexdigest())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(ids_sha), pa.array(text_sha)],
-                                             names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                ids = [np.asarray(x.values, dtype="<u4") for x in part.column(1)]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array([len(x) for x in ids], pa.int64()), pa.array([sha(x.tobytes()) for x in ids]),
+                     pa.array([sha(x.as_buffer()) for x in codec.decode(part.column(1))])], names=names)
+
+    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
     return encoded.mapInArrow(digests, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
 
 
@@ -65,6 +76,16 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(cut(chat.render(chat.fold(log)), "chat-segments"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity score by a model trained on the labelled rows that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3)) == 1
+    scored = toxicity.score(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", held_out.alias("held_out"), "score",
+                         (F.col("score") >= toxicity.REJECT_AT).cast("int").alias("predicted"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every row of ``documents`` with the row that stays for its text, the group's size and the text digest."""
     return exact_dedup.dedup_classes(table(spark, sf_dir, "documents"))
@@ -80,8 +101,11 @@ QUERIES = {
     "op1_warc_bundles": op1_warc_bundles,
     "op2_mixing": op2_mixing,
     "op3_url_rules": op3_url_rules,
+    "op4_jaccard_join": op4_jaccard_join,
+    "op5_substring_dedup": op5_substring_dedup,
     "op6_bpe": op6_bpe,
     "op7_chat_format": op7_chat_format,
+    "op8_toxicity": op8_toxicity,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_quality_rules": op10_quality_rules,
 }
