@@ -20,7 +20,7 @@ from .common import WORD, cut
 WEIGHTS, SHARE, MOST = (5, 2, 1), 1.5, 2.0
 #: Expected copies are summed as whole multiples of 1 / UNIT, so the order of summation cannot change a result.
 UNIT = 1 << 24
-BUCKETS = 1024
+BUCKETS = 256
 SEED = 20240607
 
 
@@ -45,9 +45,8 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, most
     rest = Window.partitionBy(F.lit(1)).orderBy(*order).rowsBetween(0, Window.unboundedFollowing)
     goal = F.lit(float(share)) * F.sum("source_size").over(whole)
     s = s.withColumn("_level", (goal - F.coalesce(F.sum("_cap").over(before), F.lit(0.0))) / F.sum("_w").over(rest))
-    free = F.col("_level") * F.col("_w") <= F.col("_cap")
-    level = F.min(F.when(free, F.col("_level"))).over(whole)
-    target = F.when(level.isNull(), F.col("_cap")).otherwise(F.least(F.col("_cap"), level * F.col("_w")))
+    # the level rises with each source that is capped and falls from the first that is not
+    target = F.least(F.col("_cap"), F.max("_level").over(whole) * F.col("_w"))
     return s.select("source", "source_size", target.alias("target"))
 
 
@@ -65,7 +64,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     sized = plain.select(
         *([F.col(c) for c in plain.columns] if wide else [F.col(id_col)]), F.col(source_col).alias("_src"),
         word_count(F.col(text_col)).alias("size"), F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col)).alias("_h"))
-    sized = (sized.withColumn("_class", F.floor(F.log2(F.col("size") + 1) * 4).cast("int"))
+    sized = (sized.withColumn("_class", F.floor(F.log2(F.col("size") + 1) * 128).cast("int"))
              .withColumn("_bucket", F.pmod(F.shiftrightunsigned("_h", 20), F.lit(BUCKETS)).cast("int")))
     buckets = cut(sized.groupBy("_src", "_class", "_bucket").agg(F.count(F.lit(1)).alias("_rows"), F.sum("size").alias("_size")),
                   "mix-buckets")
