@@ -30,7 +30,7 @@ def message_events(turns: DataFrame) -> DataFrame:
     same = turns.select("conv_id", F.col("turn").alias("seq"), F.coalesce("role", F.lit("")).alias("role"),
                         F.coalesce("text", F.lit("")).alias("text")).groupBy("conv_id", "seq", "role", "text").count()
     copies = same.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("count").cast("int"))))
-    ids = F.concat_ws("/", F.col("role"), F.sha2("text", 256), F.lpad(F.col("copy").cast("string"), 10, "0"))
+    ids = F.concat_ws("/", F.coalesce(F.col("seq").cast("string"), F.lit("-")), F.col("role"), F.sha2("text", 256), F.lpad(F.col("copy").cast("string"), 10, "0"))
     half = F.floor(F.length("text") / 2).cast("int")
     event = lambda step, kind, role, text: F.struct(
         F.lit(step).alias("step"), F.lit(kind).alias("kind"), role.alias("role"), text.alias("text"))
