@@ -51,22 +51,49 @@ class WordEncoder:
     def __init__(self, vocab: dict[str, int], merges: list[tuple[str, str]], suffix: str):
         self.vocab, self.suffix = vocab, suffix
         self.ranks = {pair: i for i, pair in enumerate(merges)}
-        self.inner = {t: i for t, i in vocab.items() if not t.endswith(suffix)}
-        self.final = {t[:-len(suffix)]: i for t, i in vocab.items() if t.endswith(suffix) and len(t) > len(suffix)}
-        self.inner_ends, self.final_ends = self._ends(self.inner), self._ends(self.final)
+        inner = {t: i for t, i in vocab.items() if not t.endswith(suffix)}
+        final = {t[:-len(suffix)]: i for t, i in vocab.items() if t.endswith(suffix) and len(t) > len(suffix)}
         self.symbols = {i: self._symbols(t) for t, i in vocab.items()}
-        self.apart: dict[tuple[int, int], bool] = {}
-
-    @staticmethod
-    def _ends(tokens: dict[str, int]) -> dict:
-        """The tokens' texts as a trie from their last character backwards; '' holds the token that is complete."""
-        root: dict = {}
-        for text, token in tokens.items():
-            node = root
-            for c in reversed(text):
-                node = node.setdefault(c, {})
-            node[""] = token
-        return root
+        self.size = {i: len(s) for i, s in self.symbols.items()}
+        self.apart: dict[int, bool] = {}
+        self._suffixes(inner, final)
+
+    def _suffixes(self, inner: dict[str, int], final: dict[str, int]) -> None:
+        """Automaton over the tokens' texts: its state after a prefix lists the tokens that end it, longest first, both
+        those inside words (``ends``) and those at word ends (``finals``)."""
+        self.step, self.ends, self.finals, self.back = [{}], [()], [()], [0]
+        for tokens, out in ((inner, self.ends), (final, self.finals)):
+            for text, token in tokens.items():
+                at = 0
+                for c in text:
+                    if c not in self.step[at]:
+                        self.step[at][c] = len(self.step)
+                        self.step.append({})
+                        self.back.append(0)
+                        self.ends.append(())
+                        self.finals.append(())
+                    at = self.step[at][c]
+                out[at] = (token,)
+        tree = [dict(x) for x in self.step]
+        level = list(tree[0].values())
+        while level:  # breadth first: shorter suffixes are complete before longer ones need them
+            below = []
+            for at in level:
+                shorter = self.back[at]
+                self.ends[at] += self.ends[shorter]
+                self.finals[at] += self.finals[shorter]
+                for c, child in tree[at].items():
+                    self.back[child] = self._next(shorter, c) if at else 0
+                    below.append(child)
+            level = below
+
+    def _next(self, state: int, c: str) -> int:
+        """State after one more character: that of the longest suffix that any token starts with."""
+        at = self.step[state].get(c)
+        if at is None:
+            at = self._next(self.back[state], c) if state else 0
+            self.step[state][c] = at
+        return at
 
     def _symbols(self, token: str) -> list[str]:
         if token.endswith(self.suffix) and len(token) > len(self.suffix):
@@ -86,59 +113,50 @@ class WordEncoder:
 
     def fits(self, before: int, token: int) -> bool:
         """Whether ``token`` can follow ``before`` (-1: nothing): merging both symbol by symbol gives the two again."""
-        known = self.apart.get((before, token))
-        if known is None:
-            parts = (self.symbols[before] if before >= 0 else []) + self.symbols[token]
-            known = [self.vocab.get(p) for p in self.merged(parts)] == ([before, token] if before >= 0 else [token])
-            self.apart[before, token] = known
+        parts = (self.symbols[before] if before >= 0 else []) + self.symbols[token]
+        known = [self.vocab.get(p) for p in self.merged(parts)] == ([before, token] if before >= 0 else [token])
+        self.apart[before << 20 | token] = known
         return known
 
-    def _state(self, prefix: str, last: list[tuple[int, int]], ends: dict) -> tuple[int, int]:
-        """(last token, its length) of ``prefix``, from the states of its shorter prefixes."""
-        n, node, fitting = len(prefix), ends, []
-        for size in range(1, n + 1):
-            node = node.get(prefix[n - size])
-            if node is None:
-                break
-            if "" in node:
-                fitting.append((node[""], size))
-        for token, size in reversed(fitting):
-            if self.fits(last[n - size][0], token):
-                return token, size
-        raise ValueError(f"the vocabulary has no symbol for {prefix[-1]!r}")
-
-    def encode(self, words: set[str]) -> dict[str, tuple[int, ...]]:
-        """Ids of each distinct word: insert into a trie, then walk it depth first with one state per depth."""
-        root: dict = {}
-        for word in words:
-            node = root
-            for c in word:
-                node = node.setdefault(c, {})
-            node[""] = True  # a word ends here
-        out: dict[str, tuple[int, ...]] = {"": ()}
-        last: list[tuple[int, int]] = [(-1, 0)]
-        walk, prefix = [iter(root.items())], ""
-        while walk:
-            step = next(walk[-1], None)
-            if step is None:
-                walk.pop()
-                prefix = prefix[:-1]
-                last.pop()
-                continue
-            c, child = step
-            if c == "":
-                token, size = self._state(prefix, last, self.final_ends)
-                ids, at = [token], len(prefix) - size
-                while at:
-                    token, size = last[at]
-                    ids.append(token)
-                    at -= size
-                out[prefix] = tuple(reversed(ids))
-                continue
-            prefix += c
-            # the state is only asked for by longer prefixes; a leaf needs none
-            last.append(self._state(prefix, last, self.inner_ends) if len(child) > ("" in child) else (-1, 0))
-            walk.append(iter(child.items()))
+    def _last(self, last: list[int], tokens: tuple[int, ...]) -> int:
+        """The last token of a prefix: the one of ``tokens``, those that end it, that fits the prefix before it."""
+        n, apart, size = len(last), self.apart, self.size
+        for token in tokens:
+            before = last[n - size[token]]
+            known = apart.get(before << 20 | token)
+            if known or known is None and self.fits(before, token):
+                return token
+        raise ValueError("the vocabulary has no symbol for a byte")
+
+    def encode(self, words: set[str]) -> dict[str, bytes]:
+        """Ids of each distinct word, as unsigned 32-bit integers.
+
+        Sorted words are their trie laid out depth first: what a word shares with the one before it is the path down
+        to the node where they part, and the states along it are kept; only the nodes below are new.
+        """
+        out = {"": b""}
+        step, size, ends = self.step, self.size, self.ends
+        # by depth on the path: the automaton's state, and the last token (-1: of no prefix) of prefixes above the word
+        states, last, before = [0], [-1], ""
+        for word in sorted(words):
+            shared = 0
+            for x, y in zip(before, word):
+                if x != y:
+                    break
+                shared += 1
+            del states[shared + 1:], last[shared + 1:]
+            for c in word[shared:]:
+                if len(last) < len(states):
+                    last.append(self._last(last, ends[states[-1]]))
+                state = step[states[-1]].get(c)
+                states.append(self._next(states[-1], c) if state is None else state)
+            if word:
+                ids, at = [self._last(last, self.finals[states[-1]])], len(word)
+                while at := at - size[ids[-1]]:
+                    ids.append(last[at])
+                ids.reverse()
+                out[word] = array("I", ids).tobytes()
+            before = word
         return out
 
 
@@ -154,7 +172,7 @@ class Codec:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         texts = {i: t for t, i in (model["vocab"] | self.special).items()}
         self.spelt = pa.array([texts.get(i) for i in range(max(texts) + 1)])
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.known: dict[str, bytes] = {}
         self.symbol_of = dict(enumerate(byte_symbols()))
         self.cut = regex.compile("|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True)) or r"(?!)")
         self.split, self.blank = regex.compile(SPLIT), regex.compile(r"(?<=[a-z0-9 ])[ \n](?=[a-z0-9])")
@@ -199,16 +217,12 @@ class Codec:
             at = m.start()
         yield text[at:] if at else text
 
-    def _ids(self, runs) -> array:
-        ids = array("I")
-        for run in runs:
-            if isinstance(run, int):
-                ids.append(run)
-            else:
-                ids.extend(chain.from_iterable(map(self.known.__getitem__, run)))
-        return ids
+    def _ids(self, runs) -> np.ndarray:
+        # a run may renew the store of known words as it is read
+        parts = (array("I", [run]).tobytes() if isinstance(run, int) else b"".join(map(self.known.__getitem__, run)) for run in runs)
+        return np.frombuffer(b"".join(parts), np.uint32)
 
-    def encode(self, texts: list[str]) -> list[array]:
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text. The unknown words of texts up to ``GROUP_CHARS`` together share one trie; a longer text
         is encoded stretch by stretch."""
         out, group, size = [], [], 0
@@ -256,8 +270,9 @@ def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
-def encode(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: id and ``ids`` (array of int). A map without shuffle.
+def encode(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text",
+           keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row per input row: id, the columns of ``keep`` and ``ids`` (array of int). A map without shuffle.
 
     Null text counts as empty and has no ids; special tokens' texts inside a text become their ids; texts of any
     length are encoded whole, in slices of words; repeated rows are encoded alike; no rows give no rows; further
@@ -265,25 +280,22 @@ def encode(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", tex
     """
     path = path or vocabulary_path()
     ship(docs.sparkSession)
-    narrow = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    kind = narrow.schema["id"].dataType.simpleString()
+    out = [id_col, *keep]
+    inner = [f"c{i}" for i in range(len(out))]
+    narrow = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"), *[F.col(c).alias(n) for c, n in zip(out, inner)])
+    kinds = [f"{n} {narrow.schema[n].dataType.simpleString()}" for n in inner]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                rows = c.encode(part.column(1).to_pylist())
-                offsets = array("i", [0])
-                for r in rows:
-                    offsets.append(offsets[-1] + len(r))
-                flat = array("I")
-                for r in rows:
-                    flat.extend(r)
-                ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(memoryview(flat), pa.int32()))
-                yield pa.RecordBatch.from_arrays([part.column(0), ids], names=["id", "ids"])
-
-    return narrow.mapInArrow(run, f"id {kind}, ids array<int>").withColumnRenamed("id", id_col)
+                rows = c.encode(part.column(0).to_pylist())
+                offsets = np.concatenate([[0], np.cumsum([len(r) for r in rows])])
+                ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(rows).view(np.int32)))
+                yield pa.RecordBatch.from_arrays([*part.columns[1:], ids], names=[*inner, "ids"])
+
+    return narrow.mapInArrow(run, ", ".join([*kinds, "ids array<int>"])).toDF(*out, "ids")
 
 
 def decode(encoded: DataFrame, path: str | None = None, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
