@@ -25,7 +25,7 @@ def parse_args(argv=None) -> BatchOptions:
     p.add_argument("--start-date", help="date window end (yyyy-MM-dd)")
     p.add_argument("--days-back", type=int, default=0)
     p.add_argument("--max-files", type=int, default=0)
-    p.add_argument("--sample-size", type=int, default=30)
+    p.add_argument("--sample-size", type=int, default=0, help="random sample of a named list; 0: all files")
     p.add_argument("--lookback-days", type=int, default=2)
     p.add_argument("--low-ratio", type=float, default=0.8)
     p.add_argument("--high-ratio", type=float, default=1.2)

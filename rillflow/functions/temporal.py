@@ -24,6 +24,7 @@ NAMED_MONTH = rf"(?i)^(\d{{1,2}})[ -]([a-z]{{3}})[a-z]*\.?[ -](\d{{4}}){_TIME}$"
 YEAR_FIRST_SLASH = rf"^(\d{{4}})/(\d{{1,2}})/(\d{{1,2}}){_TIME}$"
 # ISO 8601 family (zones allowed): handed to Spark's own cast
 ISO_PREFIX = r"^\d{4}-\d{1,2}-\d{1,2}(?:$|[ T])"
+ISO_TEXT = r"^\d{4}-\d{2}-\d{2}(?:[ T]\d{2}(?::\d{2}(?::\d{2}(?:\.\d{1,9})?)?)?(?:Z|[+-]\d{2}(?::?\d{2})?)?)?$"
 FILE_DATE = r"(20\d{6})"
 
 
@@ -100,7 +101,7 @@ def with_timestamp_variant(df: DataFrame, v: Column, out: str, day_first: bool =
     text = F.when(F.col("__tv_k") == F.lit("STRING"), F.col("__tv_v").cast("string"))
     staged = with_timestamp(staged, text, "__tv_s", day_first)
     nanos = F.col("__tv_v").try_cast("decimal(38,0)")
-    from_number = F.timestamp_micros(F.floor(nanos / F.lit(1000)).cast("long")).cast("timestamp_ntz")
+    from_number = F.timestamp_micros(F.floor(nanos / F.lit(1000)).try_cast("long")).cast("timestamp_ntz")
     result = F.coalesce(F.col("__tv_s"), F.when(is_numeric_type(F.col("__tv_k")), from_number))
     return staged.withColumn(out, result).drop("__tv_k", "__tv_v", "__tv_s")
 
@@ -109,7 +110,7 @@ def parse_timestamp_variant(v: Column, day_first: bool = True) -> Column:
     """Reading time from a VARIANT cell: text is parsed; a bare number counts nanoseconds since the epoch."""
     kind = variant_type(v)
     nanos = v.try_cast("decimal(38,0)")
-    from_number = F.timestamp_micros(F.floor(nanos / F.lit(1000)).cast("long")).cast("timestamp_ntz")
+    from_number = F.timestamp_micros(F.floor(nanos / F.lit(1000)).try_cast("long")).cast("timestamp_ntz")
     return (F.when(kind == F.lit("STRING"), parse_timestamp_text(v.cast("string"), day_first))
             .when(is_numeric_type(kind), from_number))
 
@@ -125,8 +126,8 @@ def date_from_name(name: Column) -> Column:
 
 
 def utc_datetime(text: Column, now: Column | None = None) -> Column:
-    """ISO text (``Z`` allowed) -> naive UTC; empty or invalid -> ``now``."""
-    parsed = F.when(F.length(F.trim(text)) > 0, F.trim(text).try_cast("timestamp"))
+    """ISO date or date and time (``Z`` or an offset allowed) -> naive UTC; empty or anything else -> ``now``."""
+    parsed = F.when(F.trim(text).rlike(ISO_TEXT), F.trim(text).try_cast("timestamp"))
     fallback = now if now is not None else F.current_timestamp()
     return F.coalesce(parsed, fallback).cast("timestamp_ntz")
 

@@ -55,7 +55,12 @@ class AnomalyParams:
 
 
 def litre_sum(c: Column) -> Column:
-    return F.sum(c.cast(LITRES))
+    """Sum as double. Litres with at most 6 decimals and 22 whole digits are summed exactly as decimals, whatever the
+    order; others (more digits, 1e30, infinities) as doubles beside them, so no cell can stop a run or lose digits."""
+    d = c.try_cast(LITRES)
+    exact = d.isNotNull() & (d.cast("double") == c)
+    whole, rest = F.sum(F.when(exact, d)).cast("double"), F.sum(F.when(~exact, c))
+    return F.coalesce(whole + rest, whole, rest)
 
 
 def with_day(readings: DataFrame) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,7 +35,7 @@ def _normalized_variant(v):
     kind = variant_type(v)
     text = (F.when(kind == F.lit("STRING"), normalize_date_text(v.cast("string")))
             .when(is_numeric_type(kind),
-                  F.date_format(F.timestamp_micros(F.floor(v.try_cast("decimal(38,0)") / 1000).cast("long")),
+                  F.date_format(F.timestamp_micros(F.floor(v.try_cast("decimal(38,0)") / 1000).try_cast("long")),
                                 "yyyy-MM-dd'T'HH:mm:ss'Z'")))
     return F.when(text.isNull(), F.parse_json(F.lit("null"))).otherwise(text.cast("variant"))
 
@@ -43,8 +46,7 @@ def normalize_dates(records: DataFrame, keys=DATE_KEYS) -> DataFrame:
     Parsed per value (month first, day first when that is invalid).
     """
     # key lookups decide cheaply; only records holding a date key are rebuilt
-    has_date = F.coalesce(*[F.try_variant_get("payload", f"$.{k}", "variant").isNotNull() for k in keys],
-                          F.lit(False))
+    has_date = reduce(or_, [F.try_variant_get("payload", f"$.{k}", "variant").isNotNull() for k in keys], F.lit(False))
     as_map = F.col("payload").try_cast("map<string,variant>")
     rewritten = F.transform_values(as_map, lambda k, v: F.when(k.isin(*keys), _normalized_variant(v)).otherwise(v))
     payload = F.when(has_date, F.to_variant_object(rewritten)).otherwise(F.col("payload"))

@@ -29,9 +29,9 @@ from rillflow.sources import files as FL
 from rillflow.sources.history import history_from_file, history_from_store
 
 RUN_LOG_SCHEMA = "run_id string, step_no int, step string, seconds double"
-RESULT_COLUMNS = ["status", "run_id", "mode", "files_selected", "files_ok", "files_error", "records",
+RESULT_COLUMNS = ["status", "run_id", "mode", "files_listed", "files_selected", "files_ok", "files_error", "records",
                   "elapsed_seconds"]
-RESULT_SCHEMA = ("status string, run_id string, mode string, files_selected bigint, files_ok bigint, "
+RESULT_SCHEMA = ("status string, run_id string, mode string, files_listed bigint, files_selected bigint, files_ok bigint, "
                  "files_error bigint, records bigint, elapsed_seconds double")
 
 
@@ -41,10 +41,10 @@ class BatchOptions:
     directory: str | None = None           # S2: folder of *.json
     base: str = ""                         # S4: base folder of named files
     names: str = ""                        # S4: comma-separated names
-    start_date: str | None = None          # P3: window end (inclusive)
+    start_date: str | None = None          # P3: window end (inclusive); default: the day of the run, UTC
     days_back: int = 0                     # P3: 0 disables the window
     max_files: int = 0                     # O1
-    sample_size: int | None = 30           # O2 (named lists only; 0 -> 30; negative disables)
+    sample_size: int | None = None         # O2 (named lists only; None or 0: all files)
     sample_seed: int = 0
     lookback_days: int | None = 2
     low_ratio: float | None = 0.8
@@ -97,8 +97,9 @@ def run_batch(spark: SparkSession, opts: BatchOptions) -> BatchResult:
         clock[0] = t
 
     files = FL.list_candidate_files(spark, opts.sources, opts.directory, opts.base, opts.names)
-    if opts.start_date:
-        files = FL.apply_date_window(files, opts.start_date, opts.days_back)
+    listed_all = files.count()
+    window_end = opts.start_date or now.date().isoformat()
+    files = FL.apply_date_window(files, window_end, opts.days_back)
     files = FL.sample_files(files, opts.sample_size, seed=opts.sample_seed)
     files = FL.limit_files(files, opts.max_files)
     listed = files.agg(F.count(F.lit(1)).alias("n"), F.min("mode").alias("mode")).first()
@@ -107,7 +108,7 @@ def run_batch(spark: SparkSession, opts: BatchOptions) -> BatchResult:
     if n_files == 0:
         msg = "No JSON files found to process."
         if opts.days_back > 0:
-            msg = (f"No JSON files found to process for start_date={opts.start_date} and days_back={opts.days_back}. "
+            msg = (f"No JSON files found to process for start_date={window_end} and days_back={opts.days_back}. "
                    "Adjust the date window or set days_back=0 to disable date filtering.")
         return BatchResult("error", run_id, error=msg, phase_seconds=phases)
 
@@ -150,7 +151,7 @@ def run_batch(spark: SparkSession, opts: BatchOptions) -> BatchResult:
             stores[label] = {"enabled": True, **writer(spark, path, clean, run_id, now)}
         close(f"save_{label}")
 
-    result = {"status": "ok", "run_id": run_id, "mode": mode, "files_selected": n_files, **file_counts,
+    result = {"status": "ok", "run_id": run_id, "mode": mode, "files_listed": listed_all, "files_selected": n_files, **file_counts,
               "records": clean.count(), "elapsed_seconds": round(sum(phases.values()), 2)}
     if opts.output_dir:
         literal_rows(spark, RESULT_SCHEMA, [tuple(result[k] for k in RESULT_COLUMNS)]).coalesce(1) \

@@ -452,8 +452,8 @@ def q_file_limit(spark, sf_dir):
 @register("file_sample", f"SELECT name FROM (SELECT {_NAME_SQL} AS name, event_id FROM events) "
           "ORDER BY md5(name || '7'), event_id LIMIT 30")
 def q_file_sample(spark, sf_dir):
-    """O2: exact-size sample (default 30) of a named list, reproducible md5 order with seed 7."""
-    return FL.sample_files(_file_list(spark, sf_dir), 0, seed=7, by_hash=True).select("name")
+    """O2: exact-size sample (30) of a named list, reproducible md5 order with seed 7."""
+    return FL.sample_files(_file_list(spark, sf_dir), 30, seed=7).select("name")
 
 
 @register("batch_sample", "SELECT event_id, event_type, user_id FROM events ORDER BY event_id LIMIT 5")

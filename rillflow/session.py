@@ -83,11 +83,14 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and scratch tables.
 
     Taken from ``spark.checkpoint.dir`` as the cluster names it. Only when the session has
-    none (local tests) a folder is chosen here and registered with the context.
+    none (local tests) a folder is chosen here and registered with the context; on a cluster that is an error, as
+    executors share no local folder.
     """
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = os.environ.get("RILLFLOW_CHECKPOINT_DIR") or f"/tmp/rillflow-checkpoints-{os.getpid()}"
         sc.setCheckpointDir(root)
         root = sc.getCheckpointDir() or root

@@ -35,8 +35,8 @@ def _flat_for_csv(df: DataFrame) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str) -> str:
-    """K2: records as CSV with a header; nested cells are written as JSON text."""
-    _flat_for_csv(df).write.mode("overwrite").option("header", True).options(**TIMESTAMP_TEXT).csv(path)
+    """K2: records as CSV with a header; nested cells are written as JSON text. Quotes are doubled, as RFC 4180 has it."""
+    _flat_for_csv(df).write.mode("overwrite").option("header", True).option("escape", '"').options(**TIMESTAMP_TEXT).csv(path)
     return path
 
 

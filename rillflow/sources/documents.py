@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillflow.functions.variant import variant_type
-from rillflow.sources.files import MODE_LOCAL_DIR, path_exists
+from rillflow.sources.files import MODE_LOCAL_DIR, glob_escaped, path_exists, qualified
 from rillflow.session import empty_frame
 
 
@@ -19,20 +19,30 @@ from rillflow.session import empty_frame
 # (about a hundred bytes per file); a longer list is joined by shuffle instead.
 BROADCAST_FILE_LIST_MAX = 200_000
 
-_KEY = r"^(file:)?/+"
+def _key(path):
+    """Full path text without the two spellings of a local root."""
+    return F.regexp_replace(path, r"^file:/+", "file:/")
+
+
+def _read_key():
+    """``_key`` of the file a row was read from (the scan reports its path URL-encoded)."""
+    return _key(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))))
 
 
 def _split_existing(spark: SparkSession, files: DataFrame) -> tuple[list[str], list[str]]:
-    """Readable and missing paths of the file list.
+    """Readable paths of the file list, each file once however it is written, and missing sources.
 
     The list is driver-held metadata (``load`` needs the paths). Only explicitly given
     sources are checked for existence: a directory listing returns existing files.
     """
-    rows = files.select("source", "mode").distinct().collect()
-    present, missing = [], []
+    rows = files.select("source", "mode", _key(qualified(spark, F.col("source"))).alias("key")).distinct().collect()
+    present, missing = {}, set()
     for r in rows:
-        (present if r.mode == MODE_LOCAL_DIR or path_exists(spark, r.source) else missing).append(r.source)
-    return sorted(set(present)), sorted(set(missing))
+        if r.mode == MODE_LOCAL_DIR or path_exists(spark, r.source):
+            present[r.key] = r.source
+        else:
+            missing.add(r.source)
+    return sorted(present.values()), sorted(missing)
 
 
 def scan_json_documents(spark: SparkSession, files: DataFrame) -> DataFrame:
@@ -44,12 +54,11 @@ def scan_json_documents(spark: SparkSession, files: DataFrame) -> DataFrame:
     broadcast when it is short enough (checked), else shuffled.
     """
     present, missing = _split_existing(spark, files)
-    keyed = files.select("name", "source", "_file_ord", F.regexp_replace("source", _KEY, "/").alias("_key"))
+    keyed = files.select("name", "source", "_file_ord", _key(qualified(spark, F.col("source"))).alias("_key"))
     parts = []
     if present:
-        raw = (spark.read.format("text").option("wholetext", True).load(present)
-               .select(F.regexp_replace(F.col("_metadata.file_path"), _KEY, "/").alias("_key"),
-                       F.col("value").alias("text")))
+        raw = (spark.read.format("text").option("wholetext", True).load([glob_escaped(p) for p in present])
+               .select(_read_key().alias("_key"), F.col("value").alias("text")))
         listing = keyed.where(~F.col("source").isin(missing)) if missing else keyed
         small = len(present) <= BROADCAST_FILE_LIST_MAX
         parts.append(raw.join(F.broadcast(listing) if small else listing, "_key")

@@ -8,6 +8,7 @@ are ordinary DataFrame expressions and the ordinal can be joined to scanned cont
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window
@@ -18,12 +19,13 @@ from rillflow.session import empty_frame
 
 FILE_SCHEMA = "name string, source string, mode string, _file_ord int"
 
-# Discovery modes in priority order, and the default random sample size.
+# Discovery modes in priority order.
 MODE_EXPLICIT = "JSON_FILE_URLS"
 MODE_LOCAL_DIR = "LOCAL_JSON_DIR"
 MODE_KNOWN_NAMES = "REPO_JSON_FILES"
+# Most nested "folder/.." steps of a given path that are resolved.
+MAX_UPWARD = 8
 SAMPLED_MODES = (MODE_KNOWN_NAMES,)
-DEFAULT_SAMPLE_SIZE = 30
 
 
 def _basename(c):
@@ -101,23 +103,42 @@ def limit_files(files: DataFrame, max_files: int) -> DataFrame:
     return files.orderBy("_file_ord").limit(max_files)
 
 
-def sample_files(files: DataFrame, sample_size: int | None, seed: int = 0, by_hash: bool = False) -> DataFrame:
+def sample_files(files: DataFrame, sample_size: int | None, seed: int = 0) -> DataFrame:
     """O2: an exact-size random sample without replacement (only for sampled modes).
 
-    ``0``/None means the default of 30; a negative size disables sampling. ``by_hash``
-    orders by md5(name || seed) instead of ``rand(seed)``, which is reproducible across
-    engines (used by tests and the oracle).
+    None, 0 or a negative size keeps all files. The order is md5(name || seed), so the frame gives the
+    same sample each time it is evaluated.
     """
-    size = int(sample_size or DEFAULT_SAMPLE_SIZE)
+    size = int(sample_size or 0)
     if size <= 0:
         return files
     sampled = files.where(F.col("mode").isin(*SAMPLED_MODES))
     rest = files.where(~F.col("mode").isin(*SAMPLED_MODES))
-    key = F.md5(F.concat(F.col("name"), F.lit(str(seed)))) if by_hash else F.rand(seed)
+    key = F.md5(F.concat(F.col("name"), F.lit(str(seed))))
     picked = sampled.orderBy(key, "_file_ord").limit(size)
     return rest.unionByName(picked)
 
 
+def qualified(spark: SparkSession, source):
+    """A source column as a full path: scheme and working folder of the default file system added where missing."""
+    jvm = spark.sparkContext._jvm
+    fs = jvm.org.apache.hadoop.fs.FileSystem.get(spark.sparkContext._jsc.hadoopConfiguration())
+    root = fs.getUri().toString().rstrip("/")
+    here = fs.getWorkingDirectory().toUri().getPath().rstrip("/")
+    full = (F.when(source.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:/"), source)
+            .when(source.startswith("/"), F.concat(F.lit(root), source))
+            .otherwise(F.concat(F.lit(f"{root}{here}/"), source)))
+    full = F.regexp_replace(full, r"/(?:\./)+", "/")
+    for _ in range(MAX_UPWARD):  # innermost "folder/.." first
+        full = F.regexp_replace(full, r"/(?!\.\./)[^/:]+/\.\.(?=/)", "")
+    return full
+
+
+def glob_escaped(path: str) -> str:
+    """A path that a reader takes as written: its glob characters are escaped."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)

@@ -38,12 +38,12 @@ def test_limit_and_sample(spark):
     files = FL.list_candidate_files(spark, base="/b", names=names)
     assert _names(FL.limit_files(files, 3)) == ["f000.json", "f001.json", "f002.json"]
     assert FL.limit_files(files, 0).count() == 100
-    assert FL.sample_files(files, 0, seed=1, by_hash=True).count() == 30      # 0 -> default 30
-    assert FL.sample_files(files, 7, seed=1, by_hash=True).count() == 7
+    assert FL.sample_files(files, 0).count() == FL.sample_files(files, None).count() == 100
+    assert FL.sample_files(files, 7, seed=1).count() == 7
     assert FL.sample_files(files, -1).count() == 100                          # negative disables
     assert FL.sample_files(files, 500).count() == 100                         # fewer files than the size
-    a = set(_names(FL.sample_files(files, 10, seed=3, by_hash=True)))
-    assert a == set(_names(FL.sample_files(files, 10, seed=3, by_hash=True))) and len(a) == 10
+    a = set(_names(FL.sample_files(files, 10, seed=3)))
+    assert a == set(_names(FL.sample_files(files, 10, seed=3))) and len(a) == 10
     folder = tempfile.mkdtemp(dir="/tmp")
     for i in range(40):
         write_json(folder, f"d{i}.json", {})
