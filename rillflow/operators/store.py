@@ -41,8 +41,6 @@ STORE_COLUMNS = ["id", "run_id", "source_file", "ingested_at", "saved_at", "payl
 STORE_SCHEMA = ("id string, run_id string, source_file string, ingested_at timestamp_ntz, "
                 "saved_at timestamp_ntz, payload_json string, _seq bigint, saved_day date")
 LOG_SCHEMA = "run_id string, saved_at timestamp_ntz, written bigint, new_ids bigint"
-# A batch with at most this many rows has its ids broadcast when probing the store.
-BROADCAST_BATCH_IDS_MAX = 2_000_000
 
 
 def to_store_rows(records: DataFrame, run_id: str, saved_at: dt.datetime, truncate: int | None = None) -> DataFrame:
@@ -89,15 +87,10 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LOG_SCHEMA).parquet(f"{path}/_log")
 
 
-def stored_among(spark: SparkSession, path: str, batch_ids: DataFrame, batch_rows: int) -> DataFrame:
-    """Ids of ``batch_ids`` already in the store (distinct).
-
-    Scans the stored ``id`` column once; the batch side is broadcast only when the batch
-    has at most ``BROADCAST_BATCH_IDS_MAX`` rows (a proven bound), else both are shuffled.
-    """
-    stored = read_versions(spark, path).select("id")
-    probe = F.broadcast(batch_ids) if batch_rows <= BROADCAST_BATCH_IDS_MAX else batch_ids
-    return stored.join(probe, "id", "left_semi").distinct()
+def stored_among(spark: SparkSession, path: str, batch_ids: DataFrame) -> DataFrame:
+    """Ids of ``batch_ids`` already in the store (distinct). Scans the stored ``id`` column once; the join side to send is
+    left to the runtime's size check."""
+    return read_versions(spark, path).select("id").join(batch_ids, "id", "left_semi").distinct()
 
 
 def latest(versions: DataFrame) -> DataFrame:
@@ -121,8 +114,8 @@ def current(spark: SparkSession, path: str, saved_since: dt.datetime | None = No
     return latest(versions)
 
 
-def _stage(spark: SparkSession, rows: DataFrame) -> DataFrame:
-    """Write rows once to a fresh table in the shared checkpoint folder and read it back.
+def _stage(spark: SparkSession, rows: DataFrame) -> tuple[DataFrame, str]:
+    """Write rows once to a fresh table in the shared checkpoint folder and read it back; also gives its path.
 
     Everything derived from the batch (counts, the id probe, the append) then reads the
     staged table instead of recomputing ids and payload JSON from the input files.
@@ -130,7 +123,13 @@ def _stage(spark: SparkSession, rows: DataFrame) -> DataFrame:
     from rillflow.session import scratch_path
     where = scratch_path(spark, "store-stage")
     rows.write.parquet(where)
-    return spark.read.parquet(where)
+    return spark.read.parquet(where), where
+
+
+def _drop(spark: SparkSession, where: str) -> None:
+    """Removes a staged table."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(where)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
 
 
 def _this_write(spark: SparkSession, path: str, run_id: str, saved_at: dt.datetime) -> tuple[DataFrame, DataFrame]:
@@ -146,15 +145,14 @@ def insert_absent(spark: SparkSession, path: str, records: DataFrame, run_id: st
 
     Returns ``{status, inserted, duplicates, total}`` (G10).
     """
-    rows = to_store_rows(records, run_id, saved_at)
-    first = rows.groupBy("id").agg(F.min_by(F.struct(*STORE_COLUMNS[1:], "_seq", "saved_day"), F.col("_seq"))
-                                   .alias("_v"), F.count(F.lit(1)).alias("_n"))
-    staged = _stage(spark, first.select("id", "_v.*", "_n"))
-    counts = staged.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("total"), F.count(F.lit(1)).alias("ids")).first()
-    total, n_ids = int(counts["total"]), int(counts["ids"])
-    known = stored_among(spark, path, staged.select("id"), n_ids)
-    new = staged.join(known, "id", "left_anti").drop("_n")
-    _append(new, path)
+    staged, where = _stage(spark, to_store_rows(records, run_id, saved_at))
+    # only ids and ordinals are aggregated; payloads join back to the chosen ordinals
+    first = staged.groupBy("id").agg(F.min("_seq").alias("_seq"), F.count(F.lit(1)).alias("_n"))
+    total = int(first.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0])
+    known = stored_among(spark, path, first.select("id"))
+    chosen = first.join(known, "id", "left_anti").select("id", "_seq")
+    _append(staged.join(chosen, ["id", "_seq"], "left_semi").select(*staged.columns), path)
+    _drop(spark, where)
     inserted = _this_write(spark, path, run_id, saved_at)[0].count()
     _log(spark, path, run_id, saved_at, inserted, inserted)
     return {"status": "ok", "inserted": inserted, "duplicates": total - inserted, "total": total}
@@ -171,8 +169,7 @@ def upsert(spark: SparkSession, path: str, records: DataFrame, run_id: str, save
     mine, earlier = _this_write(spark, path, run_id, saved_at)
     ids = mine.select("id").distinct()
     written = mine.count()
-    probe = F.broadcast(ids) if written <= BROADCAST_BATCH_IDS_MAX else ids
-    known = earlier.select("id").join(probe, "id", "left_semi").distinct()
+    known = earlier.select("id").join(ids, "id", "left_semi").distinct()
     new_ids = ids.join(known, "id", "left_anti").count()
     _log(spark, path, run_id, saved_at, written, new_ids)
     return {"status": "ok", "written": written, "table_count": table_count(spark, path)}
@@ -186,10 +183,8 @@ def table_count(spark: SparkSession, path: str) -> int:
     back to an exact distinct count over the versions.
     """
     log = read_log(spark, path)
-    logged = {(r.run_id, r.saved_at) for r in log.select("run_id", "saved_at").distinct().collect()}
-    present = {(r.run_id, r.saved_at) for r in
-               read_versions(spark, path).select("run_id", "saved_at").distinct().collect()}
-    if present <= logged:
+    present = read_versions(spark, path).select("run_id", "saved_at").distinct()
+    if present.join(log.select("run_id", "saved_at"), ["run_id", "saved_at"], "left_anti").isEmpty():
         return int(log.agg(F.coalesce(F.sum("new_ids"), F.lit(0))).first()[0])
     return exact_table_count(spark, path)
 

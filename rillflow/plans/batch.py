@@ -112,7 +112,7 @@ def run_batch(spark: SparkSession, opts: BatchOptions) -> BatchResult:
                    "Adjust the date window or set days_back=0 to disable date filtering.")
         return BatchResult("error", run_id, error=msg, phase_seconds=phases)
 
-    docs = D.scan_json_documents(spark, files)
+    docs = _cut(D.scan_json_documents(spark, files))  # each file is read and parsed once
     _good, quarantine, counts = D.file_parse_status(docs)
     file_counts = counts.first().asDict()
     records = D.normalize_records(docs, run_id, ingested_at=F.lit(now).cast("timestamp"))
@@ -129,7 +129,7 @@ def run_batch(spark: SparkSession, opts: BatchOptions) -> BatchResult:
         history = history_from_store(spark, opts.store_path, now, params.lookback_days)
     else:
         history = empty_frame(spark, READINGS_SCHEMA)
-    report = build_report(current, history, params, run_id)
+    report = build_report(current, _cut(history), params, run_id)
     summary = report.summary.first()
     close("anomaly_report")
 
@@ -148,7 +148,10 @@ def run_batch(spark: SparkSession, opts: BatchOptions) -> BatchResult:
         elif not opts.write_stores:
             stores[label] = {"enabled": False, "status": "skipped", "reason": "dry run"}
         else:
-            stores[label] = {"enabled": True, **writer(spark, path, clean, run_id, now)}
+            try:
+                stores[label] = {"enabled": True, **writer(spark, path, clean, run_id, now)}
+            except Exception as e:  # noqa: BLE001  one store's failure is its status; the run goes on
+                stores[label] = {"enabled": True, "status": "error", "error": f"{type(e).__name__}: {str(e)[:500]}"}
         close(f"save_{label}")
 
     result = {"status": "ok", "run_id": run_id, "mode": mode, "files_listed": listed_all, "files_selected": n_files, **file_counts,

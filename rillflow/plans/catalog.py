@@ -623,7 +623,8 @@ def q_sink_csv_roundtrip(spark, sf_dir):
     ev = B.table(spark, sf_dir, "events")
     df = ev.select("event_id", "user_id", "value", F.array("event_type", F.col("user_id").cast("string")).alias("tags"))
     path = K.write_csv(df, scratch_path(spark, "sink-csv"))
-    back = spark.read.option("header", True).schema("event_id bigint, user_id bigint, value double, tags string").csv(path)
+    back = (spark.read.option("header", True).option("escape", '"')
+            .schema("event_id bigint, user_id bigint, value double, tags string").csv(path))
     return back.select("event_id", "user_id", "value",
                        F.array_join(F.from_json("tags", "array<string>"), ",").alias("tags"))
 

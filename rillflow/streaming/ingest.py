@@ -14,13 +14,14 @@ per id and the store's id count are unchanged — the write is idempotent in eff
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillflow.operators import store as S
 from rillflow.operators.clean import light_clean
-from rillflow.session import apply_confs, checkpoint_root
+from rillflow.session import apply_confs
 from rillflow.sources.documents import normalize_records
 
 
@@ -33,7 +34,8 @@ def ingest_new_files(spark: SparkSession, folder: str, store_path: str, checkpoi
                      run_prefix: str = "stream", max_files_per_batch: int = 1000) -> None:
     """Upsert every not-yet-seen ``*.json`` file of ``folder`` into the store, then stop."""
     apply_confs(spark)
-    checkpoint = checkpoint or f"{checkpoint_root(spark)}/streams/ingest"
+    # progress lives beside the store, by inbox, so that a restarted process goes on where the last one stopped
+    checkpoint = checkpoint or f"{store_path.rstrip('/')}/_ingest/{hashlib.sha1(folder.encode()).hexdigest()}"
     stream = (spark.readStream.format("text").option("wholetext", True).option("pathGlobFilter", "*.json")
               .option("maxFilesPerTrigger", max_files_per_batch).load(folder)
               .select(F.col("_metadata.file_name").alias("name"), F.col("_metadata.file_path").alias("source"),
