@@ -5,16 +5,16 @@ first ``n - ceil(threshold * n) + 1`` of each, under any one order of all tokens
 token under every order used:
 
 * the first order is rarest first. Counting all tokens would shuffle every shingle, so the tokens of smallest hash are
-  taken first: ``EXTRA`` more than a prefix needs, of which linked sets share ``EXTRA``; among these the rarest are the
-  prefix. It is the index that candidates are generated from.
+  taken first: more than a prefix needs, of which linked sets share as many more; among these the rarest are the prefix.
+  It is the index that candidates are generated from.
 * two more orders, by two other hashes, filter each candidate pair before its sets are compared.
 
-Equal sets are one class from the start. Buckets (documents with one prefix token) do not emit all their pairs. Each
-document is compared with its bucket's hub first; only documents still in different components are paired. A
-bucket over ``SMALL`` is dealt anew by the edits between its members and the hub: with r tokens removed and a added,
-weight g = den * r + num * a, sets x and y are linked exactly if (num + den) * shared edits >= g(x) + g(y) - (den - num)
-* |hub|. A document not linked to the hub therefore shares edits with whatever it is linked to, and a prefix of its edits,
-rarest first, finds them; those buckets are treated alike.
+Equal sets are one class from the start. Buckets (documents with one prefix token) do not emit their pairs: each document
+is compared with its bucket's hub only, which gives its edits from the hub. With r tokens removed and a added, weight
+g = den * r + num * a, sets x and y are linked exactly if (num + den) * shared edits >= g(x) + g(y) - (den - num) * |hub|. A
+document not linked to the hub therefore shares edits with whatever it is linked to, and a prefix of its edits, rarest
+first, finds it: documents still in different components are paired by shared edits, and those not linked to the hub among
+themselves. What over ``SMALL`` documents share makes a bucket of its own with a hub of its own, treated alike.
 """
 
 from __future__ import annotations
@@ -24,15 +24,19 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import components, cut, ship
-from .substring import NO_ID, window_hashes, word_hashes, words_of
-
-#: Tokens beyond the prefix that the first order picks from; bucket size up to which members are paired directly; times a
-#: bucket is dealt anew before its remaining members are paired whatever their number.
-EXTRA, SMALL, LEVELS = 32, 24, 6
+from .substring import NO_ID, window_hashes, word_hashes
+
+#: Tokens beyond the prefix that the first order picks from, besides one in so many of a set; size up to which members of an edit's bucket are paired;
+#: times a bucket is dealt anew before its remaining members are paired whatever their number.
+EXTRA, EXTRA_SHARE, SMALL, LEVELS = 24, 12, 100, 4
+#: A token is frequent from this share of the sets on (one in so many), and from so many sets in one block; frequent tokens
+#: are at most MOST_FREQUENT, a fixed bound, and sent to all tasks. First tokens in a block.
+FREQUENT, LEAST_FREQUENT, MOST_FREQUENT, BLOCK = 512, 64, 1 << 16, 2_000_000
 #: Sets a task remembers in order to send a repeated set's tokens once.
 REMEMBERED = 1_000_000
 _ORDERS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93))
@@ -40,14 +44,11 @@ _ORDERS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93))
 
 def shingle_set(text: str, k: int) -> np.ndarray:
     """Sorted distinct shingle hashes (as int64): A-Z lower-cased; fewer than ``k`` words are one shingle; no words, none."""
-    words = words_of_lower(text)
+    data = text.encode("utf-8", "surrogatepass").lower()
+    words = word_hashes(data)
     if len(words) < k:
-        return np.array([xxhash.xxh3_64_intdigest(b" ".join(words), seed=len(words))] if words else [], np.uint64).view(np.int64)
-    return np.unique(window_hashes(word_hashes(words), k).view(np.int64))
-
-
-def words_of_lower(text: str) -> list[bytes]:
-    return [] if not text else text.encode("utf-8", "surrogatepass").lower().split()
+        return np.array([xxhash.xxh3_64_intdigest(b" ".join(data.split()), seed=len(words))] if len(words) else [], np.uint64).view(np.int64)
+    return np.unique(window_hashes(words, k).view(np.int64))
 
 
 def class_key(tokens: np.ndarray) -> int:
@@ -59,19 +60,48 @@ def _needed(n, num: int, den: int):
     return (num * n + den - 1) // den
 
 
-def _narrow(docs: DataFrame, k: int) -> DataFrame:
-    """(id, n, c): set size and class key of each row; equal sets have equal keys."""
+def _first(tokens: np.ndarray, num: int, den: int) -> np.ndarray:
+    """The tokens of smallest hash, ``_extra`` - 1 more than a prefix."""
+    return tokens[:len(tokens) - _needed(len(tokens), num, den) + _extra(len(tokens))]  # sets are sorted by hash
+
+
+def _extra(n):
+    """Tokens that the first tokens of linked sets share at least, if the smaller set has ``n``."""
+    return EXTRA + n // EXTRA_SHARE
+
+
+def _narrow(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """(id, n, c, frequent): set size and class key of each row (equal sets have equal keys); and, marked frequent, tokens
+    (as c) that over 1/FREQUENT of a task's block of sets hold among their first tokens, with their number (as n)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, sets_held, size = [], 0, 0
+        names = ["id", "n", "c", "frequent"]
+
+        def settle():
+            tokens, many = np.unique(np.concatenate(held), return_counts=True)
+            often = many >= max(LEAST_FREQUENT, sets_held / FREQUENT)
+            return pa.RecordBatch.from_arrays([pa.nulls(int(often.sum()), pa.int64()), pa.array(many[often]), pa.array(tokens[often]),
+                                               pa.array(np.ones(int(often.sum()), bool))], names=names)
+
         for batch in batches:
             sets = [shingle_set(text.as_py(), k) for text in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
-                                              pa.array([class_key(s) for s in sets], pa.int64())], names=["id", "n", "c"])
-
-    return docs.select("id", "text").mapInArrow(run, "id bigint, n bigint, c bigint")
-
-
-def _first_tokens(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """(token, c, n): of each class the tokens of smallest hash, ``EXTRA`` - 1 more than a prefix."""
+                                              pa.array([class_key(s) for s in sets], pa.int64()), pa.array([False] * len(sets))], names=names)
+            held += [_first(s, num, den) for s in sets]
+            sets_held += len(sets)
+            size += sum(map(len, held[-len(sets):]))
+            if size >= BLOCK:
+                yield settle()
+                held, sets_held, size = [], 0, 0
+        if held:
+            yield settle()
+
+    return docs.select("id", "text").mapInArrow(run, "id bigint, n bigint, c bigint, frequent boolean")
+
+
+def _first_tokens(docs: DataFrame, frequent: np.ndarray, k: int, num: int, den: int) -> DataFrame:
+    """(key, c, n, token): each class with its first tokens. ``key`` is the token, dealt out by it; a frequent token is
+    given as ``token`` and dealt out by class, for it is known to be shared."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
@@ -83,116 +113,188 @@ def _first_tokens(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
                     continue
                 if len(seen) < REMEMBERED:
                     seen.add(c)
-                part = s[:len(s) - _needed(len(s), num, den) + EXTRA]  # sorted by hash as it is
+                part = _first(s, num, den)
                 tokens.append(part)
                 keys.append(np.full(len(part), c, np.int64))
                 sizes.append(np.full(len(part), len(s), np.int32))
             if tokens:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (tokens, keys, sizes)], names=["token", "c", "n"])
+                token, c, n = map(np.concatenate, (tokens, keys, sizes))
+                often = np.isin(token, frequent)
+                yield pa.RecordBatch.from_arrays([pa.array(np.where(often, c, token)), pa.array(c), pa.array(n), pa.array(token, mask=~often)],
+                                                 names=["key", "c", "n", "token"])
 
-    return docs.select("id", "text").mapInArrow(run, "token bigint, c bigint, n int")
+    return docs.select("id", "text").mapInArrow(run, "key bigint, c bigint, n int, token bigint")
 
 
-def _survivors(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
+def _survivors(docs: DataFrame, frequent: np.ndarray, k: int, num: int, den: int) -> DataFrame:
     """(c, prefix): classes that share a prefix token of the first order with another class."""
-    entries = _first_tokens(docs, k, num, den)
-    shared = (entries.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("many"))
-              .where("lo < hi").select("token", "many"))
-    shared = cut(shared, "jaccard-shared")
+    known = F.col("token").isNotNull()
+    same = Window.partitionBy("key", known)
+    entries = _first_tokens(docs, frequent, k, num, den).repartition("key").select(
+        "c", "n", F.coalesce("token", "key").alias("token"), (known | (F.min("c").over(same) < F.max("c").over(same))).alias("shared"),
+        F.when(known, 1 << 62).otherwise(F.count(F.lit(1)).over(same)).alias("many"))
     need = F.floor((F.lit(num) * F.col("n") + F.lit(den - 1)) / F.lit(den))
-    lists = entries.join(shared, "token").groupBy("c", "n").agg(F.collect_set(F.struct("many", "token")).alias("own"))
-    alone = F.least(F.col("n"), F.col("n") - need + EXTRA) - F.size("own")  # tokens no other class has come first
-    room = F.col("n") - need + 1 - alone
+    # whatever a set is linked to has ``need`` tokens at least, so they share this many of their first tokens
+    least = F.least(need, F.lit(EXTRA) + F.floor(need / F.lit(EXTRA_SHARE)))
+    lists = entries.where("shared").groupBy("c", "n").agg(F.collect_set(F.struct("many", "token")).alias("own"))
+    room = F.size("own") - least + 1  # for tokens that others have too, behind those that none has
     rarest = F.transform(F.slice(F.array_sort("own"), F.lit(1), F.greatest(room, F.lit(0)).cast("int")), lambda s: s["token"])
     return lists.where(room > 0).select("c", rarest.alias("prefix"))
 
 
 def _sets(docs: DataFrame, survivors: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """(x, tokens, p1, p2, p3): whole set and prefixes under three orders of each surviving class; x is its smallest id."""
+    """(x, n, tokens, p1, p2, p3): size, whole set and prefixes under three orders of each surviving class; x is its smallest
+    id. Prefix p2 goes on beyond the length of p3, for hubs and documents near them."""
+    heaviest = (num + den) * (den - num) / num  # g of a near document as a multiple of its hub's size
+    least = max(min(1 - heaviest / den, 1 / (1 + heaviest / num)) - 1e-9, 0.0)  # tokens near ones share, as a share of either set
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done = None
         for batch in batches:
             rows = []
             for doc, text, c, prefix in zip(*(col.to_pylist() for col in batch.columns)):
                 s = shingle_set(text, k)
-                if class_key(s) != c:  # another row of a repeated id
+                if class_key(s) != c or doc == done:  # another text of a repeated id, or the same again
                     continue
+                done = doc
                 p = len(s) - _needed(len(s), num, den) + 1
-                more = [s[np.argsort(s.view(np.uint64) * o, kind="stable")[:p]] for o in _ORDERS]
-                rows.append((doc, s, prefix, *more))
+                ordered = [s[np.argsort(s.view(np.uint64) * o, kind="stable")] for o in _ORDERS]
+                more = [ordered[0][:len(s) - int(least * len(s)) + 1], ordered[1][:p]]
+                rows.append((doc, len(s), s, prefix, *more))
             if rows:
-                x, *lists = zip(*rows)
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), *[pa.array(v, pa.list_(pa.int64())) for v in lists]],
-                                                 names=["x", "tokens", "p1", "p2", "p3"])
+                x, n, *lists = zip(*rows)
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.array(n, pa.int64()), *[pa.array(v, pa.list_(pa.int64())) for v in lists]],
+                                                 names=["x", "n", "tokens", "p1", "p2", "p3"])
 
     joined = docs.select("id", "text").join(survivors, "id").select("id", "text", "c", "prefix")
-    return joined.mapInArrow(run, "x bigint, tokens array<bigint>, p1 array<bigint>, p2 array<bigint>, p3 array<bigint>").dropDuplicates(["x"])
-
-
-def _with_sets(pairs: DataFrame, sets: DataFrame, a: str, b: str, columns: list[str]) -> DataFrame:
-    for side in (a, b):
-        pairs = pairs.join(sets.select(F.col("x").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in columns]), side)
-    return pairs
+    return joined.mapInArrow(run, "x bigint, n bigint, tokens array<bigint>, p1 array<bigint>, p2 array<bigint>, p3 array<bigint>")
+
+
+def _of(sets: DataFrame, pairs: DataFrame, sides: tuple[str, str], columns: list[str]) -> DataFrame:
+    """The sets of the documents in ``pairs``, as a table of their own: joins then deal out these alone, and hot hubs can be
+    split. ``sets`` stays where it lies by x."""
+    ids = pairs.select(F.col(sides[0]).alias("x")).union(pairs.select(F.col(sides[1]).alias("x"))).distinct()
+    return cut(sets.join(ids, "x", "left_semi").select("x", *columns), "jaccard-needed")
+
+
+def _edits(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """Of (hub, x) pairs, those near: weight ``g`` of the edits from hub to x, ``slack`` of the hub (linked: g <= slack), and
+    the signed ``edits``. Near (see ``_links``) takes a share of common tokens, hence a common prefix under the second
+    order, longer than that for links; only pairs with one fetch whole sets."""
+    orders = _of(sets, pairs, ("hub", "x"), ["p2"])
+    for side in ("hub", "x"):
+        pairs = pairs.join(orders.select(F.col("x").alias(side), F.col("p2").alias(f"{side}2")), side)
+    pairs = cut(pairs.where(F.arrays_overlap("hub2", "x2")).select("hub", "x"), "jaccard-near-hubs")
+    sets = _of(sets, pairs, ("hub", "x"), ["tokens"])
+    hubs = sets.select(F.col("x").alias("hub"), F.col("tokens").alias("hub_tokens"))
+    both = pairs.join(sets.select("x", "tokens"), "x").join(hubs, "hub")
+    gone, new = F.array_except("hub_tokens", "tokens"), F.array_except("tokens", "hub_tokens")
+    both = both.select("hub", "x", (F.lit(den - num) * F.size("hub_tokens")).alias("slack"), gone.alias("gone"), new.alias("new"))
+    both = both.withColumn("g", den * F.size("gone") + num * F.size("new"))
+    edits = F.concat(F.transform("gone", lambda t: F.xxhash64(t, F.lit(1))), F.transform("new", lambda t: F.xxhash64(t, F.lit(2))))
+    return (both.where(num * F.col("g") <= (num + den) * F.col("slack"))
+            .select("hub", "x", "g", "slack", edits.alias("edits")))
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) that share prefix tokens under the further orders and reach the threshold."""
-    both = _with_sets(pairs.select("a", "b"), sets, "a", "b", ["tokens", "p2", "p3"])
-    na, nb = F.size("a_tokens"), F.size("b_tokens")
-    near = (den * F.least(na, nb) >= num * F.greatest(na, nb)) & F.arrays_overlap("a_p2", "b_p2") & F.arrays_overlap("a_p3", "b_p3")
-    shared = F.size(F.array_intersect("a_tokens", "b_tokens"))
-    return both.where(near).where((num + den) * shared >= num * (na + nb)).select("a", "b")
-
-
-def _dealt_by_edits(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> tuple[DataFrame, DataFrame]:
-    """Of (hub, x) pairs: the links among them, and buckets (bucket, x, short) of x by shared edits from the hub."""
-    both = _with_sets(pairs.select("hub", "x"), sets, "hub", "x", ["tokens"])
-    gone, new = F.array_except("hub_tokens", "x_tokens"), F.array_except("x_tokens", "hub_tokens")
-    both = both.select("hub", "x", F.size("hub_tokens").alias("size"), gone.alias("gone"), new.alias("new"))
-    weight = den * F.size("gone") + num * F.size("new")
-    edits = F.concat(F.transform("gone", lambda t: F.xxhash64(t, F.lit(1))), F.transform("new", lambda t: F.xxhash64(t, F.lit(2))))
-    both = cut(both.select("hub", "x", weight.alias("g"), (F.lit(den - num) * F.col("size")).alias("slack"), edits.alias("edits")), "jaccard-edits")
-    links = both.where("g <= slack").select(F.col("hub").alias("a"), F.col("x").alias("b"))
-    each = both.select("hub", "x", F.explode("edits").alias("edit"))
+def _edit_buckets(edits: DataFrame, num: int, den: int) -> DataFrame:
+    """(bucket, hub, x, short): documents of a hub by the prefixes of their edits that others of the hub share."""
+    each = edits.select("hub", "x", F.explode("edits").alias("edit"))
     shared = cut(each.groupBy("hub", "edit").agg(F.count(F.lit(1)).alias("many")).where("many > 1"), "jaccard-shared-edits")
-    lists = each.join(shared, ["hub", "edit"]).groupBy("hub", "x").agg(F.array_sort(F.collect_list(F.struct("many", "edit"))).alias("own"))
-    lists = lists.join(both.select("hub", "x", "g", "slack", F.size("edits").alias("e")), ["hub", "x"])
+    lists = each.join(shared, ["hub", "edit"]).groupBy("hub", "x").agg(F.array_sort(F.collect_set(F.struct("many", "edit"))).alias("own"))
+    lists = lists.join(edits.select("hub", "x", "g", "slack", F.size("edits").alias("e")), ["hub", "x"])
     alone = F.col("e") - F.size("own")  # edits nobody else has come first
-    # linked to another document of this hub: over g / (num + den) shared edits if that one or this one is not linked to the hub
+    # two documents are linked by over g / (num + den) shared edits, for either one if the other is not linked to the hub
     short = F.col("e") - F.floor(F.col("g") / F.lit(num + den)) - alone
     least = F.greatest(F.ceil((F.col("g") - F.col("slack")) / F.lit(num + den)), F.lit(1))
     longer = F.when(F.col("g") > F.col("slack"), F.col("e") - least + 1 - alone).otherwise(short)
-    rows = lists.select("hub", "x", short.alias("short"), F.posexplode(F.slice("own", F.lit(1), F.greatest(F.greatest(short, longer), F.lit(0)).cast("int"))).alias("i", "s"))
-    return links, rows.select(F.xxhash64("hub", "s.edit").alias("bucket"), "x", (F.col("i") < F.col("short")).alias("short"))
+    most = F.greatest(short, longer, F.lit(0)).cast("int")
+    rows = lists.select("hub", "x", short.alias("short"), F.posexplode(F.slice("own", F.lit(1), most)).alias("i", "s"))
+    return rows.select(F.xxhash64("hub", "s.edit").alias("bucket"), "hub", "x", (F.col("i") < F.col("short")).alias("short"))
+
+
+def _share_prefixes(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs (a, b, ..) whose sizes allow a link and that share prefix tokens under each of the further orders."""
+    columns, pairs = pairs.columns, cut(pairs, "jaccard-pairs")
+    for name, order in (("p3", F.col("p3")), ("p2", F.slice("p2", F.lit(1), F.size("p3")))):
+        own = _of(sets, pairs, ("a", "b"), ["n", *{"p3", name}])
+        for side in ("a", "b"):
+            pairs = pairs.join(own.select(F.col("x").alias(side), F.col("n").alias(f"{side}n"), order.alias(f"{side}p")), side)
+        alike = den * F.least("an", "bn") >= num * F.greatest("an", "bn")
+        pairs = cut(pairs.where(alike & F.arrays_overlap("ap", "bp")).select(*columns), "jaccard-pairs")
+    return pairs
+
+
+def _linked(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs (a, b) that pass the further orders and reach the threshold."""
+    pairs = _share_prefixes(pairs, sets, num, den)
+    sets = _of(sets, pairs, ("a", "b"), ["tokens"])
+    for side in ("a", "b"):
+        pairs = pairs.join(sets.select(F.col("x").alias(side), F.col("tokens").alias(f"{side}t")), side)
+    shared = F.size(F.array_intersect("at", "bt"))
+    return pairs.where((num + den) * shared >= num * (F.size("at") + F.size("bt"))).select("a", "b")
+
+
+def _linked_by_edits(pairs: DataFrame, edits: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs (hub, a, b) that pass the further orders and reach the threshold, as (a, b)."""
+    pairs = _share_prefixes(pairs, sets, num, den)
+    for side in ("a", "b"):
+        own = edits.select("hub", F.col("x").alias(side), F.col("g").alias(f"{side}g"), F.col("edits").alias(f"{side}e"), "slack")
+        pairs = pairs.join(own if side == "a" else own.drop("slack"), ["hub", side])
+    shared = F.size(F.array_intersect("ae", "be"))
+    return pairs.where((num + den) * shared >= F.col("ag") + F.col("bg") - F.col("slack")).select("a", "b")
+
+
+def _pairs(members: DataFrame, carry: list[str], condition: str) -> DataFrame:
+    """Distinct (a, b) of one bucket, a < b, in different components so far."""
+    left = members.select("bucket", *carry, F.col("x").alias("a"), F.col("label").alias("la"), F.col("short").alias("sa"))
+    right = members.select("bucket", F.col("x").alias("b"), F.col("label").alias("lb"), F.col("short").alias("sb"))
+    return left.join(right, "bucket").where(f"a < b and la <> lb and {condition}").select(*carry, "a", "b").distinct()
 
 
 def _links(sets: DataFrame, num: int, den: int) -> DataFrame:
-    """(a, b) links whose components are those of all links between different sets."""
-    buckets = sets.select(F.explode("p1").alias("bucket"), "x", F.lit(True).alias("short"))
+    """(a, b) links whose components are those of all links between different sets.
+
+    Members of a bucket are near its hub (num * g <= (num + den) * slack), not linked to it (g > slack) or both. One
+    that is not near and one that is linked to the hub are not linked: the shared edits would have to outnumber the second
+    one's edits. So near members are paired by edits, those not linked to the hub among themselves.
+    """
+    buckets = sets.select(F.explode("p1").alias("bucket"), "x")
     links = None
     for level in range(LEVELS + 1):
-        buckets = cut(buckets.groupBy("bucket", "x").agg(F.max("short").alias("short")), "jaccard-buckets")
-        sized = cut(buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("x").alias("hub")).where("size > 1"), "jaccard-sizes")
-        members = buckets.join(sized, "bucket")
-        hubs = members.where("x <> hub").groupBy("x", "hub").count().groupBy("x").agg(
-            F.max(F.struct("count", (-F.col("hub")).alias("back"))).alias("best"))
-        found = _linked(hubs.select((-F.col("best.back")).alias("a"), F.col("x").alias("b")), sets, num, den)
+        most = SMALL if level < LEVELS else 1 << 62
+        buckets = cut(buckets.distinct(), "jaccard-buckets")
+        hubs = cut(buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("x").alias("hub")).where("size > 1")
+                   .select("bucket", "hub"), "jaccard-hubs")
+        members = buckets.join(hubs, "bucket").where("x <> hub")
+        edits = cut(_edits(members.select("hub", "x").distinct(), sets, num, den), "jaccard-edits")
+        found = edits.where("g <= slack").select(F.col("hub").alias("a"), F.col("x").alias("b"))
         links = cut(found if links is None else links.union(found), "jaccard-links")
         labels = cut(components(links), "jaccard-labels")
-        placed = members.join(labels, F.col("x") == F.col("node"), "left").select(
-            "bucket", "x", "short", "size", "hub", F.coalesce("component", "x").alias("label"))
-        mixed = cut(placed.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("bucket"), "jaccard-mixed")
-        placed = cut(placed.join(mixed, "bucket"), "jaccard-placed")
-        most = SMALL if level < LEVELS else 1 << 62
-        few = placed.where(F.col("size") <= most)
-        left = few.select("bucket", F.col("x").alias("a"), F.col("label").alias("la"), F.col("short").alias("sa"))
-        right = few.select("bucket", F.col("x").alias("b"), F.col("label").alias("lb"), F.col("short").alias("sb"))
-        pairs = left.join(right, "bucket").where("a < b and la <> lb and (sa or sb)").select("a", "b").distinct()
-        links = links.union(_linked(pairs, sets, num, den))
-        many = placed.where(F.col("size") > most)
-        if many.isEmpty():
+
+        def labelled(rows: DataFrame, labels=labels) -> DataFrame:
+            return rows.join(labels, F.col("x") == F.col("node"), "left").select(*rows.columns, F.coalesce("component", "x").alias("label"))
+
+        def still_open(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+            """Members of buckets that span components: of small buckets, and of larger ones."""
+            sized = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("label").alias("lo"), F.max("label").alias("hi"))
+            rows = rows.join(cut(sized.where("lo < hi").select("bucket", "size"), "jaccard-sizes"), "bucket")
+            return rows.where(F.col("size") <= most), rows.where(F.col("size") > most).select("bucket", "x")
+
+        at_hub = edits.where("g <= slack").select("hub", "x")
+        away = members.join(at_hub, ["hub", "x"], "left_anti").select("bucket", "x", F.lit(True).alias("short"))
+        away = cut(labelled(away), "jaccard-away")
+        few, many = still_open(away)
+        found = _linked(_pairs(few, [], "true"), sets, num, den)
+
+        spans = (labelled(edits.select("hub", "x")).groupBy("hub").agg(F.count(F.lit(1)).alias("near"), F.min("label").alias("lo"), F.max("label").alias("hi"))
+                 .where("near > 1 and (lo < hi)").select("hub"))
+        near = cut(edits.join(cut(spans, "jaccard-spans"), "hub"), "jaccard-near")
+        by_edit = cut(labelled(_edit_buckets(near, num, den)), "jaccard-edit-buckets")
+        few_edits, many_edits = still_open(by_edit)
+        found = found.union(_linked_by_edits(_pairs(few_edits, ["hub"], "(sa or sb)"), near, sets, num, den))
+        links = cut(links.union(found), "jaccard-links")
+        buckets = many.union(many_edits)
+        if level == LEVELS or buckets.isEmpty():
             return links
-        more, buckets = _dealt_by_edits(many.where("x <> hub").select("hub", "x").distinct(), sets, num, den)
-        links = cut(links.union(more), "jaccard-links")
     raise AssertionError("the last level pairs all")
 
 
@@ -208,14 +310,29 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ship(docs.sparkSession)
     ids: Column = F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID))
     plain = docs.select(ids.alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    narrow = cut(_narrow(plain, k), "jaccard-narrow")
+    both = cut(_narrow(plain, k, num, den), "jaccard-narrow")
+    narrow = both.where("not frequent").select("id", "n", "c")
+    least = narrow.count() / FREQUENT
+    often = both.where("frequent").groupBy("c").agg(F.sum("n").alias("many")).where(F.col("many") >= least)
+    frequent = np.array([r["c"] for r in often.orderBy(F.desc("many"), "c").limit(MOST_FREQUENT).collect()], np.int64)
     smallest = cut(narrow.where("n > 0").groupBy("c").agg(F.min("id").alias("x")), "jaccard-classes")
-    survivors = _survivors(plain, k, num, den).join(smallest, "c").select(F.col("x").alias("id"), "c", "prefix")
-    sets = cut(_sets(plain, survivors, k, num, den), "jaccard-sets")
+    survivors = _survivors(plain, frequent, k, num, den).join(smallest, "c").select(F.col("x").alias("id"), "c", "prefix")
+    # kept on the executors' disks, dealt out by x; a lost executor's part is computed again
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sets = _sets(plain, survivors, k, num, den).repartition(parts, "x").persist(StorageLevel.DISK_ONLY)
     labels = components(_links(sets, num, den))
+    sets.unpersist()
     classes = smallest.join(labels, F.col("x") == F.col("node"), "left").select("c", F.coalesce("component", "x").alias("component"))
     rows = narrow.join(cut(classes, "jaccard-components"), "c", "left")
     kind = docs.schema[id_col].dataType.simpleString()
     own = lambda c: F.when(F.col(c) != NO_ID, F.col(c)).cast(kind)
     return rows.select(own("id").alias(id_col), F.col("n").alias("n_shingles"),
                        F.when(F.col("n") > 0, own("component")).otherwise(own("id")).alias("component_id"))
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, num: int = 4, den: int = 5) -> DataFrame:
+    """The rows of ``docs`` whose id is the smallest of their component, with all their columns; rows with empty sets stay."""
+    found = near_duplicates(docs, id_col, text_col, k, num, den)
+    gone = found.where(~F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("_gone")).distinct()
+    gone = cut(gone, "jaccard-gone")  # a table of known size: small ones are broadcast, others joined by shuffle
+    return docs.join(gone, docs[id_col].eqNullSafe(gone["_gone"]), "left_anti")

@@ -2,11 +2,11 @@
 
 The edges of the graph are windows of ``K`` words. Only edges that two documents share matter, so they are found in
 steps that each shuffle little: a window's minimizer (the smallest hash of its 5-word pieces) stands for the run of
-neighbouring windows that have it; runs whose minimizer other documents have too are candidates; their windows become
-edge occurrences, dealt by edge; an edge's first source coordinate (smallest document, then position) labels all its
-occurrences. Neighbouring occurrences whose source coordinates advance together are a path without a branch and compact
-to one span. Joins on source coordinates fetch a digest of each span's words in its source, and only spans whose own
-words have the same digest are removed.
+neighbouring windows that have it; runs whose minimizer other documents have too are candidates. A run is a piece of
+path without a branch: pieces that a smaller document has whole are placed at their first source coordinate (document,
+position) in one step, and only the first of equal pieces are taken apart into edges, which are placed alike. Neighbours whose
+source coordinates advance together compact to one span. Joins on source coordinates fetch a digest of each span's words
+in its source, and only spans whose own words have the same digest are removed.
 
 Hot keys: what one task finds shared it settles itself and sends at most a few witnesses, so a minimizer or an edge that a
 third of all documents hold reaches its key's task with a few rows per sending task.
@@ -31,13 +31,49 @@ NO_ID = (1 << 63) - 1
 _A, _B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
+#: Polynomial word hashing modulo 2 ** 64: a random value per byte, powers of an odd base by position.
+_STRETCH, _LONG = 1 << 20, 64
+_VALUES = np.random.default_rng(20240607).integers(0, 1 << 64, 256, dtype=np.uint64)
+_BASE = 0xD1342543DE82EF95 | 2
+_POWERS: dict[str, np.ndarray] = {}
+
+
+def _powers() -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse, for positions within a stretch of text."""
+    if not _POWERS:
+        for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
+            steps = np.full(_STRETCH + 1, base, np.uint64)
+            steps[0] = 1
+            _POWERS[name] = np.multiply.accumulate(steps)
+    return _POWERS["up"], _POWERS["down"]
+
+
 def words_of(text: str) -> list[bytes]:
     """Maximal runs outside the six ASCII blanks (bytes.split splits at just these)."""
     return text.encode("utf-8", "surrogatepass").split()
 
 
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), dtype=np.uint64, count=len(words))
+def word_hashes(data: bytes) -> np.ndarray:
+    """64-bit hashes of the words of ``data``, in order; words over ``_LONG`` bytes by xxh3."""
+    out = []
+    while len(data) > _STRETCH:
+        codes = np.frombuffer(data[:_STRETCH], np.uint8)
+        blanks = np.flatnonzero((codes == 32) | (codes - np.uint8(9) < 5))
+        if not len(blanks):  # one word longer than a stretch
+            words = data.split()
+            return np.concatenate([*out, np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))])
+        out.append(word_hashes(data[:blanks[-1]]))
+        data = data[blanks[-1] + 1:]
+    codes = np.frombuffer(data, np.uint8)
+    edge = np.diff(np.concatenate([[False], (codes != 32) & (codes - np.uint8(9) >= 5), [False]]).view(np.int8))
+    starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    up, down = _powers()
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_VALUES[codes] * up[:len(codes)])])
+    h = (sums[ends] - sums[starts]) * down[starts]
+    h = (h ^ (h >> np.uint64(32))) * _B + (ends - starts).astype(np.uint64)
+    for i in np.flatnonzero(ends - starts > _LONG):
+        h[i] = xxhash.xxh3_64_intdigest(data[starts[i]:ends[i]])
+    return np.concatenate([*out, h]) if out else h
 
 
 def window_hashes(words: np.ndarray, size: int) -> np.ndarray:
@@ -71,6 +107,17 @@ def _groups(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, np.repeat(new, np.diff(np.append(new, len(k))))
 
 
+def _turned(doc: np.ndarray) -> np.ndarray:
+    """Ids with their high 40 bits turned to the front: in a row, an id's significant bytes then lie next to the hash behind
+    it and the position behind that, which packs a shuffled row into fewer bytes. ``_id_of`` turns them back."""
+    d = doc.astype(np.uint64)
+    return ((d << np.uint64(40)) | (d >> np.uint64(24))).view(np.int64)
+
+
+def _id_of(turned: str) -> Column:
+    return F.shiftleft(turned, 24).bitwiseOR(F.shiftrightunsigned(turned, 40))
+
+
 def _shared_runs(docs: DataFrame, k: int, piece: int, block: int) -> DataFrame:
     """(doc, runs): the candidate runs of each document, packed as first window * 16 + windows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -79,25 +126,24 @@ def _shared_runs(docs: DataFrame, k: int, piece: int, block: int) -> DataFrame:
         def settle():
             m, doc, at = (np.concatenate(x) for x in zip(*held))
             order, head = _groups(m, doc, at)
-            m, doc, at = m[order], doc[order], at[order]
             last = np.append(np.flatnonzero(np.diff(head)), len(m) - 1)
             tail = np.repeat(last, np.diff(np.append(np.unique(head), len(m))))
-            size = tail - head + 1
-            known = (doc[head] != doc[tail]) & (size > 3)
+            settled = (doc[order[head]] != doc[order[tail]]) & (tail - head > 2)
+            first = np.flatnonzero(settled & (np.arange(len(m)) == head))
+            ends = order[np.concatenate([first, tail[first]])]  # the smallest and the largest document bear witness
+            known = np.zeros(len(m), bool)
+            known[order] = settled  # rows leave in the order of documents, which packs better
             key = np.where(known, _mix(doc, at), m)
-            first = np.flatnonzero(known & (np.arange(len(m)) == head))
-            ends = np.concatenate([first, tail[first]])  # the smallest and the largest document bear witness
             return pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([key, m[ends]]).view(np.int64)), pa.array(np.concatenate([doc, doc[ends]])),
-                 pa.array(np.concatenate([at, np.full(len(ends), -1)])), pa.array(np.concatenate([known, np.zeros(len(ends), bool)]))],
-                names=["k", "doc", "at", "known"])
+                [pa.array(_turned(np.concatenate([doc, doc[ends]]))), pa.array(np.concatenate([key, m[ends]]).view(np.int64)),
+                 pa.array(np.concatenate([at * 2 + known, np.full(len(ends), -2)]))], names=["turned", "k", "at"])
 
         for batch in batches:
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                words = words_of(text.as_py())
+                words = word_hashes(text.as_py().encode("utf-8", "surrogatepass"))
                 if len(words) < k:
                     continue
-                m, first, size = minimizer_runs(word_hashes(words), k, piece)
+                m, first, size = minimizer_runs(words, k, piece)
                 held.append((m, np.full(len(m), doc, np.int64), first * 16 + size))
                 rows += len(m)
                 if rows >= block:
@@ -106,9 +152,10 @@ def _shared_runs(docs: DataFrame, k: int, piece: int, block: int) -> DataFrame:
         if held:
             yield settle()
 
-    runs = docs.select("doc", "text").mapInArrow(run, "k bigint, doc bigint, at bigint, known boolean")
+    runs = docs.select("doc", "text").mapInArrow(run, "turned bigint, k bigint, at bigint").repartition("k")
+    runs = runs.select("k", _id_of("turned").alias("doc"), F.shiftright("at", 1).alias("at"), (F.col("at") % 2 != 0).alias("known"))
     same = Window.partitionBy("k", "known")
-    dealt = runs.repartition("k").select("doc", "at", "known", (F.min("doc").over(same) < F.max("doc").over(same)).alias("shared"))
+    dealt = runs.select("doc", "at", "known", (F.min("doc").over(same) < F.max("doc").over(same)).alias("shared"))
     return dealt.where("at >= 0 and (known or shared)").groupBy("doc").agg(F.collect_list("at").alias("runs"))
 
 
@@ -117,38 +164,46 @@ def _tag(text: bytes, repeated: bool) -> int:
     return xxhash.xxh32_intdigest(text) >> 1 if repeated else 0
 
 
-def _occurrences(docs: DataFrame, k: int, block: int) -> DataFrame:
-    """Edge occurrences (key, doc, tag, pos) of the candidate runs, with (sdoc, stag, spos) where the task itself has the
-    edge in a smaller document; ``key`` deals the others by edge."""
-    names = ["key", "doc", "tag", "pos", "sdoc", "stag", "spos"]
+def _occurrences(docs: DataFrame, k: int, block: int, pieces: bool) -> DataFrame:
+    """Occurrences (turned id, key, at = pos * 16 + n, tag) of the documents' candidate runs: of whole runs as ``pieces`` of a path, else of
+    their single edges (n = 1). (sdoc, stag, spos) is where the task itself has the same in a smaller document; ``key``
+    deals the others by what they hold."""
+    names = ["turned", "key", "at", "tag", "sdoc", "stag", "spos"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, rows = [], 0
 
         def settle():
-            h, doc, tag, pos = (np.concatenate(x) for x in zip(*held))
+            h, doc, tag, pos, n = (np.concatenate(x) for x in zip(*held))
             order, head = _groups(h, doc, tag, pos)
-            h, doc, tag, pos = h[order], doc[order], tag[order], pos[order]
-            done = doc[head] < doc
+            source = np.empty(len(h), np.int64)
+            source[order] = order[head]
+            done = doc[source] < doc
             key = np.where(done, _mix(doc, pos), h)
-            source = [pa.array(x[head], mask=~done) for x in (doc, tag, pos)]
-            return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(doc), pa.array(tag), pa.array(pos), *source], names=names)
+            known = [pa.array(x[source], mask=~done) for x in (doc, tag, pos)]
+            at = pos.astype(np.int64) * 16 + n
+            return pa.RecordBatch.from_arrays([pa.array(_turned(doc)), pa.array(key.view(np.int64)), pa.array(at), pa.array(tag), *known], names=names)
 
         for batch in batches:
             for doc, text, again, runs in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), batch.column(3)):
-                raw = text.as_py()
-                words = words_of(raw)
+                raw = text.as_py().encode("utf-8", "surrogatepass")
+                words = word_hashes(raw)
                 if len(words) < k:
                     continue
-                edges = window_hashes(word_hashes(words), k)
-                at = np.asarray(runs.values)
-                wanted = np.zeros(len(edges) + 16, bool)
-                for i in range(int((at & 15).max())):
-                    starts = (at >> 4) + i
-                    wanted[starts[(i < (at & 15)) & (starts < len(edges))]] = True
-                pos = np.flatnonzero(wanted[:len(edges)]).astype(np.int32)
-                held.append((edges[pos], np.full(len(pos), doc, np.int64),
-                             np.full(len(pos), _tag(raw.encode("utf-8", "surrogatepass"), again), np.int32), pos))
+                edges = window_hashes(words, k)
+                at = np.unique(np.asarray(runs.values))
+                pos, n = at >> 4, at & 15
+                if not pieces:
+                    n = np.minimum(n, np.maximum(len(edges) - pos, 0))
+                    pos = np.repeat(pos, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                    n = np.ones(len(pos), np.int64)
+                ok = pos + n <= len(edges)  # runs of another text of a repeated id may not exist here
+                pos, n = pos[ok], n[ok]
+                h = edges[pos]
+                if pieces:  # a run is shorter than a window, so its first and last window hold all its words
+                    h = _mix(_mix(h, edges[pos + n - 1]), n)
+                held.append((h, np.full(len(pos), doc, np.int64), np.full(len(pos), _tag(raw, again), np.int32),
+                             pos.astype(np.int32), n.astype(np.int32)))
                 rows += len(pos)
                 if rows >= block:
                     yield settle()
@@ -157,25 +212,32 @@ def _occurrences(docs: DataFrame, k: int, block: int) -> DataFrame:
             yield settle()
 
     return docs.select("doc", "text", "again", "runs").mapInArrow(
-        run, "key bigint, doc bigint, tag int, pos int, sdoc bigint, stag int, spos int")
+        run, "turned bigint, key bigint, at bigint, tag int, sdoc bigint, stag int, spos int")
+
+
+def _placed(occurrences: DataFrame) -> DataFrame:
+    """Occurrences with the first document, text and position (sdoc, stag, spos) that holds the same."""
+    first = Window.partitionBy("key").orderBy("doc", "tag", "pos")
+    source = [F.coalesce(F.col(s), F.first(c).over(first)).alias(s) for s, c in (("sdoc", "doc"), ("stag", "tag"), ("spos", "pos"))]
+    dealt = occurrences.repartition("key").select(
+        "key", _id_of("turned").alias("doc"), "tag", F.shiftright("at", 4).cast("int").alias("pos"), (F.col("at") % 16).cast("int").alias("n"),
+        "sdoc", "stag", "spos")
+    return dealt.select("doc", "tag", "pos", "n", *source)
 
 
 def _digest(words: list[bytes], start: int, windows: int, k: int) -> bytes:
     return xxhash.xxh3_128_digest(b" ".join(words[start:start + windows + k - 1]))
 
 
-def _spans(occurrences: DataFrame) -> DataFrame:
-    """(doc, tag, start, windows, sdoc, stag, sstart): branchless paths of windows that a smaller document has too."""
-    edge = Window.partitionBy("key").orderBy("doc", "tag", "pos")
-    first = [F.coalesce(F.col(s), F.first(c).over(edge)).alias(s) for s, c in (("sdoc", "doc"), ("stag", "tag"), ("spos", "pos"))]
-    later = occurrences.repartition("key").select("doc", "tag", "pos", *first).where("sdoc < doc")
+def _spans(placed: DataFrame) -> DataFrame:
+    """(doc, tag, start, windows, sdoc, stag, sstart): neighbours whose source coordinates advance together are one path."""
     order = Window.partitionBy("doc", "tag").orderBy("pos")
     step = F.col("pos") - F.lag("pos").over(order)
-    goes_on = ((step <= 1) & (F.col("spos") - F.lag("spos").over(order) == step) & (F.col("sdoc") == F.lag("sdoc").over(order))
-               & (F.col("stag") == F.lag("stag").over(order)))
+    goes_on = ((step <= F.lag("n").over(order)) & (F.col("spos") - F.lag("spos").over(order) == step)
+               & (F.col("sdoc") == F.lag("sdoc").over(order)) & (F.col("stag") == F.lag("stag").over(order)))
     path = F.sum(F.when(goes_on, 0).otherwise(1)).over(order.rowsBetween(Window.unboundedPreceding, 0))
-    return (later.withColumn("path", path).groupBy("doc", "tag", "path", "sdoc", "stag")
-            .agg(F.min("pos").alias("start"), (F.max("pos") - F.min("pos") + 1).alias("windows"), F.min("spos").alias("sstart"))
+    return (placed.withColumn("path", path).groupBy("doc", "tag", "path", "sdoc", "stag")
+            .agg(F.min("pos").alias("start"), (F.max(F.col("pos") + F.col("n")) - F.min("pos")).alias("windows"), F.min("spos").alias("sstart"))
             .select("doc", "tag", "start", "windows", "sdoc", "stag", "sstart"))
 
 
@@ -229,7 +291,12 @@ def repeated_spans(docs: DataFrame, k: int = K, piece: int = PIECE, block: int =
     """(doc, tag, start, windows, sdoc, stag, sstart) over prepared documents (doc, text, again): maximal spans of windows
     that start in a document with a smaller id too, with where they start there."""
     runs = _shared_runs(docs, k, piece, block)
-    return _spans(_occurrences(_by_doc(docs, runs, "inner"), k, block))
+    pieces = _placed(_occurrences(_by_doc(docs, runs, "inner"), k, block, pieces=True))
+    # pieces that no smaller document has whole may still hold edges that one has
+    # (a first piece's source lies in its own document, not behind it; asked so that both readers of the exchange share it)
+    first = pieces.where("sdoc = doc and (stag <> tag or spos <= pos)").groupBy("doc").agg(F.collect_list((F.col("pos") * 16 + F.col("n")).cast("long")).alias("runs"))
+    edges = _placed(_occurrences(_by_doc(docs, first, "inner"), k, block, pieces=False))
+    return _spans(pieces.where("sdoc < doc").union(edges.where("sdoc < doc")).repartition("doc"))
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K, piece: int = PIECE,
