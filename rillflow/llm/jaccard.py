@@ -195,17 +195,38 @@ def _edits(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
             .select("hub", "x", "g", "slack", edits.alias("edits")))
 
 
-def _edit_buckets(edits: DataFrame, num: int, den: int) -> DataFrame:
+def _edits_from_centre(members: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """``_edits`` of all members (hub, x) of a group, from the group's centre: the tokens that over half of them hold. Also
+    ``nearest``, the member with the smallest g, and ``g0``, that g."""
+    own = _of(sets, members, ("x", "x"), ["tokens"])
+    held = members.join(own, "x")
+    size = members.groupBy("hub").agg(F.count(F.lit(1)).alias("size"))
+    common = held.select("hub", F.explode("tokens").alias("t")).groupBy("hub", "t").agg(F.count(F.lit(1)).alias("many"))
+    centres = (common.join(size, "hub").where("2 * many > size").groupBy("hub").agg(F.collect_list("t").alias("centre")))
+    both = members.join(own, "x").join(cut(centres, "jaccard-centres"), "hub", "left")
+    centre = F.coalesce("centre", F.array().cast("array<bigint>"))
+    gone, new = F.array_except(centre, "tokens"), F.array_except("tokens", centre)
+    both = both.select("hub", "x", (F.lit(den - num) * F.size(centre)).alias("slack"), gone.alias("gone"), new.alias("new"))
+    edits = F.concat(F.transform("gone", lambda t: F.xxhash64(t, F.lit(1))), F.transform("new", lambda t: F.xxhash64(t, F.lit(2))))
+    both = cut(both.select("hub", "x", "slack", (den * F.size("gone") + num * F.size("new")).alias("g"), edits.alias("edits")), "jaccard-edits")
+    first = both.groupBy("hub").agg(F.min(F.struct("g", "x")).alias("m")).select("hub", F.col("m.x").alias("nearest"), F.col("m.g").alias("g0"))
+    return both.join(first, "hub").select("hub", "x", "g", "slack", "edits", "nearest", "g0")
+
+
+def _edit_buckets(edits: DataFrame, num: int, den: int, centred: bool) -> DataFrame:
     """(bucket, hub, x, short): documents of a hub by the prefixes of their edits that others of the hub share."""
     each = edits.select("hub", "x", F.explode("edits").alias("edit"))
     shared = cut(each.groupBy("hub", "edit").agg(F.count(F.lit(1)).alias("many")).where("many > 1"), "jaccard-shared-edits")
     lists = each.join(shared, ["hub", "edit"]).groupBy("hub", "x").agg(F.array_sort(F.collect_set(F.struct("many", "edit"))).alias("own"))
-    lists = lists.join(edits.select("hub", "x", "g", "slack", F.size("edits").alias("e")), ["hub", "x"])
+    lists = lists.join(edits.select("hub", "x", "g", "slack", "g0", F.size("edits").alias("e")), ["hub", "x"])
     alone = F.col("e") - F.size("own")  # edits nobody else has come first
     # two documents are linked by over g / (num + den) shared edits, for either one if the other is not linked to the hub
     short = F.col("e") - F.floor(F.col("g") / F.lit(num + den)) - alone
-    least = F.greatest(F.ceil((F.col("g") - F.col("slack")) / F.lit(num + den)), F.lit(1))
-    longer = F.when(F.col("g") > F.col("slack"), F.col("e") - least + 1 - alone).otherwise(short)
+    least = F.greatest(F.ceil((F.col("g") + F.col("g0") - F.col("slack")) / F.lit(num + den)), F.lit(1))
+    if centred:  # pairs with g + g <= slack are linked through the nearest; others share an edit, and so many at least
+        short = longer = F.col("e") - least + 1 - alone
+    else:
+        longer = F.when(F.col("g") > F.col("slack"), F.col("e") - least + 1 - alone).otherwise(short)
     most = F.greatest(short, longer, F.lit(0)).cast("int")
     rows = lists.select("hub", "x", short.alias("short"), F.posexplode(F.slice("own", F.lit(1), most)).alias("i", "s"))
     return rows.select(F.xxhash64("hub", "s.edit").alias("bucket"), "hub", "x", (F.col("i") < F.col("short")).alias("short"))
@@ -255,7 +276,9 @@ def _links(sets: DataFrame, num: int, den: int) -> DataFrame:
 
     Members of a bucket are near its hub (num * g <= (num + den) * slack), not linked to it (g > slack) or both. One
     that is not near and one that is linked to the hub are not linked: the shared edits would have to outnumber the second
-    one's edits. So near members are paired by edits, those not linked to the hub among themselves.
+    one's edits. So near members are paired by edits, those not linked to the hub among themselves. Buckets too large for
+    that form groups (by hub) that are dealt anew by the edits from the group's centre, where all pairs are covered: what
+    a very common passage brings together shares it with the centre and needs to share edits besides.
     """
     buckets = sets.select(F.explode("p1").alias("bucket"), "x")
     links = None
@@ -264,9 +287,14 @@ def _links(sets: DataFrame, num: int, den: int) -> DataFrame:
         buckets = cut(buckets.distinct(), "jaccard-buckets")
         hubs = cut(buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("x").alias("hub")).where("size > 1")
                    .select("bucket", "hub"), "jaccard-hubs")
-        members = buckets.join(hubs, "bucket").where("x <> hub")
-        edits = cut(_edits(members.select("hub", "x").distinct(), sets, num, den), "jaccard-edits")
-        found = edits.where("g <= slack").select(F.col("hub").alias("a"), F.col("x").alias("b"))
+        members = buckets.join(hubs, "bucket")
+        if level == 0:
+            members = members.where("x <> hub")
+            edits = cut(_edits(members.select("hub", "x").distinct(), sets, num, den)
+                        .select("*", F.col("hub").alias("nearest"), F.lit(0).alias("g0")), "jaccard-edits")
+        else:
+            edits = cut(_edits_from_centre(cut(members.select("hub", "x").distinct(), "jaccard-members"), sets, num, den), "jaccard-edits")
+        found = edits.where("g + g0 <= slack and x <> nearest").select(F.col("nearest").alias("a"), F.col("x").alias("b"))
         links = cut(found if links is None else links.union(found), "jaccard-links")
         labels = cut(components(links), "jaccard-labels")
 
@@ -279,20 +307,21 @@ def _links(sets: DataFrame, num: int, den: int) -> DataFrame:
             rows = rows.join(cut(sized.where("lo < hi").select("bucket", "size"), "jaccard-sizes"), "bucket")
             return rows.where(F.col("size") <= most), rows.where(F.col("size") > most).select("bucket", "x")
 
-        at_hub = edits.where("g <= slack").select("hub", "x")
-        away = members.join(at_hub, ["hub", "x"], "left_anti").select("bucket", "x", F.lit(True).alias("short"))
-        away = cut(labelled(away), "jaccard-away")
-        few, many = still_open(away)
-        found = _linked(_pairs(few, [], "true"), sets, num, den)
+        if level == 0:
+            at_hub = edits.where("g <= slack").select("hub", "x")
+            away = members.join(at_hub, ["hub", "x"], "left_anti").select("bucket", "x", F.lit(True).alias("short"))
+            away = cut(labelled(away), "jaccard-away")
+            few, many = still_open(away)
+            links = cut(links.union(_linked(_pairs(few, [], "true"), sets, num, den)), "jaccard-links")
 
         spans = (labelled(edits.select("hub", "x")).groupBy("hub").agg(F.count(F.lit(1)).alias("near"), F.min("label").alias("lo"), F.max("label").alias("hi"))
                  .where("near > 1 and (lo < hi)").select("hub"))
         near = cut(edits.join(cut(spans, "jaccard-spans"), "hub"), "jaccard-near")
-        by_edit = cut(labelled(_edit_buckets(near, num, den)), "jaccard-edit-buckets")
+        by_edit = cut(labelled(_edit_buckets(near, num, den, centred=level > 0)), "jaccard-edit-buckets")
         few_edits, many_edits = still_open(by_edit)
-        found = found.union(_linked_by_edits(_pairs(few_edits, ["hub"], "(sa or sb)"), near, sets, num, den))
+        found = _linked_by_edits(_pairs(few_edits, ["hub"], "(sa or sb)"), near, sets, num, den)
         links = cut(links.union(found), "jaccard-links")
-        buckets = many.union(many_edits)
+        buckets = many.union(many_edits) if level == 0 else many_edits
         if level == LEVELS or buckets.isEmpty():
             return links
     raise AssertionError("the last level pairs all")
