@@ -14,6 +14,7 @@ third of all documents hold reaches its key's task with a few rows per sending t
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,6 +34,7 @@ _A, _B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 #: Polynomial word hashing modulo 2 ** 64: a random value per byte, powers of an odd base by position.
 _STRETCH, _LONG = 1 << 20, 64
+_BLANK = re.compile(rb"[\x20\x09-\x0D]")
 _VALUES = np.random.default_rng(20240607).integers(0, 1 << 64, 256, dtype=np.uint64)
 _BASE = 0xD1342543DE82EF95 | 2
 _POWERS: dict[str, np.ndarray] = {}
@@ -59,9 +61,12 @@ def word_hashes(data: bytes) -> np.ndarray:
     while len(data) > _STRETCH:
         codes = np.frombuffer(data[:_STRETCH], np.uint8)
         blanks = np.flatnonzero((codes == 32) | (codes - np.uint8(9) < 5))
-        if not len(blanks):  # one word longer than a stretch
-            words = data.split()
-            return np.concatenate([*out, np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))])
+        if not len(blanks):  # one word longer than a stretch, hashed alone
+            blank = _BLANK.search(data, _STRETCH)
+            end = blank.start() if blank else len(data)
+            out.append(np.array([xxhash.xxh3_64_intdigest(data[:end])], np.uint64))
+            data = data[end + 1:]
+            continue
         out.append(word_hashes(data[:blanks[-1]]))
         data = data[blanks[-1] + 1:]
     codes = np.frombuffer(data, np.uint8)

@@ -163,3 +163,20 @@ def test_word_hashes_tell_words_apart_across_stretches(monkeypatch):
     assert substring.word_hashes(text).tolist() == whole
     substring._POWERS.clear()
     assert len(set(zip(text.split(), whole))) == len(set(text.split())) == len(set(whole))
+
+
+def test_words_behind_an_oversize_word_keep_their_hashes(spark):
+    """A word beyond a stretch (1 MiB) in front of, between and behind passages that other documents have."""
+    r = random.Random(8)
+    passage = lambda: " ".join("q%d" % r.randint(0, 10 ** 6) for _ in range(60))
+    a, b = passage(), passage()
+    big = ["%d" % i * ((1 << 20) + 5 + i) for i in (1, 2)]
+    for text in (f"{big[0]} {a}", f"{a} {big[0]}\t {b}", f"{big[0]} {big[1]}", big[0] + "\n"):
+        hashes = substring.word_hashes(text.encode()).tolist()
+        assert hashes == [substring.word_hashes(w)[0] for w in substring.words_of(text)]
+    rows = [(1, a), (2, f"{big[0]} {a}"), (3, f"{big[1]} {b}"), (4, b + " tail"), (5, f"{a} {big[1]} {b}"), (6, f"{a} {big[0]} {b}")]
+    got = [tuple(x) for x in substring.remove_repeats(docs_of(spark, rows)).collect()]
+    assert sorted(map(repr, got)) == sorted(map(repr, removal_brute(rows, 13)))
+    got = [tuple(x) for x in jaccard.near_duplicates(docs_of(spark, rows), k=3).collect()]
+    assert sorted(map(repr, got)) == sorted(map(repr, jaccard_brute(rows, 3, 4, 5)))
+    assert len({c for i, _, c in got if i in (1, 2)}) == 1
