@@ -28,7 +28,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import components, cut, ship
+from .common import SALTS, components, cut, ship
 from .substring import NO_ID, window_hashes, word_hashes
 
 #: Tokens beyond the prefix that the first order picks from, besides one in so many of a set; size up to which members of an edit's bucket are paired;
@@ -71,21 +71,22 @@ def _extra(n):
 
 
 def _narrow(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """(id, n, c, frequent): set size and class key of each row (equal sets have equal keys); and, marked frequent, tokens
+    """(id, row, n, c, frequent): set size and class key of each row (equal sets have equal keys); and, marked frequent, tokens
     (as c) that over 1/FREQUENT of a task's block of sets hold among their first tokens, with their number (as n)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, sets_held, size = [], 0, 0
-        names = ["id", "n", "c", "frequent"]
+        names = ["id", "row", "n", "c", "frequent"]
 
         def settle():
             tokens, many = np.unique(np.concatenate(held), return_counts=True)
             often = many >= max(LEAST_FREQUENT, sets_held / FREQUENT)
-            return pa.RecordBatch.from_arrays([pa.nulls(int(often.sum()), pa.int64()), pa.array(many[often]), pa.array(tokens[often]),
+            none = pa.nulls(int(often.sum()), pa.int64())
+            return pa.RecordBatch.from_arrays([none, none, pa.array(many[often]), pa.array(tokens[often]),
                                                pa.array(np.ones(int(often.sum()), bool))], names=names)
 
         for batch in batches:
-            sets = [shingle_set(text.as_py(), k) for text in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
+            sets = [shingle_set(text.as_py(), k) for text in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([len(s) for s in sets], pa.int64()),
                                               pa.array([class_key(s) for s in sets], pa.int64()), pa.array([False] * len(sets))], names=names)
             held += [_first(s, num, den) for s in sets]
             sets_held += len(sets)
@@ -96,7 +97,7 @@ def _narrow(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
         if held:
             yield settle()
 
-    return docs.select("id", "text").mapInArrow(run, "id bigint, n bigint, c bigint, frequent boolean")
+    return docs.select("id", "row", "text").mapInArrow(run, "id bigint, row bigint, n bigint, c bigint, frequent boolean")
 
 
 def _first_tokens(docs: DataFrame, frequent: np.ndarray, k: int, num: int, den: int) -> DataFrame:
@@ -143,29 +144,33 @@ def _survivors(docs: DataFrame, frequent: np.ndarray, k: int, num: int, den: int
 
 
 def _sets(docs: DataFrame, survivors: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """(x, n, tokens, p1, p2, p3): size, whole set and prefixes under three orders of each surviving class; x is its smallest
-    id. Prefix p2 goes on beyond the length of p3, for hubs and documents near them."""
+    """(x, n, tokens, p1, p2, p3): size, whole set and prefixes under three orders of each surviving class; x is its class
+    key. ``survivors`` names one ``row`` of each class, whose text is fetched; rows equal in id and text give their class
+    more than once. Prefix p2 goes on beyond the length of p3, for hubs and documents near them."""
     heaviest = (num + den) * (den - num) / num  # g of a near document as a multiple of its hub's size
     least = max(min(1 - heaviest / den, 1 / (1 + heaviest / num)) - 1e-9, 0.0)  # tokens near ones share, as a share of either set
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        done = None
+        seen: set[int] = set()
         for batch in batches:
             rows = []
-            for doc, text, c, prefix in zip(*(col.to_pylist() for col in batch.columns)):
+            for text, c, prefix in zip(*(col.to_pylist() for col in batch.columns)):
+                if c in seen:
+                    continue
                 s = shingle_set(text, k)
-                if class_key(s) != c or doc == done:  # another text of a repeated id, or the same again
+                if class_key(s) != c:  # another text with this row's hash
                     continue
-                done = doc
+                if len(seen) < REMEMBERED:
+                    seen.add(c)
                 p = len(s) - _needed(len(s), num, den) + 1
                 ordered = [s[np.argsort(s.view(np.uint64) * o, kind="stable")] for o in _ORDERS]
                 more = [ordered[0][:len(s) - int(least * len(s)) + 1], ordered[1][:p]]
-                rows.append((doc, len(s), s, prefix, *more))
+                rows.append((c, len(s), s, prefix, *more))
             if rows:
                 x, n, *lists = zip(*rows)
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.array(n, pa.int64()), *[pa.array(v, pa.list_(pa.int64())) for v in lists]],
                                                  names=["x", "n", "tokens", "p1", "p2", "p3"])
 
-    joined = docs.select("id", "text").join(survivors, "id").select("id", "text", "c", "prefix")
+    joined = docs.select("row", "text").join(survivors, "row").select("text", "c", "prefix")
     return joined.mapInArrow(run, "x bigint, n bigint, tokens array<bigint>, p1 array<bigint>, p2 array<bigint>, p3 array<bigint>")
 
 
@@ -327,32 +332,52 @@ def _links(sets: DataFrame, num: int, den: int) -> DataFrame:
     raise AssertionError("the last level pairs all")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, num: int = 4, den: int = 5) -> DataFrame:
-    """One row per input row: id, ``n_shingles``, ``component_id``: smallest id reachable by links, its own included.
+def _row(ids: Column, text: Column) -> Column:
+    """Names a row by its id and text: rows equal in both are one, other rows of a repeated id (null too) are not."""
+    return F.xxhash64(ids, F.coalesce(text, F.lit("")))
 
-    Rows link when den * intersection >= num * union of their shingle sets (``k`` words each). Null texts and texts without
-    words have empty sets and are linked with nothing, not with each other. Rows that repeat an id are rows of their own
-    with one id. A null id counts as larger than any other; a component of null ids only has a null ``component_id``.
-    No rows give no rows; further columns are ignored, whatever their names. Shingles and sets are told apart by 64-bit
-    hashes.
-    """
+
+def _smallest_ids(classes: DataFrame, labels: DataFrame) -> DataFrame:
+    """(c, component): smallest id of each class's component. The classes of one component are dealt into ``SALTS`` parts, so
+    a component of any share of them does not meet in one task."""
+    linked = classes.join(labels, F.col("c") == F.col("node")).select("c", "x", F.col("component").alias("label"), F.pmod("c", F.lit(SALTS)).alias("salt"))
+    parts = cut(linked.groupBy("label", "salt").agg(F.min("x").alias("m")), "jaccard-parts")
+    least = parts.groupBy("label").agg(F.min("m").alias("component"))
+    found = linked.join(parts.join(least, "label").select("label", "salt", "component"), ["label", "salt"])
+    return classes.join(found.select("c", "component"), "c", "left").select("c", F.coalesce("component", "x").alias("component"))
+
+
+def _judged(docs: DataFrame, id_col: str, text_col: str, k: int, num: int, den: int) -> DataFrame:
+    """(id, row, n, component) of each row; null ids are ``NO_ID``, rows with empty sets have no component. Classes are the
+    nodes of the links, so different texts of one id are nodes of their own; ids come in when components are final."""
     ship(docs.sparkSession)
     ids: Column = F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID))
-    plain = docs.select(ids.alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    plain = docs.select(ids.alias("id"), _row(ids, F.col(text_col)).alias("row"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     both = cut(_narrow(plain, k, num, den), "jaccard-narrow")
-    narrow = both.where("not frequent").select("id", "n", "c")
+    narrow = both.where("not frequent").select("id", "row", "n", "c")
     least = narrow.count() / FREQUENT
     often = both.where("frequent").groupBy("c").agg(F.sum("n").alias("many")).where(F.col("many") >= least)
     frequent = np.array([r["c"] for r in often.orderBy(F.desc("many"), "c").limit(MOST_FREQUENT).collect()], np.int64)
-    smallest = cut(narrow.where("n > 0").groupBy("c").agg(F.min("id").alias("x")), "jaccard-classes")
-    survivors = _survivors(plain, frequent, k, num, den).join(smallest, "c").select(F.col("x").alias("id"), "c", "prefix")
+    classes = cut(narrow.where("n > 0").groupBy("c").agg(F.min("id").alias("x"), F.min("row").alias("row")), "jaccard-classes")
+    survivors = _survivors(plain, frequent, k, num, den).join(classes, "c").select("row", "c", "prefix")
     # kept on the executors' disks, dealt out by x; a lost executor's part is computed again
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sets = _sets(plain, survivors, k, num, den).repartition(parts, "x").persist(StorageLevel.DISK_ONLY)
-    labels = components(_links(sets, num, den))
+    sets = _sets(plain, survivors, k, num, den).repartition(parts, "x").dropDuplicates(["x"]).persist(StorageLevel.DISK_ONLY)
+    found = cut(_smallest_ids(classes.select("c", "x"), components(_links(sets, num, den))), "jaccard-components")
     sets.unpersist()
-    classes = smallest.join(labels, F.col("x") == F.col("node"), "left").select("c", F.coalesce("component", "x").alias("component"))
-    rows = narrow.join(cut(classes, "jaccard-components"), "c", "left")
+    return narrow.join(found, "c", "left").select("id", "row", "n", "component")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, num: int = 4, den: int = 5) -> DataFrame:
+    """One row per input row: id, ``n_shingles``, ``component_id``: smallest id reachable by links, its own included.
+
+    Rows link when den * intersection >= num * union of their shingle sets (``k`` words each). Null texts and texts without
+    words have empty sets and are linked with nothing, not with each other. Rows that repeat an id are rows of their own
+    with one id. A null id counts as larger than any other; a component of null ids only has a null ``component_id``.
+    No rows give no rows; further columns are ignored, whatever their names. Shingles and sets are told apart by 64-bit
+    hashes.
+    """
+    rows = _judged(docs, id_col, text_col, k, num, den)
     kind = docs.schema[id_col].dataType.simpleString()
     own = lambda c: F.when(F.col(c) != NO_ID, F.col(c)).cast(kind)
     return rows.select(own("id").alias(id_col), F.col("n").alias("n_shingles"),
@@ -360,8 +385,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, num: int = 4, den: int = 5) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of their component, with all their columns; rows with empty sets stay."""
-    found = near_duplicates(docs, id_col, text_col, k, num, den)
-    gone = found.where(~F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("_gone")).distinct()
+    """The rows of ``docs`` whose id is the smallest of their component, with all their columns; rows with empty sets stay.
+    Rows of a repeated id (null too) are judged one by one, each by its own text."""
+    rows = _judged(docs, id_col, text_col, k, num, den)
+    gone = rows.where("n > 0 and id <> component").select(F.col("id").alias("_gone"), F.col("row").alias("_row")).distinct()
     gone = cut(gone, "jaccard-gone")  # a table of known size: small ones are broadcast, others joined by shuffle
-    return docs.join(gone, docs[id_col].eqNullSafe(gone["_gone"]), "left_anti")
+    ids: Column = F.coalesce(docs[id_col].cast("long"), F.lit(NO_ID))
+    return docs.join(gone, (ids == gone["_gone"]) & (_row(ids, docs[text_col]) == gone["_row"]), "left_anti")

@@ -180,3 +180,16 @@ def test_words_behind_an_oversize_word_keep_their_hashes(spark):
     got = [tuple(x) for x in jaccard.near_duplicates(docs_of(spark, rows), k=3).collect()]
     assert sorted(map(repr, got)) == sorted(map(repr, jaccard_brute(rows, 3, 4, 5)))
     assert len({c for i, _, c in got if i in (1, 2)}) == 1
+
+
+def test_different_texts_of_one_id_are_judged_apart(spark):
+    """Null ids and a repeated id: a row with a near copy elsewhere goes, clean rows of its id stay and link with nothing."""
+    r = random.Random(3)
+    text = lambda: " ".join("t%d" % r.randint(0, 10 ** 6) for _ in range(30))
+    a, b, c, d, e, f = (text() for _ in range(6))
+    rows = [(1, a), (None, a + " end"), (None, b), (2, c), (7, c + " end"), (7, d), (8, d + " end"), (None, e), (None, e + " end"), (9, b + " end"), (7, f),
+            (7, f)]
+    got = [tuple(x) for x in jaccard.near_duplicates(docs_of(spark, rows)).collect()]
+    assert sorted(map(repr, got)) == sorted(map(repr, jaccard_brute(rows, 5, 4, 5)))
+    left = sorted(repr((x[0], x[1])) for x in jaccard.drop_near_duplicates(docs_of(spark, rows)).collect())
+    assert left == sorted(map(repr, [(1, a), (2, c), (7, d), (7, f), (7, f), (9, b + " end"), (None, e), (None, e + " end")]))
