@@ -27,6 +27,8 @@ from .common import ship
 
 #: Words in a window; words in a minimizer's piece; rows a task settles together.
 K, PIECE, BLOCK = 13, 5, 2_000_000
+#: Bits of first window * 16 + windows (a text has less than 2 ** 31 bytes); a tag has the 28 bits above and fits with a flag.
+_AT_BITS = 34
 #: Stands for a null id: later than any other.
 NO_ID = (1 << 63) - 1
 _A, _B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -124,7 +126,8 @@ def _id_of(turned: str) -> Column:
 
 
 def _shared_runs(docs: DataFrame, k: int, piece: int, block: int) -> DataFrame:
-    """(doc, runs): the candidate runs of each document, packed as first window * 16 + windows."""
+    """(doc, tag, runs): the candidate runs of each text, packed as first window * 16 + windows; rows carry the tag above that,
+    where it takes no room if it is 0."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, rows = [], 0
 
@@ -144,12 +147,12 @@ def _shared_runs(docs: DataFrame, k: int, piece: int, block: int) -> DataFrame:
                  pa.array(np.concatenate([at * 2 + known, np.full(len(ends), -2)]))], names=["turned", "k", "at"])
 
         for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for doc, text, tag in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
                 words = word_hashes(text.as_py().encode("utf-8", "surrogatepass"))
                 if len(words) < k:
                     continue
                 m, first, size = minimizer_runs(words, k, piece)
-                held.append((m, np.full(len(m), doc, np.int64), first * 16 + size))
+                held.append((m, np.full(len(m), doc, np.int64), (tag << _AT_BITS) + first * 16 + size))
                 rows += len(m)
                 if rows >= block:
                     yield settle()
@@ -157,16 +160,13 @@ def _shared_runs(docs: DataFrame, k: int, piece: int, block: int) -> DataFrame:
         if held:
             yield settle()
 
-    runs = docs.select("doc", "text").mapInArrow(run, "turned bigint, k bigint, at bigint").repartition("k")
+    runs = docs.select("doc", "text", "tag").mapInArrow(run, "turned bigint, k bigint, at bigint").repartition("k")
     runs = runs.select("k", _id_of("turned").alias("doc"), F.shiftright("at", 1).alias("at"), (F.col("at") % 2 != 0).alias("known"))
     same = Window.partitionBy("k", "known")
     dealt = runs.select("doc", "at", "known", (F.min("doc").over(same) < F.max("doc").over(same)).alias("shared"))
-    return dealt.where("at >= 0 and (known or shared)").groupBy("doc").agg(F.collect_list("at").alias("runs"))
-
-
-def _tag(text: bytes, repeated: bool) -> int:
-    """Tells texts of one repeated id apart; 0 for ids that occur once."""
-    return xxhash.xxh32_intdigest(text) >> 1 if repeated else 0
+    dealt = dealt.where("at >= 0 and (known or shared)").select("doc", F.shiftright("at", _AT_BITS).cast("int").alias("tag"),
+                                                                F.col("at").bitwiseAND(F.lit((1 << _AT_BITS) - 1)).alias("at"))
+    return dealt.groupBy("doc", "tag").agg(F.collect_set("at").alias("runs"))  # rows equal in id and text have theirs in common
 
 
 def _occurrences(docs: DataFrame, k: int, block: int, pieces: bool) -> DataFrame:
@@ -190,9 +190,8 @@ def _occurrences(docs: DataFrame, k: int, block: int, pieces: bool) -> DataFrame
             return pa.RecordBatch.from_arrays([pa.array(_turned(doc)), pa.array(key.view(np.int64)), pa.array(at), pa.array(tag), *known], names=names)
 
         for batch in batches:
-            for doc, text, again, runs in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), batch.column(3)):
-                raw = text.as_py().encode("utf-8", "surrogatepass")
-                words = word_hashes(raw)
+            for doc, text, tag, runs in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), batch.column(3)):
+                words = word_hashes(text.as_py().encode("utf-8", "surrogatepass"))
                 if len(words) < k:
                     continue
                 edges = window_hashes(words, k)
@@ -202,12 +201,12 @@ def _occurrences(docs: DataFrame, k: int, block: int, pieces: bool) -> DataFrame
                     n = np.minimum(n, np.maximum(len(edges) - pos, 0))
                     pos = np.repeat(pos, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
                     n = np.ones(len(pos), np.int64)
-                ok = pos + n <= len(edges)  # runs of another text of a repeated id may not exist here
+                ok = pos + n <= len(edges)  # runs of another text with this one's id and tag may not exist here
                 pos, n = pos[ok], n[ok]
                 h = edges[pos]
                 if pieces:  # a run is shorter than a window, so its first and last window hold all its words
                     h = _mix(_mix(h, edges[pos + n - 1]), n)
-                held.append((h, np.full(len(pos), doc, np.int64), np.full(len(pos), _tag(raw, again), np.int32),
+                held.append((h, np.full(len(pos), doc, np.int64), np.full(len(pos), tag, np.int32),
                              pos.astype(np.int32), n.astype(np.int32)))
                 rows += len(pos)
                 if rows >= block:
@@ -216,7 +215,7 @@ def _occurrences(docs: DataFrame, k: int, block: int, pieces: bool) -> DataFrame
         if held:
             yield settle()
 
-    return docs.select("doc", "text", "again", "runs").mapInArrow(
+    return docs.select("doc", "text", "tag", "runs").mapInArrow(
         run, "turned bigint, key bigint, at bigint, tag int, sdoc bigint, stag int, spos int")
 
 
@@ -247,20 +246,19 @@ def _spans(placed: DataFrame) -> DataFrame:
 
 
 def _source_digests(docs: DataFrame, k: int) -> DataFrame:
-    """(sdoc, stag, sstart, windows, digest) of the source spans asked for in ``asked`` (one row per document)."""
+    """(sdoc, stag, sstart, windows, digest) of the source spans asked for in ``asked`` (one row per text)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                doc, raw, again, asked = (c[i].as_py() for c in batch.columns)
-                tag, words = _tag(raw.encode("utf-8", "surrogatepass"), again), words_of(raw)
-                own = [s for s in asked if s["stag"] == tag]
+                doc, raw, tag, asked = (c[i].as_py() for c in batch.columns)
+                words = words_of(raw)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([doc] * len(own), pa.int64()), pa.array([s["stag"] for s in own], pa.int32()),
-                     pa.array([s["sstart"] for s in own], pa.int32()), pa.array([s["windows"] for s in own], pa.int32()),
-                     pa.array([_digest(words, s["sstart"], s["windows"], k) for s in own], pa.binary())],
+                    [pa.array([doc] * len(asked), pa.int64()), pa.array([tag] * len(asked), pa.int32()),
+                     pa.array([s["sstart"] for s in asked], pa.int32()), pa.array([s["windows"] for s in asked], pa.int32()),
+                     pa.array([_digest(words, s["sstart"], s["windows"], k) for s in asked], pa.binary())],
                     names=["sdoc", "stag", "sstart", "windows", "digest"])
 
-    return docs.select("doc", "text", "again", "asked").mapInArrow(
+    return docs.select("doc", "text", "tag", "asked").mapInArrow(
         run, "sdoc bigint, stag int, sstart int, windows int, digest binary").distinct()
 
 
@@ -273,35 +271,34 @@ def _kept(docs: DataFrame, k: int) -> DataFrame:
             for at in range(0, batch.num_rows, 256):
                 rows = []
                 part = batch.slice(at, 256)
-                for doc, raw, again, spans in zip(*(c.to_pylist() for c in part.columns)):
+                for doc, raw, spans in zip(*(c.to_pylist() for c in part.columns)):
                     words = words_of(raw)
                     gone = np.zeros(len(words), bool)
-                    tag = _tag(raw.encode("utf-8", "surrogatepass"), again)
                     for s in spans or ():
-                        if s["tag"] == tag and _digest(words, s["start"], s["windows"], k) == s["digest"]:
+                        if _digest(words, s["start"], s["windows"], k) == s["digest"]:
                             gone[s["start"]:s["start"] + s["windows"] + k - 1] = True
                     left = [words[i] for i in np.flatnonzero(~gone)]
                     rows.append((doc, len(words), int(gone.sum()), b" ".join(left).decode("utf-8", "surrogatepass")))
                 kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
 
-    return docs.select("doc", "text", "again", "spans").mapInArrow(run, "doc bigint, n_words bigint, n_removed bigint, kept string")
+    return docs.select("doc", "text", "spans").mapInArrow(run, "doc bigint, n_words bigint, n_removed bigint, kept string")
 
 
-def _by_doc(docs: DataFrame, more: DataFrame, how: str, key: str = "doc") -> DataFrame:
-    return docs.join(more if key == "doc" else more.withColumnRenamed(key, "doc"), "doc", how)
+def _by_text(docs: DataFrame, more: DataFrame, how: str) -> DataFrame:
+    return docs.join(more, ["doc", "tag"], how)
 
 
 def repeated_spans(docs: DataFrame, k: int = K, piece: int = PIECE, block: int = BLOCK) -> DataFrame:
-    """(doc, tag, start, windows, sdoc, stag, sstart) over prepared documents (doc, text, again): maximal spans of windows
+    """(doc, tag, start, windows, sdoc, stag, sstart) over prepared documents (doc, text, tag): maximal spans of windows
     that start in a document with a smaller id too, with where they start there."""
     runs = _shared_runs(docs, k, piece, block)
-    pieces = _placed(_occurrences(_by_doc(docs, runs, "inner"), k, block, pieces=True))
+    pieces = _placed(_occurrences(_by_text(docs, runs, "inner"), k, block, pieces=True))
     # pieces that no smaller document has whole may still hold edges that one has
     # (a first piece's source lies in its own document, not behind it; asked so that both readers of the exchange share it)
-    first = pieces.where("sdoc = doc and (stag <> tag or spos <= pos)").groupBy("doc").agg(F.collect_list((F.col("pos") * 16 + F.col("n")).cast("long")).alias("runs"))
-    edges = _placed(_occurrences(_by_doc(docs, first, "inner"), k, block, pieces=False))
-    return _spans(pieces.where("sdoc < doc").union(edges.where("sdoc < doc")).repartition("doc"))
+    first = pieces.where("sdoc = doc and (stag <> tag or spos <= pos)").groupBy("doc", "tag").agg(F.collect_set((F.col("pos").cast("long") * 16 + F.col("n"))).alias("runs"))
+    edges = _placed(_occurrences(_by_text(docs, first, "inner"), k, block, pieces=False))
+    return _spans(pieces.where("sdoc < doc").union(edges.where("sdoc < doc")).repartition("doc", "tag"))
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K, piece: int = PIECE,
@@ -318,20 +315,21 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     ship(docs.sparkSession)
     ids: Column = F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID))
     plain = docs.select(ids.alias("doc"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    twice = plain.groupBy("doc").count().where("count > 1").select("doc", F.lit(True).alias("again"))
-    rows = plain.select("doc", "text")
-    spans = repeated_spans(_with(rows, twice), k, piece, block)
-    asked = (spans.select("sdoc", "stag", "sstart", "windows").distinct().groupBy("sdoc")
-             .agg(F.collect_list(F.struct("stag", "sstart", "windows")).alias("asked")))
-    source = _source_digests(_by_doc(_with(rows, twice), asked, "inner", "sdoc"), k)
-    checked = (spans.join(source, ["sdoc", "stag", "sstart", "windows"]).groupBy("doc")
-               .agg(F.collect_list(F.struct("tag", "start", "windows", "digest")).alias("spans")))
-    out = _kept(_by_doc(_with(rows, twice), checked, "left"), k)
+    rows = plain.select("doc", "text", _tag(plain).alias("tag"))
+    spans = repeated_spans(rows, k, piece, block)
+    asked = (spans.select(F.col("sdoc").alias("doc"), F.col("stag").alias("tag"), "sstart", "windows").distinct().groupBy("doc", "tag")
+             .agg(F.collect_list(F.struct("sstart", "windows")).alias("asked")))
+    source = _source_digests(_by_text(rows, asked, "inner"), k)
+    checked = (spans.join(source, ["sdoc", "stag", "sstart", "windows"]).groupBy("doc", "tag")
+               .agg(F.collect_list(F.struct("start", "windows", "digest")).alias("spans")))
+    out = _kept(_by_text(rows, checked, "left"), k)
     kind = docs.schema[id_col].dataType.simpleString()
     return out.select(F.when(F.col("doc") != NO_ID, F.col("doc")).cast(kind).alias(id_col), "n_words", "n_removed", "kept")
 
 
-def _with(rows: DataFrame, twice: DataFrame) -> DataFrame:
-    """Documents with ``again``: whether their id occurs more than once."""
-    joined = rows.join(twice, "doc", "left")
-    return joined.select("doc", "text", F.coalesce("again", F.lit(False)).alias("again"))
+def _tag(rows: DataFrame) -> Column:
+    """Tells texts of one id (null ids are one too) apart, so that what is asked of one is not dealt to all; 0 (1 for ids
+    below 0), which takes no room in shuffles, if no id of the table occurs twice."""
+    if rows.groupBy("doc").count().where("count > 1").isEmpty():
+        return F.shiftrightunsigned("doc", 63).cast("int")  # no literal: one drops out of join keys, and both sides are dealt out anew
+    return F.shiftrightunsigned(F.xxhash64("text"), _AT_BITS + 2).cast("int")

@@ -193,3 +193,29 @@ def test_different_texts_of_one_id_are_judged_apart(spark):
     assert sorted(map(repr, got)) == sorted(map(repr, jaccard_brute(rows, 5, 4, 5)))
     left = sorted(repr((x[0], x[1])) for x in jaccard.drop_near_duplicates(docs_of(spark, rows)).collect())
     assert left == sorted(map(repr, [(1, a), (2, c), (7, d), (7, f), (7, f), (9, b + " end"), (None, e), (None, e + " end")]))
+
+
+def test_each_text_of_a_repeated_id_gets_its_own_runs_alone(spark, monkeypatch):
+    """Null ids and a repeated id: what is joined to a text is its own, not that of all texts of its id."""
+    r = random.Random(6)
+    passage = [" ".join("p%d" % r.randint(0, 10 ** 6) for _ in range(20)) for _ in range(12)]
+    rows = [(i, p) for i, p in enumerate(passage)] + [(None, p + " n") for p in passage] + [(50, p + " m") for p in passage]
+    rows += [(None, passage[0] + " n"), (50, passage[0] + " m"), (60, passage[3] + " m")]
+    sizes, kept = [], substring._kept
+
+    def seen(docs, k):
+        sizes.extend(x[0] for x in docs.select(F.size("spans")).where("spans is not null").collect())
+        return kept(docs, k)
+    monkeypatch.setattr(substring, "_kept", seen)
+    runs = substring._shared_runs
+    joined = []
+
+    def seen_runs(docs, *args):
+        out = runs(docs, *args)
+        joined.append(docs.join(out, [c for c in out.columns if c != "runs"]).agg(F.max(F.size("runs"))).first()[0])
+        return out
+    monkeypatch.setattr(substring, "_shared_runs", seen_runs)
+    got = [tuple(x) for x in substring.remove_repeats(docs_of(spark, rows)).collect()]
+    assert sorted(map(repr, got)) == sorted(map(repr, removal_brute(rows, 13)))
+    assert sorted(sizes) == [1] * 26 + [2]  # id 60 has its last window from id 50; by id alone 13 for each text of id 50
+    assert joined[0] <= 9  # a text of 21 words has 9 windows
