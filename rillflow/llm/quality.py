@@ -26,7 +26,7 @@ RULES: dict[str, tuple[str, str]] = {
     "letters": ("100 * n_letters >= 80 * word_chars", "100 * n_letters < 70 * word_chars"),
     "sentence_ends": ("100 * n_end_lines >= 60 * n_lines", "100 * n_end_lines < 20 * n_lines"),
 }
-ROUNDS, SETTLED, KEEP_AT = 15, 1e-3, 0.5
+ROUNDS, SETTLED, KEEP_AT = 25, 1e-4, 0.5
 VOTES = (1, 0, -1)
 #: Where EM starts, and what it holds on to with the weight of ``PRIOR_SHARE`` of all rows: good texts are mostly
 #: voted good, bad ones are caught by some of the rules. Keeps "good" meaning good.

@@ -373,3 +373,7 @@ def test_quality_em_matches_plain_em(spark):
     assert model["good"] == pytest.approx(good)
     for n, q in zip(names, rates):
         assert model["rates"][n]["bad"] == pytest.approx(q["bad"]) and model["rates"][n]["good"] == pytest.approx(q["good"])
+
+
+def test_quality_em_runs_until_its_rates_settle():
+    assert quality.ROUNDS >= 25 and quality.SETTLED <= 1e-4
