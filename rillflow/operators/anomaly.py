@@ -13,8 +13,8 @@ Plan shape (see README "Plans"):
 * The selected day enters the readings filters as a scalar subquery: computed once,
   then a literal in a per-row predicate (no join at all).
 
-Litre sums are exact decimal sums (``decimal(28,6)`` inputs), returned as double; so
-results do not depend on partitioning or summation order.
+Litre sums are exact decimal sums (``decimal(28,6)`` inputs) carried as decimals through every aggregate and cast to
+double last; so results do not depend on partitioning or summation order.
 """
 
 from __future__ import annotations
@@ -54,13 +54,20 @@ class AnomalyParams:
         return min(max(self.lookback_days, BASELINE_MIN_DAYS), BASELINE_MAX_DAYS)
 
 
-def litre_sum(c: Column) -> Column:
-    """Sum as double. Litres with at most 6 decimals and 22 whole digits are summed exactly as decimals, whatever the
-    order; others (more digits, 1e30, infinities) as doubles beside them, so no cell can stop a run or lose digits."""
+def litre_parts(c: Column) -> tuple[Column, Column]:
+    """Sum of litres in two parts, (exact decimal sum, sum of the rest as double); a part without rows is null.
+
+    Litres with at most 6 decimals and 22 whole digits are summed exactly as decimals, whatever the order; others (more
+    digits, 1e30, infinities) as doubles beside them, so no cell can stop a run or lose digits.
+    """
     d = c.try_cast(LITRES)
     exact = d.isNotNull() & (d.cast("double") == c)
-    whole, rest = F.sum(F.when(exact, d)).cast("double"), F.sum(F.when(~exact, c))
-    return F.coalesce(whole + rest, whole, rest)
+    return F.sum(F.when(exact, d)), F.sum(F.when(~exact, c))
+
+
+def joined_parts(whole: Column, rest: Column) -> Column:
+    """The two parts as one double, cast last; null when both are null."""
+    return F.coalesce(whole.cast("double") + rest, whole.cast("double"), rest)
 
 
 def with_day(readings: DataFrame) -> DataFrame:
@@ -139,7 +146,7 @@ def current_counts(day_readings: DataFrame) -> DataFrame:
     agg = day_readings.groupBy("contador").agg(
         F.min_by(F.struct("device", "alias"), order).alias("_first"),
         F.count(F.lit(1)).alias("current_count"),
-        F.coalesce(litre_sum(F.col("value_l")), F.lit(0).cast(LITRES)).cast("double").alias("current_water_sum_l"))
+        F.coalesce(joined_parts(*litre_parts(F.col("value_l"))), F.lit(0.0)).alias("current_water_sum_l"))
     return agg.select("contador", F.col("_first.device").alias("device"), F.col("_first.alias").alias("alias"),
                       "current_count", "current_water_sum_l")
 
@@ -154,10 +161,15 @@ def history_window(history_dated: DataFrame, selection: DataFrame, params: Anoma
 
 
 def history_daily(window: DataFrame) -> DataFrame:
-    """Per meter and day ``history_count`` and litres (missing litres count as 0)."""
-    return window.groupBy("contador", "day").agg(
-        F.count(F.lit(1)).alias("history_count"),
-        F.coalesce(litre_sum(F.coalesce(F.col("value_l"), F.lit(0.0))), F.lit(0).cast(LITRES)).alias("history_water_l"))
+    """Per meter and day ``history_count`` and litres (missing litres count as 0).
+
+    ``history_water_l`` is the day's total as double; ``water_exact`` and ``water_rest`` carry its two parts to the next
+    aggregate, so that a mean over days is taken of exact decimals.
+    """
+    whole, rest = litre_parts(F.coalesce(F.col("value_l"), F.lit(0.0)))
+    daily = window.groupBy("contador", "day").agg(
+        F.count(F.lit(1)).alias("history_count"), whole.alias("water_exact"), rest.alias("water_rest"))
+    return daily.withColumn("history_water_l", joined_parts(F.col("water_exact"), F.col("water_rest")))
 
 
 def history_recent(daily: DataFrame, n_days: int) -> DataFrame:
@@ -173,15 +185,18 @@ def history_recent(daily: DataFrame, n_days: int) -> DataFrame:
 def history_stats(recent: DataFrame) -> DataFrame:
     """Per meter mean / median / min / max of daily counts, days, mean daily litres.
 
-    Rows are unique per (meter, day) here, so the number of distinct days is a count.
+    Rows are unique per (meter, day) here, so the number of distinct days is a count. Mean litres are the exact decimal
+    sum over the number of days, rounded once to double at the end; days with parts that no decimal holds add theirs.
     """
+    days = F.count(F.lit(1))
+    exact = (F.sum("water_exact") / days).cast("double")
     return recent.groupBy("contador").agg(
         F.avg("history_count").alias("history_avg"),
         F.median("history_count").alias("history_median"),
         F.min("history_count").alias("history_min"),
         F.max("history_count").alias("history_max"),
         F.count("day").alias("history_days"),
-        F.avg("history_water_l").cast("double").alias("history_avg_water_l"))
+        joined_parts(exact, F.sum("water_rest") / days).alias("history_avg_water_l"))
 
 
 def compared_days(recent: DataFrame) -> DataFrame:

@@ -1,11 +1,11 @@
-"""Every catalogue query against its DuckDB oracle (the driver's gate), on the smallest scale."""
+"""Every catalogue query against its DuckDB oracle, at the scale of the driver's gate."""
 
 import pytest
 
 from oracle_check import compare
 from rillflow.plans.catalog import ORACLES, QUERIES
 
-SF = "/root/testdata/sf0.001"
+SF = "/root/testdata/sf0.01"
 
 
 def test_every_query_has_an_oracle():

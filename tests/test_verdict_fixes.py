@@ -5,6 +5,8 @@ import datetime as dt
 import json
 import os
 
+from decimal import Decimal
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -58,7 +60,7 @@ def test_huge_numbers_do_not_abort(spark):
 
 def test_litre_sum_keeps_extreme_and_long_values(spark):
     rows = [(1e30,), (0.1,), (0.2,), (None,), (1.23456789,)]
-    total = lambda r: spark.createDataFrame(r, "v double").agg(A.litre_sum(F.col("v"))).first()[0]
+    total = lambda r: spark.createDataFrame(r, "v double").agg(A.joined_parts(*A.litre_parts(F.col("v")))).first()[0]
     assert total(rows) == 1e30
     assert total(rows[1:]) == pytest.approx(1.53456789, abs=1e-12)
     assert total([(0.1,)] * 10) == 1.0 and total([(None,)]) is None
@@ -79,3 +81,13 @@ def test_only_iso_texts_are_ingest_times(spark, text, kept):
     now = F.lit("2000-01-01 00:00:00").cast("timestamp")
     got = spark.range(1).select(utc_datetime(F.lit(text), now).alias("t")).first()["t"]
     assert (got != dt.datetime(2000, 1, 1)) == kept
+
+
+def test_mean_litres_are_taken_of_exact_sums(spark):
+    """Two days of 74.855 on average: the exact decimal mean rounds half to even, whatever doubles would give."""
+    daily = spark.createDataFrame([("75", 1, Decimal("149.21"), None), ("75", 2, Decimal("0.50"), None),
+                                   ("9", 1, Decimal("1.000000"), 1e30), ("9", 2, None, 1e30)],
+                                  "contador string, day int, water_exact decimal(38,6), water_rest double")
+    stats = {r["contador"]: r["w"] for r in A.history_stats(daily.withColumn("history_count", F.lit(1))).select(
+        "contador", F.bround("history_avg_water_l", 2).alias("w")).collect()}
+    assert stats == {"75": 74.86, "9": 1e30}
