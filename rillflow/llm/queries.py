@@ -9,9 +9,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillflow.session import scratch_path
+from rillflow.session import empty_frame, scratch_path
 
-from . import bpe, chat, exact_dedup, jaccard, mixing, quality, substring, toxicity, url_rules, warc
+from . import bpe, chat, exact_dedup, hard_negatives, jaccard, language, mixing, quality, substring, toxicity, url_rules, warc, whitening
 from .common import cut, table
 
 
@@ -97,6 +97,35 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "p_good")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every fit row of ``embeddings`` whitened by the covariance of all of them, a row for each of up to 32 components."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    model = whitening.fit(rows)
+    if model is None or not len(model.values):
+        return empty_frame(spark, "vec_id bigint, component int, n bigint, deviation bigint, whitened double, explained double, "
+                                  "identity_error double")
+    explained = F.element_at(F.array(*[F.lit(float(e / model.trace)) for e in model.values[:whitening.COMPONENTS]]), F.col("component"))
+    return whitening.whiten(rows, model).select(
+        "vec_id", "component", F.lit(model.n).cast("long").alias("n"), "deviation", "whitened", explained.alias("explained"),
+        F.lit(whitening.identity_error(rows, model)).alias("identity_error"))
+
+
+def op12_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's language by a model that learns from the rows that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3)) == 1, F.lit(False))
+    model = language.train(docs.where(~held_out & F.col("doc_id").isNotNull()))
+    told = language.identify(docs.select("doc_id", "text"), model)
+    return told.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "accepted")
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector, after every seventh row's label is moved on."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", label.alias("label"), "embedding")
+    return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0)
+
+
 QUERIES = {
     "op1_warc_bundles": op1_warc_bundles,
     "op2_mixing": op2_mixing,
@@ -108,6 +137,9 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_quality_rules": op10_quality_rules,
+    "op11_whitening": op11_whitening,
+    "op12_language": op12_language,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 _B32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -155,4 +187,19 @@ ORACLES = {
         g AS (SELECT t, min(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
         SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, sha256(d.t) AS text_sha256
         FROM d JOIN g ON d.t = g.t""",
+    "op13_hard_negatives": r"""
+        WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+            list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+          FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+            CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+          FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+        p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+          QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+        n AS (SELECT p.*, s.id AS negative_id, s.score AS negative_score,
+            CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.id) AS INTEGER) AS rank
+          FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT s.same
+            AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score)
+        SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10""",
 }
