@@ -25,7 +25,8 @@ from .common import cut, ship
 #: Bounds of the training sample: rows in all, and languages (the most frequent ones).
 MAX_ROWS, MAX_LANGUAGES = 4_000, 256
 ORDERS, BITS, WIDTH = (2, 3, 4), 14, 16
-EPOCHS, BATCH, RATE = 12, 32, 40.0
+#: Passes over the sample; a small sample is passed over until it has given so many steps.
+EPOCHS, STEPS, BATCH, RATE = 12, 800, 32, 40.0
 #: One of so many sampled rows calibrates; accepted answers are to be right this often.
 CALIBRATE, RIGHT = 5, 0.99
 NONE = "und"
@@ -163,8 +164,10 @@ def fit(languages: list[str], offsets: np.ndarray, hashes: np.ndarray, shares: n
             x[i, hashes[offsets[r]:offsets[r + 1]]] = shares[offsets[r]:offsets[r + 1]]
         return x
 
-    steps, step = EPOCHS * -(-len(learn) // BATCH), 0
-    for _ in range(EPOCHS):
+    batches = -(-len(learn) // BATCH)
+    epochs = max(EPOCHS, -(-STEPS // batches))
+    steps, step = epochs * batches, 0
+    for _ in range(epochs):
         rng.shuffle(learn)
         for at in range(0, len(learn), BATCH):
             rows = learn[at:at + BATCH]

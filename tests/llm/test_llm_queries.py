@@ -27,7 +27,7 @@ def docs(spark):
 
 def test_all_are_registered():
     assert set(queries.QUERIES) <= set(entry.queries()) and "pipeline" in entry.queries()
-    assert {re.match(r"op(\d+)_", n)[1] for n in queries.QUERIES} == {str(n) for n in range(1, 11)}
+    assert {re.match(r"op(\d+)_", n)[1] for n in queries.QUERIES} == {str(n) for n in range(1, 14)}
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
