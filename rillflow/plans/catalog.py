@@ -561,6 +561,46 @@ def q_store_write_stats(spark, sf_dir):
                         F.lit(i2["total"]).cast("long").alias("total"), "written", "table_count")
 
 
+@register("store_rewrite_stats", """
+SELECT COUNT(*) FILTER (WHERE ts >= TIMESTAMP '2024-01-20') AS inserted,
+       COUNT(*) FILTER (WHERE ts >= TIMESTAMP '2024-01-15' AND ts < TIMESTAMP '2024-01-20') AS duplicates,
+       COUNT(*) FILTER (WHERE ts >= TIMESTAMP '2024-01-15') AS total,
+       COUNT(*) FILTER (WHERE ts >= TIMESTAMP '2024-01-15') AS written,
+       COUNT(*) AS table_count, COUNT(*) AS insert_count,
+       COUNT(*) + COUNT(*) FILTER (WHERE ts >= TIMESTAMP '2024-01-15' AND ts < TIMESTAMP '2024-01-20') AS upsert_versions
+FROM events""")
+def q_store_rewrite_stats(spark, sf_dir):
+    """K5/K6/G9/G10 when jobs are run again: every write twice, the first one once more after the second; a repeated
+    write replaces itself, so counts and rows are those of single writes."""
+    b1, b2 = _batches(spark, sf_dir)
+    ins, ups = scratch_path(spark, "rewrite-insert"), scratch_path(spark, "rewrite-upsert")
+    i2 = u2 = None
+    for batch, run, at in ((b1, "r1", T1), (b1, "r1", T1), (b2, "r2", T2), (b1, "r1", T1), (b2, "r2", T2)):
+        i2 = S.insert_absent(spark, ins, batch, run, at)
+        u2 = S.upsert(spark, ups, batch, run, at)
+    rows = S.read_versions(spark, ups).agg(F.count(F.lit(1)).alias("upsert_versions"))
+    return rows.select(*[F.lit(i2[c]).cast("long").alias(c) for c in ("inserted", "duplicates", "total")],
+                       F.lit(u2["written"]).cast("long").alias("written"), F.lit(u2["table_count"]).cast("long").alias("table_count"),
+                       F.lit(S.table_count(spark, ins)).cast("long").alias("insert_count"), "upsert_versions")
+
+
+@register("store_backfill", f"""
+SELECT sha256({_ID_JSON}) AS id, CASE WHEN ts < TIMESTAMP '2024-01-20' THEN 'r1' ELSE 'r2' END AS run_id,
+       CASE WHEN ts < TIMESTAMP '2024-01-20' THEN '2024-01-21 00:00:00' ELSE '2024-01-31 00:00:00' END AS saved_at,
+       ts >= TIMESTAMP '2024-01-20' AS recent
+FROM events""")
+def q_store_backfill(spark, sf_dir):
+    """The later batch is saved first, then an overlapping older one is filled in under an older save time: the
+    last write wins whatever its clock, and a read of what was saved since a time leaves the filled-in ids out."""
+    path = scratch_path(spark, "store-backfill")
+    b1, b2 = _batches(spark, sf_dir)
+    S.upsert(spark, path, b2, "r2", T2)
+    S.upsert(spark, path, b1, "r1", T1)
+    since = S.current(spark, path, saved_since=_dt.datetime(2024, 1, 30)).select("id", F.lit(True).alias("_recent"))
+    now = _store_view(spark, path).select("id", "run_id", "saved_at")
+    return now.join(since, "id", "left").select("id", "run_id", "saved_at", F.col("_recent").isNotNull().alias("recent"))
+
+
 def _doc_records(spark, sf_dir, where):
     folder = B.write_event_documents(spark, sf_dir)
     files = B.document_files(spark, folder)

@@ -6,9 +6,8 @@ store upsert. Progress (which files were taken) lives in the stream's checkpoint
 restarted query resumes where it stopped; ``trigger(availableNow=True)`` drains what is
 present and stops.
 
-A micro-batch retried after its store append (but before the stream committed it) is
-appended again under the same ``run_id``: the ids are content hashes, so the current view
-per id and the store's id count are unchanged — the write is idempotent in effect.
+A micro-batch retried after its store write (but before the stream committed it) writes under the same key, the
+stream's checkpoint and the batch's number, and so replaces what it wrote before.
 """
 
 from __future__ import annotations
@@ -45,7 +44,7 @@ def ingest_new_files(spark: SparkSession, folder: str, store_path: str, checkpoi
         run_id = f"{run_prefix}-{epoch}"
         now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
         records = light_clean(normalize_records(_batch_documents(batch), run_id, ingested_at=F.lit(now).cast("timestamp")))
-        S.upsert(batch.sparkSession, store_path, records, run_id, now)
+        S.upsert(batch.sparkSession, store_path, records, run_id, now, key=f"{checkpoint}\n{run_id}")
 
     query = (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())

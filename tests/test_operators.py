@@ -8,6 +8,7 @@ import tempfile
 from pyspark.sql import functions as F
 
 from rillflow.operators import anomaly as A
+from rillflow.functions.identity import record_identity
 from rillflow.operators import store as S
 from rillflow.operators.anomaly_report import build_report
 from rillflow.operators.clean import dedup_exact
@@ -120,8 +121,11 @@ def test_store_modes(spark):
     assert (r2["inserted"], r2["duplicates"]) == (0, 1)
     u = S.upsert(spark, path_u, recs, "r1", t1)
     assert (u["written"], u["table_count"]) == (3, 2)
-    cur = S.current(spark, path_u).orderBy("_seq").collect()
-    assert [c._seq for c in cur] == [1, 2]  # last record of a repeated id wins
+    cur = S.current(spark, path_u).orderBy("_rec_ord").collect()
+    assert [c._rec_ord for c in cur] == [1, 2]  # last record of a repeated id wins
+    assert S.insert_absent(spark, path_i, recs, "r1", t1) == r and S.upsert(spark, path_u, recs, "r1", t1) == u  # run again
+    assert S.read_versions(spark, path_i).count() == S.read_versions(spark, path_u).count() == 2
+    assert S.write_stats(spark, path_u, "r1", t1).first().asDict() == {"written": 3, "table_count": 2}
 
 
 def test_table_count_survives_missing_log_row(spark):
@@ -129,8 +133,44 @@ def test_table_count_survives_missing_log_row(spark):
     recs = _records(spark, [{"a": 1}, {"a": 2}])
     S.upsert(spark, path, recs, "r1", dt.datetime(2025, 1, 1))
     # a write whose job died after the data commit, before its log row
-    S._append(S.to_store_rows(_records(spark, [{"a": 3}]), "r2", dt.datetime(2025, 1, 2)), path)
+    t2 = dt.datetime(2025, 1, 2)
+    no, key = S._write_of(spark, path, "r2", t2, None)
+    S._put(spark, path, S._placed(spark, path, S.to_store_rows(_records(spark, [{"a": 3}]), "r2", t2), no, key))
     assert S.table_count(spark, path) == 3 == S.exact_table_count(spark, path)
+    assert S.upsert(spark, path, _records(spark, [{"a": 3}]), "r2", t2) == {"status": "ok", "written": 1, "table_count": 3}
+    assert S.read_log(spark, path).count() == 2 and S.read_versions(spark, path).count() == 3
+
+
+def test_newest_version_by_write_not_by_clock(spark):
+    path = tempfile.mkdtemp(dir="/tmp") + "/it's a store"
+    late, early = dt.datetime(2025, 3, 1), dt.datetime(2025, 1, 1)
+    S.upsert(spark, path, _records(spark, [{"a": 1}, {"a": 2}]), "r1", late, buckets=3)
+    S.upsert(spark, path, _records(spark, [{"a": 2}, {"a": 3}]), "fill", early)
+    got = {r.payload_json: r.run_id for r in S.current(spark, path).collect()}
+    assert got == {'{"a":1}': "r1", '{"a":2}': "fill", '{"a":3}': "fill"}
+    since = S.current(spark, path, saved_since=dt.datetime(2025, 2, 1))
+    assert [r.payload_json for r in since.collect()] == ['{"a":1}']
+    assert S.current(spark, path, saved_since=dt.datetime(2026, 1, 1)).count() == 0
+    assert S.current(spark, path + "-none").count() == 0 == S.table_count(spark, path + "-none")
+
+
+def test_stored_versions_are_not_shuffled(spark):
+    path = tempfile.mkdtemp(dir="/tmp") + "/s"
+    S.upsert(spark, path, _records(spark, [{"a": 1}, {"a": 2}]), "r1", dt.datetime(2025, 1, 1))
+    plan = S.current(spark, path)._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in plan and "Exchange" not in plan and "SortAggregate" not in plan
+    ids = S.read_versions(spark, path).select("id").distinct()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in ids
+
+
+def test_volatile_keys_are_no_part_of_the_identity(spark):
+    t = dt.datetime(2025, 1, 1)
+    plain, stamped = {"a": {"_run_id": "kept"}}, {"a": {"_run_id": "kept"}, "_run_id": "x", "_saved_at": 1, "_last_run_id": None}
+    ids = [r.id for r in S.to_store_rows(_records(spark, [plain, stamped, {"a": {}}]), "r", t).orderBy("_rec_ord").collect()]
+    assert ids[0] == ids[1] != ids[2]
+    direct = [r.id for r in _records(spark, [plain, stamped, {"a": {}}]).orderBy("_rec_ord").select(
+        record_identity(F.col("payload"), F.col("_source_file")).alias("id")).collect()]
+    assert direct == ids
 
 
 def test_phase_profile_split_ranges(spark):
