@@ -7,7 +7,7 @@ Plan shape (see README "Plans"):
   has one row per calendar day of the batch, so collecting those rows into one array is
   bounded by the calendar, not by the data.
 * ``current_counts`` / ``history_daily``: grouped by meter (and day); all aggregates are
-  partial (count, sum, min_by), so hot meters are combined map-side before the shuffle.
+  partial (count, sum, min), so hot meters are combined map-side before the shuffle.
 * ``history_stats``: groups of at most ``lookback`` rows per meter.
 * ``compare``: equi left join on ``contador`` of two frames already partitioned by it.
 * The selected day enters the readings filters as a scalar subquery: computed once,
@@ -140,15 +140,29 @@ def on_current_day(dated: DataFrame, selection: DataFrame) -> DataFrame:
     return dated.where((ts >= cd) & (ts < cd + F.expr("INTERVAL 1 DAYS")))
 
 
+# Low bits of a record ordinal that share a number with the body position (31 bits) when first readings are looked for.
+_ORDINAL_BITS = 31
+
+
 def current_counts(day_readings: DataFrame) -> DataFrame:
-    """Per meter ``device, alias`` of its first reading, ``current_count`` and litres (0 if none)."""
-    order = F.struct("_file_ord", "_rec_ord", "_body_pos")
-    agg = day_readings.groupBy("contador").agg(
-        F.min_by(F.struct("device", "alias"), order).alias("_first"),
-        F.count(F.lit(1)).alias("current_count"),
-        F.coalesce(joined_parts(*litre_parts(F.col("value_l"))), F.lit(0.0)).alias("current_water_sum_l"))
-    return agg.select("contador", F.col("_first.device").alias("device"), F.col("_first.alias").alias("alias"),
-                      "current_count", "current_water_sum_l")
+    """Per meter ``device, alias`` of its first reading, ``current_count`` and litres (0 if none).
+
+    Readings are combined per (meter, device, alias, file) first, where the first place is the least of one 64-bit number
+    (record and row): a hash aggregate, as buffers of fixed width allow. What is left, a row per meter, name and file, is
+    summed per meter, and its first row in file order gives the names.
+    """
+    low = F.col("_rec_ord").bitwiseAND(F.lit((1 << _ORDINAL_BITS) - 1).cast("long"))
+    place = F.shiftleft(low, _ORDINAL_BITS) + F.col("_body_pos")
+    exact, rest = litre_parts(F.col("value_l"))
+    named = ["contador", "device", "alias", "_file_ord"]
+    parts = day_readings.groupBy(*named, F.shiftright("_rec_ord", _ORDINAL_BITS).alias("_high")).agg(
+        F.min(place).alias("_place"), F.count(F.lit(1)).alias("_n"), exact.alias("_exact"), rest.alias("_rest"))
+    first = Window.partitionBy("contador").orderBy("_file_ord", "_high", "_place")
+    names = parts.withColumn("_at", F.row_number().over(first)).where(F.col("_at") == 1).select("contador", "device", "alias")
+    agg = parts.groupBy("contador").agg(
+        F.sum("_n").alias("current_count"),
+        F.coalesce(joined_parts(F.sum("_exact"), F.sum("_rest")), F.lit(0.0)).alias("current_water_sum_l"))
+    return names.join(agg, "contador").select("contador", "device", "alias", "current_count", "current_water_sum_l")
 
 
 # ---------------------------------------------------------------- history side

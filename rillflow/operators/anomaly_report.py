@@ -7,7 +7,8 @@ timestamps, no history, no history timestamps, nothing in the window, ok).
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,6 +43,12 @@ class AnomalyReport:
     no_history: DataFrame
     compared_days: DataFrame    # one row
     summary: DataFrame          # one row
+    summarize: Callable[[DataFrame], DataFrame] | None = None
+
+    def over(self, comparison: DataFrame) -> "AnomalyReport":
+        """The same report read from a comparison that has been written: its tables then cost a scan of that."""
+        return replace(self, comparison=comparison, details=A.anomaly_details(comparison), no_history=A.no_history(comparison),
+                       summary=self.summarize(comparison))
 
 
 def build_report(current_readings: DataFrame, history_readings: DataFrame,
@@ -58,10 +65,11 @@ def build_report(current_readings: DataFrame, history_readings: DataFrame,
     hstats = A.history_stats(recent)
     comp = A.compare(counts, hstats, params)
     days = A.compared_days(recent)
-    summary = _summary(current_readings, cur, sel, cur_day, counts, history_readings, hist, window, hstats, comp,
-                       days, params, run_id)
+    def summarize(comparison: DataFrame) -> DataFrame:
+        return _summary(current_readings, sel, history_readings, hstats, comparison, days, params, run_id)
+
     return AnomalyReport(params, cur, stats, sel, cur_day, counts, hist, window, daily, recent, hstats, comp,
-                         A.anomaly_details(comp), A.no_history(comp), days, summary)
+                         A.anomaly_details(comp), A.no_history(comp), days, summarize(comp), summarize)
 
 
 def _side_counts(flat: DataFrame, lo, hi) -> DataFrame:
@@ -72,7 +80,7 @@ def _side_counts(flat: DataFrame, lo, hi) -> DataFrame:
         F.count_if((ts >= lo) & (ts < hi)).alias("inside")).alias("c"))
 
 
-def _summary(flat, cur, sel, cur_day, counts, hflat, hist, window, hstats, comp, days, params, run_id) -> DataFrame:
+def _summary(flat, sel, hflat, hstats, comp, days, params, run_id) -> DataFrame:
     n = params.lookback_days
     base = comp.transform(A.comparison_totals)
     cd = A.current_day_value(sel)

@@ -54,7 +54,10 @@ def normalize_dates(records: DataFrame, keys=DATE_KEYS) -> DataFrame:
 
 
 def light_clean(records: DataFrame) -> DataFrame:
-    """Dedup, then date normalisation (the dedup key sees the dates as written)."""
+    """Dedup, then date normalisation (the dedup key sees the dates as written).
+
+    For records whose documents are at hand, ``normalize_records(.., distinct=True)`` has done the first half already.
+    """
     return normalize_dates(dedup_exact(records))
 
 

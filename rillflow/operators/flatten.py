@@ -11,7 +11,7 @@ from rillflow.functions.variant import (ALIAS_KEYS, DEVICE_KEYS, TIME_KEYS, VALU
                                         strip_text, truthy_cells, variant_text)
 
 READINGS_SCHEMA = ("contador string, device string, alias string, timestamp timestamp_ntz, value_l double, "
-                   "source_file string, _run_id string, _file_ord int, _rec_ord bigint, _body_pos int")
+                   "source_file string, _run_id string, _file_ord string, _rec_ord bigint, _body_pos int")
 READING_COLUMNS = ["contador", "device", "alias", "timestamp", "value_l", "source_file", "_run_id",
                    "_file_ord", "_rec_ord", "_body_pos"]
 
@@ -73,7 +73,7 @@ def flatten_readings(records: DataFrame, source_tag: str = "") -> DataFrame:
     docs = records.select(
         F.transform(header, lambda h: F.coalesce(strip_text(h), F.lit("None"))).alias("_names"), body.alias("_body"),
         src.alias("source_file"), run.alias("_run_id"),
-        F.col("_file_ord").cast("int").alias("_file_ord"), F.col("_rec_ord").cast("long").alias("_rec_ord"))
+        F.col("_file_ord").cast("string").alias("_file_ord"), F.col("_rec_ord").cast("long").alias("_rec_ord"))
     rows = F.when(F.col("_names").isNotNull(), _picked_rows(F.col("_names"), F.col("_body")))
     picked = docs.select("source_file", "_run_id", "_file_ord", "_rec_ord", F.inline(rows))
     typed = picked.select(

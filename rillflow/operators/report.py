@@ -13,9 +13,9 @@ SAMPLE_N = 5
 LABEL_ABOVE = "above_expected"
 LABEL_BELOW = "below_expected"
 LABEL_EXPECTED = "expected"
-# The phases of a run, in order.
-PHASES = ("file_discovery", "download_and_normalize", "transform", "save_outputs", "save_mongodb", "save_tidb",
-          "save_cratedb")
+# Labels of a profile's first and last row.
+LABEL_STARTED = "Pipeline started"
+LABEL_OVERALL = "Overall pipeline"
 
 
 def _pct_or_flag(delta: Column, expected: Column, current: Column) -> Column:
@@ -94,3 +94,36 @@ def phase_profile(run_log: DataFrame, step_range: int = STEP_RANGE) -> DataFrame
     running = ranged.withColumn("_run", F.sum(secs).over(within)).join(offsets, ["run_id", "_rng"])
     return running.select("run_id", "step_no", "step",
                           F.bround(F.col("_off") + F.col("_run"), 2).cast("double").alias("cumulative_seconds"))
+
+
+def phase_totals(run_log: DataFrame) -> DataFrame:
+    """Total seconds at three levels in one grouping-sets aggregate: ``level`` is ``step`` (a run's step), ``run`` (a
+    run, all its steps) or ``all`` (every run); ``steps`` counts the log rows. Seconds are summed as decimals."""
+    level = F.element_at(F.array(F.lit("step"), F.lit("run"), F.lit("run"), F.lit("all")), F.grouping_id().cast("int") + 1)
+    sums = run_log.groupingSets([["run_id", "step"], ["run_id"], []], "run_id", "step").agg(
+        level.alias("level"), F.count(F.lit(1)).alias("steps"),
+        F.bround(F.sum(F.col("seconds").cast("decimal(24,6)")), 2).cast("double").alias("seconds"))
+    return sums.select("level", "run_id", "step", "steps", "seconds")
+
+
+def profile_rows(run_log: DataFrame, notes: DataFrame | None = None, step_range: int = STEP_RANGE) -> DataFrame:
+    """The whole profile of every run: a start row at 0, every step with its running total, the ``notes`` behind their
+    steps, and a last row with the run's total.
+
+    ``notes``: ``run_id, step_no, step`` (a store's counts, the time spent on reading history); a note shows the total of
+    the step it stands behind. Columns ``run_id, step_no, part, step, cumulative_seconds``; rows are ordered by run,
+    step_no, part; the start row has step_no -1, the last row none.
+    """
+    steps = phase_profile(run_log, step_range).select("run_id", "step_no", F.lit(0).alias("part"), "step", "cumulative_seconds")
+    runs = phase_totals(run_log).where(F.col("level") == "run")
+    kind = dict(run_log.dtypes)["step_no"]
+    ends = [runs.select("run_id", F.lit(-1).cast(kind).alias("step_no"), F.lit(0).alias("part"), F.lit(LABEL_STARTED).alias("step"),
+                        F.lit(0.0).alias("cumulative_seconds")),
+            runs.select("run_id", F.lit(None).cast(kind).alias("step_no"), F.lit(0).alias("part"), F.lit(LABEL_OVERALL).alias("step"),
+                        F.col("seconds").alias("cumulative_seconds"))]
+    out = ends[0].unionByName(steps).unionByName(ends[1])
+    if notes is not None:
+        at = steps.select("run_id", "step_no", "cumulative_seconds")
+        out = out.unionByName(notes.join(at, ["run_id", "step_no"]).select("run_id", "step_no", F.lit(1).alias("part"), "step",
+                                                                           "cumulative_seconds"))
+    return out

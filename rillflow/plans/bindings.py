@@ -10,9 +10,11 @@ Binding of ``events(event_id, ts, user_id, event_type, value, props)`` to readin
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rillflow.sources.files import MODE_LOCAL_DIR, Files, place_key
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -27,7 +29,7 @@ def events_as_readings(spark: SparkSession, sf_dir: str, key: str = "user_id", b
         k.alias("contador"), k.alias("device"), F.col("event_type").alias("alias"),
         F.col("ts").cast("timestamp_ntz").alias("timestamp"), F.col("value").alias("value_l"),
         F.lit("events.parquet").alias("source_file"), F.lit(None).cast("string").alias("_run_id"),
-        F.lit(0).alias("_file_ord"), F.col("event_id").cast("long").alias("_rec_ord"), F.lit(0).alias("_body_pos"))
+        F.lit("").alias("_file_ord"), F.col("event_id").cast("long").alias("_rec_ord"), F.lit(0).alias("_body_pos"))
 
 
 # ------------------------------------------------------------------ header/body documents
@@ -75,14 +77,12 @@ def write_event_documents(spark: SparkSession, sf_dir: str) -> str:
     return _WRITTEN[key]
 
 
-def document_files(spark: SparkSession, folder: str) -> DataFrame:
-    """File list of a written document folder: ``name = meter_<doc>.json``, ordered by name."""
-    from rillflow.sources.files import MODE_LOCAL_DIR
-    listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-               .option("pathGlobFilter", "*.txt").load(folder).select(F.col("path").alias("source")))
-    name = F.concat(F.lit("meter_"), F.regexp_extract("source", r"doc=([^/]+)/", 1), F.lit(".json"))
-    files = listing.select(name.alias("name"), "source", F.lit(MODE_LOCAL_DIR).alias("mode"))
-    return files.select("*", F.dense_rank().over(Window.orderBy("name")).alias("_file_ord"))
+def document_files(folder: str) -> Files:
+    """The files of a written document folder, named ``meter_<doc>.json``."""
+    def named(path):
+        return F.concat(F.lit("meter_"), F.regexp_extract(path, r"doc=([^/]+)/", 1), F.lit(".json"))
+
+    return Files(MODE_LOCAL_DIR, folder=folder, glob="*.txt", recursive=True, named=named)
 
 
 # ------------------------------------------------------------------ records
@@ -95,7 +95,7 @@ def event_records(spark: SparkSession, sf_dir: str, fields=("event_id", "event_t
     return ev.select(payload.alias("payload"),
                      F.concat(F.lit("events_"), F.date_format("ts", "yyyyMMdd"), F.lit(".json")).alias("_source_file"),
                      F.lit("2024-02-01 00:00:00").cast("timestamp").alias("_ingested_at"),
-                     F.lit("run-1").alias("_run_id"), F.lit(0).alias("_file_ord"),
+                     F.lit("run-1").alias("_run_id"), F.lit("").alias("_file_ord"),
                      F.col("event_id").cast("long").alias("_rec_ord"))
 
 
@@ -111,7 +111,7 @@ def event_document_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
             .when(t == "signup", F.lit("[]"))
             .otherwise(F.lit("null")))
     return ev.select(F.concat(F.lit("e"), F.col("event_id").cast("string")).alias("name"),
-                     F.col("event_id").cast("int").alias("_file_ord"), F.try_parse_json(text).alias("doc"),
+                     place_key(F.col("event_id")).alias("_file_ord"), F.try_parse_json(text).alias("doc"),
                      text.alias("text"))
 
 

@@ -17,6 +17,7 @@ from rillflow.operators import anomaly as A
 from rillflow.operators import report as R
 from rillflow.operators.anomaly_report import build_report
 from rillflow.plans import bindings as B
+from rillflow.plans.batch import BatchOptions, run_batch
 from rillflow.plans.sql import anomaly_ctes, r
 from rillflow import functions as RF
 from rillflow import sinks as K
@@ -231,7 +232,7 @@ _DOC_KEY_SQL = "strftime(ts, '%Y%m%d') || '_' || CAST(event_id // 256 AS VARCHAR
 
 def _scanned(spark, sf_dir):
     folder = B.write_event_documents(spark, sf_dir)
-    return D.scan_json_documents(spark, B.document_files(spark, folder))
+    return D.scan_json_documents(spark, B.document_files(folder))
 
 
 @register("scan_json_documents", f"""
@@ -423,8 +424,8 @@ _BASE = "/data/meters"
 
 def _file_list(spark, sf_dir):
     """S5 cascade: no explicit sources and no folder given, so the named list wins."""
-    return FL.list_candidate_files(spark, sources="", directory=None, base=_BASE,
-                                   names=B.derived_file_names(spark, sf_dir))
+    files = FL.list_candidate_files(spark, sources="", directory=None, base=_BASE, names=B.derived_file_names(spark, sf_dir))
+    return files.withColumn("_file_ord", F.col("_file_ord").cast("int"))
 
 
 @register("list_candidate_files", f"""
@@ -456,6 +457,50 @@ def q_file_sample(spark, sf_dir):
     return FL.sample_files(_file_list(spark, sf_dir), 30, seed=7).select("name")
 
 
+_DOC_NAMES_SQL = f"""(SELECT DISTINCT 'meter_' || {_DOC_KEY_SQL} || '.json' AS name, CAST(ts AS DATE) AS day FROM events
+  UNION SELECT DISTINCT 'meter_' || strftime(ts, '%Y%m%d') || '_bad.json', CAST(ts AS DATE) FROM events)"""
+
+
+@register("list_folder_files", f"""
+SELECT name, 'LOCAL_JSON_DIR' AS mode FROM {_DOC_NAMES_SQL} WHERE day BETWEEN DATE '2024-01-15' AND DATE '2024-01-20'""")
+def q_list_folder_files(spark, sf_dir):
+    """S2 + P3: a folder's files, the date window applied while the folder is listed."""
+    files = B.document_files(B.write_event_documents(spark, sf_dir))
+    return FL.apply_date_window(files, "2024-01-20", 5).listing(spark).select("name", "mode")
+
+
+@register("scan_folder_window", f"""
+SELECT name, body_rows FROM (
+  SELECT 'meter_' || {_DOC_KEY_SQL} || '.json' AS name, CAST(ts AS DATE) AS day, COUNT(*) AS body_rows FROM events GROUP BY 1, 2
+  UNION ALL
+  SELECT DISTINCT 'meter_' || strftime(ts, '%Y%m%d') || '_bad.json', CAST(ts AS DATE), CAST(NULL AS BIGINT) FROM events)
+WHERE day BETWEEN DATE '2024-01-15' AND DATE '2024-01-20' ORDER BY name LIMIT 12""")
+def q_scan_folder_window(spark, sf_dir):
+    """S1 + S2 + P3 + O1: the first 12 files of the date window, scanned; files outside it are not opened."""
+    files = B.document_files(B.write_event_documents(spark, sf_dir))
+    chosen = FL.limit_files(FL.apply_date_window(files, "2024-01-20", 5), 12, spark)
+    docs = D.scan_json_documents(spark, chosen)
+    body = F.size(F.try_variant_get(F.col("doc"), "$.body", "array<variant>")).cast("long")
+    return docs.select("name", body.alias("n")).select("name", F.when(F.col("n") >= 0, F.col("n")).alias("body_rows"))
+
+
+@register("explicit_sources", """
+SELECT event_id, 0 AS pos, event_type || '_' || CAST(event_id AS VARCHAR) || '.json' AS name,
+       '/in/' || event_type || '_' || CAST(event_id AS VARCHAR) || '.json' AS source FROM events
+UNION ALL
+SELECT event_id, 1, CAST(user_id AS VARCHAR) || '.json', 's3://bucket/' || event_type || '/' || CAST(user_id AS VARCHAR) || '.json' FROM events
+WHERE event_type <> 'error'""")
+def q_explicit_sources(spark, sf_dir):
+    """S3 on a column: comma-separated sources with blanks and empty entries, split and named."""
+    ev = B.table(spark, sf_dir, "events")
+    one = F.concat(F.lit("  /in/"), F.col("event_type"), F.lit("_"), F.col("event_id").cast("string"), F.lit(".json"))
+    two = F.when(F.col("event_type") != "error", F.concat(F.lit("s3://bucket/"), F.col("event_type"), F.lit("/"),
+                                                          F.col("user_id").cast("string"), F.lit(".json "))).otherwise(F.lit(" "))
+    text = F.concat(one, F.lit(" , ,"), two, F.lit(","))
+    split = ev.select("event_id", F.posexplode(FL.split_sources(text)).alias("pos", "s"))
+    return split.select("event_id", "pos", "s.name", "s.source")
+
+
 @register("batch_sample", "SELECT event_id, event_type, user_id FROM events ORDER BY event_id LIMIT 5")
 def q_batch_sample(spark, sf_dir):
     """First 5 records of the batch."""
@@ -476,12 +521,32 @@ def q_dedup_exact(spark, sf_dir):
     base = B.event_records(spark, sf_dir, fields=("event_id", "event_type", "user_id", "value"), source=ev)
     a = base.withColumn("_source_file", F.lit("events.json")).withColumn("_rec_ord", F.col("_rec_ord") * 2)
     b = a.withColumn("_rec_ord", F.col("_rec_ord") + 1)
-    c = base.withColumn("_source_file", F.lit("redelivered.json")).withColumn("_file_ord", F.lit(1))
+    c = base.withColumn("_source_file", F.lit("redelivered.json")).withColumn("_file_ord", F.lit("1"))
     out = C.dedup_exact(a.unionByName(b).unionByName(c))
     return out.select(F.try_variant_get("payload", "$.event_id", "bigint").alias("event_id"), "_source_file",
                       "_rec_ord")
 
 
+@register("dedup_in_documents", """
+SELECT event_id, 'e' || CAST(event_id AS VARCHAR) AS _source_file, r AS _rec_ord
+FROM events, (SELECT unnest([0, 2]) AS r) WHERE r = 0 OR event_type <> 'error'
+UNION ALL
+SELECT event_id, 'redelivered_' || CAST(event_id AS VARCHAR), 0 FROM events""")
+def q_dedup_in_documents(spark, sf_dir):
+    """W4 inside a document: every event's file holds it twice, then a second record twice (errors: the first again); a
+    re-delivered file holds it once. The first of equal records stays, with its place in the file."""
+    ev = B.table(spark, sf_dir, "events")
+    one = F.to_json(F.struct("event_id", "event_type", "value"))
+    two = F.when(F.col("event_type") == "error", one).otherwise(F.to_json(F.struct("event_id", "user_id")))
+    text = F.concat(F.lit("["), F.concat_ws(",", one, one, two, two, one), F.lit("]"))
+    eid = F.col("event_id").cast("string")
+    docs = ev.select(F.concat(F.lit("e"), eid).alias("name"), F.lit("").alias("_file_ord"), F.try_parse_json(text).alias("doc"))
+    again = ev.select(F.concat(F.lit("redelivered_"), eid).alias("name"), F.lit("").alias("_file_ord"),
+                      F.try_parse_json(one).alias("doc"))
+    recs = D.normalize_records(docs.unionByName(again), run_id="run-1", distinct=True)
+    return recs.select(F.try_variant_get("payload", "$.event_id", "bigint").alias("event_id"), "_source_file", "_rec_ord")
+
+
 _ID_JSON = ("'{\"_source_file\":\"events_' || strftime(ts, '%Y%m%d') || '.json\",\"payload\":{\"event_id\":' || "
             "CAST(event_id AS VARCHAR) || ',\"event_type\":\"' || event_type || '\",\"user_id\":' || "
             "CAST(user_id AS VARCHAR) || '}}'")
@@ -603,7 +668,7 @@ def q_store_backfill(spark, sf_dir):
 
 def _doc_records(spark, sf_dir, where):
     folder = B.write_event_documents(spark, sf_dir)
-    files = B.document_files(spark, folder)
+    files = B.document_files(folder)
     docs = D.scan_json_documents(spark, files)
     return D.normalize_records(docs.where(where), run_id=None, ingested_at=F.lit(T1).cast("timestamp"))
 
@@ -633,7 +698,7 @@ def q_payload_truncate(spark, sf_dir):
     recs = docs.select(F.to_variant_object(F.struct("doc_id", "text")).alias("payload"),
                        F.lit("documents.parquet").alias("_source_file"),
                        F.lit(T1).cast("timestamp").alias("_ingested_at"), F.lit("r1").alias("_run_id"),
-                       F.lit(0).alias("_file_ord"), F.col("doc_id").cast("long").alias("_rec_ord"))
+                       F.lit("").alias("_file_ord"), F.col("doc_id").cast("long").alias("_rec_ord"))
     path = scratch_path(spark, "store-truncate")
     S.upsert_truncated(spark, path, recs, "r1", T1)
     full = recs.select(RF.record_identity(F.col("payload"), F.col("_source_file")).alias("id"),
@@ -680,3 +745,126 @@ def q_phase_profile(spark, sf_dir):
     log = ev.select(F.date_format("ts", "yyyy-MM-dd").alias("run_id"), F.col("event_id").alias("step_no"),
                     F.col("event_type").alias("step"), F.col("value").alias("seconds"))
     return R.phase_profile(log)
+
+
+_RECORD_SQL = ("SELECT _source_file, 'run-1' AS _run_id, k, value, '_ingested_at,_run_id,_source_file,k,value' AS keys FROM ("
+               + _NORM_SQL + ")")
+
+
+def _stamped_records(spark, sf_dir):
+    return D.normalize_records(B.event_document_texts(spark, sf_dir), run_id="run-1", ingested_at=F.lit(T1).cast("timestamp"))
+
+
+@register("records_json_roundtrip", _RECORD_SQL)
+def q_records_json_roundtrip(spark, sf_dir):
+    """K1 + P2 + P4: the batch's records as flat JSON Lines, every object with every key of the batch, read back."""
+    path = K.write_records_json(_stamped_records(spark, sf_dir), scratch_path(spark, "records-json"))
+    back = spark.read.text(path).select(F.parse_json("value").alias("v"))
+    keys = F.array_join(F.map_keys(F.col("v").cast("map<string,variant>")), ",")
+    return back.select(F.variant_get("v", "$._source_file", "string").alias("_source_file"), F.variant_get("v", "$._run_id", "string").alias("_run_id"),
+                       F.variant_get("v", "$.k", "bigint").alias("k"), F.variant_get("v", "$.value", "double").alias("value"), keys.alias("keys"))
+
+
+@register("records_csv_roundtrip", _RECORD_SQL.replace("_ingested_at,_run_id,_source_file,k,value", "k,value,_source_file,_ingested_at,_run_id"))
+def q_records_csv_roundtrip(spark, sf_dir):
+    """K2 + P4: the same records as CSV, a column per key of the batch, read back by header."""
+    path = K.write_records_csv(_stamped_records(spark, sf_dir), scratch_path(spark, "records-csv"))
+    back = spark.read.option("header", True).option("escape", '"').csv(path)
+    return back.select("_source_file", "_run_id", F.col("k").cast("bigint").alias("k"), F.col("value").cast("double").alias("value"),
+                       F.lit(",".join(back.columns)).alias("keys"))
+
+
+@register("report_files", ANOMALY + "SELECT * FROM det")
+def q_report_files(spark, sf_dir):
+    """K3: the anomaly report's folder, its details read back."""
+    rep = _report(spark, sf_dir)
+    path = K.write_report(rep.summary, rep.details, rep.no_history, scratch_path(spark, "report"))
+    return spark.read.schema(rep.details.schema).json(f"{path}/details")
+
+
+def _phase_log(spark, sf_dir):
+    ev = B.table(spark, sf_dir, "events")
+    return ev.select(F.date_format("ts", "yyyy-MM-dd").alias("run_id"), F.col("event_id").alias("step_no"),
+                     F.col("event_type").alias("step"), F.col("value").alias("seconds"))
+
+
+@register("phase_totals", f"""
+SELECT CASE grouping_id(run_id, step) WHEN 0 THEN 'step' WHEN 1 THEN 'run' ELSE 'all' END AS level, run_id, step, COUNT(*) AS steps,
+       {r("SUM(CAST(value AS DECIMAL(24,6)))")} AS seconds
+FROM (SELECT strftime(ts, '%Y-%m-%d') AS run_id, event_type AS step, value FROM events)
+GROUP BY GROUPING SETS ((run_id, step), (run_id), ())""")
+def q_phase_totals(spark, sf_dir):
+    """Totals of every run's steps, every run, and all runs, in one aggregate."""
+    return R.phase_totals(_phase_log(spark, sf_dir))
+
+
+@register("phase_profile_rows", f"""
+WITH l AS (SELECT strftime(ts, '%Y-%m-%d') AS run_id, event_id AS step_no, event_type AS step, CAST(value AS DECIMAL(24,6)) AS s FROM events),
+c AS (SELECT run_id, step_no, step, {r("SUM(s) OVER (PARTITION BY run_id ORDER BY step_no)")} AS cumulative_seconds FROM l)
+SELECT run_id, -1 AS step_no, 0 AS part, 'Pipeline started' AS step, 0.0 AS cumulative_seconds FROM l GROUP BY run_id
+UNION ALL SELECT run_id, step_no, 0, step, cumulative_seconds FROM c
+UNION ALL SELECT run_id, step_no, 1, 'saved ' || CAST(step_no AS VARCHAR), cumulative_seconds FROM c WHERE step = 'purchase'
+UNION ALL SELECT run_id, NULL, 0, 'Overall pipeline', {r("SUM(s)")} FROM l GROUP BY run_id""")
+def q_phase_profile_rows(spark, sf_dir):
+    """Start row, steps, a note behind each store step (purchases), and the overall row of every run."""
+    log = _phase_log(spark, sf_dir)
+    notes = log.where(F.col("step") == "purchase").select("run_id", "step_no", F.concat(F.lit("saved "), F.col("step_no").cast("string")).alias("step"))
+    return R.profile_rows(log, notes)
+
+
+# ------------------------------------------------------------------ whole runs
+def _run(spark, sf_dir, **options):
+    folder = B.write_event_documents(spark, sf_dir)
+    out, store = scratch_path(spark, "run-out"), scratch_path(spark, "run-store")
+    run_batch(spark, BatchOptions(files=B.document_files(folder), run_id="run-1", as_of=_dt.datetime(2024, 2, 1), output_dir=out,
+                                  store_path=store, **options))
+    result = spark.read.text(f"{out}/result").select(F.parse_json("value").alias("v"))
+    return result, store, out
+
+
+_FILES_SQL = f"""
+       (SELECT COUNT(DISTINCT {_DOC_KEY_SQL}) FROM events) AS files_ok,
+       (SELECT COUNT(DISTINCT strftime(ts, '%Y%m%d')) FROM events) AS files_error"""
+
+
+def _fields(result, *specs):
+    return result.select(*[F.variant_get("v", path, kind).alias(name) for name, path, kind in specs])
+
+
+@register("run_result", _SUMMARY_SQL.replace("SELECT CASE WHEN n_win > 0", f"""SELECT 'ok' AS run_status, 'LOCAL_JSON_DIR' AS mode, {_FILES_SQL},
+       (SELECT COUNT(DISTINCT {_DOC_KEY_SQL}) FROM events) AS records, (SELECT COUNT(DISTINCT {_DOC_KEY_SQL}) FROM events) AS written,
+       (SELECT COUNT(DISTINCT {_DOC_KEY_SQL}) FROM events) AS table_count, (SELECT COUNT(*) FROM det) AS report_rows, CASE WHEN n_win > 0"""))
+def q_run_result(spark, sf_dir):
+    """K4: a whole run over the document folder (its history read from the same files), told from the result record it
+    leaves: counts of files, records and stored ids, and the anomaly block."""
+    folder = B.write_event_documents(spark, sf_dir)
+    result, _store, out = _run(spark, sf_dir, history_file=folder)
+    a = "$.anomalies."
+    row = _fields(result, ("run_status", "$.status", "string"), ("mode", "$.mode", "string"), *[(c, f"$.{c}", "bigint") for c in ("files_ok", "files_error", "records")],
+                  ("written", "$.stores.upsert.written", "bigint"), ("table_count", "$.stores.upsert.table_count", "bigint"),
+                  *[(c, a + c, t) for c, t in (("status", "string"), ("current_day", "string"), ("current_day_selected_from", "string"), ("current_day_partial", "boolean"),
+                                               ("current_readings", "bigint"), ("current_counters", "bigint"), ("history_readings", "bigint"), ("history_counters", "bigint"),
+                                               ("expected_readings_total", "double"), ("current_readings_total", "bigint"), ("below_threshold_counters", "bigint"),
+                                               ("above_threshold_counters", "bigint"), ("anomalous_counters", "bigint"), ("counters_without_history", "bigint"))],
+                  ("_days", a + "compared_history_days", "array<string>"))
+    rows = spark.read.schema("contador string").json(f"{out}/anomaly_report/details").agg(F.count(F.lit(1))).scalar()
+    return row.withColumns({"compared_history_days": F.array_join("_days", ", "), "report_rows": rows}).drop("_days")
+
+
+@register("dry_run", f"""SELECT 'ok' AS run_status, 'skipped' AS store_status, 'dry run' AS reason, CAST(0 AS BIGINT) AS stored, {_FILES_SQL}""")
+def q_dry_run(spark, sf_dir):
+    """K8: the same run with store writes switched off: everything is read and reported, nothing is stored."""
+    result, store, _out = _run(spark, sf_dir, write_stores=False)
+    row = _fields(result, ("run_status", "$.status", "string"), ("store_status", "$.stores.upsert.status", "string"), ("reason", "$.stores.upsert.reason", "string"),
+                  ("files_ok", "$.files_ok", "bigint"), ("files_error", "$.files_error", "bigint"))
+    return row.withColumn("stored", S.read_versions(spark, store).agg(F.count(F.lit(1))).scalar())
+
+
+@register("run_without_files", f"""SELECT 'error' AS run_status, 'No JSON files found to process for start_date=2030-01-01 and days_back=3. '
+       || 'Adjust the date window or set days_back=0 to disable date filtering.' AS error, COUNT(*) AS files_listed, CAST(0 AS BIGINT) AS files_selected
+FROM {_DOC_NAMES_SQL}""")
+def q_run_without_files(spark, sf_dir):
+    """K4 on failure: a date window without files ends the run with an error, and its result record says why."""
+    result, _store, _out = _run(spark, sf_dir, start_date="2030-01-01", days_back=3)
+    return _fields(result, ("run_status", "$.status", "string"), ("error", "$.error", "string"), ("files_listed", "$.files_listed", "bigint"),
+                   ("files_selected", "$.files_selected", "bigint"))

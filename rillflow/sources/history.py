@@ -11,7 +11,7 @@ from rillflow.functions.variant import variant_type
 from rillflow.operators import store as S
 from rillflow.operators.flatten import READINGS_SCHEMA, flatten_readings
 from rillflow.sources.documents import scan_json_documents
-from rillflow.sources.files import MODE_LOCAL_DIR, path_exists
+from rillflow.sources.files import MODE_LOCAL_DIR, Files, path_exists
 from rillflow.session import empty_frame
 
 
@@ -27,7 +27,7 @@ def history_records_from_store(spark: SparkSession, path: str, as_of: dt.datetim
     decoded = decoded.where(variant_type(F.col("payload")).startswith("OBJECT"))
     return decoded.select(
         "payload", F.col("source_file").alias("_source_file"), F.col("run_id").alias("_run_id"),
-        F.lit(0).alias("_file_ord"), F.lit(0).cast("long").alias("_rec_ord"))
+        F.lit("").alias("_file_ord"), F.lit(0).cast("long").alias("_rec_ord"))
 
 
 def history_from_store(spark: SparkSession, path: str, as_of: dt.datetime, lookback_days: int) -> DataFrame:
@@ -43,11 +43,7 @@ def history_from_file(spark: SparkSession, source: str) -> DataFrame:
     """
     if not path_exists(spark, source):
         return empty_frame(spark, READINGS_SCHEMA)
-    listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(source)
-               .select(F.col("path").alias("source")))
-    files = listing.select(F.element_at(F.split("source", "/"), -1).alias("name"), "source",
-                           F.lit(MODE_LOCAL_DIR).alias("mode"), F.lit(0).alias("_file_ord"))
-    docs = scan_json_documents(spark, files)
+    docs = scan_json_documents(spark, Files(MODE_LOCAL_DIR, folder=source, glob="*", recursive=True))
     kind = variant_type(F.col("doc"))
     items = (F.when(F.col("doc").isNull(), F.lit(None).cast("array<variant>"))
              .when(kind.startswith("ARRAY"), F.col("doc").try_cast("array<variant>"))
@@ -55,5 +51,5 @@ def history_from_file(spark: SparkSession, source: str) -> DataFrame:
     recs = docs.select("name", F.posexplode(items).alias("_rec_ord", "payload"))
     recs = recs.where(variant_type(F.col("payload")).startswith("OBJECT")).select(
         "payload", F.col("name").alias("_source_file"), F.lit(None).cast("string").alias("_run_id"),
-        F.lit(0).alias("_file_ord"), F.col("_rec_ord").cast("long"))
+        F.lit("").alias("_file_ord"), F.col("_rec_ord").cast("long"))
     return flatten_readings(recs)

@@ -25,7 +25,7 @@ from rillflow.sources.documents import normalize_records
 
 
 def _batch_documents(batch: DataFrame) -> DataFrame:
-    return batch.select(F.col("name"), F.col("source"), F.lit(0).alias("_file_ord"), F.col("text"),
+    return batch.select(F.col("name"), F.col("source"), F.col("source").alias("_file_ord"), F.col("text"),
                         F.try_parse_json(F.col("text")).alias("doc"))
 
 

@@ -1,10 +1,13 @@
 """End-to-end batch runs on the sample export and the worked anomaly case (FIXTURES.md §1, §4)."""
 
 import datetime as dt
+import json
+import os
 import tempfile
 
 from pyspark.sql import functions as F
 
+from rillflow import sinks as K
 from rillflow.plans.batch import BatchOptions, run_batch
 from rillflow.sources import documents as D
 from rillflow.sources import files as FL
@@ -22,7 +25,7 @@ def _tmp():
 def test_sample_export_flattens(spark):
     folder = _tmp()
     write_json(folder, "test_anomaly_over.json", sample_document())
-    files = FL.list_candidate_files(spark, directory=folder)
+    files = FL.discover(spark, directory=folder)
     recs = light_clean(D.normalize_records(D.scan_json_documents(spark, files), "r1"))
     readings = flatten_readings(recs)
     dated = A.with_day(readings)
@@ -74,7 +77,12 @@ def test_store_history_across_runs(spark):
     s = res.report.summary.first()
     assert (s.status, s.anomalous_counters, s.counters_without_history) == ("ok", 2, 1)
     assert res.stores["upsert"]["written"] == 1 and res.stores["upsert"]["table_count"] == 3
-    assert spark.read.json(f"{out}/result").first()["run_id"] == "t3"
+    record = spark.read.json(f"{out}/result").first()
+    assert record["run_id"] == "t3" and record["started_at_utc"].startswith("2025-10-23T00:00:00")
+    assert record["stores"]["upsert"]["written"] == 1 and record["anomalies"]["anomalous_counters"] == 2
+    assert record["sample"][0]["_source_file"] == "batch.json" and record["output"]["csv_path"].endswith("records_csv")
+    lines = [r.value for r in spark.read.text(f"{out}/records_json").collect()]
+    assert len(lines) == 1 and json.loads(lines[0])["_run_id"] == "t3" and "header" in json.loads(lines[0])
     back = spark.read.json(f"{out}/anomaly_report/details").orderBy(F.desc("abs_delta_count")).collect()
     assert [r.contador for r in back] == ["C16SE010255", "C16SC003896"]
 
@@ -85,7 +93,7 @@ def test_bad_and_missing_files_are_isolated(spark):
     with open(f"{folder}/bad_20251022.json", "w") as fh:
         fh.write('{"header": [')
     srcs = f"{folder}/good_20251022.json, {folder}/bad_20251022.json ,, {folder}/missing.json"
-    files = FL.list_candidate_files(spark, sources=srcs)
+    files = FL.discover(spark, sources=srcs)
     good, bad, counts = D.file_parse_status(D.scan_json_documents(spark, files))
     assert counts.first().asDict() == {"files_ok": 1, "files_error": 2}
     assert sorted((r.name, r.error) for r in bad.collect()) == [("bad_20251022.json", "invalid JSON document"),
@@ -96,13 +104,19 @@ def test_dry_run_and_no_files(spark):
     empty = _tmp()
     res = run_batch(spark, BatchOptions(directory=empty))
     assert res.status == "error" and "No JSON files" in res.error
+    assert res.result["files_listed"] == 0 and res.result["hint"] and res.result["performance"]["phase_seconds"]
     folder = _tmp()
     write_json(folder, "x.json", sample_document())
-    res = run_batch(spark, BatchOptions(directory=folder, store_path=_tmp() + "/s", write_stores=False))
+    res_store = _tmp() + "/s"
+    res = run_batch(spark, BatchOptions(directory=folder, store_path=res_store, write_stores=False))
     assert res.stores["upsert"]["status"] == "skipped"
     s = res.report.summary.first()
     assert s.status == "skipped" and s.reason.startswith("No history found")
-    assert res.profile.count() == len(res.phase_seconds)
+    rows = [(r.part, r.step) for r in res.profile.orderBy(F.col("step_no").asc_nulls_last(), "part").collect()]
+    assert rows[0] == (0, "Pipeline started") and rows[-1] == (0, "Overall pipeline")
+    assert [s for part, s in rows if part == 0][1:-1] == list(res.phase_seconds)
+    assert (1, "... [upsert] skipped") in rows and any(s.startswith("... [anomaly] history read") for _, s in rows)
+    assert not os.path.exists(res_store)
 
 
 def test_run_log_appends(spark):
@@ -131,3 +145,45 @@ def test_command_line_entry(spark):
     write_json(folder, "x.json", sample_document())
     out = main(["--directory", folder, "--run-id", "cli", "--dry-run", "--as-of", "2025-10-23T00:00:00"])
     assert out["status"] == "ok" and out["files_selected"] == 1 and out["anomalies"]["status"] == "skipped"
+
+
+def test_a_failed_run_leaves_its_result(spark):
+    folder, out, log = _tmp(), _tmp(), _tmp() + "/log"
+    write_json(folder, "x.json", sample_document())
+    with open(f"{out}/anomaly_report", "w") as fh:
+        fh.write("in the way")
+    res = run_batch(spark, BatchOptions(directory=folder, output_dir=out, run_log_path=log, run_id="f"))
+    assert res.status == "error" and res.result["files_ok"] == 1 and res.error == res.result["error"]
+    record = spark.read.json(f"{out}/result").first()
+    assert record["status"] == "error" and record["run_id"] == "f" and record["records"] == 1
+    assert "failed" in {r.step for r in spark.read.parquet(log).collect()}
+
+
+def test_repeats_inside_a_document(spark):
+    folder = _tmp()
+    write_json(folder, "a.json", [{"a": 1}, 5, {"a": 1}, {"b": [1, {"c": 2}]}, 5, {"b": [1, {"c": 2}]}, {"value": 5}])
+    write_json(folder, "b.json", [{"a": 1}])
+    write_json(folder, "c.json", [])
+    docs = D.scan_json_documents(spark, FL.discover(spark, directory=folder))
+    one = D.normalize_records(docs, "r", ingested_at=F.lit("2025-01-01").cast("timestamp"), distinct=True)
+    assert "Exchange" not in one._jdf.queryExecution().executedPlan().toString()
+    got = sorted((r._source_file, r._rec_ord) for r in one.select("_source_file", "_rec_ord").collect())
+    # a bare 5 and {"value": 5} are one record as a record, but two elements of the document
+    assert got == [("a.json", 0), ("a.json", 1), ("a.json", 3), ("a.json", 6), ("b.json", 0)]
+
+
+def test_flat_records_keep_cases_apart_and_stamps_win(spark):
+    folder, out = _tmp(), _tmp()
+    rows = [{"Date": "x", "date": "22/10/2025", "_run_id": "own", "n": [1, {"q": 'say "hi", now'}]}, {"n": None, "a`b": True, "_File_ord": 3}]
+    write_json(folder, "a.json", rows)
+    recs = D.normalize_records(D.scan_json_documents(spark, FL.discover(spark, directory=folder)), "r1",
+                               ingested_at=F.lit("2025-01-01").cast("timestamp"), distinct=True)
+    K.write_records_json(recs, f"{out}/j")
+    K.write_records_csv(recs, f"{out}/c")
+    lines = sorted((json.loads(r.value) for r in spark.read.text(f"{out}/j").collect()), key=lambda x: x["Date"] is None)
+    assert [set(x) for x in lines] == [{"Date", "date", "n", "a`b", "_File_ord", "_source_file", "_ingested_at", "_run_id"}] * 2
+    assert lines[0]["_run_id"] == "r1" and lines[0]["Date"] == "x" and lines[1]["a`b"] is True and lines[1]["n"] is None
+    back = spark.read.option("header", True).option("escape", '"').csv(f"{out}/c")
+    assert back.columns == ["Date", "_File_ord_2", "a`b", "date_2", "n", "_source_file", "_ingested_at", "_run_id"]
+    cells = sorted((tuple(r) for r in back.collect()), key=lambda r: r[0] is None)
+    assert cells[0][4] == '[1,{"q":"say \\"hi\\", now"}]' and cells[0][3] == "22/10/2025" and cells[1][1:3] == ("3", "true")

@@ -32,15 +32,15 @@ def _read(spark, files):
 
 
 def test_no_file_name_is_lost(spark, inbox):
-    assert _read(spark, FL.list_candidate_files(spark, directory=str(inbox))) == sorted(NAMES)
+    assert _read(spark, FL.discover(spark, directory=str(inbox))) == sorted(NAMES)
     given = ",".join(str(inbox / n) for n in NAMES)
-    assert _read(spark, FL.list_candidate_files(spark, sources=given)) == sorted(NAMES)
-    assert _read(spark, FL.list_candidate_files(spark, base=f"file://{inbox}", names=",".join(NAMES))) == sorted(NAMES)
+    assert _read(spark, FL.discover(spark, sources=given)) == sorted(NAMES)
+    assert _read(spark, FL.discover(spark, base=f"file://{inbox}", names=",".join(NAMES))) == sorted(NAMES)
 
 
 def test_relative_paths_and_missing_files(spark, inbox):
     relative = os.path.relpath(inbox / "plain.json")
-    docs = D.scan_json_documents(spark, FL.list_candidate_files(spark, sources=f"{relative},./{relative},nowhere.json"))
+    docs = D.scan_json_documents(spark, FL.discover(spark, sources=f"{relative},./{relative},nowhere.json"))
     assert sorted((r["name"], r["text"] is None) for r in docs.collect()) == [
         ("nowhere.json", True), ("plain.json", False), ("plain.json", False)]
 
