@@ -2,18 +2,17 @@
 
 from rillflow.functions.identity import (canonical_json, content_hash, record_identity, record_identity_from_json,
                                          truncate_payload)
-from rillflow.functions.numeric import guarded_ratio, num_or_zero, parse_litres, parse_litres_text, with_litres
+from rillflow.functions.numeric import parse_litres, parse_litres_text, with_litres
 from rillflow.functions.temporal import (date_from_name, day_floor, normalize_date_text, parse_timestamp_text,
                                          parse_timestamp_variant, utc_datetime, with_timestamp,
                                          with_timestamp_variant)
-from rillflow.functions.variant import (ALIAS_KEYS, DEVICE_KEYS, TIME_KEYS, VALUE_KEYS, first_truthy, is_truthy,
-                                        meter_key, strip_text, variant_text)
+from rillflow.functions.variant import (ALIAS_KEYS, DEVICE_KEYS, TIME_KEYS, VALUE_KEYS, meter_key, strip_text, truthy_sql, variant_text)
 
 __all__ = [
     "ALIAS_KEYS", "DEVICE_KEYS", "TIME_KEYS", "VALUE_KEYS", "canonical_json", "content_hash", "date_from_name",
-    "day_floor", "first_truthy", "guarded_ratio", "is_truthy", "meter_key", "normalize_date_text", "num_or_zero",
+    "day_floor", "meter_key", "normalize_date_text",
     "parse_litres", "parse_litres_text", "parse_timestamp_text", "parse_timestamp_variant", "record_identity",
     "record_identity_from_json",
-    "strip_text", "truncate_payload", "utc_datetime", "variant_text", "with_litres", "with_timestamp",
+    "strip_text", "truncate_payload", "truthy_sql", "utc_datetime", "variant_text", "with_litres", "with_timestamp",
     "with_timestamp_variant",
 ]

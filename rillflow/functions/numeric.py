@@ -1,4 +1,4 @@
-"""Numeric scalar functions (F2 litres parsing, F11 guarded ratio, F12 null-to-zero)."""
+"""Numeric scalar functions (F2 litres parsing)."""
 
 from __future__ import annotations
 
@@ -59,13 +59,3 @@ def with_litres(df: DataFrame, v: Column, out: str) -> DataFrame:
     result = F.when(is_numeric_type(kind) | (kind == F.lit("BOOLEAN")), F.col("__lv_v").try_cast("double")) \
         .otherwise(from_text)
     return staged.withColumn(out, _not_nan(result)).drop("__lv_k", "__lv_v", "__lv_t")
-
-
-def num_or_zero(c: Column) -> Column:
-    """Numeric coercion, null (and NaN) -> 0."""
-    return F.coalesce(_not_nan(c.try_cast("double")), F.lit(0.0))
-
-
-def guarded_ratio(num: Column, den: Column) -> Column:
-    """num / den where den > 0, else null."""
-    return F.when(den > 0, num / den)

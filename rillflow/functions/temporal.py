@@ -1,8 +1,7 @@
 """Date and time scalar functions.
 
-Parsing is done with one regular expression per layout and ``try_make_timestamp_ntz`` on
-the captured fields, so a row costs a few regex matches instead of a cascade of
-format-parse attempts.
+A layout is one regular expression whose replacement spells the fields in ISO order for Spark's own cast; a row costs
+one replacement for the usual layout, and generated code stays small.
 """
 
 from __future__ import annotations
@@ -15,7 +14,7 @@ from rillflow.functions.variant import is_numeric_type, strip_text, variant_type
 # English month abbreviations, in calendar order.
 MONTH_ABBREVIATIONS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
 
-_TIME = r"(?:[ T](\d{1,2}):(\d{2})(?::(\d{2})(?:\.(\d{1,9}))?)?)?"
+_TIME = r"(?:[ T](\d{1,2}:\d{2}(?::\d{2}(?:\.\d{1,9})?)?))?"
 # 22/10/2025, 22-10-2025, 22.10.2025 with an optional H:mm[:ss[.f]] part
 NUMERIC_DMY = rf"^(\d{{1,2}})[/.-](\d{{1,2}})[/.-](\d{{4}}){_TIME}$"
 # 2 Oct 2025, 2 October 2025
@@ -26,43 +25,33 @@ YEAR_FIRST_SLASH = rf"^(\d{{4}})/(\d{{1,2}})/(\d{{1,2}}){_TIME}$"
 ISO_PREFIX = r"^\d{4}-\d{1,2}-\d{1,2}(?:$|[ T])"
 ISO_TEXT = r"^\d{4}-\d{2}-\d{2}(?:[ T]\d{2}(?::\d{2}(?::\d{2}(?:\.\d{1,9})?)?)?(?:Z|[+-]\d{2}(?::?\d{2})?)?)?$"
 FILE_DATE = r"(20\d{6})"
+# The fields of a numeric date as ``year-month-day clock``, day first and month first.
+_DAY_FIRST, _MONTH_FIRST = "$3-$2-$1 $4", "$3-$1-$2 $4"
 
 
-def _field(parts: Column, idx: int, default: str | None = None) -> Column:
-    value = F.nullif(F.try_element_at(parts, F.lit(idx)), F.lit(""))
-    return F.coalesce(value, F.lit(default)) if default is not None else value
+def _respelled(t: Column, pattern: str, order: str) -> Column:
+    """``t`` with the fields of a layout in ISO order; a text of another layout stays as it is."""
+    return F.regexp_replace(t, F.lit(pattern), F.lit(order))
 
 
-def _clock(parts: Column, first: int) -> Column:
-    """``H:m:s.f`` text from the split fields starting at ``first`` (missing fields are 0)."""
-    return F.concat_ws(":", _field(parts, first, "0"), _field(parts, first + 1, "0"),
-                       F.concat_ws(".", _field(parts, first + 2, "0"), _field(parts, first + 3, "0")))
+def _parsed(t: Column, numeric: Column, day_first: bool) -> Column:
+    """Naive timestamp from a stripped text and ``numeric``, the text with a numeric date in ISO order.
 
+    Spark's own cast reads what the layouts leave: an impossible date gives null. Later layouts are looked at only when
+    the earlier ones gave nothing."""
+    iso = F.when(t.rlike(ISO_PREFIX), t.try_cast("timestamp").cast("timestamp_ntz"))
+    swapped = _respelled(t, NUMERIC_DMY, _MONTH_FIRST if day_first else _DAY_FIRST)
+    dmy = F.when(numeric != t, F.coalesce(numeric.try_cast("timestamp_ntz"), swapped.try_cast("timestamp_ntz")))
+    month = F.instr(F.lit("".join(MONTH_ABBREVIATIONS)), F.lower(F.regexp_extract(t, NAMED_MONTH, 2)))
+    by_name = F.when(t.rlike(NAMED_MONTH) & (month % 3 == 1), F.concat(
+        F.regexp_extract(t, NAMED_MONTH, 3), F.lit("-"), ((month + 2) / 3).cast("int").cast("string"), F.lit("-"),
+        F.regexp_extract(t, NAMED_MONTH, 1), F.lit(" "), F.regexp_extract(t, NAMED_MONTH, 4)).try_cast("timestamp_ntz"))
+    ymd = F.when(t.rlike(YEAR_FIRST_SLASH), _respelled(t, YEAR_FIRST_SLASH, "$1-$2-$3 $4").try_cast("timestamp_ntz"))
+    return F.coalesce(iso, dmy, by_name, ymd)
 
-def _at(year: Column, month: Column, day: Column, clock: Column) -> Column:
-    """Spark's own lenient ``yyyy-M-d H:m:s.f`` cast; an impossible date gives null."""
-    return F.concat_ws(" ", F.concat_ws("-", year, month, day), clock).try_cast("timestamp_ntz")
 
-
-def _iso(text: Column) -> Column:
-    return F.when(text.rlike(ISO_PREFIX), text.try_cast("timestamp").cast("timestamp_ntz"))
-
-
-_NUM_SPLIT = r"[/.\- T:]+"
-_NAMED_SPLIT = r"[ \-:.]+"
-
-
-def _parse_fields(t: Column, num: Column, named: Column, day_first: bool, clock: Column | None = None) -> Column:
-    a, b, y = _field(num, 1), _field(num, 2), _field(num, 3)
-    clock = _clock(num, 4) if clock is None else clock
-    first, second = (a, b) if day_first else (b, a)
-    dmy = F.when(t.rlike(NUMERIC_DMY), F.coalesce(_at(y, second, first, clock), _at(y, first, second, clock)))
-    pos = F.instr(F.lit("".join(MONTH_ABBREVIATIONS)), F.lower(F.substring(F.try_element_at(named, F.lit(2)), 1, 3)))
-    by_name = F.when(t.rlike(NAMED_MONTH) & (pos % 3 == 1),
-                     _at(_field(named, 3), ((pos + 2) / 3).cast("int").cast("string"), _field(named, 1),
-                         _clock(named, 4)))
-    ymd = F.when(t.rlike(YEAR_FIRST_SLASH), _at(a, b, y, clock))
-    return F.coalesce(_iso(t), dmy, by_name, ymd)
+def _numeric(t: Column, day_first: bool) -> Column:
+    return _respelled(t, NUMERIC_DMY, _DAY_FIRST if day_first else _MONTH_FIRST)
 
 
 def parse_timestamp_text(text: Column, day_first: bool = True) -> Column:
@@ -72,27 +61,22 @@ def parse_timestamp_text(text: Column, day_first: bool = True) -> Column:
     first (10/22/2025 -> 22 October). Without it the order is reversed. ISO text is
     read as written; a zone offset is converted to UTC.
 
-    Each layout is recognised by one regular expression and split into its fields; the
-    fields are reassembled as ISO text for Spark's string-to-timestamp cast. On large
-    frames prefer ``with_timestamp``, which computes the split once per row.
+    The stripped text and its respelling are bound once, as elements of one-entry arrays, so the form may stand inside
+    other lambdas. On frames ``with_timestamp`` projects them as columns.
     """
-    t = strip_text(text)
-    return _parse_fields(t, F.split(t, _NUM_SPLIT), F.split(t, _NAMED_SPLIT), day_first)
+    spelled = F.transform(F.array(strip_text(text)), lambda t: F.struct(t.alias("t"), _numeric(t, day_first).alias("n")))
+    return F.get(F.transform(spelled, lambda x: _parsed(x["t"], x["n"], day_first)), F.lit(0))
 
 
 def with_timestamp(df: DataFrame, text: Column, out: str, day_first: bool = True) -> DataFrame:
     """``df`` plus column ``out`` = ``parse_timestamp_text(text)``.
 
-    Spark does not share a subexpression that only occurs inside conditional branches,
-    so the stripped text and its splits are projected as columns first and referenced.
+    Spark does not share a subexpression that only occurs inside conditional branches, so the stripped text and its
+    respelling are projected as columns first and referenced.
     """
     staged = df.withColumn("__ts_t", strip_text(text))
-    staged = staged.withColumn("__ts_n", F.split("__ts_t", _NUM_SPLIT)).withColumn(
-        "__ts_m", F.split("__ts_t", _NAMED_SPLIT))
-    staged = staged.withColumn("__ts_c", _clock(F.col("__ts_n"), 4))
-    parsed = staged.withColumn(out, _parse_fields(F.col("__ts_t"), F.col("__ts_n"), F.col("__ts_m"), day_first,
-                                                  F.col("__ts_c")))
-    return parsed.drop("__ts_t", "__ts_n", "__ts_m", "__ts_c")
+    staged = staged.withColumn("__ts_n", _numeric(F.col("__ts_t"), day_first))
+    return staged.withColumn(out, _parsed(F.col("__ts_t"), F.col("__ts_n"), day_first)).drop("__ts_t", "__ts_n")
 
 
 def with_timestamp_variant(df: DataFrame, v: Column, out: str, day_first: bool = True) -> DataFrame:

@@ -23,51 +23,28 @@ def is_numeric_type(kind: Column) -> Column:
     return kind.isin("TINYINT", "SMALLINT", "INT", "BIGINT", "FLOAT", "DOUBLE") | kind.startswith("DECIMAL")
 
 
-def is_truthy(v: Column) -> Column:
-    """Python truthiness of a JSON value held in a VARIANT.
+def is_object(v: Column) -> Column:
+    """Whether a VARIANT holds an object. The cast looks at the top level alone; a type name spells out every level."""
+    return v.try_cast("map<string,variant>").isNotNull()
+
+
+def elements(v: Column) -> Column:
+    """The elements of a list, any other value as the only element; null for no value."""
+    return F.when(v.isNotNull(), F.coalesce(v.try_cast("array<variant>"), F.array(v)))
+
+
+def truthy_sql(kind: str, v: str) -> str:
+    """Python truthiness of a JSON value held in a VARIANT, as SQL text: ``v`` and its type name ``kind`` are names in it.
 
     Falsy: missing, JSON null, numeric zero, false, "", empty list, empty object.
-    The string "0" is truthy. Decided on the VARIANT type, never on its text.
-    """
-    kind = variant_type(v)
-    falsy = (
-        v.isNull()
-        | (kind == F.lit("VOID"))
-        | (is_numeric_type(kind) & (v.try_cast("double") == F.lit(0.0)))
-        | ((kind == F.lit("BOOLEAN")) & ~F.coalesce(v.try_cast("boolean"), F.lit(False)))
-        | ((kind == F.lit("STRING")) & (v.cast("string") == F.lit("")))
-        | (kind.startswith("ARRAY") & (F.size(v.try_cast("array<variant>")) == F.lit(0)))
-        | (kind.startswith("OBJECT") & (F.to_json(v) == F.lit("{}")))
-    )
-    return ~F.coalesce(falsy, F.lit(False))
-
-
-def first_truthy(cells: Column, keys: Sequence[str]) -> Column:
-    """`m.get(k1) or m.get(k2) or ...` over a map<string, variant>: the first truthy value,
-    else the last key's value (Python's ``or`` returns its last operand)."""
-    picks = []
-    for key in keys:
-        cell = F.try_element_at(cells, F.lit(key))
-        picks.append(F.when(is_truthy(cell), cell))
-    picks.append(F.try_element_at(cells, F.lit(keys[-1])))
-    return F.coalesce(*picks)
-
-
-def truthy_cells(cells: Column) -> Column:
-    """Keep only the truthy cells of a map<string, variant>."""
-    return F.map_filter(cells, lambda _k, v: is_truthy(v))
-
-
-def first_present(truthy: Column, keys: Sequence[str], cells: Column | None = None) -> Column:
-    """First of ``keys`` present in a map already reduced to truthy cells.
-
-    With ``cells`` (the unfiltered map) this is Python's ``a or b or c``: when every
-    value is falsy the result is the *last* key's raw value (e.g. a numeric 0).
+    The string "0" is truthy. Decided on the VARIANT type, never on its text; text, the usual type, is looked at first.
     """
-    picks = [F.try_element_at(truthy, F.lit(k)) for k in keys]
-    if cells is not None:
-        picks.append(F.try_element_at(cells, F.lit(keys[-1])))
-    return F.coalesce(*picks)
+    numeric = f"({kind} IN ('TINYINT', 'SMALLINT', 'INT', 'BIGINT', 'FLOAT', 'DOUBLE') OR startswith({kind}, 'DECIMAL'))"
+    return (f"CASE WHEN {kind} = 'STRING' THEN CAST({v} AS STRING) <> '' WHEN {kind} IS NULL OR {kind} = 'VOID' THEN false "
+            f"WHEN {numeric} THEN coalesce(try_cast({v} AS DOUBLE) <> 0.0D, true) "
+            f"WHEN {kind} = 'BOOLEAN' THEN coalesce(try_cast({v} AS BOOLEAN), false) "
+            f"WHEN startswith({kind}, 'ARRAY') THEN size(try_cast({v} AS array<variant>)) <> 0 "
+            f"WHEN startswith({kind}, 'OBJECT') THEN to_json({v}) <> '{{}}' ELSE true END")
 
 
 def variant_text(v: Column) -> Column:

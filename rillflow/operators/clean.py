@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,13 +28,12 @@ def dedup_exact(records: DataFrame) -> DataFrame:
     return kept.select(F.parse_json("_canon").alias("payload"), *PROVENANCE, "_rec_ord")
 
 
-def _normalized_variant(v):
-    kind = variant_type(v)
+def _normalized_variant(kind, v):
     text = (F.when(kind == F.lit("STRING"), normalize_date_text(v.cast("string")))
             .when(is_numeric_type(kind),
                   F.date_format(F.timestamp_micros(F.floor(v.try_cast("decimal(38,0)") / 1000).try_cast("long")),
                                 "yyyy-MM-dd'T'HH:mm:ss'Z'")))
-    return F.when(text.isNull(), F.parse_json(F.lit("null"))).otherwise(text.cast("variant"))
+    return F.coalesce(text.cast("variant"), F.parse_json(F.lit("null")))
 
 
 def normalize_dates(records: DataFrame, keys=DATE_KEYS) -> DataFrame:
@@ -45,12 +41,15 @@ def normalize_dates(records: DataFrame, keys=DATE_KEYS) -> DataFrame:
 
     Parsed per value (month first, day first when that is invalid).
     """
-    # key lookups decide cheaply; only records holding a date key are rebuilt
-    has_date = reduce(or_, [F.try_variant_get("payload", f"$.{k}", "variant").isNotNull() for k in keys], F.lit(False))
-    as_map = F.col("payload").try_cast("map<string,variant>")
-    rewritten = F.transform_values(as_map, lambda k, v: F.when(k.isin(*keys), _normalized_variant(v)).otherwise(v))
-    payload = F.when(has_date, F.to_variant_object(rewritten)).otherwise(F.col("payload"))
-    return records.withColumn("payload", payload)
+    # the date keys a record holds, few or none, are looked up first; only records with one are taken apart, and only
+    # these cells are parsed
+    found = F.array(*[F.struct(F.lit(k).alias("k"), F.try_variant_get("payload", f"$.{k}", "variant").alias("v")) for k in keys])
+    held = F.filter(found, lambda x: x["v"].isNotNull())
+    staged = records.withColumn("__dates", F.transform(held, lambda x: F.struct(x["k"].alias("k"), x["v"].alias("v"), variant_type(x["v"]).alias("t"))))
+    dates = F.map_from_entries(F.transform("__dates", lambda x: F.struct(x["k"], _normalized_variant(x["t"], x["v"]))))
+    rewritten = F.map_concat(F.col("payload").try_cast("map<string,variant>"), dates)  # the later map wins
+    payload = F.when(F.size("__dates") > 0, F.to_variant_object(rewritten)).otherwise(F.col("payload"))
+    return staged.withColumn("payload", payload).drop("__dates")
 
 
 def light_clean(records: DataFrame) -> DataFrame:

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rillflow.functions.numeric import with_litres
 from rillflow.functions.temporal import with_timestamp_variant
-from rillflow.functions.variant import (ALIAS_KEYS, DEVICE_KEYS, TIME_KEYS, VALUE_KEYS, first_present, meter_key,
-                                        strip_text, truthy_cells, variant_text)
+from rillflow.functions.variant import (ALIAS_KEYS, DEVICE_KEYS, TIME_KEYS, VALUE_KEYS, meter_key, strip_text,
+                                        truthy_sql, variant_text)
 
 READINGS_SCHEMA = ("contador string, device string, alias string, timestamp timestamp_ntz, value_l double, "
                    "source_file string, _run_id string, _file_ord string, _rec_ord bigint, _body_pos int")
@@ -16,36 +18,41 @@ READING_COLUMNS = ["contador", "device", "alias", "timestamp", "value_l", "sourc
                    "_file_ord", "_rec_ord", "_body_pos"]
 
 
-def _pick(x: Column) -> Column:
-    """Bound row ``x`` (pos, m = all cells, t = truthy cells) -> the picked reading cells.
+# The fields a row is read for, with the names that a header may give them.
+FIELDS = (DEVICE_KEYS, ALIAS_KEYS, TIME_KEYS, VALUE_KEYS)
 
-    Device and alias chains end in ``or ''`` (handled by the caller); the time and
-    litres chains end in their last name, whose raw value is taken when nothing is truthy.
-    """
-    return F.struct(
-        x["pos"].alias("_body_pos"),
-        first_present(x["t"], DEVICE_KEYS).alias("_dev"), first_present(x["t"], ALIAS_KEYS).alias("_ali"),
-        first_present(x["t"], TIME_KEYS, x["m"]).alias("_time"),
-        first_present(x["t"], VALUE_KEYS, x["m"]).alias("_val"))
 
+def _texts(keys: Sequence[str]) -> str:
+    return "array(" + ", ".join("'" + k.replace("\\", "\\\\").replace("'", "\\'") + "'" for k in keys) + ")"
 
-def _picked_rows(names: Column, body: Column) -> Column:
-    """Body rows -> array of picked cells; rows that are not lists are dropped.
 
-    Higher-order functions run interpreted, without common-subexpression elimination,
-    so every intermediate (the cast row, its cell map, the truthy map) is bound once by
-    its own ``transform`` level instead of being repeated inside one lambda.
-    """
-    cells = F.transform(body, lambda row, i: F.struct(i.alias("pos"), row.try_cast("array<variant>").alias("c")))
-    cells = F.filter(cells, lambda x: x["c"].isNotNull())
+# Lambdas are written as SQL text: one expression each, where the Column functions make a call to the JVM per node.
+def _places(names: str, fields: Sequence[Sequence[str]]) -> Column:
+    """For every field, for every one of its names that the header holds, in order of preference: the name's places in
+    the header, the last one first."""
+    wanted = f"array({', '.join(_texts(keys) for keys in fields)})"
+    places = f"reverse(filter(sequence(0, size({names}) - 1), i -> get({names}, i) = k))"
+    return F.expr(f"transform({wanted}, keys -> filter(transform(keys, k -> {places}), p -> size(p) > 0))")
+
 
-    def to_map(x):
-        n = F.least(F.size(names), F.size(x["c"]))
-        return F.struct(x["pos"].alias("pos"), F.map_from_arrays(F.slice(names, 1, n), F.slice(x["c"], 1, n)).alias("m"))
+def _cell(cells: str, places: str) -> str:
+    """The cell under a header name: its last place that the row reaches, null without one."""
+    return f"get({cells}, get(filter({places}, i -> i < size({cells})), 0))"
 
-    maps = F.transform(cells, to_map)
-    both = F.transform(maps, lambda x: F.struct(x["pos"].alias("pos"), x["m"].alias("m"), truthy_cells(x["m"]).alias("t")))
-    return F.transform(both, _pick)
+
+def _picked_rows(body: str, fields: str, last: str) -> Column:
+    """Body rows -> array of ``_body_pos``, the first truthy cell of every field, the raw cells of ``last``; rows that are
+    not lists are dropped.
+
+    Where each field's names stand in the header is known once per document, so a row is read at a few places and never
+    made into a map. Higher-order functions run interpreted, without common-subexpression elimination, so what is used
+    twice (a row's cells, a cell and its type) is bound by a ``transform`` level of its own.
+    """
+    rows = f"filter(transform({body}, (row, pos) -> struct(pos, try_cast(row AS array<variant>) AS c)), x -> x.c IS NOT NULL)"
+    typed = f"transform(transform(choices, p -> {_cell('x.c', 'p')}), v -> struct(v, schema_of_variant(v) AS t))"
+    found = f"transform({fields}, choices -> get(filter({typed}, y -> {truthy_sql('y.t', 'y.v')}), 0).v)"
+    raw = f"transform({last}, field -> {_cell('x.c', 'get(field, 0)')})"
+    return F.expr(f"transform({rows}, x -> struct(x.pos AS _body_pos, {found} AS _found, {raw} AS _raw))")
 
 
 def flatten_readings(records: DataFrame, source_tag: str = "") -> DataFrame:
@@ -53,7 +60,7 @@ def flatten_readings(records: DataFrame, source_tag: str = "") -> DataFrame:
 
     * a body row that is not a list is skipped;
     * header names are stripped; a row is zipped with the header up to the shorter length,
-      and a repeated header name keeps the last cell (``spark.sql.mapKeyDedupPolicy=LAST_WIN``);
+      and a repeated header name keeps the last cell;
     * device / alias / time / litres come from the first *truthy* cell of their alias
       lists (numeric 0 and "" fall through to the next name);
     * the meter (``contador``) is the device, else the alias; rows with neither are dropped.
@@ -74,8 +81,14 @@ def flatten_readings(records: DataFrame, source_tag: str = "") -> DataFrame:
         F.transform(header, lambda h: F.coalesce(strip_text(h), F.lit("None"))).alias("_names"), body.alias("_body"),
         src.alias("source_file"), run.alias("_run_id"),
         F.col("_file_ord").cast("string").alias("_file_ord"), F.col("_rec_ord").cast("long").alias("_rec_ord"))
-    rows = F.when(F.col("_names").isNotNull(), _picked_rows(F.col("_names"), F.col("_body")))
+    docs = docs.withColumns({"_fields": _places("_names", FIELDS), "_last": _places("_names", (TIME_KEYS[-1:], VALUE_KEYS[-1:]))})
+    rows = F.when(F.col("_names").isNotNull(), _picked_rows("_body", "_fields", "_last"))
     picked = docs.select("source_file", "_run_id", "_file_ord", "_rec_ord", F.inline(rows))
+    # device and alias chains end in an empty text, the time and litres chains in the raw value of their last name
+    cell = lambda i, raw=None: F.get("_found", F.lit(i)) if raw is None else F.coalesce(
+        F.get("_found", F.lit(i)), F.get("_raw", F.lit(raw)))
+    picked = picked.select("source_file", "_run_id", "_file_ord", "_rec_ord", "_body_pos", cell(0).alias("_dev"), cell(1).alias("_ali"),
+                           cell(2, 0).alias("_time"), cell(3, 1).alias("_val"))
     typed = picked.select(
         strip_text(F.coalesce(variant_text(F.col("_dev")), F.lit(""))).alias("device"),
         strip_text(F.coalesce(variant_text(F.col("_ali")), F.lit(""))).alias("alias"),

@@ -265,7 +265,7 @@ FROM events"""
 
 
 def _flat_docs(spark, sf_dir):
-    records = C.light_clean(D.normalize_records(_scanned(spark, sf_dir), run_id="run-1"))
+    records = C.normalize_dates(D.normalize_records(_scanned(spark, sf_dir), run_id="run-1", distinct=True))
     return flatten_readings(records)
 
 

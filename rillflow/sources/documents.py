@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillflow.functions.identity import without_keys
-from rillflow.functions.variant import variant_type
+from rillflow.functions.variant import elements, is_object
 from rillflow.session import empty_frame
 from rillflow.sources.files import Files, existing, glob_escaped, metadata_path, qualified
 
@@ -90,8 +90,9 @@ def first_of_equals(items):
     texts = F.transform(items, lambda x: F.to_json(x))
     places = F.sequence(F.lit(0), F.size(items) - 1)
     first = F.array_sort(F.map_values(F.map_from_arrays(F.reverse(texts), F.reverse(places))))
-    # no sequence runs over an empty array
-    return F.when(F.size(items) > 0, F.transform(first, lambda i: F.struct(i.alias("pos"), F.get(items, i).alias("item"))))
+    # an element alone repeats nothing and is not spelled out; no sequence runs over an empty array
+    kept = F.when(F.size(items) == 1, F.array(F.lit(0))).when(F.size(items) > 1, first)
+    return F.transform(kept, lambda i: F.struct(i.alias("pos"), F.get(items, i).alias("item")))
 
 
 def normalize_records(documents: DataFrame, run_id: str | None, ingested_at=None, distinct: bool = False) -> DataFrame:
@@ -106,12 +107,9 @@ def normalize_records(documents: DataFrame, run_id: str | None, ingested_at=None
     same names that a payload brings along.
     Output: ``payload variant, _source_file, _ingested_at, _run_id, _file_ord, _rec_ord``.
     """
-    kind = variant_type(F.col("doc"))
     # a document that did not parse yields no records (no filter on ``doc``: a pushed-down
     # filter would parse every document twice)
-    items = (F.when(F.col("doc").isNull(), F.lit(None).cast("array<variant>"))
-             .when(kind.startswith("ARRAY"), F.col("doc").try_cast("array<variant>"))
-             .otherwise(F.array(F.col("doc"))))
+    items = elements(F.col("doc"))
     if distinct:
         exploded = documents.select("name", "_file_ord", items.alias("_items")).select(
             "name", "_file_ord", F.explode(first_of_equals(F.col("_items"))).alias("_r")).select(
@@ -119,7 +117,7 @@ def normalize_records(documents: DataFrame, run_id: str | None, ingested_at=None
     else:
         exploded = documents.select("name", "_file_ord", F.posexplode(items).alias("_rec_ord", "item"))
     stamped = reduce(or_, [F.try_variant_get("item", f"$.{k}", "variant").isNotNull() for k in STAMP_KEYS])
-    wrapped = F.when(variant_type(F.col("item")).startswith("OBJECT"), without_keys(F.col("item"), STAMP_KEYS, stamped)).otherwise(
+    wrapped = F.when(is_object(F.col("item")), without_keys(F.col("item"), STAMP_KEYS, stamped)).otherwise(
         F.to_variant_object(F.struct(F.col("item").alias("value"))))
     stamp = ingested_at if ingested_at is not None else F.current_timestamp()
     return exploded.select(

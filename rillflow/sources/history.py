@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillflow.functions.variant import variant_type
+from rillflow.functions.variant import elements, is_object
 from rillflow.operators import store as S
 from rillflow.operators.flatten import READINGS_SCHEMA, flatten_readings
 from rillflow.sources.documents import scan_json_documents
@@ -24,7 +24,7 @@ def history_records_from_store(spark: SparkSession, path: str, as_of: dt.datetim
     rows = S.current(spark, path, saved_since=cutoff).select("payload_json", "saved_at", "run_id", "source_file")
     payload = F.try_parse_json(F.col("payload_json"))
     decoded = rows.select(payload.alias("payload"), "saved_at", "run_id", "source_file")
-    decoded = decoded.where(variant_type(F.col("payload")).startswith("OBJECT"))
+    decoded = decoded.where(is_object(F.col("payload")))
     return decoded.select(
         "payload", F.col("source_file").alias("_source_file"), F.col("run_id").alias("_run_id"),
         F.lit("").alias("_file_ord"), F.lit(0).cast("long").alias("_rec_ord"))
@@ -44,12 +44,8 @@ def history_from_file(spark: SparkSession, source: str) -> DataFrame:
     if not path_exists(spark, source):
         return empty_frame(spark, READINGS_SCHEMA)
     docs = scan_json_documents(spark, Files(MODE_LOCAL_DIR, folder=source, glob="*", recursive=True))
-    kind = variant_type(F.col("doc"))
-    items = (F.when(F.col("doc").isNull(), F.lit(None).cast("array<variant>"))
-             .when(kind.startswith("ARRAY"), F.col("doc").try_cast("array<variant>"))
-             .otherwise(F.array(F.col("doc"))))
-    recs = docs.select("name", F.posexplode(items).alias("_rec_ord", "payload"))
-    recs = recs.where(variant_type(F.col("payload")).startswith("OBJECT")).select(
+    recs = docs.select("name", F.posexplode(elements(F.col("doc"))).alias("_rec_ord", "payload"))
+    recs = recs.where(is_object(F.col("payload"))).select(
         "payload", F.col("name").alias("_source_file"), F.lit(None).cast("string").alias("_run_id"),
         F.lit("").alias("_file_ord"), F.col("_rec_ord").cast("long"))
     return flatten_readings(recs)

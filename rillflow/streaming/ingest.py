@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillflow.operators import store as S
-from rillflow.operators.clean import light_clean
+from rillflow.operators.clean import normalize_dates
 from rillflow.session import apply_confs
 from rillflow.sources.documents import normalize_records
 
@@ -43,7 +43,8 @@ def ingest_new_files(spark: SparkSession, folder: str, store_path: str, checkpoi
     def write(batch: DataFrame, epoch: int) -> None:
         run_id = f"{run_prefix}-{epoch}"
         now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        records = light_clean(normalize_records(_batch_documents(batch), run_id, ingested_at=F.lit(now).cast("timestamp")))
+        records = normalize_dates(normalize_records(_batch_documents(batch), run_id, ingested_at=F.lit(now).cast("timestamp"),
+                                                   distinct=True))
         S.upsert(batch.sparkSession, store_path, records, run_id, now, key=f"{checkpoint}\n{run_id}")
 
     query = (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)

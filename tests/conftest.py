@@ -15,5 +15,13 @@ def spark():
     session.stop()
 
 
+@pytest.fixture(scope="session")
+def gate(spark):
+    """Every catalogue query run once at the scale of the driver's gate: (outcomes, plans)."""
+    from oracle_check import compare
+    plans = {}
+    return compare(spark, SF_CHECK, plans=plans), plans
+
+
 SF_SMALL = "/root/testdata/sf0.001"
 SF_CHECK = "/root/testdata/sf0.01"

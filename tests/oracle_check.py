@@ -29,7 +29,8 @@ def _norm(v):
     return v if v is None else (repr(v) if not isinstance(v, str) else v)
 
 
-def compare(spark, sf_dir, names=None):
+def compare(spark, sf_dir, names=None, plans=None):
+    """name -> outcome; ``plans`` gets each query's physical plan as text, as it was before it ran."""
     from rillflow.plans.catalog import ORACLES, QUERIES
     con = duckdb.connect()
     for t in TABLES:
@@ -40,6 +41,8 @@ def compare(spark, sf_dir, names=None):
         try:
             sdf = QUERIES[name](spark, sf_dir)
             scols = sdf.columns
+            if plans is not None:
+                plans[name] = sdf._jdf.queryExecution().executedPlan().toString()
             srows = [tuple(row) for row in sdf.collect()]
         except Exception as e:  # noqa: BLE001
             results[name] = f"SPARK ERROR {type(e).__name__}: {str(e)[:300]}"

@@ -2,22 +2,14 @@
 
 import pytest
 
-from oracle_check import compare
 from rillflow.plans.catalog import ORACLES, QUERIES
 
-SF = "/root/testdata/sf0.01"
-
-
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
     assert len(QUERIES) >= 42
 
 
-@pytest.fixture(scope="module")
-def results(spark):
-    return compare(spark, SF)
-
-
 @pytest.mark.parametrize("name", sorted(QUERIES))
-def test_query_matches_oracle(results, name):
+def test_query_matches_oracle(gate, name):
+    results, _ = gate
     assert results[name].startswith("ok"), results[name]

@@ -3,7 +3,6 @@
 import pytest
 
 from rillflow.plans import bindings as B
-from rillflow.plans.catalog import QUERIES
 from rillflow.sources import documents as D
 from rillflow.sources import files as FL
 
@@ -12,10 +11,6 @@ PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGro
 CROSS_NODES = ("CartesianProduct", "BroadcastNestedLoopJoin")
 
 
-def _plan(df):
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
 def _subtrees(plan, marker):
     """Lines of every subtree whose root line contains ``marker``."""
     lines = plan.split("\n")
@@ -33,8 +28,8 @@ def _subtrees(plan, marker):
 
 
 @pytest.fixture(scope="module")
-def plans(spark):
-    return {name: _plan(fn(spark, SF)) for name, fn in QUERIES.items()}
+def plans(gate):
+    return gate[1]
 
 
 def test_no_python_evaluation_or_cross_joins(plans):
