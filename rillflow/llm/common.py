@@ -53,6 +53,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def exactly(name: str) -> Column:
+    """The column of just this name, whatever characters it has."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def lower_ascii(col: Column) -> Column:
     """Lower-case A-Z only."""
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

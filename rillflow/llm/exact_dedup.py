@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLANKS, SALTS, cut
+from .common import BLANKS, SALTS, cut, exactly
 
 #: A digest is hot from this share of all rows on (one in so many); also the bound on hot digests.
 HOT_SHARE = 4096
@@ -45,7 +45,8 @@ def dedup_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     hot = cut(counts.where(F.col("count") > least).select("_dig", F.lit(True).alias("_hot")), "dedup-hot")  # HOT_SHARE rows at most
 
     def salted(df: DataFrame) -> DataFrame:
-        salt = F.when(F.col("_hot"), F.pmod(F.xxhash64("_id"), F.lit(salts))).otherwise(F.lit(0).cast("long"))
+        # any number deals out a hot digest: what its winners say is given to every salt, so null and repeated ids spread too
+        salt = F.when(F.col("_hot"), F.pmod(F.monotonically_increasing_id(), F.lit(salts))).otherwise(F.lit(0).cast("long"))
         return df.join(F.broadcast(hot), "_dig", "left").withColumn("_salt", salt)
 
     won = (salted(keyed).groupBy("_dig", "_salt", "_hot", "_norm")
@@ -55,7 +56,8 @@ def dedup_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     salt_winners = cut(won.where("_hot"), "dedup-salt-winners")  # at most HOT_SHARE * salts rows beyond collisions
     over = (salt_winners.groupBy("_dig", "_norm")
             .agg(F.min("_m").alias("keep_id"), F.sum("_n").alias("group_size")))
-    warm = salt_winners.join(over, ["_dig", "_norm"]).select("_dig", "_salt", "_sha", "keep_id", "group_size")
+    every = F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))
+    warm = over.select("_dig", F.explode(every).alias("_salt"), F.sha2("_norm", 256).alias("_sha"), "keep_id", "group_size")
     classes = cold.union(warm)
     rows = salted(narrow)
     return rows.join(classes, ["_dig", "_salt", "_sha"]).select(
@@ -66,7 +68,9 @@ def dedup_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose text no row with a smaller id has, with all their columns.
 
-    Rows that repeat id and text go with their first: one row stays.
+    Rows that repeat id and text go with their first: one row stays. Null texts count as empty, a null id stays where its
+    text has no other; of equal texts with ids that tie one row stays; whole texts are compared. An empty table gives no
+    rows. Columns of any name are kept as they are.
     """
     kept = dedup_classes(docs, id_col, text_col).where("kept")
     ids = kept.groupBy(F.col(id_col).alias("_kid"), F.col("text_sha256").alias("_ksha")).agg(F.count(F.lit(1)).alias("_rows"))
@@ -77,4 +81,6 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         return docs.join(which, docs[id_col].eqNullSafe(which["_kid"]) & (sha == which["_ksha"]), "left_semi")
 
     once, again = rows(ids.where("_rows = 1")), rows(ids.where("_rows > 1"))
-    return once.union(again.withColumn("_t", normalised(F.col(text_col))).dropDuplicates([id_col, "_t"]).drop("_t"))
+    row = F.struct(*[exactly(c) for c in docs.columns])
+    first = again.select(row.alias("_row"), F.col(id_col).alias("_id"), normalised(F.col(text_col)).alias("_t"))
+    return once.union(first.dropDuplicates(["_id", "_t"]).select("_row.*"))

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, cut
+from .common import WORD, cut, exactly
 
 #: Fixed by the contract: weights of the sources in code-point order, repeating; the share of all words to take;
 #: the most copies of one document, also of a source's size.
@@ -21,6 +21,8 @@ WEIGHTS, SHARE, MOST = (5, 2, 1), 1.5, 2.0
 #: Expected copies are summed as whole multiples of 1 / UNIT, so the order of summation cannot change a result.
 UNIT = 1 << 24
 BUCKETS = 256
+#: Columns that ``mix`` adds.
+ADDED = ("copies", "size", "source_size", "target")
 SEED = 20240607
 
 
@@ -56,13 +58,16 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
     ``wide`` keeps the columns of ``docs``, else only the id. Null text has size 0; null is a source of its own,
     sorted last; documents without words take part and cost nothing. Rows that repeat are separate documents.
-    The draw depends on seed, ids and texts alone, so reruns agree. An empty table gives no rows. Columns of
-    ``docs`` named like the added ones are replaced.
+    The draw depends on seed, ids and texts alone, so reruns agree; documents alike in size are ordered by a hash of
+    id and text, then by id. Whole texts are counted, however long. An empty table gives no rows. Columns of ``docs``
+    named like the added ones are replaced, all others keep their names and values. Rows equal in id and text (and null
+    ids with one text) stand in one bucket: a third of all rows of that kind is one task's work, which the window sorts
+    and spills; distinct ids are spread.
     """
-    added = {"copies", "size", "source_size", "target"}
-    plain = docs.select(*[c for c in docs.columns if c not in added])
+    plain = docs.select(*[exactly(c) for c in docs.columns if c not in ADDED])
+    # the caller's columns travel as one struct, so that no name of theirs meets one of these
     sized = plain.select(
-        *([F.col(c) for c in plain.columns] if wide else [F.col(id_col)]), F.col(source_col).alias("_src"),
+        F.struct(*[exactly(c) for c in (plain.columns if wide else [id_col])]).alias("_row"), F.col(id_col).alias("_id"), F.col(source_col).alias("_src"),
         word_count(F.col(text_col)).alias("size"), F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col)).alias("_h"))
     sized = (sized.withColumn("_class", F.floor(F.log2(F.col("size") + 1) * 128).cast("int"))
              .withColumn("_bucket", F.pmod(F.shiftrightunsigned("_h", 20), F.lit(BUCKETS)).cast("int")))
@@ -87,18 +92,17 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     offsets = cut(level2.join(rates, F.col("_src").eqNullSafe(F.col("_s"))).select(
         F.col("_src").alias("_os"), F.col("_class").alias("_oc"), F.col("_bucket").alias("_ob"),
         ((F.col("_off1") + F.col("_off2")) * F.col("_e")).alias("_before"), "_e", "_u", "source_size", "target"), "mix-offsets")
-    inside = Window.partitionBy("_src", "_class", "_bucket").orderBy("size", "_h", id_col)
+    inside = Window.partitionBy("_src", "_class", "_bucket").orderBy("size", "_h", "_id")
     ranked = sized.withColumn("_rank", F.row_number().over(inside))
     placed = ranked.join(offsets, F.col("_src").eqNullSafe(F.col("_os")) & (F.col("_class") == F.col("_oc"))
                          & (F.col("_bucket") == F.col("_ob")))
     end = F.col("_before") + F.col("_rank") * F.col("_e") + F.col("_u")
     unit = UNIT.bit_length() - 1
     copies = F.shiftright(end, unit) - F.shiftright(end - F.col("_e"), unit)  # whole-number floors, exact for any sum
-    keep = [c for c in plain.columns] if wide else [id_col]
-    return placed.select(*keep, copies.cast("long").alias("copies"), "size", "source_size", "target")
+    return placed.select("_row.*", copies.cast("long").alias("copies"), "size", "source_size", "target")
 
 
 def emit(mixed: DataFrame) -> DataFrame:
-    """One row per copy, without the columns that ``mix`` adds."""
-    out = mixed.where("copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-    return out.drop("_copy", "copies", "size", "source_size", "target")
+    """One row per copy, without the columns that ``mix`` adds; other columns keep their names, whatever these are."""
+    rest = F.struct(*[exactly(c) for c in mixed.columns if c not in ADDED])
+    return mixed.select(F.explode(F.array_repeat(rest, F.col("copies").cast("int"))).alias("_row")).select("_row.*")

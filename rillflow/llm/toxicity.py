@@ -74,9 +74,10 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
                   label_col: str = "toxic") -> DataFrame:
     """(text, toxic, weight) of the training sample: labelled rows whose crc32(id as text) mod 3 is not 1.
 
-    Null labels teach nothing; an id labelled more than once counts as toxic if any label says so; a repeated document
-    counts once per row. The sample's ids are at most MAX_TOXIC + MAX_OTHER rows, a proven bound, so they are broadcast
-    and texts stay where they are. ``weight`` undoes the sampling.
+    Null labels teach nothing; an id labelled more than once counts as toxic if any label says so; an id with several rows
+    of ``docs`` counts once, with its first text in code-point order. So the sample has at most MAX_TOXIC + MAX_OTHER rows,
+    however often ids repeat. Its ids, a proven bound, are broadcast and other texts stay where they are. ``weight`` undoes
+    the sampling.
     """
     label = (labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
              .where(F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(3)) != 1)
@@ -89,7 +90,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
         some = some.withColumn("weight", F.lit(max(n / most, 1.0)))
         picked = some if picked is None else picked.union(some)
     texts = docs.select(F.col(id_col).alias("_did"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return texts.join(F.broadcast(picked), F.col("_did") == F.col("_id")).select("text", "toxic", "weight")
+    sample = texts.join(F.broadcast(picked), F.col("_did") == F.col("_id"))
+    return sample.groupBy("_did", "toxic", "weight").agg(F.min("text").alias("text")).select("text", "toxic", "weight")
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
