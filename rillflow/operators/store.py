@@ -84,8 +84,9 @@ def create(spark: SparkSession, path: str, buckets: int = BUCKETS) -> None:
         fs.create(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(at, f"_store/buckets-{buckets}"), False).close()
 
 
-def _table(spark: SparkSession, path: str) -> str | None:
-    """The session's table over a store folder, with the partitions that are there now; None where there is no store."""
+def _table(spark: SparkSession, path: str, sync: bool = True) -> str | None:
+    """The session's table over a store folder, with the partitions that are there now (``sync``; a write adds its own and
+    needs no others); None where there is no store."""
     n = _buckets(spark, path)
     if n is None:
         return None
@@ -94,8 +95,9 @@ def _table(spark: SparkSession, path: str) -> str | None:
     location = at.replace("\\", "\\\\").replace("'", "\\'")
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({STORE_SCHEMA}) USING parquet OPTIONS (partitionOverwriteMode 'dynamic') "
               f"PARTITIONED BY (write_no, write_key) CLUSTERED BY (id) INTO {n} BUCKETS LOCATION '{location}'")
-    spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
-    spark.catalog.refreshTable(name)
+    if sync:
+        spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
+        spark.catalog.refreshTable(name)
     return name
 
 
@@ -153,7 +155,7 @@ def _placed(spark: SparkSession, path: str, rows: DataFrame, no: int, key: str)
 
 
 def _put(spark: SparkSession, path: str, rows: DataFrame) -> None:
-    rows.select(*[c.split()[0] for c in STORE_SCHEMA.split(", ")]).write.mode("overwrite").insertInto(_table(spark, path))
+    rows.select(*[c.split()[0] for c in STORE_SCHEMA.split(", ")]).write.mode("overwrite").insertInto(_table(spark, path, sync=False))
 
 
 def _log(spark: SparkSession, path: str, run_id: str, saved_at: dt.datetime, written: int, new_ids: int, no: int, key: str) -> None:
