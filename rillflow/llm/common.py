@@ -43,6 +43,29 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Tables written by ``cut`` that are deleted together, once what was derived from them is itself a table."""
+
+    def __init__(self) -> None:
+        self._tables: list[tuple[DataFrame, str]] = []
+
+    def cut(self, df: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(df.sparkSession, name)
+        df.write.parquet(path)
+        out = df.sparkSession.read.schema(df.schema).parquet(path)
+        self._tables.append((out, path))
+        return out
+
+    def free(self, *but: DataFrame) -> None:
+        """Deletes all tables but the named ones, which stay for the next time."""
+        kept = [(df, path) for df, path in self._tables if any(df is b for b in but)]
+        for df, path in self._tables:
+            if not any(df is b for b in but):
+                where = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+                where.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
+        self._tables = kept
+
+
 def reliable(df: DataFrame) -> DataFrame:
     """``checkpoint()`` into the shared folder; the files go when the frame is no longer referenced."""
     checkpoint_root(df.sparkSession)

@@ -14,7 +14,9 @@ is compared with its bucket's hub only, which gives its edits from the hub. With
 g = den * r + num * a, sets x and y are linked exactly if (num + den) * shared edits >= g(x) + g(y) - (den - num) * |hub|. A
 document not linked to the hub therefore shares edits with whatever it is linked to, and a prefix of its edits, rarest
 first, finds it: documents still in different components are paired by shared edits, and those not linked to the hub among
-themselves. What over ``SMALL`` documents share makes a bucket of its own with a hub of its own, treated alike.
+themselves. What over ``SMALL`` documents share is dealt anew by the edits from the centre of those that share it, the tokens
+over half of them hold. An edit from a centre is shared by half of its group at most, so groups halve with each deal at
+least, until none is over ``SMALL``.
 """
 
 from __future__ import annotations
@@ -24,21 +26,22 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SALTS, components, cut, ship
+from .common import SALTS, Scratch, components, cut, ship
 from .substring import NO_ID, window_hashes, word_hashes
 
 #: Tokens beyond the prefix that the first order picks from, besides one in so many of a set; size up to which members of an edit's bucket are paired;
 #: times a bucket is dealt anew before its remaining members are paired whatever their number.
-EXTRA, EXTRA_SHARE, SMALL, LEVELS = 24, 12, 100, 4
+EXTRA, EXTRA_SHARE, SMALL = 24, 12, 16
 #: A token is frequent from this share of the sets on (one in so many), and from so many sets in one block; frequent tokens
 #: are at most MOST_FREQUENT, a fixed bound, and sent to all tasks. First tokens in a block.
 FREQUENT, LEAST_FREQUENT, MOST_FREQUENT, BLOCK = 512, 64, 1 << 16, 2_000_000
 #: Sets a task remembers in order to send a repeated set's tokens once.
 REMEMBERED = 1_000_000
+#: Bits of the map that says which rows' texts may be needed: 8 MB at any size of the input.
+MAP_BITS = 1 << 26
 _ORDERS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93))
 
 
@@ -101,12 +104,12 @@ def _narrow(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
 
 
 def _first_tokens(docs: DataFrame, frequent: np.ndarray, k: int, num: int, den: int) -> DataFrame:
-    """(key, c, n, token): each class with its first tokens. ``key`` is the token, dealt out by it; a frequent token is
+    """(key, c, token): each class with its first tokens. ``key`` is the token, dealt out by it; a frequent token is
     given as ``token`` and dealt out by class, for it is known to be shared."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            tokens, keys, sizes = [], [], []
+            tokens, keys = [], []
             for text in batch.column(1):
                 s = shingle_set(text.as_py(), k)
                 c = class_key(s)
@@ -117,50 +120,55 @@ def _first_tokens(docs: DataFrame, frequent: np.ndarray, k: int, num: int, den:
                 part = _first(s, num, den)
                 tokens.append(part)
                 keys.append(np.full(len(part), c, np.int64))
-                sizes.append(np.full(len(part), len(s), np.int32))
             if tokens:
-                token, c, n = map(np.concatenate, (tokens, keys, sizes))
+                token, c = map(np.concatenate, (tokens, keys))
                 often = np.isin(token, frequent)
-                yield pa.RecordBatch.from_arrays([pa.array(np.where(often, c, token)), pa.array(c), pa.array(n), pa.array(token, mask=~often)],
-                                                 names=["key", "c", "n", "token"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.where(often, c, token)), pa.array(c), pa.array(token, mask=~often)],
+                                                 names=["key", "c", "token"])
 
-    return docs.select("id", "text").mapInArrow(run, "key bigint, c bigint, n int, token bigint")
+    return docs.select("id", "text").mapInArrow(run, "key bigint, c bigint, token bigint")
 
 
-def _survivors(docs: DataFrame, frequent: np.ndarray, k: int, num: int, den: int) -> DataFrame:
-    """(c, prefix): classes that share a prefix token of the first order with another class."""
+def _survivors(docs: DataFrame, classes: DataFrame, frequent: np.ndarray, k: int, num: int, den: int) -> DataFrame:
+    """(c, row, prefix): classes that share a prefix token of the first order with another class."""
     known = F.col("token").isNotNull()
     same = Window.partitionBy("key", known)
     entries = _first_tokens(docs, frequent, k, num, den).repartition("key").select(
-        "c", "n", F.coalesce("token", "key").alias("token"), (known | (F.min("c").over(same) < F.max("c").over(same))).alias("shared"),
+        "c", F.coalesce("token", "key").alias("token"), (known | (F.min("c").over(same) < F.max("c").over(same))).alias("shared"),
         F.when(known, 1 << 62).otherwise(F.count(F.lit(1)).over(same)).alias("many"))
+    # dealt out as plain rows, which are smaller than lists begun on either side of the shuffle
+    lists = entries.where("shared").select("c", "many", "token").repartition("c").groupBy("c").agg(F.collect_set(F.struct("many", "token")).alias("own"))
+    lists = lists.join(classes.select("c", "n", "row"), "c")
     need = F.floor((F.lit(num) * F.col("n") + F.lit(den - 1)) / F.lit(den))
     # whatever a set is linked to has ``need`` tokens at least, so they share this many of their first tokens
     least = F.least(need, F.lit(EXTRA) + F.floor(need / F.lit(EXTRA_SHARE)))
-    lists = entries.where("shared").groupBy("c", "n").agg(F.collect_set(F.struct("many", "token")).alias("own"))
     room = F.size("own") - least + 1  # for tokens that others have too, behind those that none has
     rarest = F.transform(F.slice(F.array_sort("own"), F.lit(1), F.greatest(room, F.lit(0)).cast("int")), lambda s: s["token"])
-    return lists.where(room > 0).select("c", rarest.alias("prefix"))
+    return lists.where(room > 0).select("c", "row", rarest.alias("prefix"))
+
+
+def _texts(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """(row, text) of the ``rows`` asked for, once each, and of few others: a map of ``MAP_BITS`` bits drops most of the rest before
+    texts are shuffled. The more rows are asked for, the less it drops."""
+    at = F.pmod(F.xxhash64("row"), F.lit(MAP_BITS)) + 1
+    maps = (rows.select(at.alias("at")).groupBy(F.bitmap_bucket_number("at").alias("part"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits")))
+    place = F.bitmap_bit_position(at)
+    byte = F.conv(F.hex(F.substring("bits", F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    marked = docs.join(F.broadcast(maps), F.bitmap_bucket_number(at) == F.col("part")).where(F.getbit(byte, F.pmod(place, F.lit(8)).cast("int")) == 1)
+    return marked.select("row", "text").dropDuplicates(["row"])
 
 
 def _sets(docs: DataFrame, survivors: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """(x, n, tokens, p1, p2, p3): size, whole set and prefixes under three orders of each surviving class; x is its class
-    key. ``survivors`` names one ``row`` of each class, whose text is fetched; rows equal in id and text give their class
-    more than once. Prefix p2 goes on beyond the length of p3, for hubs and documents near them."""
+    key. ``survivors`` names one ``row`` of each class, whose text is fetched. Prefix p2 goes on beyond the length of p3, for hubs and documents near them."""
     heaviest = (num + den) * (den - num) / num  # g of a near document as a multiple of its hub's size
     least = max(min(1 - heaviest / den, 1 / (1 + heaviest / num)) - 1e-9, 0.0)  # tokens near ones share, as a share of either set
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
         for batch in batches:
             rows = []
             for text, c, prefix in zip(*(col.to_pylist() for col in batch.columns)):
-                if c in seen:
-                    continue
                 s = shingle_set(text, k)
-                if class_key(s) != c:  # another text with this row's hash
-                    continue
-                if len(seen) < REMEMBERED:
-                    seen.add(c)
                 p = len(s) - _needed(len(s), num, den) + 1
                 ordered = [s[np.argsort(s.view(np.uint64) * o, kind="stable")] for o in _ORDERS]
                 more = [ordered[0][:len(s) - int(least * len(s)) + 1], ordered[1][:p]]
@@ -170,25 +178,24 @@ def _sets(docs: DataFrame, survivors: DataFrame, k: int, num: int, den: int) ->
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.array(n, pa.int64()), *[pa.array(v, pa.list_(pa.int64())) for v in lists]],
                                                  names=["x", "n", "tokens", "p1", "p2", "p3"])
 
-    joined = docs.select("row", "text").join(survivors, "row").select("text", "c", "prefix")
+    joined = _texts(docs, survivors).join(survivors, "row").select("text", "c", "prefix")
     return joined.mapInArrow(run, "x bigint, n bigint, tokens array<bigint>, p1 array<bigint>, p2 array<bigint>, p3 array<bigint>")
 
 
 def _of(sets: DataFrame, pairs: DataFrame, sides: tuple[str, str], columns: list[str]) -> DataFrame:
-    """The sets of the documents in ``pairs``, as a table of their own: joins then deal out these alone, and hot hubs can be
-    split. ``sets`` stays where it lies by x."""
+    """The sets of the documents in ``pairs``: joins then deal out these alone, and hot hubs can be split."""
     ids = pairs.select(F.col(sides[0]).alias("x")).union(pairs.select(F.col(sides[1]).alias("x"))).distinct()
-    return cut(sets.join(ids, "x", "left_semi").select("x", *columns), "jaccard-needed")
+    return sets.join(ids, "x", "left_semi").select("x", *columns)
 
 
-def _edits(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+def _edits(pairs: DataFrame, sets: DataFrame, num: int, den: int, keep: Scratch) -> DataFrame:
     """Of (hub, x) pairs, those near: weight ``g`` of the edits from hub to x, ``slack`` of the hub (linked: g <= slack), and
     the signed ``edits``. Near (see ``_links``) takes a share of common tokens, hence a common prefix under the second
     order, longer than that for links; only pairs with one fetch whole sets."""
     orders = _of(sets, pairs, ("hub", "x"), ["p2"])
     for side in ("hub", "x"):
         pairs = pairs.join(orders.select(F.col("x").alias(side), F.col("p2").alias(f"{side}2")), side)
-    pairs = cut(pairs.where(F.arrays_overlap("hub2", "x2")).select("hub", "x"), "jaccard-near-hubs")
+    pairs = keep.cut(pairs.where(F.arrays_overlap("hub2", "x2")).select("hub", "x"), "jaccard-near-hubs")
     sets = _of(sets, pairs, ("hub", "x"), ["tokens"])
     hubs = sets.select(F.col("x").alias("hub"), F.col("tokens").alias("hub_tokens"))
     both = pairs.join(sets.select("x", "tokens"), "x").join(hubs, "hub")
@@ -200,7 +207,7 @@ def _edits(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
             .select("hub", "x", "g", "slack", edits.alias("edits")))
 
 
-def _edits_from_centre(members: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+def _edits_from_centre(members: DataFrame, sets: DataFrame, num: int, den: int, keep: Scratch) -> DataFrame:
     """``_edits`` of all members (hub, x) of a group, from the group's centre: the tokens that over half of them hold. Also
     ``nearest``, the member with the smallest g, and ``g0``, that g."""
     own = _of(sets, members, ("x", "x"), ["tokens"])
@@ -208,20 +215,21 @@ def _edits_from_centre(members: DataFrame, sets: DataFrame, num: int, den: int)
     size = members.groupBy("hub").agg(F.count(F.lit(1)).alias("size"))
     common = held.select("hub", F.explode("tokens").alias("t")).groupBy("hub", "t").agg(F.count(F.lit(1)).alias("many"))
     centres = (common.join(size, "hub").where("2 * many > size").groupBy("hub").agg(F.collect_list("t").alias("centre")))
-    both = members.join(own, "x").join(cut(centres, "jaccard-centres"), "hub", "left")
+    both = members.join(own, "x").join(keep.cut(centres, "jaccard-centres"), "hub", "left")
     centre = F.coalesce("centre", F.array().cast("array<bigint>"))
     gone, new = F.array_except(centre, "tokens"), F.array_except("tokens", centre)
     both = both.select("hub", "x", (F.lit(den - num) * F.size(centre)).alias("slack"), gone.alias("gone"), new.alias("new"))
     edits = F.concat(F.transform("gone", lambda t: F.xxhash64(t, F.lit(1))), F.transform("new", lambda t: F.xxhash64(t, F.lit(2))))
-    both = cut(both.select("hub", "x", "slack", (den * F.size("gone") + num * F.size("new")).alias("g"), edits.alias("edits")), "jaccard-edits")
+    both = keep.cut(both.select("hub", "x", "slack", (den * F.size("gone") + num * F.size("new")).alias("g"), edits.alias("edits")), "jaccard-edits")
     first = both.groupBy("hub").agg(F.min(F.struct("g", "x")).alias("m")).select("hub", F.col("m.x").alias("nearest"), F.col("m.g").alias("g0"))
     return both.join(first, "hub").select("hub", "x", "g", "slack", "edits", "nearest", "g0")
 
 
-def _edit_buckets(edits: DataFrame, num: int, den: int, centred: bool) -> DataFrame:
-    """(bucket, hub, x, short): documents of a hub by the prefixes of their edits that others of the hub share."""
+def _edit_buckets(edits: DataFrame, num: int, den: int, centred: bool, keep: Scratch) -> DataFrame:
+    """(bucket, hub, x, short, ..): documents of a hub by the prefixes of their edits that others of the hub share; ``rest`` is the
+    number of shared edits from this one on, a bound on those shared with a document whose first common edit this is."""
     each = edits.select("hub", "x", F.explode("edits").alias("edit"))
-    shared = cut(each.groupBy("hub", "edit").agg(F.count(F.lit(1)).alias("many")).where("many > 1"), "jaccard-shared-edits")
+    shared = keep.cut(each.groupBy("hub", "edit").agg(F.count(F.lit(1)).alias("many")).where("many > 1"), "jaccard-shared-edits")
     lists = each.join(shared, ["hub", "edit"]).groupBy("hub", "x").agg(F.array_sort(F.collect_set(F.struct("many", "edit"))).alias("own"))
     lists = lists.join(edits.select("hub", "x", "g", "slack", "g0", F.size("edits").alias("e")), ["hub", "x"])
     alone = F.col("e") - F.size("own")  # edits nobody else has come first
@@ -233,25 +241,26 @@ def _edit_buckets(edits: DataFrame, num: int, den: int, centred: bool) -> DataFr
     else:
         longer = F.when(F.col("g") > F.col("slack"), F.col("e") - least + 1 - alone).otherwise(short)
     most = F.greatest(short, longer, F.lit(0)).cast("int")
-    rows = lists.select("hub", "x", short.alias("short"), F.posexplode(F.slice("own", F.lit(1), most)).alias("i", "s"))
-    return rows.select(F.xxhash64("hub", "s.edit").alias("bucket"), "hub", "x", (F.col("i") < F.col("short")).alias("short"))
+    rows = lists.select("hub", "x", "g", "slack", short.alias("short"), F.size("own").alias("many"), F.posexplode(F.slice("own", F.lit(1), most)).alias("i", "s"))
+    return rows.select(F.xxhash64("hub", "s.edit").alias("bucket"), "hub", "x", (F.col("i") < F.col("short")).alias("short"), "g", "slack",
+                       (F.col("many") - F.col("i")).alias("rest"))
 
 
-def _share_prefixes(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+def _share_prefixes(pairs: DataFrame, sets: DataFrame, num: int, den: int, keep: Scratch) -> DataFrame:
     """The pairs (a, b, ..) whose sizes allow a link and that share prefix tokens under each of the further orders."""
-    columns, pairs = pairs.columns, cut(pairs, "jaccard-pairs")
+    columns, pairs = pairs.columns, keep.cut(pairs, "jaccard-pairs")
     for name, order in (("p3", F.col("p3")), ("p2", F.slice("p2", F.lit(1), F.size("p3")))):
         own = _of(sets, pairs, ("a", "b"), ["n", *{"p3", name}])
         for side in ("a", "b"):
             pairs = pairs.join(own.select(F.col("x").alias(side), F.col("n").alias(f"{side}n"), order.alias(f"{side}p")), side)
         alike = den * F.least("an", "bn") >= num * F.greatest("an", "bn")
-        pairs = cut(pairs.where(alike & F.arrays_overlap("ap", "bp")).select(*columns), "jaccard-pairs")
+        pairs = keep.cut(pairs.where(alike & F.arrays_overlap("ap", "bp")).select(*columns), "jaccard-pairs")
     return pairs
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+def _linked(pairs: DataFrame, sets: DataFrame, num: int, den: int, keep: Scratch) -> DataFrame:
     """The pairs (a, b) that pass the further orders and reach the threshold."""
-    pairs = _share_prefixes(pairs, sets, num, den)
+    pairs = _share_prefixes(pairs, sets, num, den, keep)
     sets = _of(sets, pairs, ("a", "b"), ["tokens"])
     for side in ("a", "b"):
         pairs = pairs.join(sets.select(F.col("x").alias(side), F.col("tokens").alias(f"{side}t")), side)
@@ -259,9 +268,9 @@ def _linked(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     return pairs.where((num + den) * shared >= num * (F.size("at") + F.size("bt"))).select("a", "b")
 
 
-def _linked_by_edits(pairs: DataFrame, edits: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+def _linked_by_edits(pairs: DataFrame, edits: DataFrame, sets: DataFrame, num: int, den: int, keep: Scratch) -> DataFrame:
     """The pairs (hub, a, b) that pass the further orders and reach the threshold, as (a, b)."""
-    pairs = _share_prefixes(pairs, sets, num, den)
+    pairs = _share_prefixes(pairs, sets, num, den, keep)
     for side in ("a", "b"):
         own = edits.select("hub", F.col("x").alias(side), F.col("g").alias(f"{side}g"), F.col("edits").alias(f"{side}e"), "slack")
         pairs = pairs.join(own if side == "a" else own.drop("slack"), ["hub", side])
@@ -270,10 +279,10 @@ def _linked_by_edits(pairs: DataFrame, edits: DataFrame, sets: DataFrame, num: i
 
 
 def _pairs(members: DataFrame, carry: list[str], condition: str) -> DataFrame:
-    """Distinct (a, b) of one bucket, a < b, in different components so far."""
-    left = members.select("bucket", *carry, F.col("x").alias("a"), F.col("label").alias("la"), F.col("short").alias("sa"))
-    right = members.select("bucket", F.col("x").alias("b"), F.col("label").alias("lb"), F.col("short").alias("sb"))
-    return left.join(right, "bucket").where(f"a < b and la <> lb and {condition}").select(*carry, "a", "b").distinct()
+    """Distinct (a, b) of one bucket, a < b, in different components so far and fit by ``condition`` on l and r."""
+    left, right = members.alias("l"), members.alias("r")
+    on = F.expr(f"l.bucket = r.bucket and l.x < r.x and l.label <> r.label and {condition}")
+    return left.join(right, on).select(*[F.col(f"l.{c}").alias(c) for c in carry], F.col("l.x").alias("a"), F.col("r.x").alias("b")).distinct()
 
 
 def _links(sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -282,26 +291,27 @@ def _links(sets: DataFrame, num: int, den: int) -> DataFrame:
     Members of a bucket are near its hub (num * g <= (num + den) * slack), not linked to it (g > slack) or both. One
     that is not near and one that is linked to the hub are not linked: the shared edits would have to outnumber the second
     one's edits. So near members are paired by edits, those not linked to the hub among themselves. Buckets too large for
-    that form groups (by hub) that are dealt anew by the edits from the group's centre, where all pairs are covered: what
-    a very common passage brings together shares it with the centre and needs to share edits besides.
+    that form groups that are dealt anew by the edits from the group's centre, where all pairs are covered: what a very common passage brings together shares it with the centre and needs to share edits
+    besides. Buckets of the documents' tokens and of their edits from a hub form one group by their smallest member; buckets
+    of edits from a centre hold half of their group at most, and only equal ones form one group.
     """
-    buckets = sets.select(F.explode("p1").alias("bucket"), "x")
-    links = None
-    for level in range(LEVELS + 1):
-        most = SMALL if level < LEVELS else 1 << 62
-        buckets = cut(buckets.distinct(), "jaccard-buckets")
-        hubs = cut(buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("x").alias("hub")).where("size > 1")
-                   .select("bucket", "hub"), "jaccard-hubs")
-        members = buckets.join(hubs, "bucket")
+    keep = Scratch()
+    buckets, links, level = keep.cut(sets.select(F.explode("p1").alias("bucket"), "x", "n").distinct(), "jaccard-buckets"), None, 0
+    while True:
+        sized = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("x").alias("least"), F.expr("bit_xor(xxhash64(x))").alias("all"))
+        name = F.col("least") if level < 2 else F.xxhash64("all", "size")
+        members = buckets.join(keep.cut(sized.where("size > 1").select("bucket", name.alias("hub")), "jaccard-hubs"), "bucket")
         if level == 0:
             members = members.where("x <> hub")
-            edits = cut(_edits(members.select("hub", "x").distinct(), sets, num, den)
-                        .select("*", F.col("hub").alias("nearest"), F.lit(0).alias("g0")), "jaccard-edits")
+            compared = keep.cut(members.select("hub", "x").distinct(), "jaccard-members")
+            edits = keep.cut(_edits(compared, sets, num, den, keep)
+                             .select("*", F.col("hub").alias("nearest"), F.lit(0).alias("g0")), "jaccard-edits")
         else:
-            edits = cut(_edits_from_centre(cut(members.select("hub", "x").distinct(), "jaccard-members"), sets, num, den), "jaccard-edits")
+            compared = keep.cut(members.select("hub", "x").distinct(), "jaccard-members")
+            edits = keep.cut(_edits_from_centre(compared, sets, num, den, keep), "jaccard-edits")
         found = edits.where("g + g0 <= slack and x <> nearest").select(F.col("nearest").alias("a"), F.col("x").alias("b"))
-        links = cut(found if links is None else links.union(found), "jaccard-links")
-        labels = cut(components(links), "jaccard-labels")
+        links = keep.cut(found if links is None else links.union(found), "jaccard-links")
+        labels = keep.cut(components(links), "jaccard-labels")
 
         def labelled(rows: DataFrame, labels=labels) -> DataFrame:
             return rows.join(labels, F.col("x") == F.col("node"), "left").select(*rows.columns, F.coalesce("component", "x").alias("label"))
@@ -309,27 +319,28 @@ def _links(sets: DataFrame, num: int, den: int) -> DataFrame:
         def still_open(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
             """Members of buckets that span components: of small buckets, and of larger ones."""
             sized = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("label").alias("lo"), F.max("label").alias("hi"))
-            rows = rows.join(cut(sized.where("lo < hi").select("bucket", "size"), "jaccard-sizes"), "bucket")
-            return rows.where(F.col("size") <= most), rows.where(F.col("size") > most).select("bucket", "x")
+            rows = rows.join(keep.cut(sized.where("lo < hi").select("bucket", "size"), "jaccard-sizes"), "bucket")
+            return rows.where(F.col("size") <= SMALL), rows.where(F.col("size") > SMALL).select("bucket", "x")
 
         if level == 0:
             at_hub = edits.where("g <= slack").select("hub", "x")
-            away = members.join(at_hub, ["hub", "x"], "left_anti").select("bucket", "x", F.lit(True).alias("short"))
-            away = cut(labelled(away), "jaccard-away")
+            away = members.join(at_hub, ["hub", "x"], "left_anti").select("bucket", "x", "n")
+            away = keep.cut(labelled(away), "jaccard-away")
             few, many = still_open(away)
-            links = cut(links.union(_linked(_pairs(few, [], "true"), sets, num, den)), "jaccard-links")
+            links = keep.cut(links.union(_linked(_pairs(few, [], f"{den} * least(l.n, r.n) >= {num} * greatest(l.n, r.n)"), sets, num, den, keep)), "jaccard-links")
 
         spans = (labelled(edits.select("hub", "x")).groupBy("hub").agg(F.count(F.lit(1)).alias("near"), F.min("label").alias("lo"), F.max("label").alias("hi"))
                  .where("near > 1 and (lo < hi)").select("hub"))
-        near = cut(edits.join(cut(spans, "jaccard-spans"), "hub"), "jaccard-near")
-        by_edit = cut(labelled(_edit_buckets(near, num, den, centred=level > 0)), "jaccard-edit-buckets")
+        near = keep.cut(edits.join(spans, "hub"), "jaccard-near")
+        by_edit = keep.cut(labelled(_edit_buckets(near, num, den, level > 0, keep)), "jaccard-edit-buckets")
         few_edits, many_edits = still_open(by_edit)
-        found = _linked_by_edits(_pairs(few_edits, ["hub"], "(sa or sb)"), near, sets, num, den)
-        links = cut(links.union(found), "jaccard-links")
-        buckets = many.union(many_edits) if level == 0 else many_edits
-        if level == LEVELS or buckets.isEmpty():
+        found = _linked_by_edits(_pairs(few_edits, ["hub"], f"(l.short or r.short) and {num + den} * least(l.rest, r.rest) >= l.g + r.g - l.slack"), near, sets, num, den, keep)
+        links = keep.cut(links.union(found), "jaccard-links")
+        buckets = keep.cut((many.union(many_edits) if level == 0 else many_edits).distinct(), "jaccard-buckets")
+        keep.free(links, buckets)
+        if buckets.isEmpty():
             return links
-    raise AssertionError("the last level pairs all")
+        level += 1
 
 
 def _row(ids: Column, text: Column) -> Column:
@@ -358,13 +369,12 @@ def _judged(docs: DataFrame, id_col: str, text_col: str, k: int, num: int, den:
     least = narrow.count() / FREQUENT
     often = both.where("frequent").groupBy("c").agg(F.sum("n").alias("many")).where(F.col("many") >= least)
     frequent = np.array([r["c"] for r in often.orderBy(F.desc("many"), "c").limit(MOST_FREQUENT).collect()], np.int64)
-    classes = cut(narrow.where("n > 0").groupBy("c").agg(F.min("id").alias("x"), F.min("row").alias("row")), "jaccard-classes")
-    survivors = _survivors(plain, frequent, k, num, den).join(classes, "c").select("row", "c", "prefix")
-    # kept on the executors' disks, dealt out by x; a lost executor's part is computed again
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sets = _sets(plain, survivors, k, num, den).repartition(parts, "x").dropDuplicates(["x"]).persist(StorageLevel.DISK_ONLY)
+    classes = cut(narrow.where("n > 0").groupBy("c").agg(F.min("id").alias("x"), F.min("row").alias("row"), F.max("n").alias("n")), "jaccard-classes")
+    keep = Scratch()
+    survivors = keep.cut(_survivors(plain, classes, frequent, k, num, den), "jaccard-survivors")
+    sets = keep.cut(_sets(plain, survivors, k, num, den), "jaccard-sets")
     found = cut(_smallest_ids(classes.select("c", "x"), components(_links(sets, num, den))), "jaccard-components")
-    sets.unpersist()
+    keep.free()
     return narrow.join(found, "c", "left").select("id", "row", "n", "component")
 
 
