@@ -226,13 +226,14 @@ def _edits_from_centre(members: DataFrame, sets: DataFrame, num: int, den: int,
 
 
 def _edit_buckets(edits: DataFrame, num: int, den: int, centred: bool, keep: Scratch) -> DataFrame:
-    """(bucket, hub, x, short, ..): documents of a hub by the prefixes of their edits that others of the hub share; ``rest`` is the
-    number of shared edits from this one on, a bound on those shared with a document whose first common edit this is."""
-    each = edits.select("hub", "x", F.explode("edits").alias("edit"))
-    shared = keep.cut(each.groupBy("hub", "edit").agg(F.count(F.lit(1)).alias("many")).where("many > 1"), "jaccard-shared-edits")
-    lists = each.join(shared, ["hub", "edit"]).groupBy("hub", "x").agg(F.array_sort(F.collect_set(F.struct("many", "edit"))).alias("own"))
+    """(bucket, hub, x, short, ..): documents of a hub by the prefixes of their edits that others of the hub, of another component, share;
+    ``rest`` is the number of such edits from this one on, a bound on those shared with a document whose first common edit this is."""
+    each = edits.select("hub", "x", "label", F.explode("edits").alias("edit"))
+    shared = each.groupBy("hub", "edit").agg(F.count(F.lit(1)).alias("many"), F.min("label").alias("lo"), F.max("label").alias("hi"))
+    shared = keep.cut(shared.where("lo < hi").select("hub", "edit", "many"), "jaccard-shared-edits")
+    lists = each.drop("label").join(shared, ["hub", "edit"]).groupBy("hub", "x").agg(F.array_sort(F.collect_set(F.struct("many", "edit"))).alias("own"))
     lists = lists.join(edits.select("hub", "x", "g", "slack", "g0", F.size("edits").alias("e")), ["hub", "x"])
-    alone = F.col("e") - F.size("own")  # edits nobody else has come first
+    alone = F.col("e") - F.size("own")  # edits that nobody in another component has come first
     # two documents are linked by over g / (num + den) shared edits, for either one if the other is not linked to the hub
     short = F.col("e") - F.floor(F.col("g") / F.lit(num + den)) - alone
     least = F.greatest(F.ceil((F.col("g") + F.col("g0") - F.col("slack")) / F.lit(num + den)), F.lit(1))
@@ -242,8 +243,11 @@ def _edit_buckets(edits: DataFrame, num: int, den: int, centred: bool, keep: Scr
         longer = F.when(F.col("g") > F.col("slack"), F.col("e") - least + 1 - alone).otherwise(short)
     most = F.greatest(short, longer, F.lit(0)).cast("int")
     rows = lists.select("hub", "x", "g", "slack", short.alias("short"), F.size("own").alias("many"), F.posexplode(F.slice("own", F.lit(1), most)).alias("i", "s"))
-    return rows.select(F.xxhash64("hub", "s.edit").alias("bucket"), "hub", "x", (F.col("i") < F.col("short")).alias("short"), "g", "slack",
-                       (F.col("many") - F.col("i")).alias("rest"))
+    rows = keep.cut(rows.select(F.xxhash64("hub", "s.edit").alias("bucket"), "hub", "x", (F.col("i") < F.col("short")).alias("short"), "g", "slack",
+                                (F.col("many") - F.col("i")).alias("rest")), "jaccard-edit-buckets")
+    # a document stays in a bucket if, by the least weight and the most edits left there, it may be linked to one in it
+    best = rows.groupBy("bucket").agg(F.min("g").alias("g1"), F.max("rest").alias("rest1"), F.count(F.lit(1)).alias("size")).where("size > 1")
+    return rows.join(best, "bucket").where((num + den) * F.least("rest", "rest1") >= F.col("g") + F.col("g1") - F.col("slack")).select(*rows.columns)
 
 
 def _share_prefixes(pairs: DataFrame, sets: DataFrame, num: int, den: int, keep: Scratch) -> DataFrame:
@@ -331,7 +335,7 @@ def _links(sets: DataFrame, num: int, den: int) -> DataFrame:
 
         spans = (labelled(edits.select("hub", "x")).groupBy("hub").agg(F.count(F.lit(1)).alias("near"), F.min("label").alias("lo"), F.max("label").alias("hi"))
                  .where("near > 1 and (lo < hi)").select("hub"))
-        near = keep.cut(edits.join(spans, "hub"), "jaccard-near")
+        near = keep.cut(labelled(edits.join(spans, "hub")), "jaccard-near")
         by_edit = keep.cut(labelled(_edit_buckets(near, num, den, level > 0, keep)), "jaccard-edit-buckets")
         few_edits, many_edits = still_open(by_edit)
         found = _linked_by_edits(_pairs(few_edits, ["hub"], f"(l.short or r.short) and {num + den} * least(l.rest, r.rest) >= l.g + r.g - l.slack"), near, sets, num, den, keep)
