@@ -37,11 +37,20 @@ TUNING_CONFS = {
     "spark.sql.sources.parallelPartitionDiscovery.threshold": "1024",
 }
 
+# Spark lists a folder's subfolders with a task each, up to 10,000 of them; a task costs far more than a listing, so
+# they are dealt to a few tasks a core, no fewer than LEAST_LISTING_TASKS. A session's own setting stays.
+LISTING_TASKS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+SPARKS_LISTING_TASKS = "10000"
+LISTING_TASKS_A_CORE, LEAST_LISTING_TASKS = 4, 64
+
 
 def apply_confs(spark: SparkSession) -> SparkSession:
-    """Set the semantic confs on an existing session (runtime-settable SQL confs)."""
+    """Set the semantic confs, and the bound on listing tasks, on an existing session (runtime-settable SQL confs)."""
     for key, value in REQUIRED_CONFS.items():
         spark.conf.set(key, value)
+    if spark.conf.get(LISTING_TASKS) == SPARKS_LISTING_TASKS:
+        cores = spark.sparkContext.defaultParallelism
+        spark.conf.set(LISTING_TASKS, str(max(LEAST_LISTING_TASKS, LISTING_TASKS_A_CORE * cores)))
     return spark
 
 

@@ -49,3 +49,34 @@ def test_limit_and_sample(spark):
         write_json(folder, f"d{i}.json", {})
     listed = FL.list_candidate_files(spark, directory=folder)
     assert FL.sample_files(listed, 5).count() == 40                           # only named lists are sampled
+
+
+def test_many_folders_are_listed_by_a_bounded_number_of_tasks(spark):
+    """A folder per document: every file is found, and a listing does not start a task for each folder."""
+    import os
+    from rillflow.session import LEAST_LISTING_TASKS, LISTING_TASKS, LISTING_TASKS_A_CORE, apply_confs
+    root, threshold = tempfile.mkdtemp(dir="/tmp"), "spark.sql.sources.parallelPartitionDiscovery.threshold"
+    bound = max(LEAST_LISTING_TASKS, LISTING_TASKS_A_CORE * spark.sparkContext.defaultParallelism)
+    for i in range(bound + 40):
+        os.mkdir(f"{root}/doc={i}")
+        write_json(f"{root}/doc={i}", "part.json", sample_document())
+    before, group = spark.conf.get(threshold), "bounded-listing"
+    spark.conf.set(threshold, "8")
+    spark.conf.unset(LISTING_TASKS)
+    apply_confs(spark)
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        files = FL.Files(FL.MODE_LOCAL_DIR, folder=root, recursive=True)
+        found = files.reader(spark, "binaryFile").load(root)  # lists the folder, reads nothing
+        tracker = spark.sparkContext.statusTracker()
+        stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds]
+        tasks = [s.numTasks for s in stages]
+        assert tasks and max(tasks) <= bound
+        assert found.select("path").distinct().count() == bound + 40
+        spark.conf.set(LISTING_TASKS, "7")  # a session's own setting stays
+        assert apply_confs(spark).conf.get(LISTING_TASKS) == "7"
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        spark.conf.set(threshold, before)
+        spark.conf.unset(LISTING_TASKS)
+        apply_confs(spark)
