@@ -1,27 +1,28 @@
-"""Near-duplicate components by a Jaccard join over word shingles, with several global token orders.
-
-A document's set holds the hashes of its distinct shingles. Two sets that reach the threshold share a token among the
-first ``n - ceil(threshold * n) + 1`` of each, under any one order of all tokens; so candidates must share such a prefix
-token under every order used:
-
-* the first order is rarest first. Counting all tokens would shuffle every shingle, so the tokens of smallest hash are
-  taken first: more than a prefix needs, of which linked sets share as many more; among these the rarest are the prefix.
-  It is the index that candidates are generated from.
-* two more orders, by two other hashes, filter each candidate pair before its sets are compared.
-
-Equal sets are one class from the start. Buckets (documents with one prefix token) do not emit their pairs: each document
-is compared with its bucket's hub only, which gives its edits from the hub. With r tokens removed and a added, weight
-g = den * r + num * a, sets x and y are linked exactly if (num + den) * shared edits >= g(x) + g(y) - (den - num) * |hub|. A
-document not linked to the hub therefore shares edits with whatever it is linked to, and a prefix of its edits, rarest
-first, finds it: documents still in different components are paired by shared edits, and those not linked to the hub among
-themselves. What over ``SMALL`` documents share is dealt anew by the edits from the centre of those that share it, the tokens
-over half of them hold. An edit from a centre is shared by half of its group at most, so groups halve with each deal at
-least, until none is over ``SMALL``.
+"""Near-duplicate components by a Jaccard join over word shingles, with signatures of parts of the sets.
+
+A document's set holds the hashes of its distinct shingles; equal sets are one class from the start. Sizes are dealt into
+classes so that linked sets are in one class or in neighbouring ones. Each size class has its own scheme, which deals all
+tokens into more parts than linked sets of its sizes can have different tokens, so linked sets are equal in a part. A set
+that can differ from others by h tokens sends hashes of its first h + 1 parts that are not empty, under the scheme of its class and
+the next. The few sets that have fewer such parts send pairs of an empty part and a token besides. What shares a signature is a bucket;
+buckets of the same members are one.
+
+* Members of a bucket are compared with its hub first: the member that shares most signatures with others, which is the
+  middle of what is copied from it. Buckets inside one component are done with.
+* Members of buckets up to ``SMALL`` that are still in different components are paired. A pair must pass sizes and sketches,
+  a bit for the parity of the tokens that fall on it: sets differ by as many tokens at least as their sketches by bits.
+* Larger buckets are dealt anew by the edits from the centre of their group, the tokens over half of the group hold. With r tokens
+  removed and a added, weight g = den * r + num * a, sets x and y are linked exactly if (num + den) * shared edits >=
+  g(x) + g(y) - (den - num) * |centre|. So linked sets share an edit or are linked to the member nearest to the centre, and a prefix of
+  their edits, rarest first, finds them. An edit from a centre is shared by about half of its group at most, so
+  groups shrink with each deal until none is over ``SMALL``.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -32,17 +33,15 @@ from pyspark.sql import functions as F
 from .common import SALTS, Scratch, components, cut, ship
 from .substring import NO_ID, window_hashes, word_hashes
 
-#: Tokens beyond the prefix that the first order picks from, besides one in so many of a set; size up to which members of an edit's bucket are paired;
-#: times a bucket is dealt anew before its remaining members are paired whatever their number.
-EXTRA, EXTRA_SHARE, SMALL = 24, 12, 16
-#: A token is frequent from this share of the sets on (one in so many), and from so many sets in one block; frequent tokens
-#: are at most MOST_FREQUENT, a fixed bound, and sent to all tasks. First tokens in a block.
-FREQUENT, LEAST_FREQUENT, MOST_FREQUENT, BLOCK = 512, 64, 1 << 16, 2_000_000
-#: Sets a task remembers in order to send a repeated set's tokens once.
+#: Size up to which the members of a bucket are paired.
+SMALL = 64
+#: Members, about, whose tokens name a group's centre. Any centre gives the same links; a poor one only halves groups less well.
+CENTRE = 64
+#: Sets a task remembers in order to send a repeated set's signatures once.
 REMEMBERED = 1_000_000
 #: Bits of the map that says which rows' texts may be needed: 8 MB at any size of the input.
 MAP_BITS = 1 << 26
-_ORDERS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93))
+_A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
 def shingle_set(text: str, k: int) -> np.ndarray:
@@ -63,88 +62,94 @@ def _needed(n, num: int, den: int):
     return (num * n + den - 1) // den
 
 
-def _first(tokens: np.ndarray, num: int, den: int) -> np.ndarray:
-    """The tokens of smallest hash, ``_extra`` - 1 more than a prefix."""
-    return tokens[:len(tokens) - _needed(len(tokens), num, den) + _extra(len(tokens))]  # sets are sorted by hash
-
-
-def _extra(n):
-    """Tokens that the first tokens of linked sets share at least, if the smaller set has ``n``."""
-    return EXTRA + n // EXTRA_SHARE
-
-
-def _narrow(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """(id, row, n, c, frequent): set size and class key of each row (equal sets have equal keys); and, marked frequent, tokens
-    (as c) that over 1/FREQUENT of a task's block of sets hold among their first tokens, with their number (as n)."""
+@cache
+def _tops(num: int, den: int) -> list[int]:
+    """Largest size of each size class: sets of one class link to those of the class itself and its neighbours only."""
+    tops = [1]
+    while tops[-1] < 1 << 40:
+        tops.append(max(tops[-1] + 1, tops[-1] * den // num))
+    return tops
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(31))) * _A
+    return (h ^ (h >> np.uint64(29))) * _B
+
+
+def signatures(tokens: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Hashes (as int64) of which linked sets that are not equal share one at least."""
+    n, out = len(tokens), []
+    if not n or num >= den:
+        return np.zeros(0, np.int64)
+    tops = _tops(num, den)
+    own = bisect_left(tops, n)
+    mixed = _mixed(tokens.view(np.uint64))
+    for at in (own, own + 1):
+        largest = min(tops[at], n * den // num)  # partner
+        errors = (den - num) * (n + largest) // (den + num)
+        if not errors or at > own and largest <= tops[own]:
+            continue
+        most = (den - num) * 2 * tops[at] // (den + num)
+        parts = most + 2 + most // 8
+        part = ((mixed >> np.uint64(20)) % np.uint64(parts)).astype(np.int64)
+        order = np.argsort(part, kind="stable")
+        part = part[order]
+        first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+        sums, full = np.add.reduceat(mixed[order], first), part[first]
+        scheme = _mixed(np.array([at], np.uint64))
+        out.append(_mixed(sums[:errors + 1] ^ _mixed(full[:errors + 1].astype(np.uint64) + scheme)))
+        if len(full) <= errors:
+            # linked to one of its kind without an equal part that is not empty, it has parts - errors empty ones in common with it
+            empty = np.setdiff1d(np.arange(parts), full)
+            empty = empty[:len(empty) - (parts - errors) + 1].astype(np.uint64)
+            prefix = mixed[:n - _needed(n, num, den) + 1]
+            out.append(_mixed((_mixed(empty + scheme)[:, None] + prefix[None, :]).ravel()))
+    return np.concatenate(out).view(np.int64) if out else np.zeros(0, np.int64)
+
+
+def sketch(tokens: np.ndarray) -> np.ndarray:
+    """A bit per token about, at least 64, as int64: the parity of the tokens that fall on it. Halves of a sketch, one on the other, are the next smaller one."""
+    bits = max(64, 1 << (len(tokens) - 1).bit_length()) if len(tokens) else 64
+    h = tokens.view(np.uint64)
+    odd = np.bincount(((h ^ (h >> np.uint64(32))) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
+def _narrow(docs: DataFrame, k: int) -> DataFrame:
+    """(id, row, n, c, sketch): set size, class key (equal sets have equal keys) and sketch of each row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, sets_held, size = [], 0, 0
-        names = ["id", "row", "n", "c", "frequent"]
-
-        def settle():
-            tokens, many = np.unique(np.concatenate(held), return_counts=True)
-            often = many >= max(LEAST_FREQUENT, sets_held / FREQUENT)
-            none = pa.nulls(int(often.sum()), pa.int64())
-            return pa.RecordBatch.from_arrays([none, none, pa.array(many[often]), pa.array(tokens[often]),
-                                               pa.array(np.ones(int(often.sum()), bool))], names=names)
-
         for batch in batches:
             sets = [shingle_set(text.as_py(), k) for text in batch.column(2)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([len(s) for s in sets], pa.int64()),
-                                              pa.array([class_key(s) for s in sets], pa.int64()), pa.array([False] * len(sets))], names=names)
-            held += [_first(s, num, den) for s in sets]
-            sets_held += len(sets)
-            size += sum(map(len, held[-len(sets):]))
-            if size >= BLOCK:
-                yield settle()
-                held, sets_held, size = [], 0, 0
-        if held:
-            yield settle()
-
-    return docs.select("id", "row", "text").mapInArrow(run, "id bigint, row bigint, n bigint, c bigint, frequent boolean")
-
-
-def _first_tokens(docs: DataFrame, frequent: np.ndarray, k: int, num: int, den: int) -> DataFrame:
-    """(key, c, token): each class with its first tokens. ``key`` is the token, dealt out by it; a frequent token is
-    given as ``token`` and dealt out by class, for it is known to be shared."""
+                                              pa.array([class_key(s) for s in sets], pa.int64()), pa.array([sketch(s) for s in sets], pa.list_(pa.int64()))],
+                                             names=["id", "row", "n", "c", "sketch"])
+
+    return docs.select("id", "row", "text").mapInArrow(run, "id bigint, row bigint, n bigint, c bigint, sketch array<bigint>")
+
+
+def _buckets(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """(bucket, x, times): classes that share signatures. Signatures of the same classes are one bucket, ``times`` is their number."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            tokens, keys = [], []
-            for text in batch.column(1):
+            sent, keys = [], []
+            for text in batch.column(0):
                 s = shingle_set(text.as_py(), k)
                 c = class_key(s)
                 if not len(s) or c in seen:
                     continue
                 if len(seen) < REMEMBERED:
                     seen.add(c)
-                part = _first(s, num, den)
-                tokens.append(part)
-                keys.append(np.full(len(part), c, np.int64))
-            if tokens:
-                token, c = map(np.concatenate, (tokens, keys))
-                often = np.isin(token, frequent)
-                yield pa.RecordBatch.from_arrays([pa.array(np.where(often, c, token)), pa.array(c), pa.array(token, mask=~often)],
-                                                 names=["key", "c", "token"])
-
-    return docs.select("id", "text").mapInArrow(run, "key bigint, c bigint, token bigint")
-
-
-def _survivors(docs: DataFrame, classes: DataFrame, frequent: np.ndarray, k: int, num: int, den: int) -> DataFrame:
-    """(c, row, prefix): classes that share a prefix token of the first order with another class."""
-    known = F.col("token").isNotNull()
-    same = Window.partitionBy("key", known)
-    entries = _first_tokens(docs, frequent, k, num, den).repartition("key").select(
-        "c", F.coalesce("token", "key").alias("token"), (known | (F.min("c").over(same) < F.max("c").over(same))).alias("shared"),
-        F.when(known, 1 << 62).otherwise(F.count(F.lit(1)).over(same)).alias("many"))
-    # dealt out as plain rows, which are smaller than lists begun on either side of the shuffle
-    lists = entries.where("shared").select("c", "many", "token").repartition("c").groupBy("c").agg(F.collect_set(F.struct("many", "token")).alias("own"))
-    lists = lists.join(classes.select("c", "n", "row"), "c")
-    need = F.floor((F.lit(num) * F.col("n") + F.lit(den - 1)) / F.lit(den))
-    # whatever a set is linked to has ``need`` tokens at least, so they share this many of their first tokens
-    least = F.least(need, F.lit(EXTRA) + F.floor(need / F.lit(EXTRA_SHARE)))
-    room = F.size("own") - least + 1  # for tokens that others have too, behind those that none has
-    rarest = F.transform(F.slice(F.array_sort("own"), F.lit(1), F.greatest(room, F.lit(0)).cast("int")), lambda s: s["token"])
-    return lists.where(room > 0).select("c", "row", rarest.alias("prefix"))
+                sent.append(signatures(s, num, den))
+                keys.append(np.full(len(sent[-1]), c, np.int64))
+            if sent:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sent)), pa.array(np.concatenate(keys))], names=["sig", "x"])
+
+    same = Window.partitionBy("sig")
+    sent = docs.select("text").mapInArrow(run, "sig bigint, x bigint").repartition("sig")
+    shared = sent.select("sig", "x", (F.min("x").over(same) < F.max("x").over(same)).alias("shared")).where("shared").dropDuplicates(["sig", "x"])
+    named = shared.select("x", F.xxhash64(F.expr("bit_xor(xxhash64(x))").over(same), F.count(F.lit(1)).over(same)).alias("bucket"))
+    return named.groupBy("bucket", "x").agg(F.count(F.lit(1)).alias("times"))
 
 
 def _texts(docs: DataFrame, rows: DataFrame) -> DataFrame:
@@ -159,62 +164,71 @@ def _texts(docs: DataFrame, rows: DataFrame) -> DataFrame:
     return marked.select("row", "text").dropDuplicates(["row"])
 
 
-def _sets(docs: DataFrame, survivors: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """(x, n, tokens, p1, p2, p3): size, whole set and prefixes under three orders of each surviving class; x is its class
-    key. ``survivors`` names one ``row`` of each class, whose text is fetched. Prefix p2 goes on beyond the length of p3, for hubs and documents near them."""
-    heaviest = (num + den) * (den - num) / num  # g of a near document as a multiple of its hub's size
-    least = max(min(1 - heaviest / den, 1 / (1 + heaviest / num)) - 1e-9, 0.0)  # tokens near ones share, as a share of either set
+def _sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
+    """(x, tokens): whole sets of the ``wanted`` classes (x). ``classes`` names one ``row`` of each class, whose text is fetched."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for text, c, prefix in zip(*(col.to_pylist() for col in batch.columns)):
-                s = shingle_set(text, k)
-                p = len(s) - _needed(len(s), num, den) + 1
-                ordered = [s[np.argsort(s.view(np.uint64) * o, kind="stable")] for o in _ORDERS]
-                more = [ordered[0][:len(s) - int(least * len(s)) + 1], ordered[1][:p]]
-                rows.append((c, len(s), s, prefix, *more))
-            if rows:
-                x, n, *lists = zip(*rows)
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.array(n, pa.int64()), *[pa.array(v, pa.list_(pa.int64())) for v in lists]],
-                                                 names=["x", "n", "tokens", "p1", "p2", "p3"])
-
-    joined = _texts(docs, survivors).join(survivors, "row").select("text", "c", "prefix")
-    return joined.mapInArrow(run, "x bigint, n bigint, tokens array<bigint>, p1 array<bigint>, p2 array<bigint>, p3 array<bigint>")
-
-
-def _of(sets: DataFrame, pairs: DataFrame, sides: tuple[str, str], columns: list[str]) -> DataFrame:
-    """The sets of the documents in ``pairs``: joins then deal out these alone, and hot hubs can be split."""
-    ids = pairs.select(F.col(sides[0]).alias("x")).union(pairs.select(F.col(sides[1]).alias("x"))).distinct()
-    return sets.join(ids, "x", "left_semi").select("x", *columns)
-
-
-def _edits(pairs: DataFrame, sets: DataFrame, num: int, den: int, keep: Scratch) -> DataFrame:
-    """Of (hub, x) pairs, those near: weight ``g`` of the edits from hub to x, ``slack`` of the hub (linked: g <= slack), and
-    the signed ``edits``. Near (see ``_links``) takes a share of common tokens, hence a common prefix under the second
-    order, longer than that for links; only pairs with one fetch whole sets."""
-    orders = _of(sets, pairs, ("hub", "x"), ["p2"])
-    for side in ("hub", "x"):
-        pairs = pairs.join(orders.select(F.col("x").alias(side), F.col("p2").alias(f"{side}2")), side)
-    pairs = keep.cut(pairs.where(F.arrays_overlap("hub2", "x2")).select("hub", "x"), "jaccard-near-hubs")
-    sets = _of(sets, pairs, ("hub", "x"), ["tokens"])
-    hubs = sets.select(F.col("x").alias("hub"), F.col("tokens").alias("hub_tokens"))
-    both = pairs.join(sets.select("x", "tokens"), "x").join(hubs, "hub")
-    gone, new = F.array_except("hub_tokens", "tokens"), F.array_except("tokens", "hub_tokens")
-    both = both.select("hub", "x", (F.lit(den - num) * F.size("hub_tokens")).alias("slack"), gone.alias("gone"), new.alias("new"))
-    both = both.withColumn("g", den * F.size("gone") + num * F.size("new"))
-    edits = F.concat(F.transform("gone", lambda t: F.xxhash64(t, F.lit(1))), F.transform("new", lambda t: F.xxhash64(t, F.lit(2))))
-    return (both.where(num * F.col("g") <= (num + den) * F.col("slack"))
-            .select("hub", "x", "g", "slack", edits.alias("edits")))
-
-
-def _edits_from_centre(members: DataFrame, sets: DataFrame, num: int, den: int, keep: Scratch) -> DataFrame:
-    """``_edits`` of all members (hub, x) of a group, from the group's centre: the tokens that over half of them hold. Also
-    ``nearest``, the member with the smallest g, and ``g0``, that g."""
-    own = _of(sets, members, ("x", "x"), ["tokens"])
-    held = members.join(own, "x")
-    size = members.groupBy("hub").agg(F.count(F.lit(1)).alias("size"))
-    common = held.select("hub", F.explode("tokens").alias("t")).groupBy("hub", "t").agg(F.count(F.lit(1)).alias("many"))
-    centres = (common.join(size, "hub").where("2 * many > size").groupBy("hub").agg(F.collect_list("t").alias("centre")))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingle_set(text.as_py(), k) for text in batch.column(1)], pa.list_(pa.int64()))],
+                                             names=["x", "tokens"])
+
+    rows = classes.join(wanted, F.col("c") == F.col("x"), "left_semi").select("row", F.col("c").alias("x"))
+    return _texts(docs, rows).join(rows, "row").select("x", "text").mapInArrow(run, "x bigint, tokens array<bigint>")
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("x")).union(pairs.select(F.col("b").alias("x"))).distinct()
+
+
+def _of(sets: DataFrame, pairs: DataFrame, columns: list[str]) -> DataFrame:
+    """The sets of the documents in ``pairs``: joins then deal out these alone, and hot ones can be split."""
+    return sets.join(_ends(pairs), "x", "left_semi").select("x", *columns)
+
+
+def _apart(left: str, right: str) -> Column:
+    """Tokens that one of two sets has and the other has not, at least, by their sketches."""
+    l, r = F.col(left), F.col(right)
+    half = lambda s: F.zip_with(F.slice(s, F.lit(1), (F.size(s) / 2).cast("int")), F.slice(s, (F.size(s) / 2).cast("int") + 1, (F.size(s) / 2).cast("int")),
+                                lambda p, q: p.bitwiseXOR(q))
+    bits = lambda p, q: F.aggregate(F.zip_with(p, q, lambda v, w: F.bit_count(v.bitwiseXOR(w))), F.lit(0), lambda v, w: v + w)
+    return (F.when(F.size(l) == F.size(r), bits(l, r)).when(F.size(l) == 2 * F.size(r), bits(half(l), r))
+            .when(2 * F.size(l) == F.size(r), bits(l, half(r))).otherwise(F.lit(0)))
+
+
+def _may_link(left: str, right: str, num: int, den: int) -> Column:
+    """Whether sizes ``n`` and sketches of two sets allow a link."""
+    n, m = F.col(f"{left}.n"), F.col(f"{right}.n")
+    return ((den * F.least(n, m) >= num * F.greatest(n, m))
+            & ((num + den) * _apart(f"{left}.sketch", f"{right}.sketch") <= (den - num) * (n + m)))
+
+
+def _likely(pairs: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs (a, b, ..) whose sizes and sketches allow a link."""
+    own = _of(classes.withColumnRenamed("c", "x"), pairs, ["n", "sketch"])
+    columns = pairs.columns
+    for side in ("a", "b"):
+        pairs = pairs.join(own.select(F.col("x").alias(side), F.struct("n", "sketch").alias(f"_{side}")), side)
+    return pairs.where(_may_link("_a", "_b", num, den)).select(*columns)
+
+
+def _linked(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs (a, b) that reach the threshold."""
+    sets = _of(sets, pairs, ["tokens"])
+    for side in ("a", "b"):
+        pairs = pairs.join(sets.select(F.col("x").alias(side), F.col("tokens").alias(f"{side}t")), side)
+    shared = F.size(F.array_intersect("at", "bt"))
+    return pairs.where((num + den) * shared >= num * (F.size("at") + F.size("bt"))).select("a", "b")
+
+
+def _edits_from_centre(members: DataFrame, sets: DataFrame, level: int, num: int, den: int, keep: Scratch) -> DataFrame:
+    """Of all members (hub, x) of a group the signed ``edits`` from the group's centre, the tokens that over half of it hold, by
+    ``CENTRE`` members about; their weight ``g`` and the ``slack`` of the centre; also ``nearest``, the member with the smallest g, and ``g0``, that g."""
+    own = keep.cut(sets.join(members.select("x").distinct(), "x", "left_semi"), "jaccard-own")
+    size = keep.cut(members.groupBy("hub").agg(F.count(F.lit(1)).alias("size")), "jaccard-group-sizes")
+    asked = members.join(size, "hub").where((F.col("size") <= CENTRE) | (F.pmod(F.xxhash64("x", F.lit(level)), F.col("size")) < CENTRE))
+    asked = keep.cut(asked.select("hub", "x"), "jaccard-asked")
+    common = asked.join(own, "x").select("hub", F.explode("tokens").alias("t")).groupBy("hub", "t").agg(F.count(F.lit(1)).alias("many"))
+    voices = asked.groupBy("hub").agg(F.count(F.lit(1)).alias("size"))
+    centres = common.join(voices, "hub").where("2 * many > size").groupBy("hub").agg(F.collect_list("t").alias("centre"))
     both = members.join(own, "x").join(keep.cut(centres, "jaccard-centres"), "hub", "left")
     centre = F.coalesce("centre", F.array().cast("array<bigint>"))
     gone, new = F.array_except(centre, "tokens"), F.array_except("tokens", centre)
@@ -225,56 +239,26 @@ def _edits_from_centre(members: DataFrame, sets: DataFrame, num: int, den: int,
     return both.join(first, "hub").select("hub", "x", "g", "slack", "edits", "nearest", "g0")
 
 
-def _edit_buckets(edits: DataFrame, num: int, den: int, centred: bool, keep: Scratch) -> DataFrame:
-    """(bucket, hub, x, short, ..): documents of a hub by the prefixes of their edits that others of the hub, of another component, share;
+def _edit_buckets(edits: DataFrame, num: int, den: int, keep: Scratch) -> DataFrame:
+    """(bucket, hub, x, g, slack, rest): members of a group by the prefixes of their edits that others of it, of another component, share;
     ``rest`` is the number of such edits from this one on, a bound on those shared with a document whose first common edit this is."""
     each = edits.select("hub", "x", "label", F.explode("edits").alias("edit"))
     shared = each.groupBy("hub", "edit").agg(F.count(F.lit(1)).alias("many"), F.min("label").alias("lo"), F.max("label").alias("hi"))
     shared = keep.cut(shared.where("lo < hi").select("hub", "edit", "many"), "jaccard-shared-edits")
     lists = each.drop("label").join(shared, ["hub", "edit"]).groupBy("hub", "x").agg(F.array_sort(F.collect_set(F.struct("many", "edit"))).alias("own"))
-    lists = lists.join(edits.select("hub", "x", "g", "slack", "g0", F.size("edits").alias("e")), ["hub", "x"])
-    alone = F.col("e") - F.size("own")  # edits that nobody in another component has come first
-    # two documents are linked by over g / (num + den) shared edits, for either one if the other is not linked to the hub
-    short = F.col("e") - F.floor(F.col("g") / F.lit(num + den)) - alone
+    lists = lists.join(edits.select("hub", "x", "g", "slack", "g0"), ["hub", "x"])
+    # pairs with g + g <= slack are linked through the nearest; others share an edit, and so many at least
     least = F.greatest(F.ceil((F.col("g") + F.col("g0") - F.col("slack")) / F.lit(num + den)), F.lit(1))
-    if centred:  # pairs with g + g <= slack are linked through the nearest; others share an edit, and so many at least
-        short = longer = F.col("e") - least + 1 - alone
-    else:
-        longer = F.when(F.col("g") > F.col("slack"), F.col("e") - least + 1 - alone).otherwise(short)
-    most = F.greatest(short, longer, F.lit(0)).cast("int")
-    rows = lists.select("hub", "x", "g", "slack", short.alias("short"), F.size("own").alias("many"), F.posexplode(F.slice("own", F.lit(1), most)).alias("i", "s"))
-    rows = keep.cut(rows.select(F.xxhash64("hub", "s.edit").alias("bucket"), "hub", "x", (F.col("i") < F.col("short")).alias("short"), "g", "slack",
-                                (F.col("many") - F.col("i")).alias("rest")), "jaccard-edit-buckets")
+    prefix = F.slice("own", F.lit(1), F.greatest(F.size("own") - least + 1, F.lit(0)).cast("int"))  # behind the edits that nobody in another component has
+    rows = lists.select("hub", "x", "g", "slack", F.size("own").alias("many"), F.posexplode(prefix).alias("i", "s"))
+    rows = keep.cut(rows.select(F.xxhash64("hub", "s.edit").alias("bucket"), "hub", "x", "g", "slack", (F.col("many") - F.col("i")).alias("rest")), "jaccard-edit-buckets")
     # a document stays in a bucket if, by the least weight and the most edits left there, it may be linked to one in it
     best = rows.groupBy("bucket").agg(F.min("g").alias("g1"), F.max("rest").alias("rest1"), F.count(F.lit(1)).alias("size")).where("size > 1")
     return rows.join(best, "bucket").where((num + den) * F.least("rest", "rest1") >= F.col("g") + F.col("g1") - F.col("slack")).select(*rows.columns)
 
 
-def _share_prefixes(pairs: DataFrame, sets: DataFrame, num: int, den: int, keep: Scratch) -> DataFrame:
-    """The pairs (a, b, ..) whose sizes allow a link and that share prefix tokens under each of the further orders."""
-    columns, pairs = pairs.columns, keep.cut(pairs, "jaccard-pairs")
-    for name, order in (("p3", F.col("p3")), ("p2", F.slice("p2", F.lit(1), F.size("p3")))):
-        own = _of(sets, pairs, ("a", "b"), ["n", *{"p3", name}])
-        for side in ("a", "b"):
-            pairs = pairs.join(own.select(F.col("x").alias(side), F.col("n").alias(f"{side}n"), order.alias(f"{side}p")), side)
-        alike = den * F.least("an", "bn") >= num * F.greatest("an", "bn")
-        pairs = keep.cut(pairs.where(alike & F.arrays_overlap("ap", "bp")).select(*columns), "jaccard-pairs")
-    return pairs
-
-
-def _linked(pairs: DataFrame, sets: DataFrame, num: int, den: int, keep: Scratch) -> DataFrame:
-    """The pairs (a, b) that pass the further orders and reach the threshold."""
-    pairs = _share_prefixes(pairs, sets, num, den, keep)
-    sets = _of(sets, pairs, ("a", "b"), ["tokens"])
-    for side in ("a", "b"):
-        pairs = pairs.join(sets.select(F.col("x").alias(side), F.col("tokens").alias(f"{side}t")), side)
-    shared = F.size(F.array_intersect("at", "bt"))
-    return pairs.where((num + den) * shared >= num * (F.size("at") + F.size("bt"))).select("a", "b")
-
-
-def _linked_by_edits(pairs: DataFrame, edits: DataFrame, sets: DataFrame, num: int, den: int, keep: Scratch) -> DataFrame:
-    """The pairs (hub, a, b) that pass the further orders and reach the threshold, as (a, b)."""
-    pairs = _share_prefixes(pairs, sets, num, den, keep)
+def _linked_by_edits(pairs: DataFrame, edits: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs (hub, a, b) that reach the threshold, as (a, b)."""
     for side in ("a", "b"):
         own = edits.select("hub", F.col("x").alias(side), F.col("g").alias(f"{side}g"), F.col("edits").alias(f"{side}e"), "slack")
         pairs = pairs.join(own if side == "a" else own.drop("slack"), ["hub", side])
@@ -282,69 +266,66 @@ def _linked_by_edits(pairs: DataFrame, edits: DataFrame, sets: DataFrame, num: i
     return pairs.where((num + den) * shared >= F.col("ag") + F.col("bg") - F.col("slack")).select("a", "b")
 
 
-def _pairs(members: DataFrame, carry: list[str], condition: str) -> DataFrame:
+def _pairs(members: DataFrame, carry: list[str], condition: Column) -> DataFrame:
     """Distinct (a, b) of one bucket, a < b, in different components so far and fit by ``condition`` on l and r."""
     left, right = members.alias("l"), members.alias("r")
-    on = F.expr(f"l.bucket = r.bucket and l.x < r.x and l.label <> r.label and {condition}")
+    on = F.expr("l.bucket = r.bucket and l.x < r.x and l.label <> r.label") & condition
     return left.join(right, on).select(*[F.col(f"l.{c}").alias(c) for c in carry], F.col("l.x").alias("a"), F.col("r.x").alias("b")).distinct()
 
 
-def _links(sets: DataFrame, num: int, den: int) -> DataFrame:
-    """(a, b) links whose components are those of all links between different sets.
+def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    return rows.join(labels, F.col("x") == F.col("node"), "left").select(*rows.columns, F.coalesce("component", "x").alias("label"))
 
-    Members of a bucket are near its hub (num * g <= (num + den) * slack), not linked to it (g > slack) or both. One
-    that is not near and one that is linked to the hub are not linked: the shared edits would have to outnumber the second
-    one's edits. So near members are paired by edits, those not linked to the hub among themselves. Buckets too large for
-    that form groups that are dealt anew by the edits from the group's centre, where all pairs are covered: what a very common passage brings together shares it with the centre and needs to share edits
-    besides. Buckets of the documents' tokens and of their edits from a hub form one group by their smallest member; buckets
-    of edits from a centre hold half of their group at most, and only equal ones form one group.
-    """
+
+def _still_open(rows: DataFrame, keep: Scratch) -> tuple[DataFrame, DataFrame]:
+    """Members of buckets that span components: of small buckets, and of larger ones."""
+    sized = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("label").alias("lo"), F.max("label").alias("hi"))
+    rows = rows.join(keep.cut(sized.where("lo < hi").select("bucket", "size"), "jaccard-sizes"), "bucket")
+    return rows.where(F.col("size") <= SMALL), rows.where(F.col("size") > SMALL)
+
+
+def _links(docs: DataFrame, buckets: DataFrame, classes: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """(a, b) links whose components are those of all links between different sets."""
     keep = Scratch()
-    buckets, links, level = keep.cut(sets.select(F.explode("p1").alias("bucket"), "x", "n").distinct(), "jaccard-buckets"), None, 0
-    while True:
-        sized = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("x").alias("least"), F.expr("bit_xor(xxhash64(x))").alias("all"))
-        name = F.col("least") if level < 2 else F.xxhash64("all", "size")
-        members = buckets.join(keep.cut(sized.where("size > 1").select("bucket", name.alias("hub")), "jaccard-hubs"), "bucket")
-        if level == 0:
-            members = members.where("x <> hub")
-            compared = keep.cut(members.select("hub", "x").distinct(), "jaccard-members")
-            edits = keep.cut(_edits(compared, sets, num, den, keep)
-                             .select("*", F.col("hub").alias("nearest"), F.lit(0).alias("g0")), "jaccard-edits")
-        else:
-            compared = keep.cut(members.select("hub", "x").distinct(), "jaccard-members")
-            edits = keep.cut(_edits_from_centre(compared, sets, num, den, keep), "jaccard-edits")
+    sized = keep.cut(buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")), "jaccard-bucket-sizes")
+    weights = keep.cut(buckets.join(sized, "bucket").groupBy("x").agg(F.sum(F.col("times") * F.col("size")).alias("weight")), "jaccard-weights")
+    hubs = buckets.join(weights, "x").groupBy("bucket").agg(F.max(F.struct("weight", "x")).alias("m"))
+    hubs = keep.cut(hubs.select("bucket", F.col("m.x").alias("hub")), "jaccard-hubs")
+    members = keep.cut(buckets.select("bucket", "x").join(hubs, "bucket"), "jaccard-members")
+    pairs = keep.cut(members.where("x <> hub").select(F.least("x", "hub").alias("a"), F.greatest("x", "hub").alias("b")).distinct(), "jaccard-pairs")
+    likely = keep.cut(_likely(pairs, classes, num, den), "jaccard-likely")
+    sets = keep.cut(_sets(docs, classes, _ends(likely), k), "jaccard-sets")
+    links = keep.cut(_linked(likely, sets, num, den), "jaccard-links")
+
+    few, many = _still_open(keep.cut(_labelled(members, keep.cut(components(links), "jaccard-labels")), "jaccard-open"), keep)
+    own = classes.select(F.col("c").alias("x"), "n", "sketch")
+    few = keep.cut(few.select("bucket", "x", "label").join(own, "x"), "jaccard-few")
+    pairs = keep.cut(_pairs(few, [], _may_link("l", "r", num, den)), "jaccard-pairs")
+    groups = keep.cut(many.select("bucket", "hub", "x"), "jaccard-many")
+    sets = keep.cut(_sets(docs, classes, _ends(pairs).union(groups.select("x")).distinct(), k), "jaccard-sets")
+    links = keep.cut(links.union(_linked(pairs, sets, num, den)), "jaccard-links")
+    keep.free(links, sets, groups)
+    level, groups = 0, groups.select("hub", "x")
+    while not groups.isEmpty():
+        compared = keep.cut(groups.distinct(), "jaccard-groups")
+        edits = keep.cut(_edits_from_centre(compared, sets, level, num, den, keep), "jaccard-edits")
         found = edits.where("g + g0 <= slack and x <> nearest").select(F.col("nearest").alias("a"), F.col("x").alias("b"))
-        links = keep.cut(found if links is None else links.union(found), "jaccard-links")
-        labels = keep.cut(components(links), "jaccard-labels")
-
-        def labelled(rows: DataFrame, labels=labels) -> DataFrame:
-            return rows.join(labels, F.col("x") == F.col("node"), "left").select(*rows.columns, F.coalesce("component", "x").alias("label"))
-
-        def still_open(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-            """Members of buckets that span components: of small buckets, and of larger ones."""
-            sized = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("label").alias("lo"), F.max("label").alias("hi"))
-            rows = rows.join(keep.cut(sized.where("lo < hi").select("bucket", "size"), "jaccard-sizes"), "bucket")
-            return rows.where(F.col("size") <= SMALL), rows.where(F.col("size") > SMALL).select("bucket", "x")
-
-        if level == 0:
-            at_hub = edits.where("g <= slack").select("hub", "x")
-            away = members.join(at_hub, ["hub", "x"], "left_anti").select("bucket", "x", "n")
-            away = keep.cut(labelled(away), "jaccard-away")
-            few, many = still_open(away)
-            links = keep.cut(links.union(_linked(_pairs(few, [], f"{den} * least(l.n, r.n) >= {num} * greatest(l.n, r.n)"), sets, num, den, keep)), "jaccard-links")
-
-        spans = (labelled(edits.select("hub", "x")).groupBy("hub").agg(F.count(F.lit(1)).alias("near"), F.min("label").alias("lo"), F.max("label").alias("hi"))
-                 .where("near > 1 and (lo < hi)").select("hub"))
-        near = keep.cut(labelled(edits.join(spans, "hub")), "jaccard-near")
-        by_edit = keep.cut(labelled(_edit_buckets(near, num, den, level > 0, keep)), "jaccard-edit-buckets")
-        few_edits, many_edits = still_open(by_edit)
-        found = _linked_by_edits(_pairs(few_edits, ["hub"], f"(l.short or r.short) and {num + den} * least(l.rest, r.rest) >= l.g + r.g - l.slack"), near, sets, num, den, keep)
         links = keep.cut(links.union(found), "jaccard-links")
-        buckets = keep.cut((many.union(many_edits) if level == 0 else many_edits).distinct(), "jaccard-buckets")
-        keep.free(links, buckets)
-        if buckets.isEmpty():
-            return links
+        labels = keep.cut(components(links), "jaccard-labels")
+        spans = (_labelled(edits.select("hub", "x"), labels).groupBy("hub").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
+                 .where("lo < hi").select("hub"))
+        near = keep.cut(_labelled(edits.join(spans, "hub"), labels), "jaccard-near")
+        by_edit = keep.cut(_labelled(_edit_buckets(near, num, den, keep), labels), "jaccard-edit-buckets")
+        few, many = _still_open(by_edit, keep)
+        fit = F.expr(f"{num + den} * least(l.rest, r.rest) >= l.g + r.g - l.slack")
+        pairs = keep.cut(_likely(keep.cut(_pairs(few, ["hub"], fit), "jaccard-pairs"), classes, num, den), "jaccard-likely")
+        links = keep.cut(links.union(_linked_by_edits(pairs, near, num, den)), "jaccard-links")
+        # buckets of the same members are one group
+        named = many.groupBy("bucket").agg(F.xxhash64(F.expr("bit_xor(xxhash64(x))"), F.count(F.lit(1))).alias("group"))
+        groups = keep.cut(many.select("bucket", "x").join(named, "bucket").select(F.col("group").alias("hub"), "x"), "jaccard-many")
+        keep.free(links, sets, groups)
         level += 1
+    return links
 
 
 def _row(ids: Column, text: Column) -> Column:
@@ -368,16 +349,12 @@ def _judged(docs: DataFrame, id_col: str, text_col: str, k: int, num: int, den:
     ship(docs.sparkSession)
     ids: Column = F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID))
     plain = docs.select(ids.alias("id"), _row(ids, F.col(text_col)).alias("row"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    both = cut(_narrow(plain, k, num, den), "jaccard-narrow")
-    narrow = both.where("not frequent").select("id", "row", "n", "c")
-    least = narrow.count() / FREQUENT
-    often = both.where("frequent").groupBy("c").agg(F.sum("n").alias("many")).where(F.col("many") >= least)
-    frequent = np.array([r["c"] for r in often.orderBy(F.desc("many"), "c").limit(MOST_FREQUENT).collect()], np.int64)
-    classes = cut(narrow.where("n > 0").groupBy("c").agg(F.min("id").alias("x"), F.min("row").alias("row"), F.max("n").alias("n")), "jaccard-classes")
+    narrow = cut(_narrow(plain, k), "jaccard-narrow")
+    classes = cut(narrow.where("n > 0").groupBy("c").agg(F.min("id").alias("x"), F.min("row").alias("row"), F.max("n").alias("n"),
+                                                         F.max("sketch").alias("sketch")), "jaccard-classes")
     keep = Scratch()
-    survivors = keep.cut(_survivors(plain, classes, frequent, k, num, den), "jaccard-survivors")
-    sets = keep.cut(_sets(plain, survivors, k, num, den), "jaccard-sets")
-    found = cut(_smallest_ids(classes.select("c", "x"), components(_links(sets, num, den))), "jaccard-components")
+    buckets = keep.cut(_buckets(plain, k, num, den), "jaccard-buckets")
+    found = cut(_smallest_ids(classes.select("c", "x"), components(_links(plain, buckets, classes.drop("x"), k, num, den))), "jaccard-components")
     keep.free()
     return narrow.join(found, "c", "left").select("id", "row", "n", "component")
 
