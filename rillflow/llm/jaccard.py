@@ -36,7 +36,7 @@ from .substring import NO_ID, window_hashes, word_hashes
 #: Size up to which the members of a bucket are paired.
 SMALL = 64
 #: Members, about, whose tokens name a group's centre. Any centre gives the same links; a poor one only halves groups less well.
-CENTRE = 64
+CENTRE = 16
 #: Sets a task remembers in order to send a repeated set's signatures once.
 REMEMBERED = 1_000_000
 #: Bits of the map that says which rows' texts may be needed: 8 MB at any size of the input.

@@ -5,6 +5,7 @@ import random
 import re
 from itertools import combinations
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -219,3 +220,43 @@ def test_each_text_of_a_repeated_id_gets_its_own_runs_alone(spark, monkeypatch):
     assert sorted(map(repr, got)) == sorted(map(repr, removal_brute(rows, 13)))
     assert sorted(sizes) == [1] * 26 + [2]  # id 60 has its last window from id 50; by id alone 13 for each text of id 50
     assert joined[0] <= 9  # a text of 21 words has 9 windows
+
+
+@pytest.mark.parametrize("num,den", [(9, 10), (4, 5), (1, 2)])
+def test_linked_sets_share_a_signature(num, den):
+    """Sets from one token on, changed by as much as a link allows: where parts are empty too. Sketches never differ by more than the sets."""
+    r, linked = np.random.default_rng(num), 0
+    for _ in range(3000):
+        s = np.unique(r.integers(-1 << 63, (1 << 63) - 1, int(r.choice([r.integers(1, 12), r.integers(2, 60), r.integers(50, 400)]))))
+        gone, new = r.integers(0, len(s) * (den - num) // den + 1), r.integers(0, len(s) * (den - num) // num + 2)
+        t = np.unique(np.concatenate([r.permutation(s)[gone:], r.integers(-1 << 63, (1 << 63) - 1, new)]))
+        shared = len(np.intersect1d(s, t))
+        apart = len(s) + len(t) - 2 * shared
+        if not apart or den * shared < num * (shared + apart):
+            continue
+        linked += 1
+        assert len(np.intersect1d(jaccard.signatures(s, num, den), jaccard.signatures(t, num, den)))
+        a, b = sorted((jaccard.sketch(s), jaccard.sketch(t)), key=len)
+        if len(b) == 2 * len(a):
+            b = b[:len(a)] ^ b[len(a):]
+        assert len(a) != len(b) or np.bitwise_count((a ^ b).view(np.uint64)).sum() <= apart
+    assert linked > 300
+
+
+def test_documents_that_only_share_a_passage_are_not_taken_apart(spark, monkeypatch):
+    """Half of each text is one passage: no group is dealt by edits, which would be written once per document and group."""
+    r = random.Random(12)
+    word = lambda: "w%d" % r.randint(0, 10 ** 6)
+    passage = " ".join(word() for _ in range(60))
+    rows = [(i, passage + " " + " ".join(word() for _ in range(60))) for i in range(150)]
+    rows += [(200 + i, rows[i][1] + " end") for i in range(20)]
+    written, cut = [], jaccard.Scratch.cut
+
+    def spy(self, df, name):
+        out = cut(self, df, name)
+        written.append((name, out.count() if "edits" in name else 0))
+        return out
+    monkeypatch.setattr(jaccard.Scratch, "cut", spy)
+    got = [tuple(x) for x in jaccard.near_duplicates(docs_of(spark, rows), k=3, num=9, den=10).collect()]
+    assert sorted(map(repr, got)) == sorted(map(repr, jaccard_brute(rows, 3, 9, 10)))
+    assert not sum(n for _, n in written)
